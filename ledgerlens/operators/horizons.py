@@ -1,14 +1,13 @@
 """Monthly, trailing-twelve-month and year-to-date metrics.
 
 All metrics are window columns over the dense series, so the prior-year self
-join becomes ``lag(12)``, the YTD self join a running sum per year, and the
+join becomes ``lag(12)``, the YTD self join a running sum within the year, and the
 "new" range self joins conditional 12-row window sums.  They need the dense
 spine of ``densify_months``: there, row offsets are month offsets.
 
 Windows used (all satisfied by a hash partitioning on ``account_id``):
 
 * series   (account_id, product, gateway_group) ordered by date
-* year     series + year, ordered by date
 * product  (account_id, product), unordered
 
 A NULL key follows join semantics: cohorts need account and product, the
@@ -28,7 +27,6 @@ from .pricing import SERIES_KEYS
 TRAILING_TYPE = "decimal(15,3)"
 
 
-
 def w_series():
     return Window.partitionBy(*SERIES_KEYS).orderBy("date")
 
@@ -37,10 +35,12 @@ def w_last_12():
     return w_series().rowsBetween(-11, Window.currentRow)
 
 
-def w_year():
-    return Window.partitionBy(*SERIES_KEYS, "year").orderBy("date").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+def w_running():
+    return w_series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def w_before():
+    return w_series().rowsBetween(Window.unboundedPreceding, -1)
 
 
 def w_product():
@@ -61,14 +61,18 @@ def _cohort(condition: Column) -> Column:
 
 
 def add_monthly_metrics(base: DataFrame) -> DataFrame:
-    """Monthly cohort (from unrounded priced totals), prior-year month, change."""
+    """Monthly cohort (from unrounded priced totals), prior-year month, change.
+
+    The series window comes first so the unordered product window reuses its
+    sort (a window keeps its child's ordering).
+    """
     prior = F.lag(F.col("monthly_total").cast(TRAILING_TYPE), 12).over(w_series())
     return (
-        base.withColumn("monthly_cohort", _cohort(F.col("raw_monthly_total") > 0))
-        .withColumn(
+        base.withColumn(
             "monthly_trailing_total",
             F.when(_series_ok(), F.coalesce(prior, F.lit(0))).otherwise(F.lit(0)).cast(TRAILING_TYPE),
         )
+        .withColumn("monthly_cohort", _cohort(F.col("raw_monthly_total") > 0))
         .withColumn(
             "change_in_existing_monthly",
             F.col("monthly_total") - F.col("monthly_trailing_total"),
@@ -121,10 +125,16 @@ def add_ytd_metrics(base: DataFrame) -> DataFrame:
     that following year; else 0.
     """
     ok = _series_ok()
-    ytd = F.sum(F.col("monthly_total").cast(TRAILING_TYPE)).over(w_year())
-    df = base.withColumn(
+    # Running sum within the calendar year, on the series window so no second
+    # sort is needed: cumulative sum of the series minus the cumulative sum at
+    # the previous December (exact decimal arithmetic; the spine is dense).
+    rounded = F.col("monthly_total").cast(TRAILING_TYPE)
+    df = base.withColumn("_cum", F.sum(rounded).over(w_running()))
+    before = F.last(F.when(F.col("month") == 12, F.col("_cum")), ignorenulls=True).over(w_before())
+    ytd = F.col("_cum") - F.coalesce(before, F.lit(0))
+    df = df.withColumn(
         "ytd_total", F.when(ok, F.coalesce(ytd, F.lit(0))).otherwise(F.lit(0))
-    )
+    ).drop("_cum")
     df = df.withColumn("ytd_cohort", _cohort(F.col("ytd_total") > 0))
     m = month_boundaries("ytd_cohort", "date")
     next_year = F.year("ytd_cohort") + 1
