@@ -112,7 +112,12 @@ def priced_with_accounts(inp: RetentionInputs, prm: RetentionParams) -> DataFram
 
 def dense_base(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """C5 on the account partitioning, with attributes and organization label."""
-    totals = monthly_totals(inp, prm).repartition("account_id")
+    totals = monthly_totals(inp, prm)
+    # Fixed count (the session's shuffle partitions): rows grow ~10x after
+    # this exchange (the spine) and ~25 window columns are added, so sizing
+    # by the pre-expansion bytes (AQE coalescing) would starve the windows.
+    n = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    totals = totals.repartition(n, "account_id")
     totals = P.attach_account_attributes(totals, account_attrs(inp), prm.broadcast_rows)
     base = D.densify_months(totals, prm.as_of, prm.tail_months, prm.calendar_start)
     return base.withColumn(
