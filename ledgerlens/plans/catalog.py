@@ -165,4 +165,8 @@ RETENTION_QUERIES: dict[str, Query] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return dict(RETENTION_QUERIES)
+    from .jobs import JOB_QUERIES
+
+    out = dict(RETENTION_QUERIES)
+    out.update(JOB_QUERIES)
+    return out

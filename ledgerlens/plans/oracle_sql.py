@@ -494,5 +494,147 @@ def retention_sql(name: str) -> str:
     return "WITH " + FIXTURE_CTES.strip() + ",\n" + MODEL_CTES.strip() + "\n" + RETENTION_SELECTS[name]
 
 
+
+# ------------------------------------------------------------------ jobs
+
+_KEYED_GAPS = """
+WITH cal AS (
+  SELECT CAST(range AS DATE) AS missing_date
+  FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-02', INTERVAL 1 {step})
+),
+ks AS (SELECT DISTINCT {key} FROM orders),
+seen AS (SELECT DISTINCT {key}, CAST({trunc} AS DATE) AS d FROM orders)
+SELECT ks.{key}, cal.missing_date FROM ks CROSS JOIN cal
+WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.{key} = ks.{key} AND s.d = cal.missing_date)
+"""
+
+_QUOTES = """
+quotes AS (
+  SELECT d.full_date AS date, c.currency,
+         1.0 / CAST(CAST(1 + CAST(c.currency AS INTEGER) * CAST(0.1 AS DECIMAL(4,1)) AS DECIMAL(4,1))
+                    AS DOUBLE) AS quoted
+  FROM cal_days d, (VALUES ('1'), ('2'), ('3'), ('4'), ('5')) AS c(currency)
+  UNION ALL SELECT DATE '1995-01-01', 'Z', CAST(0.0 AS DOUBLE)
+  UNION ALL SELECT DATE '1995-01-01', 'N', CAST(NULL AS DOUBLE)
+)"""
+
+_LANDING = """
+WITH raw AS (
+  SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL
+              WHEN o_orderkey % 53 = 0 THEN 'not a date'
+              WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%m/%d/%Y')
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS d_txt,
+         CASE WHEN o_orderkey % 101 = 0 OR o_orderkey % 37 = 0 THEN NULL
+              WHEN o_orderkey % 211 = 0 THEN 'abc'
+              WHEN o_orderkey % 5 = 0 THEN CAST(o_custkey AS VARCHAR) || '.0'
+              ELSE CAST(o_custkey AS VARCHAR) END AS a_txt,
+         CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_orderpriority END AS product,
+         CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE CAST(o_totalprice AS VARCHAR) END AS amt_txt,
+         CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE o_orderstatus END AS source
+  FROM orders
+),
+typed AS (
+  SELECT *,
+         CAST(COALESCE(try_strptime(d_txt, '%Y-%m-%d'), try_strptime(d_txt, '%m/%d/%Y')) AS DATE) AS d,
+         CAST(trunc(TRY_CAST(a_txt AS DECIMAL(38,10))) AS BIGINT) AS a,
+         TRY_CAST(amt_txt AS DOUBLE) AS amt
+  FROM raw
+  WHERE NOT (d_txt IS NULL AND a_txt IS NULL AND product IS NULL AND amt_txt IS NULL AND source IS NULL)
+),
+judged AS (
+  SELECT *, CASE WHEN a_txt IS NULL THEN 'null_account_id'
+                 WHEN a IS NULL THEN 'bad_account_id'
+                 WHEN d_txt IS NOT NULL AND d IS NULL THEN 'bad_date'
+                 WHEN amt_txt IS NOT NULL AND amt IS NULL THEN 'bad_amount' END AS reason
+  FROM typed
+)
+"""
+
+_FLAGS = """
+SELECT event_id AS id, user_id AS form_id,
+       CAST(CASE WHEN props LIKE '%"k": 7%' THEN 1 ELSE 0 END AS INTEGER) AS pp_enabled,
+       ts AS date_created
+FROM events
+"""
+
+_PROJECTS = "('click', 'purchase', 'signup', 'view')"
+
+_GRANTS = """
+WITH ev AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type FROM events),
+spans AS (SELECT user_id, MIN(day) AS d0, MAX(day) AS d1 FROM ev GROUP BY 1),
+objs AS (
+  SELECT user_id,
+         CAST(unnest(generate_series(CAST(d0 AS TIMESTAMP), CAST(d1 AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM spans
+),
+expected AS (
+  SELECT 'user ' || CAST(o.user_id AS VARCHAR) || ' on ' || CAST(o.day AS VARCHAR) AS object, g.grantee
+  FROM objs o, (VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view')) AS g(grantee)
+),
+actual AS (
+  SELECT DISTINCT 'user ' || CAST(user_id AS VARCHAR) || ' on ' || CAST(day AS VARCHAR) AS object,
+         event_type AS grantee
+  FROM ev
+),
+lacking AS (SELECT object, grantee FROM expected EXCEPT SELECT object, grantee FROM actual)
+"""
+
+JOB_SQL = {
+    "missing_dates": _KEYED_GAPS.format(step="DAY", key="o_orderpriority", trunc="o_orderdate"),
+    "missing_months_by_customer": _KEYED_GAPS.format(
+        step="MONTH", key="o_custkey", trunc="date_trunc('month', o_orderdate)"),
+    "missing_days_any": """
+        WITH cal AS (
+          SELECT CAST(range AS DATE) AS missing_date
+          FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-02', INTERVAL 1 DAY))
+        SELECT missing_date FROM cal
+        WHERE missing_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders
+                                   WHERE o_orderdate IS NOT NULL)""",
+    "rates_ingest": "WITH " + FIXTURE_CTES.strip() + "," + _QUOTES + """
+        SELECT DISTINCT q.date, q.currency, 1.0 / q.quoted AS rate FROM quotes q
+        WHERE q.quoted IS NOT NULL AND q.quoted <> 0
+          AND NOT EXISTS (SELECT 1 FROM fx WHERE fx.date = q.date AND fx.currency = q.currency)""",
+    "rates_rejects": "WITH " + FIXTURE_CTES.strip() + "," + _QUOTES + """
+        SELECT date, currency,
+               CASE WHEN quoted IS NULL THEN 'null_rate' ELSE 'zero_rate' END AS reason
+        FROM quotes WHERE quoted IS NULL OR quoted = 0""",
+    "landing_clean": _LANDING + """
+        SELECT d AS date_created, a AS account_id, product, amt AS total, source
+        FROM judged WHERE reason IS NULL""",
+    "landing_rejects": _LANDING + """
+        SELECT reason, COUNT(*) AS n_rows FROM judged WHERE reason IS NOT NULL GROUP BY 1""",
+    "flag_full": _FLAGS,
+    "flag_increment": _FLAGS,
+    "flag_stream": _FLAGS,
+    "freshness": f"""
+        SELECT * FROM (
+          SELECT CAST(floor((epoch_us(TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 7 HOUR)
+                             - epoch_us(COALESCE(updated_at, TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 7 HOUR)))
+                            / 86400000000.0) AS INTEGER) AS days_since_refresh,
+                 name AS extract, CAST(updated_at AS DATE) AS updated_at, project
+          FROM (SELECT 'user ' || CAST(user_id AS VARCHAR) AS name, event_type AS project,
+                       MAX(ts) AS updated_at, COUNT(*) > 1 AS has_extracts
+                FROM events GROUP BY user_id, event_type) inv
+          WHERE has_extracts AND project IN {_PROJECTS}
+        ) x WHERE days_since_refresh > 0""",
+    "missing_grants": _GRANTS + """
+        SELECT object, COUNT(*) AS n_missing,
+               string_agg(grantee, ', ' ORDER BY grantee) AS missing_grantees
+        FROM lacking WHERE object IN (SELECT object FROM actual) GROUP BY object""",
+    "absent_objects": _GRANTS + """
+        SELECT DISTINCT object FROM expected WHERE object NOT IN (SELECT object FROM actual)""",
+    "schedule_outside_window": f"""
+        SELECT 'user ' || CAST(user_id AS VARCHAR) AS datasource_name, event_type AS project_name,
+               value >= 1.0 AS refreshed_daily, strftime(ts, '%H:%M:%S.%f') AS start_time,
+               false AS in_range
+        FROM events
+        WHERE event_type IN {_PROJECTS}
+          AND NOT ((epoch_us(ts) - epoch_us(date_trunc('day', ts)))
+                   BETWEEN 7200000000 AND 10800000000)""",
+}
+
+
 def all_oracle_sql() -> dict[str, str]:
-    return {name: retention_sql(name) for name in RETENTION_SELECTS}
+    out = {name: retention_sql(name) for name in RETENTION_SELECTS}
+    out.update(JOB_SQL)
+    return out
