@@ -27,6 +27,7 @@ def start_flag_stream(
     dedupe_within: str | None = None,
     available_now: bool = True,
     fmt: str = "parquet",
+    recursive: bool = True,
 ) -> StreamingQuery:
     """Start the stream.  ``rename`` maps source columns to
     id / form_id / form / date_created.  ``available_now`` processes what is
@@ -34,6 +35,8 @@ def start_flag_stream(
     reader = spark.readStream.schema(source_schema).format(fmt)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    if recursive:  # landing folders often hold one sub-folder per drop
+        reader = reader.option("recursiveFileLookup", "true")
     versions = reader.load(source_dir)
     for src, dst in (rename or {}).items():
         versions = versions.withColumnRenamed(src, dst)

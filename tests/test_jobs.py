@@ -1,0 +1,196 @@
+"""Job flows with real files in a scratch folder: rates, landing, flag log,
+stream restart, audits on inline edge rows."""
+
+import datetime as dt
+import os
+import time
+
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import audits as A
+from ledgerlens.operators import flaglog as FL
+from ledgerlens.operators import rates as RT
+from ledgerlens.plans import refresh
+from ledgerlens.sources import io
+from ledgerlens.streaming.flag_log import start_flag_stream
+
+D = dt.date
+
+
+# ------------------------------------------------------------------ rates
+
+def _payloads(spark):
+    rows = [
+        (D(2020, 1, 1), {"EUR": 0.5, "GBP": 0.25}),
+        (D(2020, 1, 2), {"EUR": 0.5, "ZZZ": 0.0, "NUL": None}),
+        (D(2020, 1, 3), None),  # payload without rates -> no rows
+    ]
+    return spark.createDataFrame(rows, io.RATE_PAYLOAD_SCHEMA)
+
+
+def test_rates_refresh_is_idempotent(spark, scratch):
+    target, rej = f"{scratch}/rates", f"{scratch}/rejects"
+    first = refresh.refresh_rates(spark, _payloads(spark), target, rej)
+    assert first == {"appended": 3, "rejected": 2}
+    got = {(r.date, r.currency): r.rate for r in spark.read.parquet(target).collect()}
+    assert got == {(D(2020, 1, 1), "EUR"): 2.0, (D(2020, 1, 1), "GBP"): 4.0, (D(2020, 1, 2), "EUR"): 2.0}
+    second = refresh.refresh_rates(spark, _payloads(spark), target)
+    assert second["appended"] == 0
+    assert spark.read.parquet(target).count() == 3
+    reasons = sorted(r.reason for r in spark.read.parquet(rej).collect())
+    assert reasons == ["null_rate", "zero_rate"]
+
+
+def test_rate_gaps_then_fill(spark, scratch):
+    target = f"{scratch}/rates"
+    io.create_if_absent(spark, target, io.RATES_SCHEMA)
+    gaps = refresh.rate_gaps(spark, target, D(2020, 1, 1), D(2020, 1, 5))
+    assert sorted(r.missing_date for r in gaps.collect()) == [D(2020, 1, d) for d in range(1, 6)]
+    refresh.refresh_rates(spark, _payloads(spark), target)
+    gaps = refresh.rate_gaps(spark, target, D(2020, 1, 1), D(2020, 1, 5))
+    assert sorted(r.missing_date for r in gaps.collect()) == [D(2020, 1, 3), D(2020, 1, 4), D(2020, 1, 5)]
+
+
+def test_missing_dates_keys_and_nulls(spark):
+    rows = [("a", D(2020, 1, 2)), ("a", D(2020, 1, 2)), ("a", None), ("b", D(2019, 12, 1)),
+            ("c", D(2020, 1, 1)), ("c", D(2020, 1, 4))]
+    df = spark.createDataFrame(rows, "k string, d date")
+    got = sorted((r.k, r.missing_date.day) for r in RT.missing_dates(
+        df, "d", D(2020, 1, 1), D(2020, 1, 4), keys=["k"]).collect())
+    # a: all but the 2nd; b: no row in range -> the whole range; c: the middle
+    assert got == [("a", 1), ("a", 3), ("a", 4), ("b", 1), ("b", 2), ("b", 3), ("b", 4),
+                   ("c", 2), ("c", 3)]
+    # key-less form; a NULL date does not empty the result
+    got = sorted(r.missing_date.day for r in RT.missing_dates(df, "d", D(2020, 1, 1), D(2020, 1, 4)).collect())
+    assert got == [3]
+    monthly = RT.missing_dates(df, "d", D(2019, 11, 15), D(2020, 2, 1), unit="month")
+    assert sorted(r.missing_date for r in monthly.collect()) == [D(2019, 11, 1), D(2020, 2, 1)]
+
+
+# ------------------------------------------------------------------ landing
+
+HEADER = "Date,Account ID,Product,Amount,Source - Tableau (additional item),Extra\n"
+
+
+def test_landing_csv_round_trip(spark, scratch):
+    land = f"{scratch}/landing"
+    os.makedirs(f"{land}/2024", exist_ok=True)
+    with open(f"{land}/a.csv", "w") as f:
+        f.write(HEADER)
+        f.write("2024-01-05,12,Tickets,10.5,web,x\n")
+        f.write(",,,,,\n")                              # blank row
+        f.write("2024-01-06,,Tickets,3,web,x\n")        # no account
+        f.write("01/07/2024,12.0,Tickets,4,web,\n")     # float-looking id, US date
+    with open(f"{land}/2024/b.csv", "w") as f:
+        f.write(HEADER)
+        f.write("2024-01-08,abc,Tickets,1,web,x\n")     # bad id
+        f.write("someday,13,Tickets,1,web,x\n")         # bad date
+        f.write(",14,Donations,7.25,,\n")               # NULL date is kept
+    with open(f"{land}/notes.txt", "w") as f:
+        f.write("not a landing file\n")
+    out = refresh.load_landing(spark, land, f"{scratch}/manual", f"{scratch}/manual_rejects")
+    assert out == {"written": 3, "rejected": 3}
+    good = spark.read.parquet(f"{scratch}/manual")
+    assert good.columns[:5] == ["date_created", "account_id", "product", "total", "source"]
+    got = sorted((r.account_id, r.date_created, r.total) for r in good.collect())
+    assert got == [(12, D(2024, 1, 5), 10.5), (12, D(2024, 1, 7), 4.0), (14, None, 7.25)]
+    assert dict(spark.read.parquet(f"{scratch}/manual_rejects").groupBy("reason").count().collect()) == {
+        "null_account_id": 1, "bad_account_id": 1, "bad_date": 1}
+    assert good.where(F.col("source_file").endswith("b.csv")).count() == 1
+
+
+# ------------------------------------------------------------------ flag log
+
+def _versions(spark, ids):
+    rows = [(i, i % 7, None if i == 3 else ("x purchaseProtection y" if i % 4 == 0 else "plain"),
+             dt.datetime(2024, 1, 1) + dt.timedelta(hours=i)) for i in ids]
+    return spark.createDataFrame(rows, "id long, form_id long, form string, date_created timestamp")
+
+
+def _log_rows(df):
+    return sorted(tuple(r) for r in df.select(*FL.LOG_COLUMNS).collect())
+
+
+def test_flag_log_incremental_equals_rebuild(spark, scratch):
+    target = f"{scratch}/pp_log"
+    first = _versions(spark, [1, 2, 3, 4, 7, 8])        # id gaps
+    assert refresh.refresh_flag_log(spark, first, target)["mode"] == "full"
+    every = _versions(spark, [1, 2, 3, 4, 7, 8, 9, 12, 16])
+    assert refresh.refresh_flag_log(spark, every, target)["mode"] == "append"
+    assert _log_rows(spark.read.parquet(target)) == _log_rows(FL.flag_log_full(every))
+    # NULL form text -> 0; marker -> 1
+    flags = {r.id: r.pp_enabled for r in spark.read.parquet(target).collect()}
+    assert flags[3] == 0 and flags[4] == 1 and flags[16] == 1 and flags[1] == 0
+    # re-running with nothing new appends nothing
+    refresh.refresh_flag_log(spark, every, target)
+    assert spark.read.parquet(target).count() == 9
+
+
+def test_flag_log_rebuilds_when_max_id_is_zero(spark, scratch):
+    target = f"{scratch}/pp_log0"
+    refresh.refresh_flag_log(spark, _versions(spark, [0]), target)
+    assert refresh.refresh_flag_log(spark, _versions(spark, [0, 1, 2]), target)["mode"] == "full"
+    assert spark.read.parquet(target).count() == 3
+
+
+def test_flag_stream_restart_adds_only_new(spark, scratch):
+    src, sink, ck = f"{scratch}/src", f"{scratch}/sink", f"{scratch}/ck"
+    _versions(spark, [1, 2, 3]).write.parquet(f"{src}/batch1")
+    schema = _versions(spark, [1]).schema
+    kw = dict(source_dir=src, source_schema=schema, sink_dir=sink, checkpoint_dir=ck)
+    start_flag_stream(spark, **kw).awaitTermination()
+    assert spark.read.parquet(sink).count() == 3
+    start_flag_stream(spark, **kw).awaitTermination()         # restart, nothing new
+    assert spark.read.parquet(sink).count() == 3
+    time.sleep(1)
+    _versions(spark, [4, 5]).write.parquet(f"{src}/batch2")
+    start_flag_stream(spark, **kw).awaitTermination()
+    assert _log_rows(spark.read.parquet(sink)) == _log_rows(FL.flag_log_full(_versions(spark, [1, 2, 3, 4, 5])))
+
+
+# ------------------------------------------------------------------ audits
+
+def test_freshness_edges(spark):
+    as_of = dt.datetime(2024, 2, 1, 0, 0, 0)
+    now = as_of - dt.timedelta(hours=7)
+    rows = [
+        ("six_hours", "P", now - dt.timedelta(hours=6) + dt.timedelta(hours=7), True),  # after now
+        ("one_day", "P", now - dt.timedelta(hours=24), True),
+        ("two_days", "P", now - dt.timedelta(hours=49), True),
+        ("never", "P", None, True),
+        ("no_extract", "P", now - dt.timedelta(days=9), False),
+        ("other_project", "Q", now - dt.timedelta(days=9), True),
+    ]
+    inv = spark.createDataFrame(rows, "name string, project string, updated_at timestamp, has_extracts boolean")
+    got = [(r.extract, r.days_since_refresh) for r in A.freshness_audit(inv, as_of, projects=["P"]).collect()]
+    assert got == [("two_days", 2), ("one_day", 1)]
+
+
+def test_schedule_window_edges(spark):
+    tasks = spark.createDataFrame([
+        ("d1", dt.datetime(2024, 1, 1, 2, 0, 0), True),
+        ("d2", dt.datetime(2024, 1, 1, 3, 0, 0), True),
+        ("d3", dt.datetime(2024, 1, 1, 3, 0, 1), False),
+        ("d4", dt.datetime(2024, 1, 1, 1, 59, 59), True),
+        ("d5", dt.datetime(2024, 1, 1, 5, 0, 0), True),
+    ], "datasource_id string, start_at timestamp, daily boolean")
+    ds = spark.createDataFrame([
+        ("d1", "beta", "P"), ("d2", "Alpha", "P"), ("d3", "gamma", "P"), ("d4", "Delta", "P"),
+        ("d5", "zeta", "Hidden"),
+    ], "id string, name string, project string")
+    got = [(r.datasource_name, r.start_time) for r in A.schedule_window_audit(tasks, ds, projects=["P"]).collect()]
+    assert got == [("Delta", "01:59:59.000000"), ("gamma", "03:00:01.000000")]
+
+
+def test_missing_grants_and_absent(spark):
+    expected = spark.createDataFrame([
+        ("ds1", "Internal"), ("ds1", "Data"), ("ds1", "Data"), ("ds2", "Internal"), ("ds3", "Internal"),
+    ], "object string, grantee string")
+    grants = spark.createDataFrame([
+        ("ds1", "group", 1), ("ds1", "user", 2), ("ds2", "group", 1), ("ds2", "group", 3),
+    ], "object string, grantee_type string, grantee_id int")
+    groups = spark.createDataFrame([(1, "Internal"), (2, "Data"), (3, "Other")], "id int, name string")
+    actual = A.group_grants(grants, groups)
+    missing, absent = A.missing_grants(expected, actual)
+    assert [(r.object, r.n_missing, r.missing_grantees) for r in missing.collect()] == [("ds1", 1, "Data")]
+    assert [r.object for r in absent.collect()] == ["ds3"]
