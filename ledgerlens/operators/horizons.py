@@ -1,17 +1,30 @@
 """Monthly, trailing-twelve-month and year-to-date metrics.
 
-All metrics are window columns over the dense series, so the prior-year self
-join becomes ``lag(12)``, the YTD self join a running sum within the year, and the
-"new" range self joins conditional 12-row window sums.  They need the dense
-spine of ``densify_months``: there, row offsets are month offsets.
-
-Windows used (all satisfied by a hash partitioning on ``account_id``):
-
-* series   (account_id, product, gateway_group) ordered by date
-* product  (account_id, product), unordered
-
-A NULL key follows join semantics: cohorts need account and product, the
-per-row metrics need all three series keys; otherwise they are NULL / 0.
+All metrics are window columns over the dense series, so the self joins of a
+warehouse formulation disappear:
+
+* prior-year value (monthly, TTM, YTD)   ``lag(.., 12)``
+* TTM                                    sum over the last 12 rows
+* YTD                                    running sum minus the running sum at
+                                         the previous December
+* "new" amounts in the cohort's first    conditional sums over the last 12 rows
+  year / the following calendar year
+
+Row offsets are month offsets because ``densify_months`` gives one row per
+series and month with no gaps.
+
+The expressions are grouped in four dependency layers; each layer is one
+``select`` with window expressions of a single spec, so Spark plans one
+Window operator per layer, all sharing one sort of the series:
+
+1. series:  prior-year month, TTM, running sum
+2. series:  previous-December running sum, prior-year TTM
+3. product: the three cohorts (monthly, TTM, YTD)
+4. series:  first-year sums for TTM and YTD, prior-year YTD
+
+Every window is satisfied by a hash partitioning on ``account_id``.
+NULL keys follow join semantics: cohorts need account and product, per-row
+metrics need all three series keys; otherwise they are NULL / 0.
 """
 
 from __future__ import annotations
@@ -26,6 +39,14 @@ from .pricing import SERIES_KEYS
 
 TRAILING_TYPE = "decimal(15,3)"
 
+HORIZON_COLUMNS = [
+    "monthly_cohort", "monthly_trailing_total", "change_in_existing_monthly",
+    "ttm_total", "ttm_cohort", "ttm_total_new", "ttm_total_existing", "ttm_trailing_total",
+    "change_in_existing_ttm",
+    "ytd_total", "ytd_cohort", "ytd_total_new", "ytd_total_existing", "ytd_trailing_total",
+    "change_in_existing_ytd",
+]
+
 
 def w_series():
     return Window.partitionBy(*SERIES_KEYS).orderBy("date")
@@ -47,117 +68,99 @@ def w_product():
     return Window.partitionBy("account_id", "product")
 
 
-def _series_ok() -> Column:
-    return ~L.any_null(*SERIES_KEYS)
-
+def _zero_unless(ok: Column, value: Column) -> Column:
+    return F.when(ok, F.coalesce(value, F.lit(0))).otherwise(F.lit(0))
 
-def _product_ok() -> Column:
-    return ~L.any_null("account_id", "product")
 
+def _first_month(condition: Column) -> Column:
+    return F.min(F.when(condition, F.col("date"))).over(w_product())
 
-def _cohort(condition: Column) -> Column:
-    """Earliest month of the (account, product) where ``condition`` holds."""
-    return F.when(_product_ok(), F.min(F.when(condition, F.col("date"))).over(w_product()))
-
-
-def add_monthly_metrics(base: DataFrame) -> DataFrame:
-    """Monthly cohort (from unrounded priced totals), prior-year month, change.
-
-    The series window comes first so the unordered product window reuses its
-    sort (a window keeps its child's ordering).
-    """
-    prior = F.lag(F.col("monthly_total").cast(TRAILING_TYPE), 12).over(w_series())
-    return (
-        base.withColumn(
-            "monthly_trailing_total",
-            F.when(_series_ok(), F.coalesce(prior, F.lit(0))).otherwise(F.lit(0)).cast(TRAILING_TYPE),
-        )
-        .withColumn("monthly_cohort", _cohort(F.col("raw_monthly_total") > 0))
-        .withColumn(
-            "change_in_existing_monthly",
-            F.col("monthly_total") - F.col("monthly_trailing_total"),
-        )
-    )
 
+def add_horizons(base: DataFrame) -> DataFrame:
+    """Add the monthly, TTM and YTD columns of ``HORIZON_COLUMNS``.
 
-def add_ttm_metrics(base: DataFrame) -> DataFrame:
-    """TTM total, cohort, prior-year TTM, new / existing split, change.
+    Input: dense series (``SERIES_KEYS``, date, month, monthly_total as
+    decimal(20,5), raw_monthly_total).
 
-    New TTM amount: TTM while under 12 months from the cohort; from 12 to 23
-    months the sum of this series' months that lie both in the last 12 and in
-    the cohort's first 12; else 0.
+    * monthly: cohort = first month with a positive unrounded priced total;
+      trailing = the month a year earlier, rounded to 3 decimals.
+    * TTM: sum of the last 12 months; cohort = first month with TTM > 0;
+      trailing = TTM a year earlier (3 decimals); new = TTM under 12 months
+      from the cohort, from 12 to 23 months the sum of this series' months
+      both in the last 12 and in the cohort's first 12, else 0.
+    * YTD: running sum of months rounded to 3 decimals within the calendar
+      year; cohort, trailing as for TTM; new = YTD under 12 months from the
+      cohort, from 12 months on and only in the year after the cohort's the
+      sum of this series' months in the last 12, in the cohort's first 12
+      and in that year, else 0.
+    * existing = total - new; change = existing - trailing.
     """
-    ok = _series_ok()
-    df = base.withColumn(
-        "ttm_total",
-        F.when(ok, F.coalesce(F.sum("monthly_total").over(w_last_12()), F.lit(0))).otherwise(F.lit(0)),
+    ok = ~L.any_null(*SERIES_KEYS)
+    product_ok = ~L.any_null("account_id", "product")
+    v = F.col("monthly_total")
+    rounded = v.cast(TRAILING_TYPE)
+    date = F.col("date")
+
+    # 1. series window
+    df = base.select(
+        "*",
+        F.lag(rounded, 12).over(w_series()).alias("_m_prior"),
+        F.sum(v).over(w_last_12()).alias("_ttm"),
+        F.sum(rounded).over(w_running()).alias("_cum"),
     )
-    df = df.withColumn("ttm_cohort", _cohort(F.col("ttm_total") > 0))
-    m = month_boundaries("ttm_cohort", "date")
-    in_first_year = F.col("date") < F.add_months("ttm_cohort", 12)
-    aggregate = F.sum(F.when(in_first_year, F.col("monthly_total"))).over(w_last_12())
-    new = (
-        F.when(m < 12, F.col("ttm_total"))
-        .when((m >= 12) & (m < 24), aggregate)
-        .otherwise(F.lit(0))
+    # 2. series window on layer 1
+    df = df.select(
+        "*",
+        F.last(F.when(F.col("month") == 12, F.col("_cum")), ignorenulls=True)
+        .over(w_before()).alias("_cum_dec"),
+        F.lag("_ttm", 12).over(w_series()).alias("_ttm_prior"),
+    ).withColumn("_ytd", F.col("_cum") - F.coalesce(F.col("_cum_dec"), F.lit(0)))
+    # 3. product window: cohorts
+    df = df.select(
+        "*",
+        _first_month(F.col("raw_monthly_total") > 0).alias("_m_cohort"),
+        _first_month(ok & (F.col("_ttm") > 0)).alias("_t_cohort"),
+        _first_month(ok & (F.col("_ytd") > 0)).alias("_y_cohort"),
     )
-    df = df.withColumn("ttm_total_new", F.when(ok, F.coalesce(new, F.lit(0))).otherwise(F.lit(0)))
-    prior = F.lag("ttm_total", 12).over(w_series()).cast(TRAILING_TYPE)
-    return (
-        df.withColumn("ttm_total_existing", F.col("ttm_total") - F.col("ttm_total_new"))
-        .withColumn(
-            "ttm_trailing_total",
-            F.when(ok, F.coalesce(prior, F.lit(0))).otherwise(F.lit(0)).cast(TRAILING_TYPE),
-        )
-        .withColumn(
-            "change_in_existing_ttm", F.col("ttm_total_existing") - F.col("ttm_trailing_total")
-        )
+    # 4. series window: first-year sums, prior-year YTD
+    tc, yc = F.col("_t_cohort"), F.col("_y_cohort")
+    ttm_counted = date < F.add_months(tc, 12)
+    ytd_counted = (date < F.add_months(yc, 12)) & (F.year(date) == F.year(yc) + 1)
+    df = df.select(
+        "*",
+        F.sum(F.when(ttm_counted, v)).over(w_last_12()).alias("_ttm_first"),
+        F.sum(F.when(ytd_counted, v)).over(w_last_12()).alias("_ytd_first"),
+        F.lag("_ytd", 12).over(w_series()).alias("_ytd_prior"),
     )
 
-
-def add_ytd_metrics(base: DataFrame) -> DataFrame:
-    """YTD total (months rounded to 3 decimals), cohort, prior-year YTD,
-    new / existing split, change.
-
-    New YTD amount: YTD while under 12 months from the cohort; from 12 months
-    on, and only in the calendar year after the cohort's, the sum of this
-    series' months that lie in the last 12, in the cohort's first 12 and in
-    that following year; else 0.
-    """
-    ok = _series_ok()
-    # Running sum within the calendar year, on the series window so no second
-    # sort is needed: cumulative sum of the series minus the cumulative sum at
-    # the previous December (exact decimal arithmetic; the spine is dense).
-    rounded = F.col("monthly_total").cast(TRAILING_TYPE)
-    df = base.withColumn("_cum", F.sum(rounded).over(w_running()))
-    before = F.last(F.when(F.col("month") == 12, F.col("_cum")), ignorenulls=True).over(w_before())
-    ytd = F.col("_cum") - F.coalesce(before, F.lit(0))
-    df = df.withColumn(
-        "ytd_total", F.when(ok, F.coalesce(ytd, F.lit(0))).otherwise(F.lit(0))
-    ).drop("_cum")
-    df = df.withColumn("ytd_cohort", _cohort(F.col("ytd_total") > 0))
-    m = month_boundaries("ytd_cohort", "date")
-    next_year = F.year("ytd_cohort") + 1
-    counted = (F.col("date") < F.add_months("ytd_cohort", 12)) & (F.year("date") == next_year)
-    aggregate = F.sum(F.when(counted, F.col("monthly_total"))).over(w_last_12())
-    new = (
-        F.when(m < 12, F.col("ytd_total"))
-        .when((m >= 12) & (F.year("date") == next_year), aggregate)
+    # plain projections
+    m_t = month_boundaries("ttm_cohort", "date")
+    m_y = month_boundaries("ytd_cohort", "date")
+    ttm_new = (
+        F.when(m_t < 12, F.col("ttm_total"))
+        .when((m_t >= 12) & (m_t < 24), F.col("_ttm_first"))
         .otherwise(F.lit(0))
     )
-    df = df.withColumn("ytd_total_new", F.when(ok, F.coalesce(new, F.lit(0))).otherwise(F.lit(0)))
-    prior = F.lag("ytd_total", 12).over(w_series()).cast(TRAILING_TYPE)
-    return (
-        df.withColumn("ytd_total_existing", F.col("ytd_total") - F.col("ytd_total_new"))
-        .withColumn(
-            "ytd_trailing_total",
-            F.when(ok, F.coalesce(prior, F.lit(0))).otherwise(F.lit(0)).cast(TRAILING_TYPE),
-        )
-        .withColumn(
-            "change_in_existing_ytd", F.col("ytd_total_existing") - F.col("ytd_trailing_total")
-        )
+    ytd_new = (
+        F.when(m_y < 12, F.col("ytd_total"))
+        .when((m_y >= 12) & (F.year(date) == F.year("ytd_cohort") + 1), F.col("_ytd_first"))
+        .otherwise(F.lit(0))
     )
-
-
-def add_all_horizons(base: DataFrame) -> DataFrame:
-    return add_ytd_metrics(add_ttm_metrics(add_monthly_metrics(base)))
+    out = (
+        df.withColumn("monthly_cohort", F.when(product_ok, F.col("_m_cohort")))
+        .withColumn("monthly_trailing_total", _zero_unless(ok, F.col("_m_prior")).cast(TRAILING_TYPE))
+        .withColumn("change_in_existing_monthly", v - F.col("monthly_trailing_total"))
+        .withColumn("ttm_total", _zero_unless(ok, F.col("_ttm")))
+        .withColumn("ttm_cohort", F.when(product_ok, tc))
+        .withColumn("ttm_total_new", _zero_unless(ok, ttm_new))
+        .withColumn("ttm_total_existing", F.col("ttm_total") - F.col("ttm_total_new"))
+        .withColumn("ttm_trailing_total", _zero_unless(ok, F.col("_ttm_prior")).cast(TRAILING_TYPE))
+        .withColumn("change_in_existing_ttm", F.col("ttm_total_existing") - F.col("ttm_trailing_total"))
+        .withColumn("ytd_total", _zero_unless(ok, F.col("_ytd")))
+        .withColumn("ytd_cohort", F.when(product_ok, yc))
+        .withColumn("ytd_total_new", _zero_unless(ok, ytd_new))
+        .withColumn("ytd_total_existing", F.col("ytd_total") - F.col("ytd_total_new"))
+        .withColumn("ytd_trailing_total", _zero_unless(ok, F.col("_ytd_prior")).cast(TRAILING_TYPE))
+        .withColumn("change_in_existing_ytd", F.col("ytd_total_existing") - F.col("ytd_trailing_total"))
+    )
+    return out.drop(*[c for c in out.columns if c.startswith("_")])

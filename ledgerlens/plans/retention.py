@@ -6,10 +6,11 @@ Physical shape (see README, "Plan"):
    broadcast joins to form / gateway / day rate / take rate, partial hash
    aggregate -> exchange on the monthly grain -> final aggregate
 2. ``repartition(account_id)``: the only other exchange of the main data
-3. account attributes joined (broadcast if small, else co-partitioned on
-   account_id), densify, then every window (series, year, product,
-   product-month) inside that partitioning
-4. account-level lookups co-partitioned on account_id or broadcast
+3. densify, then every window (series, product, product-month) inside that
+   partitioning: four window layers for the horizons, two for the status
+4. account attributes and account-level lookups last (broadcast when the
+   size check passes, else co-partitioned on account_id), so the windows do
+   not carry their strings
 
 Rows per account after step 1 are bounded by products x gateway groups x
 calendar months, so a hot account cannot make an oversized task after the
@@ -110,24 +111,39 @@ def priced_with_accounts(inp: RetentionInputs, prm: RetentionParams) -> DataFram
     return P.attach_account_attributes(monthly_totals(inp, prm), account_attrs(inp), prm.broadcast_rows)
 
 
-def dense_base(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    """C5 on the account partitioning, with attributes and organization label."""
+def _dense(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """C5 on the account partitioning, without account attributes."""
     totals = monthly_totals(inp, prm)
     # Fixed count (the session's shuffle partitions): rows grow ~10x after
     # this exchange (the spine) and ~25 window columns are added, so sizing
     # by the pre-expansion bytes (AQE coalescing) would starve the windows.
     n = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     totals = totals.repartition(n, "account_id")
-    totals = P.attach_account_attributes(totals, account_attrs(inp), prm.broadcast_rows)
-    base = D.densify_months(totals, prm.as_of, prm.tail_months, prm.calendar_start)
-    return base.withColumn(
+    return D.densify_months(totals, prm.as_of, prm.tail_months, prm.calendar_start)
+
+
+def _with_accounts(df: DataFrame, inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """Account name, manager and organization label.  Joined after the
+    windows so they do not carry these strings; the join is broadcast when
+    the accounts are few, else co-partitioned on account_id."""
+    df = P.attach_account_attributes(df, account_attrs(inp), prm.broadcast_rows)
+    return df.withColumn(
         "organization_id", L.organization_label("organization_id", prm.organization_labels)
     )
 
 
+def dense_base(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """Q3: the dense monthly series with account attributes."""
+    return _with_accounts(_dense(inp, prm), inp, prm)
+
+
+def _horizons(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    return H.add_horizons(_dense(inp, prm))
+
+
 def aux_frame(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    """All horizon metrics on the dense base (uncast; keeps helper columns)."""
-    return H.add_all_horizons(dense_base(inp, prm))
+    """All horizon metrics on the dense base, with account attributes (uncast)."""
+    return _with_accounts(_horizons(inp, prm), inp, prm)
 
 
 def aux_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
@@ -135,8 +151,10 @@ def aux_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     return R.cast_money(aux_frame(inp, prm).select(*R.AUX_COLUMNS), R.AUX_MONEY)
 
 
-def classified_frame(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    return S.classify_status(aux_frame(inp, prm))
+def classified_frame(inp: RetentionInputs, prm: RetentionParams, accounts: bool = True) -> DataFrame:
+    """Horizons + product totals + later activity + statuses (+ account attributes)."""
+    c = S.classify_status(_horizons(inp, prm))
+    return _with_accounts(c, inp, prm) if accounts else c
 
 
 def retention_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
@@ -149,7 +167,7 @@ def retention_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
 
 def status_counts(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """Q18: rows per month, horizon and status (partial aggregate, tiny output)."""
-    c = classified_frame(inp, prm)
+    c = classified_frame(inp, prm, accounts=False)
     long = c.select(
         "date",
         F.expr(
