@@ -24,7 +24,11 @@ from pyspark.sql.window import Window
 from ..functions import labels as L
 from .pricing import SERIES_KEYS
 
-MONTHLY_TOTAL_TYPE = "decimal(20,5)"
+# Money in the window stage: precision <= 18 keeps decimals in a long inside
+# Spark's rows (wider decimals are re-encoded as byte arrays by every
+# operator).  Exact for |value| < 1e13 per series-month; a larger value raises
+# an overflow error under ANSI mode instead of being cut.
+MONTHLY_TOTAL_TYPE = "decimal(18,5)"
 
 
 def densify_months(
@@ -39,10 +43,10 @@ def densify_months(
 
     Input: ``keys`` + ``date`` (month start) + ``monthly_total`` (one row per
     series and month) and any per-row columns to carry.  Output adds ``month``,
-    ``year`` (smallint), ``monthly_total`` as decimal(20,5) with 0 on filled
-    months, and ``raw_monthly_total`` (the unrounded priced total on months
-    with data, else NULL).  A series with a NULL key gets 0 on every month:
-    a NULL key never matches its own totals.
+    ``year`` (smallint), ``monthly_total`` rounded to 5 decimals with 0 on
+    filled months, and ``raw_positive`` (the unrounded priced total of a
+    month with data is > 0; it decides the monthly cohort).  A series with a
+    NULL key gets 0 on every month: a NULL key never matches its own totals.
     """
     w = Window.partitionBy(*keys).orderBy("date")
     as_of_lit = F.lit(as_of)
@@ -65,7 +69,7 @@ def densify_months(
         .cast(MONTHLY_TOTAL_TYPE)
     )
     return (
-        spread.withColumn("raw_monthly_total", F.when(own, F.col("monthly_total")))
+        spread.withColumn("raw_positive", own & (F.col("monthly_total") > 0))
         .withColumn("monthly_total", value)
         .withColumn("date", F.col("_month"))
         .withColumn("month", F.month("date").cast("smallint"))

@@ -38,6 +38,10 @@ from ..functions.dates import month_boundaries
 from .pricing import SERIES_KEYS
 
 TRAILING_TYPE = "decimal(15,3)"
+# Compact working types (see densify.MONTHLY_TOTAL_TYPE): window sums are
+# cast back right away so rows never carry decimals wider than 18 digits.
+AMOUNT = "decimal(18,5)"
+AMOUNT_3 = "decimal(18,3)"
 
 HORIZON_COLUMNS = [
     "monthly_cohort", "monthly_trailing_total", "change_in_existing_monthly",
@@ -79,8 +83,8 @@ def _first_month(condition: Column) -> Column:
 def add_horizons(base: DataFrame) -> DataFrame:
     """Add the monthly, TTM and YTD columns of ``HORIZON_COLUMNS``.
 
-    Input: dense series (``SERIES_KEYS``, date, month, monthly_total as
-    decimal(20,5), raw_monthly_total).
+    Input: dense series (``SERIES_KEYS``, date, month, monthly_total,
+    raw_positive).  Money columns come out as decimal(18,5) / decimal(15,3).
 
     * monthly: cohort = first month with a positive unrounded priced total;
       trailing = the month a year earlier, rounded to 3 decimals.
@@ -105,8 +109,8 @@ def add_horizons(base: DataFrame) -> DataFrame:
     df = base.select(
         "*",
         F.lag(rounded, 12).over(w_series()).alias("_m_prior"),
-        F.sum(v).over(w_last_12()).alias("_ttm"),
-        F.sum(rounded).over(w_running()).alias("_cum"),
+        F.sum(v).over(w_last_12()).cast(AMOUNT).alias("_ttm"),
+        F.sum(rounded).over(w_running()).cast(AMOUNT_3).alias("_cum"),
     )
     # 2. series window on layer 1
     df = df.select(
@@ -114,11 +118,11 @@ def add_horizons(base: DataFrame) -> DataFrame:
         F.last(F.when(F.col("month") == 12, F.col("_cum")), ignorenulls=True)
         .over(w_before()).alias("_cum_dec"),
         F.lag("_ttm", 12).over(w_series()).alias("_ttm_prior"),
-    ).withColumn("_ytd", F.col("_cum") - F.coalesce(F.col("_cum_dec"), F.lit(0)))
+    ).withColumn("_ytd", (F.col("_cum") - F.coalesce(F.col("_cum_dec"), F.lit(0))).cast(AMOUNT_3))
     # 3. product window: cohorts
     df = df.select(
         "*",
-        _first_month(F.col("raw_monthly_total") > 0).alias("_m_cohort"),
+        _first_month(F.col("raw_positive")).alias("_m_cohort"),
         _first_month(ok & (F.col("_ttm") > 0)).alias("_t_cohort"),
         _first_month(ok & (F.col("_ytd") > 0)).alias("_y_cohort"),
     )
@@ -128,8 +132,8 @@ def add_horizons(base: DataFrame) -> DataFrame:
     ytd_counted = (date < F.add_months(yc, 12)) & (F.year(date) == F.year(yc) + 1)
     df = df.select(
         "*",
-        F.sum(F.when(ttm_counted, v)).over(w_last_12()).alias("_ttm_first"),
-        F.sum(F.when(ytd_counted, v)).over(w_last_12()).alias("_ytd_first"),
+        F.sum(F.when(ttm_counted, v)).over(w_last_12()).cast(AMOUNT).alias("_ttm_first"),
+        F.sum(F.when(ytd_counted, v)).over(w_last_12()).cast(AMOUNT).alias("_ytd_first"),
         F.lag("_ytd", 12).over(w_series()).alias("_ytd_prior"),
     )
 
@@ -146,21 +150,24 @@ def add_horizons(base: DataFrame) -> DataFrame:
         .when((m_y >= 12) & (F.year(date) == F.year("ytd_cohort") + 1), F.col("_ytd_first"))
         .otherwise(F.lit(0))
     )
+    def amount(c: Column) -> Column:
+        return c.cast(AMOUNT)
+
     out = (
         df.withColumn("monthly_cohort", F.when(product_ok, F.col("_m_cohort")))
         .withColumn("monthly_trailing_total", _zero_unless(ok, F.col("_m_prior")).cast(TRAILING_TYPE))
-        .withColumn("change_in_existing_monthly", v - F.col("monthly_trailing_total"))
-        .withColumn("ttm_total", _zero_unless(ok, F.col("_ttm")))
+        .withColumn("change_in_existing_monthly", amount(v - F.col("monthly_trailing_total")))
+        .withColumn("ttm_total", amount(_zero_unless(ok, F.col("_ttm"))))
         .withColumn("ttm_cohort", F.when(product_ok, tc))
-        .withColumn("ttm_total_new", _zero_unless(ok, ttm_new))
-        .withColumn("ttm_total_existing", F.col("ttm_total") - F.col("ttm_total_new"))
+        .withColumn("ttm_total_new", amount(_zero_unless(ok, ttm_new)))
+        .withColumn("ttm_total_existing", amount(F.col("ttm_total") - F.col("ttm_total_new")))
         .withColumn("ttm_trailing_total", _zero_unless(ok, F.col("_ttm_prior")).cast(TRAILING_TYPE))
-        .withColumn("change_in_existing_ttm", F.col("ttm_total_existing") - F.col("ttm_trailing_total"))
-        .withColumn("ytd_total", _zero_unless(ok, F.col("_ytd")))
+        .withColumn("change_in_existing_ttm", amount(F.col("ttm_total_existing") - F.col("ttm_trailing_total")))
+        .withColumn("ytd_total", _zero_unless(ok, F.col("_ytd")).cast(AMOUNT_3))
         .withColumn("ytd_cohort", F.when(product_ok, yc))
-        .withColumn("ytd_total_new", _zero_unless(ok, ytd_new))
-        .withColumn("ytd_total_existing", F.col("ytd_total") - F.col("ytd_total_new"))
+        .withColumn("ytd_total_new", amount(_zero_unless(ok, ytd_new)))
+        .withColumn("ytd_total_existing", amount(F.col("ytd_total") - F.col("ytd_total_new")))
         .withColumn("ytd_trailing_total", _zero_unless(ok, F.col("_ytd_prior")).cast(TRAILING_TYPE))
-        .withColumn("change_in_existing_ytd", F.col("ytd_total_existing") - F.col("ytd_trailing_total"))
+        .withColumn("change_in_existing_ytd", amount(F.col("ytd_total_existing") - F.col("ytd_trailing_total")))
     )
     return out.drop(*[c for c in out.columns if c.startswith("_")])

@@ -2,11 +2,30 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Narrow dimension rows (2-4 columns); 1M rows is a few tens of MB per executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# A passed size check is remembered per session and logical plan this long:
+# dimensions do not grow past the bound within minutes, and the registered
+# queries rebuild the same dimension plans many times.
+CHECK_TTL_SECONDS = 600
+
+_checked: dict[tuple, tuple[float, bool]] = {}
+
+
+def _fits(df: DataFrame, max_rows: int) -> bool:
+    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    hit = _checked.get(key)
+    now = time.monotonic()
+    if hit is not None and now - hit[0] < CHECK_TTL_SECONDS:
+        return hit[1]
+    fits = df.limit(max_rows + 1).count() <= max_rows
+    _checked[key] = (now, fits)
+    return fits
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -19,5 +38,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_RO
     """
     if max_rows is None:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if _fits(df, max_rows) else df

@@ -9,7 +9,9 @@ from ..functions import labels as L
 from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 from .status import w_product
 
-MONEY_TYPE = "decimal(38,5)"
+# Output money type: 5 decimals, compact (stored as a long in rows and as
+# INT64 in parquet); exact for |value| < 1e13.
+MONEY_TYPE = "decimal(18,5)"
 
 AUX_COLUMNS = [
     "account_id", "account_name", "account_manager_name", "product", "gateway_group",
@@ -59,9 +61,12 @@ def add_size_band(df: DataFrame) -> DataFrame:
     """
     ok = ~L.any_null("account_id", "product")
     df = df.withColumn("max_total", F.when(ok, F.max("ttm_total").over(w_product())))
+    # Compared as double: exact here, because the thresholds are integers
+    # below 1e7 and the totals have 5 decimals, so any total above a
+    # threshold is at least 1e-5 above it, far more than double rounding.
     return df.withColumn(
         "processing_max_ttm_size",
-        F.when(ok, L.size_band("max_total")).otherwise(F.lit(L.NON_ACTIVE_BAND)),
+        F.when(ok, L.size_band(F.col("max_total").cast("double"))).otherwise(F.lit(L.NON_ACTIVE_BAND)),
     )
 
 

@@ -405,7 +405,7 @@ report AS (
 )
 """
 
-M = "DECIMAL(38,5)"
+M = "DECIMAL(18,5)"
 
 
 def _money(*cols: str, src: str = "") -> str:
@@ -432,9 +432,9 @@ RETENTION_SELECTS = {
         FROM priced""",
     "series_extent": """
         SELECT account_id, product, gateway_group, min_date, max_date FROM extent""",
-    "dense_base": """
+    "dense_base": f"""
         SELECT account_id, account_name, account_manager_name, product, gateway_group,
-               organization_id, month, year, date, monthly_total FROM base""",
+               organization_id, month, year, date, {_money('monthly_total')} FROM base""",
     "monthly_metrics": f"""
         SELECT {KEYS}, monthly_cohort,
                {_money('monthly_trailing_total', 'change_in_existing_monthly')} FROM aux""",

@@ -34,14 +34,24 @@ BAND_NAMES = [b for _, b in L.SIZE_BANDS] + [L.NON_ACTIVE_BAND]
 
 
 class Tables:
-    """Lazy access to ``{sf_dir}/{name}.parquet``."""
+    """Lazy access to ``{sf_dir}/{name}.parquet``.
+
+    The read (file listing + footer schema) is done once per session and
+    path; the returned DataFrame is an immutable lazy plan, safe to reuse.
+    """
+
+    _reads: dict[tuple[int, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        path = f"{self.sf_dir}/{name}.parquet"
+        key = (id(self.spark), path)
+        if key not in Tables._reads:
+            Tables._reads[key] = self.spark.read.parquet(path)
+        return Tables._reads[key]
 
 
 def _pick(values: list, index) -> F.Column:
