@@ -138,36 +138,47 @@ def add_horizons(base: DataFrame) -> DataFrame:
     )
 
     # plain projections
-    m_t = month_boundaries("ttm_cohort", "date")
-    m_y = month_boundaries("ytd_cohort", "date")
+    m_t = month_boundaries(F.when(product_ok, tc), date)
+    m_y = month_boundaries(F.when(product_ok, yc), date)
     ttm_new = (
-        F.when(m_t < 12, F.col("ttm_total"))
+        F.when(m_t < 12, _zero_unless(ok, F.col("_ttm")))
         .when((m_t >= 12) & (m_t < 24), F.col("_ttm_first"))
         .otherwise(F.lit(0))
     )
     ytd_new = (
-        F.when(m_y < 12, F.col("ytd_total"))
-        .when((m_y >= 12) & (F.year(date) == F.year("ytd_cohort") + 1), F.col("_ytd_first"))
+        F.when(m_y < 12, _zero_unless(ok, F.col("_ytd")))
+        .when((m_y >= 12) & (F.year(date) == F.year(yc) + 1), F.col("_ytd_first"))
         .otherwise(F.lit(0))
     )
     def amount(c: Column) -> Column:
         return c.cast(AMOUNT)
 
-    out = (
-        df.withColumn("monthly_cohort", F.when(product_ok, F.col("_m_cohort")))
-        .withColumn("monthly_trailing_total", _zero_unless(ok, F.col("_m_prior")).cast(TRAILING_TYPE))
-        .withColumn("change_in_existing_monthly", amount(v - F.col("monthly_trailing_total")))
-        .withColumn("ttm_total", amount(_zero_unless(ok, F.col("_ttm"))))
-        .withColumn("ttm_cohort", F.when(product_ok, tc))
-        .withColumn("ttm_total_new", amount(_zero_unless(ok, ttm_new)))
-        .withColumn("ttm_total_existing", amount(F.col("ttm_total") - F.col("ttm_total_new")))
-        .withColumn("ttm_trailing_total", _zero_unless(ok, F.col("_ttm_prior")).cast(TRAILING_TYPE))
-        .withColumn("change_in_existing_ttm", amount(F.col("ttm_total_existing") - F.col("ttm_trailing_total")))
-        .withColumn("ytd_total", _zero_unless(ok, F.col("_ytd")).cast(AMOUNT_3))
-        .withColumn("ytd_cohort", F.when(product_ok, yc))
-        .withColumn("ytd_total_new", amount(_zero_unless(ok, ytd_new)))
-        .withColumn("ytd_total_existing", amount(F.col("ytd_total") - F.col("ytd_total_new")))
-        .withColumn("ytd_trailing_total", _zero_unless(ok, F.col("_ytd_prior")).cast(TRAILING_TYPE))
-        .withColumn("change_in_existing_ytd", amount(F.col("ytd_total_existing") - F.col("ytd_trailing_total")))
-    )
-    return out.drop(*[c for c in out.columns if c.startswith("_")])
+    # one projection (each withColumn would re-analyse the whole plan)
+    mtt = _zero_unless(ok, F.col("_m_prior")).cast(TRAILING_TYPE)
+    ttm = amount(_zero_unless(ok, F.col("_ttm")))
+    ttm_new_c = amount(_zero_unless(ok, ttm_new))
+    ttm_exist = amount(ttm - ttm_new_c)
+    ttm_prev = _zero_unless(ok, F.col("_ttm_prior")).cast(TRAILING_TYPE)
+    ytd = _zero_unless(ok, F.col("_ytd")).cast(AMOUNT_3)
+    ytd_new_c = amount(_zero_unless(ok, ytd_new))
+    ytd_exist = amount(ytd - ytd_new_c)
+    ytd_prev = _zero_unless(ok, F.col("_ytd_prior")).cast(TRAILING_TYPE)
+    new_cols = {
+        "monthly_cohort": F.when(product_ok, F.col("_m_cohort")),
+        "monthly_trailing_total": mtt,
+        "change_in_existing_monthly": amount(v - mtt),
+        "ttm_total": ttm,
+        "ttm_cohort": F.when(product_ok, tc),
+        "ttm_total_new": ttm_new_c,
+        "ttm_total_existing": ttm_exist,
+        "ttm_trailing_total": ttm_prev,
+        "change_in_existing_ttm": amount(ttm_exist - ttm_prev),
+        "ytd_total": ytd,
+        "ytd_cohort": F.when(product_ok, yc),
+        "ytd_total_new": ytd_new_c,
+        "ytd_total_existing": ytd_exist,
+        "ytd_trailing_total": ytd_prev,
+        "change_in_existing_ytd": amount(ytd_exist - ytd_prev),
+    }
+    keep = [c for c in df.columns if not c.startswith("_") and c not in new_cols]
+    return df.select(*keep, *[c.alias(n) for n, c in new_cols.items()])

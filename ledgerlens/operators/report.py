@@ -60,14 +60,12 @@ def add_size_band(df: DataFrame) -> DataFrame:
     A NULL account or product matches no band row -> non-active.
     """
     ok = ~L.any_null("account_id", "product")
-    df = df.withColumn("max_total", F.when(ok, F.max("ttm_total").over(w_product())))
+    df = df.select("*", F.when(ok, F.max("ttm_total").over(w_product())).alias("max_total"))
     # Compared as double: exact here, because the thresholds are integers
     # below 1e7 and the totals have 5 decimals, so any total above a
     # threshold is at least 1e-5 above it, far more than double rounding.
-    return df.withColumn(
-        "processing_max_ttm_size",
-        F.when(ok, L.size_band(F.col("max_total").cast("double"))).otherwise(F.lit(L.NON_ACTIVE_BAND)),
-    )
+    band = F.when(ok, L.size_band(F.col("max_total").cast("double"))).otherwise(F.lit(L.NON_ACTIVE_BAND))
+    return df.select("*", band.alias("processing_max_ttm_size"))
 
 
 def attribution_columns(attribution: DataFrame) -> DataFrame:
@@ -77,12 +75,20 @@ def attribution_columns(attribution: DataFrame) -> DataFrame:
 
 def attach_attribution(df: DataFrame, attribution: DataFrame,
                        broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    a = bounded_broadcast(attribution_columns(attribution), broadcast_rows)
-    return (
-        df.join(a, "account_id", "left")
-        .withColumn("attribution_type", L.attribution_type("utm_medium"))
-        .withColumn("attribution_source", L.attribution_source("utm_source"))
-        .drop("utm_medium", "utm_source")
+    a = bounded_broadcast(
+        attribution_columns(attribution).select(
+            "account_id",
+            L.attribution_type("utm_medium").alias("attribution_type"),
+            L.attribution_source("utm_source").alias("attribution_source"),
+        ),
+        broadcast_rows,
+    )
+    # an account without an attribution row still gets the defaults
+    joined = df.join(a, "account_id", "left")
+    return joined.select(
+        *[c for c in joined.columns if c not in ("attribution_type", "attribution_source")],
+        F.coalesce("attribution_type", F.lit(L.DEFAULT_ATTRIBUTION_TYPE)).alias("attribution_type"),
+        F.coalesce("attribution_source", F.lit(L.DEFAULT_ATTRIBUTION_SOURCE)).alias("attribution_source"),
     )
 
 
@@ -106,13 +112,14 @@ def attach_lookups(
         ).distinct(),
         broadcast_rows,
     )
-    return (
+    joined = (
         df.join(ind, "account_id", "left")
         .join(mt, ["account_id", "product"], "left")
         .join(sp, ["account_id", "product", "year"], "left")
-        .withColumn(
-            "customer_size_py", F.coalesce(F.col("customer_size_py"), F.lit(L.NON_ACTIVE_BAND))
-        )
+    )
+    return joined.select(
+        *[c for c in joined.columns if c != "customer_size_py"],
+        F.coalesce(F.col("customer_size_py"), F.lit(L.NON_ACTIVE_BAND)).alias("customer_size_py"),
     )
 
 

@@ -127,9 +127,8 @@ def _with_accounts(df: DataFrame, inp: RetentionInputs, prm: RetentionParams) ->
     windows so they do not carry these strings; the join is broadcast when
     the accounts are few, else co-partitioned on account_id."""
     df = P.attach_account_attributes(df, account_attrs(inp), prm.broadcast_rows)
-    return df.withColumn(
-        "organization_id", L.organization_label("organization_id", prm.organization_labels)
-    )
+    label = L.organization_label("organization_id", prm.organization_labels)
+    return df.select(*[label.alias(c) if c == "organization_id" else F.col(c) for c in df.columns])
 
 
 def dense_base(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:

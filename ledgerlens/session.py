@@ -22,10 +22,6 @@ RECOMMENDED_CONF = {
     # Lets a join on (account_id, product[, year]) reuse the hash(account_id)
     # partitioning of the windowed retention frame instead of reshuffling it.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # HotSpot does not JIT-compile methods above 8000 bytes of bytecode; the
-    # fused status/report projections exceed that, and would run interpreted
-    # (measured 5x slower).  Spark's docs suggest 8000 on HotSpot.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
