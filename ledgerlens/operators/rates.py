@@ -35,13 +35,15 @@ def missing_dates(
     keys: list[str] | tuple[str, ...] = (),
     unit: str = "day",
     out_col: str = "missing_date",
+    newest_first: bool = False,
 ) -> DataFrame:
     """Days (``unit='day'``) or month starts (``unit='month'``) in
     ``[start, end]`` that have no row in ``existing``, per distinct key.
 
     NULL dates are ignored (a null-aware ``NOT IN`` would return nothing at
     all).  Keys come from ``existing``; a key with no row inside the range
-    gets the whole range.
+    gets the whole range.  ``newest_first`` sorts the result by date
+    descending (O1, presentation only: a global sort).
     """
     to_unit, step, shift = _unit_expr(unit)
     keys = list(keys)
@@ -63,12 +65,13 @@ def missing_dates(
     gaps = points.withColumn("_next", F.lead("_d").over(w)).where(
         F.col("_next").isNotNull() & (F.col("_next") > shift(F.col("_d"), 1))
     )
-    return gaps.select(
+    out = gaps.select(
         *keys,
         F.explode(
             F.sequence(shift(F.col("_d"), 1), shift(F.col("_next"), -1), F.expr(step))
         ).alias(out_col),
     )
+    return out.orderBy(F.col(out_col).desc()) if newest_first else out
 
 
 def gap_summary(missing: DataFrame, keys: list[str] | tuple[str, ...] = (),
