@@ -18,7 +18,7 @@ _checked: dict[tuple, tuple[float, bool]] = {}
 
 
 def _fits(df: DataFrame, max_rows: int) -> bool:
-    key = (id(df.sparkSession), df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     hit = _checked.get(key)
     now = time.monotonic()
     if hit is not None and now - hit[0] < CHECK_TTL_SECONDS:

@@ -40,7 +40,7 @@ class Tables:
     path; the returned DataFrame is an immutable lazy plan, safe to reuse.
     """
 
-    _reads: dict[tuple[int, str], DataFrame] = {}
+    _reads: dict[tuple[str, str], DataFrame] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -48,7 +48,7 @@ class Tables:
 
     def __call__(self, name: str) -> DataFrame:
         path = f"{self.sf_dir}/{name}.parquet"
-        key = (id(self.spark), path)
+        key = (self.spark.sparkContext.applicationId, path)
         if key not in Tables._reads:
             Tables._reads[key] = self.spark.read.parquet(path)
         return Tables._reads[key]

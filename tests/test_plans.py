@@ -22,7 +22,7 @@ def tree(plan: str):
     """(depth, name) of each operator in the formatted plan's tree section."""
     nodes = []
     for line in plan.split("\n\n")[0].splitlines():
-        m = re.match(r"^([\s:+\-]*)([A-Z][A-Za-z ]+?) \(\d+\)", line)
+        m = re.match(r"^([\s:+\-]*)(?:\* )?([A-Z][A-Za-z ]+?) \(\d+\)", line)
         if m:
             nodes.append((len(m.group(1)), m.group(2).strip()))
     return nodes
@@ -67,7 +67,9 @@ def test_retention_report_has_two_main_exchanges(spark, qs):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     nodes = tree(plan)
     assert len(main_line_exchanges(nodes)) == 2, plan.split("\n\n")[0]
-    assert sum(1 for _, n in nodes if n == "Window") >= 10
+    # densify lead + 4 horizon layers + product sums + later activity + band
+    windows = sum(1 for _, n in nodes if n == "Window")
+    assert 7 <= windows <= 9, windows
 
 
 def test_filters_and_columns_reach_the_scan(spark, qs):
