@@ -194,3 +194,12 @@ def test_missing_grants_and_absent(spark):
     missing, absent = A.missing_grants(expected, actual)
     assert [(r.object, r.n_missing, r.missing_grantees) for r in missing.collect()] == [("ds1", 1, "Data")]
     assert [r.object for r in absent.collect()] == ["ds3"]
+
+
+def test_flag_stream_drops_repeated_versions(spark, scratch):
+    src, sink, ck = f"{scratch}/src", f"{scratch}/sink", f"{scratch}/ck"
+    rows = _versions(spark, [1, 2, 3]).unionByName(_versions(spark, [2]))  # id 2 delivered twice
+    rows.write.parquet(f"{src}/drop1")
+    start_flag_stream(spark, src, rows.schema, sink, ck, dedupe_within="1 day").awaitTermination()
+    got = sorted(r.id for r in spark.read.parquet(sink).collect())
+    assert got == [1, 2, 3]

@@ -104,3 +104,51 @@ def test_partition_count_does_not_change_results(spark, qs):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+def path_to_table(plan: str, table: str):
+    """Operator names from the root down to the scan of ``table``."""
+    head, _, details = plan.partition("\n\n")
+    ids = {}
+    for m in re.finditer(r"^\((\d+)\) Scan parquet.*?Location: [^\n]*?/" + table + r"\.parquet", details, re.M | re.S):
+        ids[int(m.group(1))] = True
+    nodes = []  # (depth, name, id)
+    for line in head.splitlines():
+        m = re.match(r"^([\s:+\-]*)(?:\* )?([A-Z][A-Za-z ]+?) \((\d+)\)", line)
+        if m:
+            nodes.append((len(m.group(1)), m.group(2).strip(), int(m.group(3))))
+    for i, (depth, name, nid) in enumerate(nodes):
+        if name == "Scan parquet" and nid in ids:
+            path, d = [name], depth
+            for depth2, name2, _ in reversed(nodes[:i]):
+                if depth2 < d:
+                    path.append(name2)
+                    d = depth2
+            return list(reversed(path))
+    raise AssertionError(f"no scan of {table}")
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_windows_and_lookups_reuse_one_partitioning(spark, broadcast):
+    """Whether or not dimensions pass the size check, nothing between the
+    root and the windows re-shuffles the wide frame (lookups that are not
+    broadcast shuffle only their own side)."""
+    from ledgerlens.plans import retention as RP
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if not broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inp, prm = RP.fixture_inputs(spark, SF_SMALL), RP.fixture_params()
+        if not broadcast:
+            prm.broadcast_rows = None
+        path = path_to_table(formatted(RP.retention_report(inp, prm)), "lineitem")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    deepest_window = max(i for i, n in enumerate(path) if n == "Window")
+    assert "Exchange" not in path[:deepest_window], path
+    # exactly one exchange between the windows and the monthly aggregate
+    first_agg = path.index("HashAggregate")
+    assert path[deepest_window:first_agg].count("Exchange") == 1, path
