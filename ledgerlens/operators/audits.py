@@ -122,3 +122,18 @@ def schedule_window_audit(
         in_range.alias("in_range"),
     ).where(~F.col("in_range"))
     return out.orderBy(F.lower("datasource_name")) if ordered else out
+
+
+def audit_summary(**results: DataFrame) -> DataFrame:
+    """One row per audit with its row count (``audit``, ``n_rows``).
+
+    Each count is a partial + final aggregate of that audit; the union of
+    single-row results is tiny."""
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("audit"), "n_rows")
+        for name, df in results.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -235,6 +235,21 @@ def q_schedule_outside_window(spark, sf_dir):
     return A.schedule_window_audit(tasks, datasources, projects=AUDIT_PROJECTS)
 
 
+def q_audit_summary(spark, sf_dir):
+    """Counts of the three audits (stale extracts, objects missing grants,
+    absent objects, tasks outside the window), unordered variants."""
+    ev = _events(spark, sf_dir)
+    as_of = dt.datetime.fromisoformat(EVENTS_AS_OF)
+    stale = A.freshness_audit(extract_inventory(ev), as_of, projects=AUDIT_PROJECTS, ordered=False)
+    expected, actual = _grant_inputs(ev)
+    missing, absent = A.missing_grants(expected, actual)
+    outside = q_schedule_outside_window(spark, sf_dir)
+    return A.audit_summary(
+        stale_extracts=stale, missing_grants=missing, absent_objects=absent,
+        outside_window=outside,
+    )
+
+
 JOB_QUERIES = {
     "missing_dates": q_missing_dates,
     "missing_months_by_customer": q_missing_months_by_customer,
@@ -250,4 +265,5 @@ JOB_QUERIES = {
     "missing_grants": q_missing_grants,
     "absent_objects": q_absent_objects,
     "schedule_outside_window": q_schedule_outside_window,
+    "audit_summary": q_audit_summary,
 }

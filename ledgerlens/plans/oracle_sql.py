@@ -634,6 +634,14 @@ JOB_SQL = {
 }
 
 
+JOB_SQL["audit_summary"] = (
+    "SELECT 'stale_extracts' AS audit, COUNT(*) AS n_rows FROM (" + JOB_SQL["freshness"] + ") a"
+    " UNION ALL SELECT 'missing_grants', COUNT(*) FROM (" + JOB_SQL["missing_grants"] + ") b"
+    " UNION ALL SELECT 'absent_objects', COUNT(*) FROM (" + JOB_SQL["absent_objects"] + ") c"
+    " UNION ALL SELECT 'outside_window', COUNT(*) FROM (" + JOB_SQL["schedule_outside_window"] + ") d"
+)
+
+
 def all_oracle_sql() -> dict[str, str]:
     out = {name: retention_sql(name) for name in RETENTION_SELECTS}
     out.update(JOB_SQL)
