@@ -132,3 +132,26 @@ def test_floor_days_and_time_of_day(spark):
     assert _one(spark, floor_days_between("a", "b"), schema, (later, later - dt.timedelta(hours=24))) == 1
     ts = dt.datetime(2024, 1, 1, 3, 0, 1)
     assert _one(spark, micros_of_day("a"), "a timestamp", (ts,)) == (3 * 3600 + 1) * 1_000_000
+
+
+def test_default_take_rate_fallbacks(spark):
+    """No take-rate row: WePay uses 0.0053729985439988, any other or NULL
+    group 0.001074863799773 (the report's own 16-digit defaults)."""
+    from ledgerlens.operators.pricing import priced_monthly_totals
+
+    ts = dt.datetime(2001, 3, 5, 10)
+    tx = spark.createDataFrame(
+        [(1, 10, 100, "X", ts, 1, Decimal("1000.00"), 6),
+         (1, 10, 101, "X", ts, 1, Decimal("1000.00"), 6),
+         (1, 10, 102, "X", ts, 2, Decimal("1000.00"), 6)],
+        "account_id long, form_id long, gateway_id long, currency string, date_created timestamp, "
+        "transaction_type int, amount decimal(12,2), status int")
+    forms = spark.createDataFrame([(10, "A")], "id long, product string")
+    gateways = spark.createDataFrame([(100, "wepay"), (101, "paypal"), (102, None)], "id long, type string")
+    rates = spark.createDataFrame([(dt.date(2001, 3, 5), "X", Decimal("1.0"))], "date date, currency string, rate decimal(4,1)")
+    take = spark.createDataFrame([], "gateway_group string, date date, product string, rate decimal(20,10)")
+    got = {r.gateway_group: r.monthly_total for r in
+           priced_monthly_totals(tx, forms, gateways, rates, take, broadcast_rows=None).collect()}
+    assert got["WePay"] == Decimal("5.3729985439988")
+    assert got["Other"] == Decimal("1.074863799773")
+    assert got[None] == Decimal("-1.074863799773")
