@@ -15,7 +15,6 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import labels as L
 from ..functions.dates import month_start
@@ -147,9 +146,3 @@ def attach_account_attributes(
     df: DataFrame, attrs: DataFrame, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
 ) -> DataFrame:
     return df.join(bounded_broadcast(attrs, broadcast_rows), "account_id", "left")
-
-
-def dedupe_latest(df: DataFrame, keys: list[str], order_col: str) -> DataFrame:
-    """Keep one row per key (largest ``order_col``): a guard for dimension inputs."""
-    w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")

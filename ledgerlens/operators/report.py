@@ -60,7 +60,8 @@ def add_size_band(df: DataFrame) -> DataFrame:
     A NULL account or product matches no band row -> non-active.
     """
     ok = ~L.any_null("account_id", "product")
-    df = df.select("*", F.when(ok, F.max("ttm_total").over(w_product())).alias("max_total"))
+    if "max_total" not in df.columns:  # classify_status already computed it
+        df = df.select("*", F.when(ok, F.max("ttm_total").over(w_product())).alias("max_total"))
     # Compared as double: exact here, because the thresholds are integers
     # below 1e7 and the totals have 5 decimals, so any total above a
     # threshold is at least 1e-5 above it, far more than double rounding.

@@ -65,6 +65,12 @@ def test_missing_dates_keys_and_nulls(spark):
     assert got == [3]
     monthly = RT.missing_dates(df, "d", D(2019, 11, 15), D(2020, 2, 1), unit="month")
     assert sorted(r.missing_date for r in monthly.collect()) == [D(2019, 11, 1), D(2020, 2, 1)]
+    # A11 summary and the newest-first presentation order
+    gaps = RT.missing_dates(df, "d", D(2020, 1, 1), D(2020, 1, 4), keys=["k"], newest_first=True)
+    assert [r.missing_date.day for r in gaps.where("k = 'b'").collect()] == [4, 3, 2, 1]
+    summary = {r.k: (r.n_missing, r.first_missing.day, r.last_missing.day)
+               for r in RT.gap_summary(gaps, keys=["k"]).collect()}
+    assert summary == {"a": (3, 1, 4), "b": (4, 1, 4), "c": (2, 2, 3)}
 
 
 # ------------------------------------------------------------------ landing
@@ -182,6 +188,11 @@ def test_schedule_window_edges(spark):
     assert got == [("Delta", "01:59:59.000000"), ("gamma", "03:00:01.000000")]
 
 
+def test_object_name(spark):
+    df = spark.createDataFrame([("Invoices", "Data-team")], "name string, project string")
+    assert df.select(A.object_name("name", "project").alias("o")).first().o == "Invoices in Data-team"
+
+
 def test_missing_grants_and_absent(spark):
     expected = spark.createDataFrame([
         ("ds1", "Internal"), ("ds1", "Data"), ("ds1", "Data"), ("ds2", "Internal"), ("ds3", "Internal"),
