@@ -48,10 +48,9 @@ def q_missing_days_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_payloads(t: FX.Tables) -> DataFrame:
     """Landed payloads: per calendar day a map currency -> quote (1 / rate),
     the first day also carrying a zero and a NULL quote."""
-    days = FX.dim_dates(t).select(F.col("full_date").alias("date"))
-    rows = days.withColumn("currency", F.explode(F.array(*[F.lit(c) for c in FX.CURRENCIES])))
-    rate = (F.lit(1) + F.col("currency").cast("int") * F.lit(FX.Decimal("0.1"))).cast("decimal(4,1)")
-    rows = rows.withColumn("quoted", F.lit(1.0) / rate.cast("double"))
+    rows = FX.calendar_currencies(t).withColumn(
+        "quoted", F.lit(1.0) / FX.currency_rate().cast("double")
+    )
     payload = rows.groupBy("date").agg(
         F.map_from_entries(F.collect_list(F.struct("currency", "quoted"))).alias("rates")
     )

@@ -135,12 +135,23 @@ def dim_account_managers(t: Tables) -> DataFrame:
     )
 
 
-def exchange_rates(t: Tables) -> DataFrame:
-    """One rate per (day, currency): 1 + digit/10 as decimal(4,1); currency 5
-    has no rate on the last day of each month."""
+def currency_rate(currency="currency") -> F.Column:
+    """Fixture rate of a currency code '1'..'5': 1 + digit/10 as decimal(4,1)."""
+    c = F.col(currency) if isinstance(currency, str) else currency
+    return (F.lit(1) + c.cast("int") * F.lit(Decimal("0.1"))).cast("decimal(4,1)")
+
+
+def calendar_currencies(t: Tables) -> DataFrame:
+    """(date, currency) for every calendar day and fixture currency."""
     days = dim_dates(t).select(F.col("full_date").alias("date"))
-    rows = days.withColumn("currency", F.explode(F.array(*[F.lit(c) for c in CURRENCIES])))
-    rate = (F.lit(1) + F.col("currency").cast("int") * F.lit(Decimal("0.1"))).cast("decimal(4,1)")
+    return days.withColumn("currency", F.explode(F.array(*[F.lit(c) for c in CURRENCIES])))
+
+
+def exchange_rates(t: Tables) -> DataFrame:
+    """One rate per (day, currency); currency 5 has no rate on the last day
+    of each month."""
+    rows = calendar_currencies(t)
+    rate = currency_rate()
     return rows.where(
         ~((F.col("currency") == "5") & (F.col("date") == F.last_day("date")))
     ).select("date", "currency", rate.alias("rate"))
