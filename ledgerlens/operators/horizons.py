@@ -5,22 +5,21 @@ warehouse formulation disappear:
 
 * prior-year value (monthly, TTM, YTD)   ``lag(.., 12)``
 * TTM                                    sum over the last 12 rows
-* YTD                                    running sum minus the running sum at
-                                         the previous December
+* YTD                                    sum of this year's months among the
+                                         last 12 rows (lags 0..month-1)
 * "new" amounts in the cohort's first    conditional sums over the last 12 rows
   year / the following calendar year
 
 Row offsets are month offsets because ``densify_months`` gives one row per
 series and month with no gaps.
 
-The expressions are grouped in four dependency layers; each layer is one
+The expressions are grouped in three dependency layers; each layer is one
 ``select`` with window expressions of a single spec, so Spark plans one
 Window operator per layer, all sharing one sort of the series:
 
-1. series:  prior-year month, TTM, running sum
-2. series:  previous-December running sum, prior-year TTM
-3. product: the three cohorts (monthly, TTM, YTD)
-4. series:  first-year sums for TTM and YTD, prior-year YTD
+1. series:  prior-year month, TTM, YTD (offset reads of the last 12 rows)
+2. product: the three cohorts (monthly, TTM, YTD)
+3. series:  first-year sums for TTM and YTD, prior-year TTM and YTD
 
 Every window is satisfied by a hash partitioning on ``account_id``.
 NULL keys follow join semantics: cohorts need account and product, per-row
@@ -60,14 +59,6 @@ def w_last_12():
     return w_series().rowsBetween(-11, Window.currentRow)
 
 
-def w_running():
-    return w_series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
-def w_before():
-    return w_series().rowsBetween(Window.unboundedPreceding, -1)
-
-
 def w_product():
     return Window.partitionBy("account_id", "product")
 
@@ -105,28 +96,29 @@ def add_horizons(base: DataFrame) -> DataFrame:
     rounded = v.cast(TRAILING_TYPE)
     date = F.col("date")
 
-    # 1. series window
+    # 1. series window.  YTD: the months of this calendar year among the last
+    # 12 rows are exactly the offsets 0 .. month-1 (dense series).
+    this_year = [
+        F.when(F.col("month") > k, F.lag(rounded, k).over(w_series())) for k in range(12)
+    ]
     df = base.select(
         "*",
         F.lag(rounded, 12).over(w_series()).alias("_m_prior"),
         F.sum(v).over(w_last_12()).cast(AMOUNT).alias("_ttm"),
-        F.sum(rounded).over(w_running()).cast(AMOUNT_3).alias("_cum"),
+        *[c.alias(f"_y{k}") for k, c in enumerate(this_year)],
     )
-    # 2. series window on layer 1
-    df = df.select(
-        "*",
-        F.last(F.when(F.col("month") == 12, F.col("_cum")), ignorenulls=True)
-        .over(w_before()).alias("_cum_dec"),
-        F.lag("_ttm", 12).over(w_series()).alias("_ttm_prior"),
-    ).withColumn("_ytd", (F.col("_cum") - F.coalesce(F.col("_cum_dec"), F.lit(0))).cast(AMOUNT_3))
-    # 3. product window: cohorts
+    df = df.withColumn(
+        "_ytd",
+        sum((F.coalesce(F.col(f"_y{k}"), F.lit(0)) for k in range(12)), F.lit(0)).cast(AMOUNT_3),
+    ).drop(*[f"_y{k}" for k in range(12)])
+    # 2. product window: cohorts
     df = df.select(
         "*",
         _first_month(F.col("raw_positive")).alias("_m_cohort"),
         _first_month(ok & (F.col("_ttm") > 0)).alias("_t_cohort"),
         _first_month(ok & (F.col("_ytd") > 0)).alias("_y_cohort"),
     )
-    # 4. series window: first-year sums, prior-year YTD
+    # 3. series window: first-year sums, prior-year TTM and YTD
     tc, yc = F.col("_t_cohort"), F.col("_y_cohort")
     ttm_counted = date < F.add_months(tc, 12)
     ytd_counted = (date < F.add_months(yc, 12)) & (F.year(date) == F.year(yc) + 1)
@@ -134,6 +126,7 @@ def add_horizons(base: DataFrame) -> DataFrame:
         "*",
         F.sum(F.when(ttm_counted, v)).over(w_last_12()).cast(AMOUNT).alias("_ttm_first"),
         F.sum(F.when(ytd_counted, v)).over(w_last_12()).cast(AMOUNT).alias("_ytd_first"),
+        F.lag("_ttm", 12).over(w_series()).alias("_ttm_prior"),
         F.lag("_ytd", 12).over(w_series()).alias("_ytd_prior"),
     )
 
