@@ -44,9 +44,11 @@ def densify_months(
     Input: ``keys`` + ``date`` (month start) + ``monthly_total`` (one row per
     series and month) and any per-row columns to carry.  Output adds ``month``,
     ``year`` (smallint), ``monthly_total`` rounded to 5 decimals with 0 on
-    filled months, and ``raw_positive`` (the unrounded priced total of a
-    month with data is > 0; it decides the monthly cohort).  A series with a
-    NULL key gets 0 on every month: a NULL key never matches its own totals.
+    filled months, and ``first_positive_month``: the first month of the
+    (account, product) whose unrounded priced total is > 0, over all priced
+    months including those after ``as_of`` (the monthly cohort).  A series
+    with a NULL key gets 0 on every month: a NULL key never matches its own
+    totals.
     """
     w = Window.partitionBy(*keys).orderBy("date")
     as_of_lit = F.lit(as_of)
@@ -55,8 +57,12 @@ def densify_months(
         as_of_lit,
     )
     lower = F.col("date") if calendar_start is None else F.greatest(F.col("date"), F.lit(calendar_start))
+    first_positive = F.min(F.when(F.col("monthly_total") > 0, F.col("date"))).over(
+        Window.partitionBy("account_id", "product")
+    )
     spread = (
-        totals.withColumn("_hi", upper)
+        totals.withColumn("first_positive_month", first_positive)
+        .withColumn("_hi", upper)
         .withColumn("_lo", lower)
         .where(F.col("_lo") <= F.col("_hi"))
         .withColumn("_month", F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))))
@@ -69,8 +75,7 @@ def densify_months(
         .cast(MONTHLY_TOTAL_TYPE)
     )
     return (
-        spread.withColumn("raw_positive", own & (F.col("monthly_total") > 0))
-        .withColumn("monthly_total", value)
+        spread.withColumn("monthly_total", value)
         .withColumn("date", F.col("_month"))
         .withColumn("month", F.month("date").cast("smallint"))
         .withColumn("year", F.year("date").cast("smallint"))

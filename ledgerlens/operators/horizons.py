@@ -18,7 +18,7 @@ The expressions are grouped in three dependency layers; each layer is one
 Window operator per layer, all sharing one sort of the series:
 
 1. series:  prior-year month, TTM, YTD (offset reads of the last 12 rows)
-2. product: the three cohorts (monthly, TTM, YTD)
+2. product: the TTM and YTD cohorts (the monthly one comes from densify)
 3. series:  first-year sums for TTM and YTD, prior-year TTM and YTD
 
 Every window is satisfied by a hash partitioning on ``account_id``.
@@ -75,7 +75,7 @@ def add_horizons(base: DataFrame) -> DataFrame:
     """Add the monthly, TTM and YTD columns of ``HORIZON_COLUMNS``.
 
     Input: dense series (``SERIES_KEYS``, date, month, monthly_total,
-    raw_positive).  Money columns come out as decimal(18,5) / decimal(15,3).
+    first_positive_month).  Money columns come out as decimal(18,5) / decimal(15,3).
 
     * monthly: cohort = first month with a positive unrounded priced total;
       trailing = the month a year earlier, rounded to 3 decimals.
@@ -111,10 +111,9 @@ def add_horizons(base: DataFrame) -> DataFrame:
         "_ytd",
         sum((F.coalesce(F.col(f"_y{k}"), F.lit(0)) for k in range(12)), F.lit(0)).cast(AMOUNT_3),
     ).drop(*[f"_y{k}" for k in range(12)])
-    # 2. product window: cohorts
+    # 2. product window: TTM and YTD cohorts
     df = df.select(
         "*",
-        _first_month(F.col("raw_positive")).alias("_m_cohort"),
         _first_month(ok & (F.col("_ttm") > 0)).alias("_t_cohort"),
         _first_month(ok & (F.col("_ytd") > 0)).alias("_y_cohort"),
     )
@@ -157,7 +156,7 @@ def add_horizons(base: DataFrame) -> DataFrame:
     ytd_exist = amount(ytd - ytd_new_c)
     ytd_prev = _zero_unless(ok, F.col("_ytd_prior")).cast(TRAILING_TYPE)
     new_cols = {
-        "monthly_cohort": F.when(product_ok, F.col("_m_cohort")),
+        "monthly_cohort": F.when(product_ok, F.col("first_positive_month")),
         "monthly_trailing_total": mtt,
         "change_in_existing_monthly": amount(v - mtt),
         "ttm_total": ttm,
@@ -173,5 +172,6 @@ def add_horizons(base: DataFrame) -> DataFrame:
         "ytd_trailing_total": ytd_prev,
         "change_in_existing_ytd": amount(ytd_exist - ytd_prev),
     }
-    keep = [c for c in df.columns if not c.startswith("_") and c not in new_cols]
+    keep = [c for c in df.columns
+            if not c.startswith("_") and c not in new_cols and c != "first_positive_month"]
     return df.select(*keep, *[c.alias(n) for n, c in new_cols.items()])

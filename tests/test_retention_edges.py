@@ -49,6 +49,8 @@ def _tables():
         (3, 10, 101, "X", dt.date(1998, 12, 1), 40, "gap"),  # December cohort, long gap
         (4, 10, 100, "X", dt.date(1999, 1, 1), 15, None),    # January cohort, missing account
         (4, 11, 100, "Y", dt.date(1995, 2, 1), 4, "late"),   # gap > 24 months then return
+        (5, 11, 100, "X", dt.date(2001, 6, 1), 1, "refund"),  # only a refund before as_of ...
+        (5, 11, 100, "X", dt.date(2002, 3, 1), 2, "sale"),   # ... positive months only after it
     ]
     tx = []
     for acct, form, gw, cur, first, n, pattern in series:
@@ -62,13 +64,18 @@ def _tables():
                 day = dt.datetime(month.year, month.month, rnd.randint(1, 28), rnd.randint(0, 23))
                 ttype = rnd.choice([1, 1, 1, 2, 3]) if pattern != "neg" else rnd.choice([1, 2, 2])
                 status = rnd.choice([6, 6, 6, 6, 1])
+                if pattern == "refund":
+                    ttype, status = 2, 6
+                if pattern == "sale":
+                    ttype, status = 1, 6
                 amount = Decimal(rnd.randint(100, 500000)) / 100
                 tx.append((acct, form, gw, cur, day, ttype, amount, status))
     # a day in March 1997 without a Y rate, and a transaction on that day
     tx.append((1, 10, 103, "Y", dt.datetime(1997, 3, 15, 12), 1, Decimal("99.99"), 6))
 
     days = [CAL_START + dt.timedelta(days=i) for i in range((AS_OF - CAL_START).days + 1)]
-    fx = [(d, "X", Decimal("1.0")) for d in days]
+    later = [AS_OF + dt.timedelta(days=i) for i in range(1, 400)]  # rates exist past as_of
+    fx = [(d, "X", Decimal("1.0")) for d in days + later]
     fx += [(d, "Y", Decimal("2.0")) for d in days if d != dt.date(1997, 3, 15)]
     months = [d for d in days if d.day == 1]
     take = [("WePay", m, "A", Decimal("0.02")) for m in months]
@@ -197,3 +204,15 @@ def test_edge_properties(edge):
     nk = rep.where(F.col("product").isNull() | F.col("gateway_group").isNull())
     assert nk.count() > 0
     assert nk.where(F.col("ttm_status").isNotNull() | (F.col("ttm_total") != 0)).count() == 0
+
+
+def test_edge_monthly_cohort_counts_months_after_as_of(edge):
+    """Account 5 / product B has only a refund before as_of: its monthly
+    cohort is its first positive month after as_of (priced months are not cut
+    by as_of; the spine is)."""
+    con, inp, prm = edge
+    from pyspark.sql import functions as F
+    rows = RP.aux_report(inp, prm).where((F.col("account_id") == 5) & (F.col("product") == "B"))
+    cohorts = {r.monthly_cohort for r in rows.select("monthly_cohort").collect()}
+    assert len(cohorts) == 1 and next(iter(cohorts)) > AS_OF
+    assert rows.count() > 0
