@@ -74,6 +74,16 @@ def _cohort_query(col: str) -> Query:
     return q
 
 
+def q_monthly_cohort(spark, sf_dir):
+    """A2 on the priced totals: first positive month per (account, product),
+    over all priced months (not cut by as_of)."""
+    inp, prm = _ctx(spark, sf_dir)
+    return (
+        RP.monthly_totals(inp, prm).where(F.col("monthly_total") > 0)
+        .groupBy("account_id", "product").agg(F.min("date").alias("monthly_cohort"))
+    )
+
+
 def q_aux_report(spark, sf_dir):
     inp, prm = _ctx(spark, sf_dir)
     return RP.aux_report(inp, prm)
@@ -145,7 +155,7 @@ RETENTION_QUERIES: dict[str, Query] = {
     "ttm_trailing": _metric_query("ttm_trailing_total"),
     "ttm_cohort": _cohort_query("ttm_cohort"),
     "ytd_cohort": _cohort_query("ytd_cohort"),
-    "monthly_cohort": _cohort_query("monthly_cohort"),
+    "monthly_cohort": q_monthly_cohort,
     "ttm_new_existing": _metric_query("ttm_total_new", "ttm_total_existing"),
     "ytd_running": _metric_query("ytd_total"),
     "ytd_trailing": _metric_query("ytd_trailing_total"),
