@@ -60,9 +60,10 @@ def densify_months(
     first_positive = F.min(F.when(F.col("monthly_total") > 0, F.col("date"))).over(
         Window.partitionBy("account_id", "product")
     )
+    # the lead window comes first; the (account, product) window then reuses its sort
     spread = (
-        totals.withColumn("first_positive_month", first_positive)
-        .withColumn("_hi", upper)
+        totals.withColumn("_hi", upper)
+        .withColumn("first_positive_month", first_positive)
         .withColumn("_lo", lower)
         .where(F.col("_lo") <= F.col("_hi"))
         .withColumn("_month", F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))))
