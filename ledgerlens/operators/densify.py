@@ -60,6 +60,9 @@ def densify_months(
     first_positive = F.min(F.when(F.col("monthly_total") > 0, F.col("date"))).over(
         Window.partitionBy("account_id", "product")
     )
+    # A month without a date (transaction without a timestamp) matches no
+    # calendar month; drop it before it can open a spine.
+    totals = totals.where(F.col("date").isNotNull())
     # the lead window comes first; the (account, product) window then reuses its sort
     spread = (
         totals.withColumn("_hi", upper)

@@ -72,6 +72,10 @@ def _tables():
                 tx.append((acct, form, gw, cur, day, ttype, amount, status))
     # a day in March 1997 without a Y rate, and a transaction on that day
     tx.append((1, 10, 103, "Y", dt.datetime(1997, 3, 15, 12), 1, Decimal("99.99"), 6))
+    # no timestamp (matches no month), and no account at all (NULL key series)
+    tx.append((2, 11, 101, "X", None, 1, Decimal("55.00"), 6))
+    tx.append((None, 10, 100, "X", dt.datetime(1999, 5, 5, 5), 1, Decimal("77.00"), 6))
+    tx.append((None, 10, 100, "X", dt.datetime(1999, 9, 5, 5), 1, Decimal("12.00"), 6))
 
     days = [CAL_START + dt.timedelta(days=i) for i in range((AS_OF - CAL_START).days + 1)]
     later = [AS_OF + dt.timedelta(days=i) for i in range(1, 400)]  # rates exist past as_of
