@@ -42,7 +42,7 @@ def missing_dates(
 
     NULL dates are ignored (a null-aware ``NOT IN`` would return nothing at
     all).  Keys come from ``existing``; a key with no row inside the range
-    gets the whole range.  ``newest_first`` sorts the result by date
+    gets the whole range; a NULL key is one group, as in ``groupBy``.  ``newest_first`` sorts the result by date
     descending (O1, presentation only: a global sort).
     """
     to_unit, step, shift = _unit_expr(unit)
@@ -99,16 +99,18 @@ def ingest_rates(
 
     The payload quotes units per base unit; the stored rate is its
     reciprocal.  Zero or NULL quotes go to rejects (the reciprocal is
-    undefined) instead of storing infinity.  A (date, currency) already in
+    undefined) instead of storing infinity, and so do quotes without a date.  A (date, currency) already in
     ``existing`` is never appended again, so a re-run adds nothing.
     """
     rows = explode_rate_payloads(payloads)
     quoted = F.col("quoted")
-    bad = quoted.isNull() | (quoted == 0)
-    rejects = rows.where(bad).select(
-        "date", "currency", "quoted",
-        F.when(quoted.isNull(), F.lit("null_rate")).otherwise(F.lit("zero_rate")).alias("reason"),
+    reason = (
+        F.when(F.col("date").isNull(), F.lit("null_date"))
+        .when(quoted.isNull(), F.lit("null_rate"))
+        .when(quoted == 0, F.lit("zero_rate"))
     )
+    bad = reason.isNotNull()
+    rejects = rows.where(bad).select("date", "currency", "quoted", reason.alias("reason"))
     good = rows.where(~bad).select(
         "date", "currency", F.try_divide(F.lit(1.0), quoted.cast("double")).alias("rate")
     ).dropDuplicates(["date", "currency", "rate"])

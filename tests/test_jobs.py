@@ -24,6 +24,7 @@ def _payloads(spark):
         (D(2020, 1, 1), {"EUR": 0.5, "GBP": 0.25}),
         (D(2020, 1, 2), {"EUR": 0.5, "ZZZ": 0.0, "NUL": None}),
         (D(2020, 1, 3), None),  # payload without rates -> no rows
+        (None, {"EUR": 0.5}),   # payload without a date -> rejected
     ]
     return spark.createDataFrame(rows, io.RATE_PAYLOAD_SCHEMA)
 
@@ -31,14 +32,14 @@ def _payloads(spark):
 def test_rates_refresh_is_idempotent(spark, scratch):
     target, rej = f"{scratch}/rates", f"{scratch}/rejects"
     first = refresh.refresh_rates(spark, _payloads(spark), target, rej)
-    assert first == {"appended": 3, "rejected": 2}
+    assert first == {"appended": 3, "rejected": 3}
     got = {(r.date, r.currency): r.rate for r in spark.read.parquet(target).collect()}
     assert got == {(D(2020, 1, 1), "EUR"): 2.0, (D(2020, 1, 1), "GBP"): 4.0, (D(2020, 1, 2), "EUR"): 2.0}
     second = refresh.refresh_rates(spark, _payloads(spark), target)
     assert second["appended"] == 0
     assert spark.read.parquet(target).count() == 3
     reasons = sorted(r.reason for r in spark.read.parquet(rej).collect())
-    assert reasons == ["null_rate", "zero_rate"]
+    assert reasons == ["null_date", "null_rate", "zero_rate"]
 
 
 def test_rate_gaps_then_fill(spark, scratch):
