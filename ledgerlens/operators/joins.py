@@ -39,3 +39,17 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_RO
     if max_rows is None:
         return df
     return F.broadcast(df) if _fits(df, max_rows) else df
+
+
+def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that occur more than once, with their count (``n_rows``).
+
+    A guard for dimension inputs of a left join: duplicate (date, currency)
+    rates, (group, month, product) take rates or account rows would multiply
+    amounts, as they would in the original report.  An empty result means the
+    join cannot fan out.  Partial + final aggregate; only duplicates come
+    back."""
+    return (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+        .where(F.col("n_rows") > 1)
+    )

@@ -155,3 +155,26 @@ def test_default_take_rate_fallbacks(spark):
     assert got["WePay"] == Decimal("5.3729985439988")
     assert got["Other"] == Decimal("1.074863799773")
     assert got[None] == Decimal("-1.074863799773")
+
+
+def test_duplicate_dimension_keys(spark):
+    from ledgerlens.operators.joins import duplicate_keys
+
+    rates = spark.createDataFrame(
+        [(dt.date(2020, 1, 1), "X", 1.0), (dt.date(2020, 1, 1), "X", 1.1), (dt.date(2020, 1, 2), "X", 1.0)],
+        "date date, currency string, rate double")
+    dup = duplicate_keys(rates, ["date", "currency"]).collect()
+    assert [(r.date, r.currency, r.n_rows) for r in dup] == [(dt.date(2020, 1, 1), "X", 2)]
+
+
+def test_fixture_dimensions_have_unique_keys(spark):
+    """The test-data views used by the oracle checks cannot fan out."""
+    from ledgerlens.operators.joins import duplicate_keys
+    from ledgerlens.plans import retention as RP
+
+    inp = RP.fixture_inputs(spark, "/root/testdata/sf0.01")
+    assert duplicate_keys(inp.exchange_rates, ["date", "currency"]).count() == 0
+    assert duplicate_keys(inp.take_rates, ["gateway_group", "date", "product"]).count() == 0
+    assert duplicate_keys(inp.accounts, ["id"]).count() == 0
+    assert duplicate_keys(inp.forms, ["id"]).count() == 0
+    assert duplicate_keys(inp.gateways, ["id"]).count() == 0
