@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, secrets, topk, toxicity, urls
+from . import decontaminate, ngram_join, secrets, topk, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = ngram_join.join_sets(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", F.col("__n").alias("n_shingles"), F.col("__component").alias("component_id"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
     remainder = F.crc32(F.col("doc_id").cast("string")) % 4
@@ -79,6 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op9_exact_top_k": op9_exact_top_k,
