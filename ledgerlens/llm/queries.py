@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, secrets, topk, toxicity, urls
+from . import chunks, decontaminate, licenses, ngram_join, pieces, quality, secrets, topk, toxicity, urls
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,9 @@ URL_RULES = [
     ("allow", "org", "/fr/"),
 ]
 
+#: The model file of the piece query.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text")))
@@ -33,6 +36,37 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    model = pieces.Pieces(pieces.read_model(PIECE_MODEL))
+    encoded = pieces.encode_texts(docs, model, n=2, packed=True)
+    decoded = pieces.decode_ids(encoded, model)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("__ids") / 4).cast("bigint").alias("n_pieces"),
+        F.sha2("__ids", 256).alias("ids_sha256"),
+        F.col("__score").alias("score"),
+        F.get("__scores", F.lit(1)).alias("second_score"),
+        F.col("text").eqNullSafe(F.col("__decoded")).alias("round_trip"),
+    )
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality.score_quality(docs, model, keep_text=False).select(
+        "doc_id",
+        F.col("__score").alias("score"),
+        F.col("__p_text").alias("p_text"),
+        F.col("__p_meta").alias("p_meta"),
+        (F.col("__score") >= quality.KEEP).alias("keep"),
+    )
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = ngram_join.join_sets(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", F.col("__n").alias("n_shingles"), F.col("__component").alias("component_id"))
@@ -64,6 +98,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs, licenses.fit_licenses(docs))
+
+
 def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", topk.whole_steps("embedding").alias("vector"))
     return topk.exact_top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -84,9 +123,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
+    "op2_sentencepiece": op2_sentencepiece,
+    "op3_quality": op3_quality,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
+    "op8_license_scan": op8_license_scan,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_decontamination": op10_decontamination,
 }
