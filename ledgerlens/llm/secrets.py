@@ -154,6 +154,34 @@ def find_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> Dat
     return rows.join(by_row, "__row", "left").drop("__row")
 
 
+def mask_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, mask: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every span replaced by ``mask`` (overlapping spans by one), and ``__spans``: what was found, else null.
+
+    Rows meet their spans by the hash of the text, so equal texts share them.  Texts travel only where there
+    are spans: those rows are joined, all others pass.
+    """
+    key = F.xxhash64(F.col(text)).alias("__key")
+    found = materialize(
+        find_secrets(docs.select(F.col(text), key), text, scope).where("__spans IS NOT NULL").dropDuplicates(["__key"]), "secret-spans"
+    )
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(text)))
+    met = keyed.join(found, "__key", "left")
+    # spans in ascending order: what stands between them, and one mask for each run that overlaps
+    start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
+
+    def step(state, span):
+        fresh = span["start"] >= state["at"]
+        gap = F.substring(F.col(text), (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
+        joined = F.when(fresh, F.concat(state["out"], gap, F.lit(mask))).otherwise(state["out"])
+        return F.struct(joined.alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
+
+    def finish(state):
+        return F.concat(state["out"], F.substring(F.col(text), (state["at"] + 1).cast("int"), F.lit(2147483647)))
+
+    masked = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(F.aggregate("__spans", start, step, finish))
+    return met.select(*[masked.alias(c) if c == text else F.col(c) for c in docs.columns], "__spans")
+
+
 def span_text(spans: Column) -> Column:
     """kind:start:end, comma-joined, in the order of the spans."""
     word = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
