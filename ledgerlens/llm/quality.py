@@ -3,9 +3,11 @@
 The text view sees counts from the text only (letter case, digits, marks, repeated words and
 lines, lengths); the metadata view sees language, source and length class.  Both are logistic
 regressions.  In each round each view labels the unlabelled rows it is surest of, in the labels'
-proportion, and hands them to the other view's training set; rows are handed over once.  Each view
-is then calibrated (Platt) on labelled rows that were held back, and a last logistic
-regression on the two calibrated log-odds, fitted on the same rows, gives the score of all documents.
+proportion, and hands them to the other view's training set; rows are handed over once.  How sure
+it must be is measured: the labels it would give to held-back rows must be right in
+``PRECISION`` of the cases, so a view that only knows the base rate teaches nothing.  Each view
+is then calibrated (Platt) on the rows held back, and a last logistic regression on the two
+calibrated log-odds, fitted on the same rows, gives the score of all documents.
 
 Fitted on bounded samples: the ``sample_rows`` labelled and ``pool_rows`` unlabelled rows with
 the smallest hashes of their id.  Only their features reach the driver.  All documents are
@@ -32,9 +34,11 @@ from .toxicity import fit_logistic
 SAMPLE_ROWS = 20_000
 POOL_ROWS = 20_000
 ROUNDS = 5
-#: Rows that a view hands over in a round, and how sure it must be.
+#: Rows that a view hands over in a round, and how often it must be right on rows held back.
 HANDED = 1_000
-SURE = 0.95
+PRECISION = 0.99
+#: Rows held back on which that is measured, at least.
+SUPPORT = 5
 KEEP = 0.5
 
 BUCKETS = 64
@@ -93,6 +97,15 @@ def _odds(w: list[float], x: np.ndarray) -> np.ndarray:
     return np.clip(w[0] + x @ np.array(w[1:]), -_CUT, _CUT)
 
 
+def _sure_from(chance: np.ndarray, right: np.ndarray, precision: float) -> float:
+    """The least chance from which a view's labels of the held-back rows are right often enough (2: none)."""
+    order = np.argsort(-chance, kind="stable")
+    hits = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
+    last_of_tie = np.append(np.diff(chance[order]) != 0, True)
+    able = np.flatnonzero((hits >= precision) & last_of_tie & (np.arange(1, len(order) + 1) >= SUPPORT) & (chance[order] > 0.5))
+    return float(chance[order][able[-1]]) if len(able) else 2.0
+
+
 class QualityModel:
     """Weights of both views, their calibrations and the combination."""
 
@@ -100,21 +113,24 @@ class QualityModel:
         self.prior, self.text, self.meta, self.platt, self.mix = prior, text, meta, platt, mix
 
 
-def co_train(xt, xm, y, held, ut, um, rounds: int = ROUNDS, handed: int = HANDED, sure: float = SURE) -> QualityModel:
+def co_train(xt, xm, y, held, ut, um, rounds: int = ROUNDS, handed: int = HANDED, precision: float = PRECISION) -> QualityModel:
     """Features and labels of labelled rows (``held``: kept for calibration), features of unlabelled ones."""
     prior = float(y.mean()) if len(y) else 1.0
     if not (~held).any() or len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         return QualityModel(prior)
     train = {"text": ([xt[~held]], [y[~held]]), "meta": ([xm[~held]], [y[~held]])}
-    view = {"text": ut, "meta": um}
+    view, held_view = {"text": ut, "meta": um}, {"text": xt[held], "meta": xm[held]}
     given = {"text": np.zeros(len(ut), bool), "meta": np.zeros(len(um), bool)}
     fit = lambda v: fit_logistic(np.concatenate(train[v][0]), np.concatenate(train[v][1]), ridge=1.0 if v == "meta" else 1e-2)
     for _ in range(rounds):
         moved = 0
         for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            p = 1 / (1 + np.exp(-_odds(fit(teacher), view[teacher]))) if len(view[teacher]) else np.empty(0)
-            for label, chance, share in ((1.0, p, prior), (0.0, 1 - p, 1 - prior)):
-                able = np.flatnonzero((chance >= sure) & ~given[pupil])
+            if not len(view[teacher]):
+                continue
+            w = fit(teacher)
+            p, own = (1 / (1 + np.exp(-_odds(w, x))) for x in (view[teacher], held_view[teacher]))
+            for label, chance, seen, share in ((1.0, p, own, prior), (0.0, 1 - p, 1 - own, 1 - prior)):
+                able = np.flatnonzero((chance >= _sure_from(seen, y[held] == label, precision)) & ~given[pupil])
                 chosen = able[np.argsort(-chance[able], kind="stable")][: max(1, round(handed * share))]
                 given[pupil][chosen] = True
                 train[pupil][0].append(view[pupil][chosen])
@@ -125,9 +141,9 @@ def co_train(xt, xm, y, held, ut, um, rounds: int = ROUNDS, handed: int = HANDED
     text, meta = fit("text"), fit("meta")
     platt = []
     for w, x in ((text, xt), (meta, xm)):
-        platt.append(fit_logistic(_odds(w, x[held])[:, None], y[held], ridge=1.0))
+        platt.append(fit_logistic(_odds(w, x[held])[:, None], y[held]))
     both = np.column_stack([_odds(c, _odds(w, x[held])[:, None]) for c, w, x in zip(platt, (text, meta), (xt, xm), strict=True)])
-    return QualityModel(prior, text, meta, platt, fit_logistic(both, y[held], ridge=1.0))
+    return QualityModel(prior, text, meta, platt, fit_logistic(both, y[held]))
 
 
 def fit_quality(

@@ -9,20 +9,11 @@ from pyspark.sql import functions as F
 
 from . import chunks, decontaminate, licenses, ngram_join, pieces, quality, secrets, topk, toxicity, urls
 from .common import table
+from .oracle_sql import ORACLE_SQL  # noqa: F401
+from .parameters import PIECE_MODEL, URL_RULES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: The rules of the URL query: (verdict, host, path).
-URL_RULES = [
-    ("block", "net", "/"),
-    ("allow", "example.net", "/en/"),
-    ("block", "example.com", "/de/"),
-    ("allow", "org", "/fr/"),
-]
-
-#: The model file of the piece query.
-PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text")))
@@ -133,5 +124,3 @@ QUERIES: dict[str, Query] = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_decontamination": op10_decontamination,
 }
-
-ORACLE_SQL: dict[str, str] = {}

@@ -96,8 +96,8 @@ def scan_parts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFram
             continue  # found by the pattern of access
         least = {"hex": "[0-9a-f]{16}", "access": "AKIA[A-Z0-9]"}.get(kind, PATTERNS[kind][0])
         asked = body.rlike(least)
-        if kind in ("mixed_token", "endpoint"):  # of no use without an identifier or a secret
-            asked = (identified if kind == "mixed_token" else identified | body.rlike(ASSIGN) | body.rlike("[0-9a-f]{16}")) & asked
+        if kind == "mixed_token":  # of no use without an identifier or an endpoint
+            asked = (identified | body.rlike(ENDPOINT)) & asked
         columns.append(F.when(asked, F.arrays_zip(*[c.alias(n) for c, n in zip(_lengths(body, kind), ("gap", "len", "value"))])).alias(f"__{kind}"))
     others = [c for c in docs.columns if c != text]
     scanned = materialize(docs.select(*others, F.monotonically_increasing_id().alias("__row"), *columns), "secret-parts")
