@@ -16,11 +16,17 @@ join finds the links between different sets:
    each subclass: with weight sum(rare) + sum(max(0, n_subclass - 1)) = e + 1, partners
    share a rare token or a pair in their prefixes.  Pairs carry a length class; each set
    is indexed under its own and the next, where all its partners are met.
-3. Candidates.  First every set of a posting list meets the list's two pivots
-   (smallest and largest node).  Verified links join components; only pairs of one
+3. Candidates.  First every set meets one pivot: of the smallest nodes of its posting lists the
+   one it shares most lists with.  Verified links join components; only pairs of one
    list whose components still differ are then verified, the members of a list's largest
-   component on one side only.  No pairs within a component are made.
-4. Verification counts the common tokens of the two whole sets.
+   component on one side only.  No pairs within a component are made.  Lists of rare tokens
+   are bounded by the class, so a window over the list finds them with one shuffle; lists of
+   pairs, which may be as long as the table, are counted first and joined back.
+4. Verification first bounds the difference of two sets from below: the parity sketch of a set
+   (bit i: is the number of its tokens that fall on i odd) is linear, so the sketches of
+   two sets differ in no more bits than the sets in tokens; pairs that differ in more than a link
+   allows are out, by a small sketch and then by a larger one.  The rest compare the whole sets.  The texts of candidate sets are picked from the table by a
+   bitmap of fixed size (exactly, by a join, after it) and travel instead of the larger token lists.
 
 Components are found on the linked nodes (see components.py).
 
@@ -35,7 +41,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, raw_texts, slices, with_text_columns
@@ -44,12 +50,14 @@ from .components import components
 WORDS = 5
 PERCENT = 80
 #: Share of all tokens from which a token counts as frequent; bounds the broadcast to 1 / FREQUENT tokens.
-FREQUENT = 2e-6
+FREQUENT = 1e-7
 #: A token in fewer sets is never frequent.
-LEAST_FREQUENT = 16
+LEAST_FREQUENT = 8
 #: Tokens counted at a time within a task.
 CHUNK = 4_000_000
 _MEMO = 1_000_000
+#: Size of the bitmap that thins the table before candidate texts are shuffled.
+_BITS = 1 << 23
 _STEP = 1.26  # of length classes; partners' lengths differ by 1.25 at most
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -101,8 +109,8 @@ def length_class(n: int) -> int:
     return int(np.log(n) / np.log(_STEP))
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The prefix's rare tokens and the pairs of its frequent ones, hashed."""
+def signatures(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The prefix's rare tokens, and the pairs of its frequent ones, hashed."""
     n = len(tokens)
     need = errors(n) + 1
     if len(frequent):
@@ -112,8 +120,8 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     else:
         rare = tokens
     if len(rare) >= need:
-        return rare[:need]
-    common, found = tokens[often], [rare]
+        return rare[:need], rare[:0]
+    common, found = tokens[often], [rare[:0]]
     need -= len(rare)
     own = length_class(n)
     for level in (own, own + 1):
@@ -133,7 +141,28 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:
             if not same.any():
                 break
             found.append(_mix(_mix(prefix[:-gap][same] + salt) + prefix[gap:][same]))
-    return np.concatenate(found)
+    return rare, np.concatenate(found)
+
+
+def parity_sketches(tokens: np.ndarray) -> tuple[bytes, bytes]:
+    """The small and the large parity sketch of a set: about one and four bits a token."""
+    if not len(tokens):
+        return b"", b""
+    bits = max(256, 1 << int(2 * len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    small = odd.reshape(4, bits // 4).sum(axis=0) & 1
+    return np.packbits(small).tobytes(), np.packbits(odd).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the number of tokens that are in one of two sets only."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):  # the halves of the longer one make a sketch of half the length
+        if len(x) > len(y):
+            x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+        else:
+            y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _frequent_tokens(docs: DataFrame, text: str, share: float, floor: int) -> np.ndarray:
@@ -172,7 +201,8 @@ def _frequent_tokens(docs: DataFrame, text: str, share: float, floor: int) -> np
 
 
 def with_sets(docs: DataFrame, text: str, frequent: np.ndarray | None, drop_text: bool = True) -> DataFrame:
-    """``docs`` with ``__n`` (set size), ``__set`` (its key) and, given the classes, ``__sigs``."""
+    """``docs`` with ``__n`` (set size), ``__set`` (its key) and, given the classes, ``__rare``,
+    ``__pairs`` and the sketches ``__small`` and ``__large``."""
     shared = None if frequent is None else docs.sparkSession.sparkContext.broadcast(frequent)
 
     def make():
@@ -182,46 +212,94 @@ def with_sets(docs: DataFrame, text: str, frequent: np.ndarray | None, drop_text
             sets = [shingles(raw, memo) for raw in raws]
             out = [[len(s) for s in sets], [set_key(s) for s in sets]]
             if shared is not None:
-                out.append([signatures(s, shared.value).view(np.int64) if len(s) else [] for s in sets])
+                signed = [signatures(s, shared.value) if len(s) else (s, s) for s in sets]
+                out += [[r.view(np.int64) for r, _ in signed], [p.view(np.int64) for _, p in signed]]
+                out += map(list, zip(*map(parity_sketches, sets), strict=True)) if sets else [[], []]
             return out
 
         return compute
 
     fields = [("__n", "bigint", pa.int64()), ("__set", "bigint", pa.int64())]
     if shared is not None:
-        fields.append(("__sigs", "array<bigint>", pa.list_(pa.int64())))
+        fields += [(c, "array<bigint>", pa.list_(pa.int64())) for c in ("__rare", "__pairs")]
+        fields += [(c, "binary", pa.binary()) for c in ("__small", "__large")]
     return with_text_columns(docs, text, make, fields, drop_text=drop_text)
 
 
-def _whole_sets(docs: DataFrame, text: str, nodes: DataFrame) -> DataFrame:
-    """(node, n, tokens) of ``nodes`` (node, key: the smallest id of a row with that set)."""
+def _posting_lists(rows: DataFrame) -> DataFrame:
+    """(sig, node, low) of the lists that hold two different sets at least; ``low`` is the smallest."""
+    rare = rows.select(F.explode("__rare").alias("sig"), F.col("__set").alias("node"))
+    lists = Window.partitionBy("sig")
+    rare = rare.select("sig", "node", F.min("node").over(lists).alias("low"), F.max("node").over(lists).alias("high"))
+    pairs = rows.select(F.explode("__pairs").alias("sig"), F.col("__set").alias("node")).distinct()
+    ends = pairs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
+    return rare.where("low <> high").select("sig", "node", "low").distinct().unionAll(pairs.join(ends, "sig").select("sig", "node", "low"))
 
-    def make():
-        memo = WordHashes()
 
-        def compute(raws):
-            sets = [shingles(raw, memo) for raw in raws]
-            return [[set_key(s) for s in sets], [len(s) for s in sets], [s.view(np.int64) for s in sets]]
+def _picked_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) for ``nodes`` (node, __key: an id whose row has that set) from ``docs`` (__key, text).
 
-        return compute
+    A bitmap of fixed size, made of the hashes of the ids, thins the table before the texts are
+    shuffled; the join is exact.
+    """
+    bit = F.pmod(F.xxhash64("__key"), F.lit(_BITS))
+    cells = nodes.select(bit.alias("bit")).groupBy(F.floor(F.col("bit") / 32).alias("cell")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("bit") % 32).cast("int"))).alias("bits")
+    )
+    bitmap = np.zeros(_BITS // 32, np.int64)
+    found = cells.toPandas()  # at most _BITS / 32 rows
+    bitmap[found["cell"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+
+    def thin(batches):
+        for part in batches:
+            bits = part.column(2).to_numpy()
+            yield part.filter(pa.array((shared.value[bits // 32] >> (bits % 32)) & 1 == 1)).select([0, 1])
 
-    fields = [("__set", "bigint", pa.int64()), ("n", "bigint", pa.int64()), ("tokens", "array<bigint>", pa.list_(pa.int64()))]
-    rows = docs.join(nodes, "__key")
-    sets = with_text_columns(rows, text, make, fields, drop_text=True).where("__set = node")
-    return sets.select("node", "n", "tokens").dropDuplicates(["node"])  # rows may repeat an id
+    likely = docs.select("__key", "text", bit.alias("bit")).mapInArrow(thin, "__key bigint, text string")
+    rows = with_sets(likely.join(nodes, "__key"), "text", None, drop_text=False)
+    return rows.where("__set = node").select("node", "text").dropDuplicates(["node"])  # rows may repeat an id
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _not_too_different(pairs: DataFrame, nodes: DataFrame, sketch: str) -> DataFrame:
+    """``pairs`` (u, v) without those whose sketches rule a link out: |difference| > (|u| + |v|) / 9."""
+
+    def run(batches):
+        for part in slices(batches, 4096):
+            columns = [part.column(i).to_pylist() for i in range(2, 6)]
+            keep = [9 * least_difference(a, b) <= n + m for n, a, m, b in zip(*columns, strict=True)]
+            yield part.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    one = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col(sketch).alias(f"s{c}"))
+    met = pairs.join(one("u"), "u").join(one("v"), "v").where(F.lit(100) * F.least("nu", "nv") >= F.lit(PERCENT) * F.greatest("nu", "nv"))
+    return met.select("u", "v", "nu", "su", "nv", "sv").mapInArrow(run, "u bigint, v bigint")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Those of ``pairs`` (u, v) that are linked."""
-    one = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("tokens").alias(f"t{c}"))
-    met = pairs.join(one("u"), "u").join(one("v"), "v")
-    sizes = F.lit(100) * F.least("nu", "nv") >= F.lit(PERCENT) * F.greatest("nu", "nv")
-    common = F.size(F.array_intersect("tu", "tv"))
-    return met.where(sizes).where(F.lit(100) * common >= F.lit(PERCENT) * (F.col("nu") + F.col("nv") - common)).select("u", "v")
+    for sketch in ("small", "large"):
+        pairs = _not_too_different(pairs, nodes, sketch)
+
+    def run(batches):
+        memo, last, held = WordHashes(), None, None
+        for part in slices(batches):
+            keep = []
+            v = part.column(1).to_pylist()
+            for other, a, b in zip(v, raw_texts(part.column(2)), raw_texts(part.column(3)), strict=True):
+                if other != last:
+                    last, held = other, shingles(b, memo)
+                own = shingles(a, memo)
+                common = len(np.intersect1d(own, held, assume_unique=True))
+                keep.append(100 * common >= PERCENT * (len(own) + len(held) - common))
+            yield part.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    one = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}"))
+    met = pairs.join(one("u"), "u").join(one("v"), "v").select("u", "v", "tu", "tv")
+    return met.mapInArrow(run, "u bigint, v bigint")
 
 
 def _ordered(a, b) -> list:
-    return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
+    return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
 
 def join_sets(
@@ -233,19 +311,17 @@ def join_sets(
     rows = materialize(with_sets(body, "text", _frequent_tokens(body, "text", frequent, least_frequent)), "sets")
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
 
-    # posting lists of two different sets at least, with their pivots
-    postings = rows.select(F.explode("__sigs").alias("sig"), F.col("__set").alias("node"))
-    pivots = postings.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    lists = materialize(postings.join(pivots.hint("shuffle_hash"), "sig").distinct(), "postings")
-
-    starred = (
-        lists.select("node", F.explode(F.array("low", "high")).alias("pivot")).where("node <> pivot").select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
-    )
-    starred = materialize(starred, "star-pairs")
+    lists = materialize(_posting_lists(rows), "postings")
+    shares = lists.where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n"))
+    nearest = shares.groupBy("node").agg(F.max_by("low", F.struct("n", "low")).alias("low"))
+    starred = materialize(nearest.select(F.col("node").alias("u"), F.col("low").alias("v")), "star-pairs")
     listed = lists.select("node").distinct()
     keys = rows.select(F.col("__set").alias("node"), key.alias("__key")).groupBy("node").agg(F.min("__key").alias("__key"))
-    sets = materialize(_whole_sets(body.withColumn("__key", key).drop("doc_id"), "text", listed.join(keys, "node")), "token-sets")
-    links = materialize(_verified(starred, sets), "star-links")
+    picked = materialize(listed.join(keys, "node"), "picked")
+    own = rows.select(F.col("__set").alias("node"), key.alias("__key"), F.col("__n").alias("n"), F.col("__small").alias("small"), F.col("__large").alias("large"))
+    nodes = materialize(own.join(picked, ["node", "__key"]).dropDuplicates(["node"]).drop("__key"), "nodes")
+    texts = materialize(_picked_texts(body.withColumn("__key", key), picked), "candidate-texts")
+    links = materialize(_verified(starred, nodes, texts), "star-links")
 
     # pairs of a list whose components still differ
     roots = components(links)
@@ -257,8 +333,8 @@ def join_sets(
     left = open_lists.where("root <> most").select("sig", F.col("node").alias("a"), F.col("root").alias("ra"))
     right = open_lists.select("sig", F.col("node").alias("b"), F.col("root").alias("rb"))
     more = left.join(right, "sig").where("ra <> rb").select(*_ordered(F.col("a"), F.col("b"))).distinct()
-    more = more.join(starred, ["u", "v"], "left_anti")
-    links = links.unionAll(materialize(_verified(more, sets), "more-links"))
+    more = materialize(more.join(starred, ["u", "v"], "left_anti"), "more-pairs")
+    links = links.unionAll(materialize(_verified(more, nodes, texts), "more-links"))
 
     root = F.coalesce("root", "node")
     placed_rows = rows.select("doc_id", "__n", F.col("__set").alias("node"))

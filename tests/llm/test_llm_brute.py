@@ -92,6 +92,20 @@ def test_signatures_of_partners_meet():
         assert any(len(np.intersect1d(a, b)) for a, b in zip(mine, theirs, strict=True)), trial
 
 
+def test_sketches_bound_the_difference():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        base = rng.integers(0, 1 << 63, int(rng.integers(1, 900))).astype(np.uint64)
+        a = np.unique(base[rng.random(len(base)) < 0.9])
+        b = np.unique(np.concatenate([base[rng.random(len(base)) < 0.9], rng.integers(0, 1 << 63, int(rng.integers(0, 50))).astype(np.uint64)]))
+        if len(a) and len(b):
+            apart = len(np.setxor1d(a, b))
+            for x, y in zip(ngram_join.parity_sketches(a), ngram_join.parity_sketches(b), strict=True):
+                assert ngram_join.least_difference(x, y) <= apart
+    far = [np.unique(rng.integers(0, 1 << 63, 400).astype(np.uint64)) for _ in range(2)]
+    assert 9 * ngram_join.least_difference(*[ngram_join.parity_sketches(x)[0] for x in far]) > 800
+
+
 def test_components_of_a_long_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 150), (150, 200)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
