@@ -6,11 +6,11 @@ series emits ``tail_months`` more.  Everything is capped at ``as_of``.  The
 output is linear in the number of spine rows: no cross join with a calendar,
 no join back to the totals.
 
-The caller partitions the input by ``account_id`` once (see
+The caller partitions the input by (``account_id``, ``product``) once (see
 ``plans.retention``); the ``lead`` window and every later window run inside
-that partitioning.  Rows per account after the monthly aggregate are bounded
-by products x gateway groups x calendar months, so even an account with a
-third of all transactions is a small window partition here.
+that partitioning.  Rows per account and product after the monthly aggregate
+are bounded by gateway groups x calendar months, so an account with a third
+of all transactions, or with thousands of products, spreads over the tasks.
 """
 
 from __future__ import annotations
@@ -24,11 +24,8 @@ from pyspark.sql.window import Window
 from ..functions import labels as L
 from .pricing import SERIES_KEYS
 
-# Money in the window stage: precision <= 18 keeps decimals in a long inside
-# Spark's rows (wider decimals are re-encoded as byte arrays by every
-# operator).  Exact for |value| < 1e13 per series-month; a larger value raises
-# an overflow error under ANSI mode instead of being cut.
-MONTHLY_TOTAL_TYPE = "decimal(18,5)"
+# Fixed by the original base: numeric(20,5).
+MONTHLY_TOTAL_TYPE = "decimal(20,5)"
 
 
 def densify_months(

@@ -21,7 +21,7 @@ Window operator per layer, all sharing one sort of the series:
 2. product: the TTM and YTD cohorts (the monthly one comes from densify)
 3. series:  first-year sums for TTM and YTD, prior-year TTM and YTD
 
-Every window is satisfied by a hash partitioning on ``account_id``.
+Every window is satisfied by a hash partitioning on (``account_id``, ``product``).
 NULL keys follow join semantics: cohorts need account and product, per-row
 metrics need all three series keys; otherwise they are NULL / 0.
 """
@@ -36,11 +36,11 @@ from ..functions import labels as L
 from ..functions.dates import month_boundaries
 from .pricing import SERIES_KEYS
 
-TRAILING_TYPE = "decimal(15,3)"
-# Compact working types (see densify.MONTHLY_TOTAL_TYPE): window sums are
-# cast back right away so rows never carry decimals wider than 18 digits.
-AMOUNT = "decimal(18,5)"
-AMOUNT_3 = "decimal(18,3)"
+# Trailing values have 3 decimals.  Sums of decimal(20,5) months are as wide as
+# Spark makes them, so no total is cut.
+TRAILING_TYPE = "decimal(28,3)"
+AMOUNT = "decimal(30,5)"
+AMOUNT_3 = "decimal(30,3)"
 
 HORIZON_COLUMNS = [
     "monthly_cohort", "monthly_trailing_total", "change_in_existing_monthly",
@@ -75,7 +75,7 @@ def add_horizons(base: DataFrame) -> DataFrame:
     """Add the monthly, TTM and YTD columns of ``HORIZON_COLUMNS``.
 
     Input: dense series (``SERIES_KEYS``, date, month, monthly_total,
-    first_positive_month).  Money columns come out as decimal(18,5) / decimal(15,3).
+    first_positive_month).  Money columns come out as decimal(30,5) / decimal(28,3).
 
     * monthly: cohort = first month with a positive unrounded priced total;
       trailing = the month a year earlier, rounded to 3 decimals.

@@ -1,55 +1,43 @@
-"""Join helpers."""
+"""Guards for dimension inputs.
+
+Joins carry no broadcast hints: Spark decides by size statistics and, under
+AQE, by the bytes a finished shuffle really has.
+"""
 
 from __future__ import annotations
 
-import time
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Narrow dimension rows (2-4 columns); 1M rows is a few tens of MB per executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-# A passed size check is remembered per session and logical plan this long:
-# dimensions do not grow past the bound within minutes, and the registered
-# queries rebuild the same dimension plans many times.
-CHECK_TTL_SECONDS = 600
-
-_checked: dict[tuple, tuple[float, bool]] = {}
-
-
-def _fits(df: DataFrame, max_rows: int) -> bool:
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    hit = _checked.get(key)
-    now = time.monotonic()
-    if hit is not None and now - hit[0] < CHECK_TTL_SECONDS:
-        return hit[1]
-    fits = df.limit(max_rows + 1).count() <= max_rows
-    _checked[key] = (now, fits)
-    return fits
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind a size check.
-
-    Counts at most ``max_rows + 1`` rows (a limited job that stops early).  At or
-    under the bound the side is broadcast; above it the frame is returned
-    unhinted and the planner uses a shuffle join (AQE may still convert it at
-    run time from real shuffle sizes).  ``max_rows=None`` skips the hint.
-    """
-    if max_rows is None:
-        return df
-    return F.broadcast(df) if _fits(df, max_rows) else df
-
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count (``n_rows``).
 
-    A guard for dimension inputs of a left join: duplicate (date, currency)
-    rates, (group, month, product) take rates or account rows would multiply
-    amounts, as they would in the original report.  An empty result means the
-    join cannot fan out.  Partial + final aggregate; only duplicates come
-    back."""
+    An empty result means that a left join on ``keys`` cannot fan out.
+    Partial + final aggregate; only duplicates come back."""
     return (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
     )
+
+
+def unique_rows(df: DataFrame, keys: list[str], what: str) -> DataFrame:
+    """``df`` for a left join on ``keys``, which must be unique.
+
+    A key that occurs twice would multiply the amounts of the rows that meet
+    it, so reading any other column of such a row stops the job with the name
+    ``what``.  The check is part of the plan: one aggregate of the
+    dimension, no job of its own.  Rows with a NULL key match nothing and are
+    left out."""
+    values = [c for c in df.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    rows = df.where(known).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*values)).alias("_v")
+    )
+    twice = F.concat_ws(" ", F.lit(f"{what}: a key occurs more than once:"), *[F.col(k).cast("string") for k in keys])
+    return rows.select(
+        *keys,
+        *[F.when(F.col("_n") == 1, F.col(f"_v.{c}")).otherwise(F.raise_error(twice)).alias(c) for c in values],
+    )

@@ -1,28 +1,32 @@
 """C4: priced monthly totals per (account, product, gateway group, month).
 
-One partial + final hash aggregate over the transactions.  Every dimension a
-key depends on (form -> product, gateway -> group, day rate, monthly take rate)
-is joined before the aggregate; each is broadcast only behind a row-count
-check, otherwise a shuffle join.  Account attributes (name, organization,
-manager) are *not* group keys: they are attached after the aggregate by
-``attach_account_attributes``, one manager per account, so several managers can
-never multiply amounts.
+Transactions meet form -> product, gateway -> group and the day rate; the
+partial aggregate on the monthly grain then absorbs them before its own
+exchange.  The take rate depends on the keys of that grain only, so it is joined to
+the monthly sums, not to the transactions, and multiplied there.  Joins are
+left to Spark's size statistics and AQE; dimension keys are checked to be
+unique inside the plan.
+
+Account attributes (name, organization, manager) are *not* group keys: they
+are attached to the monthly rows by ``attach_account_attributes``, one manager
+per account, so several managers can never multiply amounts.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..functions.dates import month_start
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from .joins import unique_rows
 
 SERIES_KEYS = ["account_id", "product", "gateway_group"]
 KEPT_STATUS = 6
-TAKE_RATE_TYPE = "decimal(20,10)"
+RATE_TYPE = "decimal(20,10)"
+TOTAL_TYPE = "decimal(38,13)"
 
 
 def _dec_lit(value) -> F.Column:
@@ -37,6 +41,25 @@ def gateway_groups(gateways: DataFrame) -> DataFrame:
     )
 
 
+def exact_product(total: Column, rate: Column) -> Column:
+    """``total`` x ``rate`` as decimal(38,13).
+
+    Spark cuts decimals of a product whose declared digits exceed 38, so the
+    factors are narrowed to what the values need.  For rates of up to ten
+    decimals all of the total's twelve are kept below 1e13 and five below
+    1e20; for longer rates (up to 16 decimals) six below 1e13.  Beyond, or for
+    rates from 100 on, Spark's own rule applies.  No value below 1e25 is cut."""
+    ten, sixteen = rate.try_cast("decimal(12,10)"), rate.try_cast("decimal(18,16)")
+    size, plain = F.abs(total), rate.try_cast("decimal(12,10)") == rate
+    narrow = lambda kind, by: (total.try_cast(kind) * by).cast(TOTAL_TYPE)
+    return (
+        F.when(plain & (size < Decimal("1e13")), narrow("decimal(25,12)", ten))
+        .when(plain & (size < Decimal("1e20")), narrow("decimal(25,5)", ten))
+        .when((F.abs(rate) < 100) & (size < Decimal("1e13")), narrow("decimal(19,6)", sixteen))
+        .otherwise((total * rate).cast(TOTAL_TYPE))
+    )
+
+
 def priced_monthly_totals(
     transactions: DataFrame,
     forms: DataFrame,
@@ -48,44 +71,37 @@ def priced_monthly_totals(
     fallback_other=L.DEFAULT_FALLBACK_OTHER,
     fallback_type: str | None = None,
     kept_status: int = KEPT_STATUS,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Signed, take-rate and currency converted sums by series and month.
 
     ``transactions``: account_id, form_id, gateway_id, currency, date_created,
     transaction_type (1 add, 2 subtract, other 0), amount, status.
     ``forms``: id, product.  ``gateways``: id, type.
-    ``exchange_rates``: date, currency, rate.  ``take_rates``: gateway_group,
-    date (month start), product, rate.
+    ``exchange_rates``: date, currency, rate (any numeric type; taken as
+    decimal(20,10), so sums do not depend on the order of rows).
+    ``take_rates``: gateway_group, date (month start), product, rate.
 
     A missing day rate makes that transaction NULL (skipped by SUM); a month
     whose transactions all lack a rate has a NULL total.  A missing take rate
     falls back to ``fallback_wepay`` for WePay and ``fallback_other`` for any
     other or NULL group.  Pass ``fallback_type`` (e.g. ``decimal(20,10)``) to
-    fix the literal type.
+    fix the literal type.  A dimension key that occurs twice stops the job.
     """
     tx = transactions.where(F.col("status") == kept_status).select(
         "account_id", "form_id", "gateway_id", "currency", "date_created",
         "transaction_type", "amount",
     )
-    form_dim = bounded_broadcast(
-        forms.select(F.col("id").alias("form_id"), "product"), broadcast_rows
-    )
-    gw_dim = bounded_broadcast(gateway_groups(gateways), broadcast_rows)
-    er = bounded_broadcast(
+    form_dim = unique_rows(forms.select(F.col("id").alias("form_id"), "product"), ["form_id"], "form")
+    gw_dim = unique_rows(gateway_groups(gateways), ["gateway_id"], "gateway")
+    er = unique_rows(
         exchange_rates.select(
-            F.col("date").alias("_day"), "currency", F.col("rate").alias("_er_rate")
+            F.col("date").alias("_day"), "currency", F.col("rate").cast(RATE_TYPE).alias("_er_rate")
         ),
-        broadcast_rows,
+        ["currency", "_day"], "exchange rate",
     )
-    tr = bounded_broadcast(
-        take_rates.select(
-            "gateway_group",
-            F.col("date").alias("date"),
-            "product",
-            F.col("rate").cast(TAKE_RATE_TYPE).alias("_tr_rate"),
-        ),
-        broadcast_rows,
+    tr = unique_rows(
+        take_rates.select("gateway_group", "date", "product", F.col("rate").cast(RATE_TYPE).alias("_tr_rate")),
+        ["gateway_group", "date", "product"], "take rate",
     )
 
     fb_w, fb_o = _dec_lit(fallback_wepay), _dec_lit(fallback_other)
@@ -98,19 +114,21 @@ def priced_monthly_totals(
         .withColumn("_day", F.to_date("date_created"))
         .withColumn("date", month_start("date_created"))
         .join(er, ["currency", "_day"], "left")
-        .join(tr, ["gateway_group", "date", "product"], "left")
     )
+    converted = F.col("amount") * F.col("_er_rate")
+    signed = (
+        F.when(F.col("transaction_type") == 1, converted)
+        .when(F.col("transaction_type") == 2, -converted)
+        .otherwise(F.lit(0))
+    )
+    monthly = joined.groupBy(*SERIES_KEYS, "date").agg(F.sum(signed).alias("_converted"))
     take = F.coalesce(
         F.col("_tr_rate"),
         F.when(F.col("gateway_group") == L.WEPAY_GROUP, fb_w).otherwise(fb_o),
     )
-    amount = F.col("amount")
-    signed = (
-        F.when(F.col("transaction_type") == 1, amount * take * F.col("_er_rate"))
-        .when(F.col("transaction_type") == 2, -amount * take * F.col("_er_rate"))
-        .otherwise(F.lit(0))
+    return monthly.join(tr, ["gateway_group", "date", "product"], "left").select(
+        *SERIES_KEYS, "date", exact_product(F.col("_converted"), take).alias("monthly_total")
     )
-    return joined.groupBy(*SERIES_KEYS, "date").agg(F.sum(signed).alias("monthly_total"))
 
 
 def account_attributes(
@@ -139,10 +157,8 @@ def account_attributes(
         F.col("name").alias("account_name"),
         "organization_id",
     )
-    return acc.join(one, "account_id", "left")
+    return unique_rows(acc, ["account_id"], "account").join(one, "account_id", "left")
 
 
-def attach_account_attributes(
-    df: DataFrame, attrs: DataFrame, broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
-) -> DataFrame:
-    return df.join(bounded_broadcast(attrs, broadcast_rows), "account_id", "left")
+def attach_account_attributes(df: DataFrame, attrs: DataFrame) -> DataFrame:
+    return df.join(attrs, "account_id", "left")

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from .joins import unique_rows
 from .status import w_product
 
-# Output money type: 5 decimals, compact (stored as a long in rows and as
-# INT64 in parquet); exact for |value| < 1e13.
-MONEY_TYPE = "decimal(18,5)"
+# Output money type: 5 decimals, as wide as decimals get.
+MONEY_TYPE = "decimal(38,5)"
+
+# The columns of the two reports, in their order.
 
 AUX_COLUMNS = [
     "account_id", "account_name", "account_manager_name", "product", "gateway_group",
@@ -74,15 +75,14 @@ def attribution_columns(attribution: DataFrame) -> DataFrame:
     return attribution.select("account_id", "utm_medium", "utm_source")
 
 
-def attach_attribution(df: DataFrame, attribution: DataFrame,
-                       broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    a = bounded_broadcast(
+def attach_attribution(df: DataFrame, attribution: DataFrame) -> DataFrame:
+    a = unique_rows(
         attribution_columns(attribution).select(
             "account_id",
             L.attribution_type("utm_medium").alias("attribution_type"),
             L.attribution_source("utm_source").alias("attribution_source"),
         ),
-        broadcast_rows,
+        ["account_id"], "attribution",
     )
     # an account without an attribution row still gets the defaults
     joined = df.join(a, "account_id", "left")
@@ -93,47 +93,39 @@ def attach_attribution(df: DataFrame, attribution: DataFrame,
     )
 
 
-def attach_lookups(
-    df: DataFrame,
-    industries: DataFrame,
-    max_ttm: DataFrame,
-    size_py: DataFrame,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Industry (account), product_max_ttm_size (account, product),
-    customer_size_py (account, product, year; distinct first, default band)."""
-    ind = bounded_broadcast(industries.select("account_id", "industry"), broadcast_rows)
-    mt = bounded_broadcast(
-        max_ttm.select("account_id", "product", "product_max_ttm_size"), broadcast_rows
-    )
-    sp = bounded_broadcast(
-        size_py.select(
-            "account_id", "product", F.col("year").cast("smallint").alias("year"),
-            "customer_size_py",
-        ).distinct(),
-        broadcast_rows,
-    )
-    joined = (
-        df.join(ind, "account_id", "left")
-        .join(mt, ["account_id", "product"], "left")
-        .join(sp, ["account_id", "product", "year"], "left")
-    )
-    return joined.select(
-        *[c for c in joined.columns if c != "customer_size_py"],
-        F.coalesce(F.col("customer_size_py"), F.lit(L.NON_ACTIVE_BAND)).alias("customer_size_py"),
+def attach_industry(df: DataFrame, industries: DataFrame) -> DataFrame:
+    """Industry by account."""
+    return df.join(unique_rows(industries.select("account_id", "industry"), ["account_id"], "industry"), "account_id", "left")
+
+
+def attach_product_lookups(df: DataFrame, max_ttm: DataFrame, size_py: DataFrame) -> DataFrame:
+    """J17 on monthly rows: ``product_max_ttm_size`` and ``sizes_by_year``, the bands of
+    all years, by (account, product).
+
+    One row per (account, product) on either side, so the join key is the
+    partitioning of all windows; ``size_of_year`` then picks each row's band
+    without another join."""
+    keys = ["account_id", "product"]
+    mt = unique_rows(max_ttm.select(*keys, "product_max_ttm_size"), keys, "max_ttm")
+    years = unique_rows(
+        size_py.select(*keys, F.col("year").cast("smallint").alias("year"), "customer_size_py").distinct(),
+        [*keys, "year"], "customer_size_py",
     )
+    # bounded by the years of a calendar
+    sizes = years.groupBy(*keys).agg(F.collect_list(F.struct("year", "customer_size_py")).alias("sizes_by_year"))
+    return df.join(mt, keys, "left").join(sizes, keys, "left")
+
+
+def size_of_year(sizes: str = "sizes_by_year", year: str = "year") -> Column:
+    own = F.filter(sizes, lambda s: s["year"] == F.col(year))
+    return F.coalesce(F.get(own, F.lit(0))["customer_size_py"], F.lit(L.NON_ACTIVE_BAND))
+
 
+def retention_report(classified: DataFrame) -> DataFrame:
+    """C11: the 40-column report, in the original column order.
 
-def retention_report(
-    classified: DataFrame,
-    attribution: DataFrame,
-    industries: DataFrame,
-    max_ttm: DataFrame,
-    size_py: DataFrame,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """C11: the 40-column report, in the original column order."""
+    ``classified`` carries the account and product lookups, attached to the
+    monthly rows before they were made dense."""
     df = add_size_band(classified)
-    df = attach_attribution(df, attribution, broadcast_rows)
-    df = attach_lookups(df, industries, max_ttm, size_py, broadcast_rows)
+    df = df.select("*", size_of_year().alias("customer_size_py")) if "sizes_by_year" in df.columns else df
     return cast_money(df.select(*REPORT_COLUMNS), REPORT_MONEY)

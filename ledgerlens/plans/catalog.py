@@ -50,7 +50,7 @@ def q_dense_base(spark, sf_dir):
 
 def _aux(spark, sf_dir) -> DataFrame:
     inp, prm = _ctx(spark, sf_dir)
-    return RP.aux_frame(inp, prm)
+    return RP.metric_frame(inp, prm)
 
 
 def q_monthly_metrics(spark, sf_dir):
@@ -127,23 +127,19 @@ def q_max_ttm_band(spark, sf_dir):
     ).distinct()
 
 
-def _report(spark, sf_dir) -> DataFrame:
-    inp, prm = _ctx(spark, sf_dir)
-    return RP.retention_report(inp, prm)
-
-
 def q_attribution(spark, sf_dir):
-    return _report(spark, sf_dir).select(
-        "account_id", "attribution_type", "attribution_source", "industry"
-    ).distinct()
+    inp, prm = _ctx(spark, sf_dir)
+    return RP.attribution_by_account(inp, prm).select("account_id", "attribution_type", "attribution_source", "industry")
 
 
 def q_size_py_distinct(spark, sf_dir):
-    return _report(spark, sf_dir).select("account_id", "product", "year", "customer_size_py").distinct()
+    inp, prm = _ctx(spark, sf_dir)
+    return RP.size_py_by_year(inp, prm)
 
 
 def q_retention_report(spark, sf_dir):
-    return _report(spark, sf_dir)
+    inp, prm = _ctx(spark, sf_dir)
+    return RP.retention_report(inp, prm)
 
 
 RETENTION_QUERIES: dict[str, Query] = {

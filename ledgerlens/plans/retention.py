@@ -2,19 +2,18 @@
 
 Physical shape (see README, "Plan"):
 
-1. scan transactions (status filter pushed to the scan), size-checked
-   broadcast joins to form / gateway / day rate / take rate, partial hash
-   aggregate -> exchange on the monthly grain -> final aggregate
-2. ``repartition(account_id)``: the only other exchange of the main data
-3. densify, then every window (series, product, product-month) inside that
-   partitioning: four window layers for the horizons, two for the status
-4. account attributes and account-level lookups last (broadcast when the
-   size check passes, else co-partitioned on account_id), so the windows do
-   not carry their strings
-
-Rows per account after step 1 are bounded by products x gateway groups x
-calendar months, so a hot account cannot make an oversized task after the
-partial aggregate has absorbed its transactions.
+1. scan transactions (status filter pushed to the scan), joins to form /
+   gateway / day rate, partial hash aggregate -> exchange on the monthly
+   grain -> final aggregate, take rate on the monthly sums
+2. account and product lookups joined to the monthly rows, the smallest frame
+   that has their keys
+3. ``repartition(account_id, product)``: the last exchange of the main data
+4. densify, then every window (series, product, product-month) inside that
+   partitioning: three window layers for the horizons, two for the status
+
+Rows per account and product after step 1 are bounded by gateway groups x
+calendar months, so neither a hot account nor one with thousands of products
+makes an oversized task.
 """
 
 from __future__ import annotations
@@ -32,7 +31,6 @@ from ..operators import horizons as H
 from ..operators import pricing as P
 from ..operators import report as R
 from ..operators import status as S
-from ..operators.joins import DEFAULT_BROADCAST_ROWS
 from ..sources import fixtures as FX
 
 
@@ -61,13 +59,12 @@ class RetentionParams:
     fallback_other: Decimal = L.DEFAULT_FALLBACK_OTHER
     fallback_type: str | None = None
     organization_labels: dict[int, str] = field(default_factory=dict)
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
 
 
 def fixture_inputs(spark: SparkSession, sf_dir: str) -> RetentionInputs:
     t = FX.Tables(spark, sf_dir)
     return RetentionInputs(
-        transactions=FX.dim_transaction(t),
+        transactions=FX.dim_transaction(t, status=P.KEPT_STATUS),
         forms=FX.dim_form(t),
         gateways=FX.dim_gateway(t),
         exchange_rates=FX.exchange_rates(t),
@@ -98,7 +95,7 @@ def monthly_totals(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     return P.priced_monthly_totals(
         inp.transactions, inp.forms, inp.gateways, inp.exchange_rates, inp.take_rates,
         fallback_wepay=prm.fallback_wepay, fallback_other=prm.fallback_other,
-        fallback_type=prm.fallback_type, broadcast_rows=prm.broadcast_rows,
+        fallback_type=prm.fallback_type,
     )
 
 
@@ -108,41 +105,39 @@ def account_attrs(inp: RetentionInputs) -> DataFrame:
 
 def priced_with_accounts(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """Q1: priced monthly totals with account name, manager and organization id."""
-    return P.attach_account_attributes(monthly_totals(inp, prm), account_attrs(inp), prm.broadcast_rows)
+    return P.attach_account_attributes(monthly_totals(inp, prm), account_attrs(inp))
 
 
-def _dense(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    """C5 on the account partitioning, without account attributes."""
-    totals = monthly_totals(inp, prm)
+def _labelled(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """Monthly totals with account name, manager and organization label."""
+    df = priced_with_accounts(inp, prm)
+    label = L.organization_label("organization_id", prm.organization_labels)
+    return df.select(*[label.alias(c) if c == "organization_id" else F.col(c) for c in df.columns])
+
+
+def _dense(totals: DataFrame, prm: RetentionParams) -> DataFrame:
+    """C5 on the (account, product) partitioning."""
     # Fixed count (the session's shuffle partitions): rows grow ~10x after
     # this exchange (the spine) and ~25 window columns are added, so sizing
     # by the pre-expansion bytes (AQE coalescing) would starve the windows.
     n = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    totals = totals.repartition(n, "account_id")
+    totals = totals.repartition(n, "account_id", "product")
     return D.densify_months(totals, prm.as_of, prm.tail_months, prm.calendar_start)
 
 
-def _with_accounts(df: DataFrame, inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    """Account name, manager and organization label.  Joined after the
-    windows so they do not carry these strings; the join is broadcast when
-    the accounts are few, else co-partitioned on account_id."""
-    df = P.attach_account_attributes(df, account_attrs(inp), prm.broadcast_rows)
-    label = L.organization_label("organization_id", prm.organization_labels)
-    return df.select(*[label.alias(c) if c == "organization_id" else F.col(c) for c in df.columns])
-
-
 def dense_base(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """Q3: the dense monthly series with account attributes."""
-    return _with_accounts(_dense(inp, prm), inp, prm)
+    return _dense(_labelled(inp, prm), prm)
 
 
-def _horizons(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    return H.add_horizons(_dense(inp, prm))
+def metric_frame(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """All horizon metrics on the dense series, without account attributes (uncast)."""
+    return H.add_horizons(_dense(monthly_totals(inp, prm), prm))
 
 
 def aux_frame(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """All horizon metrics on the dense base, with account attributes (uncast)."""
-    return _with_accounts(_horizons(inp, prm), inp, prm)
+    return H.add_horizons(_dense(_labelled(inp, prm), prm))
 
 
 def aux_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
@@ -150,23 +145,50 @@ def aux_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     return R.cast_money(aux_frame(inp, prm).select(*R.AUX_COLUMNS), R.AUX_MONEY)
 
 
-def classified_frame(inp: RetentionInputs, prm: RetentionParams, accounts: bool = True) -> DataFrame:
-    """Horizons + product totals + later activity + statuses (+ account attributes)."""
-    c = S.classify_status(_horizons(inp, prm))
-    return _with_accounts(c, inp, prm) if accounts else c
+def classified_frame(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """Horizons + product totals + later activity + statuses, without account attributes."""
+    return S.classify_status(metric_frame(inp, prm))
+
+
+def _account_lookups(df: DataFrame, inp: RetentionInputs) -> DataFrame:
+    return R.attach_industry(R.attach_attribution(df, inp.attribution), inp.industries)
 
 
 def retention_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """Q22: the 40-column report."""
-    return R.retention_report(
-        classified_frame(inp, prm), inp.attribution, inp.industries, inp.max_ttm,
-        inp.size_py, prm.broadcast_rows,
-    )
+    monthly = _account_lookups(_labelled(inp, prm), inp)
+    monthly = R.attach_product_lookups(monthly, inp.max_ttm, inp.size_py)
+    return R.retention_report(S.classify_status(H.add_horizons(_dense(monthly, prm))))
+
+
+def _spine_keys(inp: RetentionInputs, prm: RetentionParams, *keys: str) -> DataFrame:
+    """Distinct keys of the series that have a month in the report's range."""
+    first = F.col("date") if prm.calendar_start is None else F.greatest("date", F.lit(prm.calendar_start))
+    last = F.least(F.add_months("date", prm.tail_months), F.lit(prm.as_of))
+    return monthly_totals(inp, prm).where(first <= last).select(*keys).distinct()
+
+
+def attribution_by_account(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """J16 by account: attribution and industry of the accounts in the report."""
+    return _account_lookups(_spine_keys(inp, prm, "account_id"), inp)
+
+
+def size_py_by_year(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
+    """J17 by (account, product, year): the size band of every year in the report."""
+    spans = monthly_totals(inp, prm).groupBy(*P.SERIES_KEYS).agg(F.min("date").alias("low"), F.max("date").alias("high"))
+    low = F.col("low") if prm.calendar_start is None else F.greatest("low", F.lit(prm.calendar_start))
+    high = F.least(F.add_months("high", prm.tail_months), F.lit(prm.as_of))
+    years = spans.where(low <= high).select(
+        "account_id", "product",
+        F.explode(F.sequence(F.year(low).cast("smallint"), F.year(high).cast("smallint"))).alias("year"),
+    ).distinct()
+    rows = R.attach_product_lookups(years, inp.max_ttm, inp.size_py)
+    return rows.select("account_id", "product", "year", R.size_of_year().alias("customer_size_py"))
 
 
 def status_counts(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
     """Q18: rows per month, horizon and status (partial aggregate, tiny output)."""
-    c = classified_frame(inp, prm, accounts=False)
+    c = classified_frame(inp, prm)
     long = c.select(
         "date",
         F.expr(

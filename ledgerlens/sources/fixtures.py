@@ -63,6 +63,13 @@ def _pick(values: list, index) -> F.Column:
     return expr
 
 
+def _coded(column: str, codes: dict) -> F.Column:
+    expr = F.when(F.lit(False), F.lit(None).cast("int"))
+    for letter, code in codes.items():
+        expr = expr.when(F.col(column) == letter, F.lit(code))
+    return expr
+
+
 def dim_dates(t: Tables, start: dt.date = CALENDAR_START, end: dt.date = AS_OF) -> DataFrame:
     """Calendar days [start, end] (full_date, month_day_number), distributed."""
     n = (end - start).days + 1
@@ -71,11 +78,19 @@ def dim_dates(t: Tables, start: dt.date = CALENDAR_START, end: dt.date = AS_OF)
     ).withColumn("month_day_number", F.dayofmonth("full_date"))
 
 
-def dim_transaction(t: Tables) -> DataFrame:
+#: Order status letter -> status code of a transaction.
+ORDER_STATUS = {"F": 6, "O": 1, "P": 2}
+
+
+def dim_transaction(t: Tables, status: int | None = None) -> DataFrame:
+    """Transactions; ``status`` keeps those of one status by a filter on the raw
+    column, which reaches the scan."""
     li = t("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    if status is not None:
+        o = o.where(F.col("o_orderstatus").isin([k for k, v in ORDER_STATUS.items() if v == status]))
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("l_suppkey").alias("account_id"),
         F.col("l_partkey").alias("form_id"),
@@ -84,10 +99,7 @@ def dim_transaction(t: Tables) -> DataFrame:
         F.col("l_shipdate").alias("date_created"),
         F.when(F.col("l_returnflag") == "R", F.lit(2)).otherwise(F.lit(1)).alias("transaction_type"),
         F.col("l_extendedprice").cast("decimal(12,2)").alias("amount"),
-        F.when(F.col("o_orderstatus") == "F", F.lit(6))
-        .when(F.col("o_orderstatus") == "O", F.lit(1))
-        .when(F.col("o_orderstatus") == "P", F.lit(2))
-        .alias("status"),
+        _coded("o_orderstatus", ORDER_STATUS).alias("status"),
     )
 
 
