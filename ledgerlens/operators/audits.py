@@ -1,7 +1,7 @@
 """Freshness, missing grants, schedule-window audits.
 
 They run over inventory tables (one row per object / grant / task) of any
-size: filters, anti joins on distinct pairs, and small per-object aggregates.
+size: filters, one aggregate over tagged inputs, and small per-object aggregates.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import floor_days_between, micros_of_day, time_of_day_micros
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 # Defaults of the original audits (fixed values).
 DEFAULT_OFFSET_HOURS = 7
@@ -56,38 +55,64 @@ def freshness_audit(
     return out.orderBy(F.col("days_since_refresh").desc()) if ordered else out
 
 
-def group_grants(grants: DataFrame, groups: DataFrame,
-                 broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def group_grants(grants: DataFrame, groups: DataFrame) -> DataFrame:
     """(object, grantee_type, grantee_id) -> (object, grantee) for
     group grants, id resolved to the first group with that id."""
     first = groups.groupBy("id").agg(F.min("name").alias("grantee"))
     return (
         grants.where(F.col("grantee_type") == "group")
-        .join(bounded_broadcast(first, broadcast_rows), F.col("grantee_id") == F.col("id"))
+        .join(first, F.col("grantee_id") == F.col("id"))
         .select("object", "grantee")
     )
 
 
-def missing_grants(expected: DataFrame, actual: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """C14: (missing, absent).
+def expected_grants(expected: DataFrame, actual: DataFrame, inventory: DataFrame) -> DataFrame:
+    """C14: every expected (object, grantee) with its ``state``.
 
-    ``missing``: per object present in ``actual``, the expected grantees it
-    lacks: object, n_missing, missing_grantees (sorted, comma joined).
-    ``absent``: expected objects with no actual grant at all.
-    Both sides are reduced to distinct pairs first; the anti join is on
-    (object, grantee), so a huge object spreads over its grantees.
-    """
-    exp = expected.select("object", "grantee").distinct()
-    act = actual.select("object", "grantee").distinct()
-    act_objects = act.select("object").distinct()
-    lacking = exp.join(act, ["object", "grantee"], "left_anti")
-    present = lacking.join(act_objects, "object", "left_semi")
-    missing = present.groupBy("object").agg(
+    ``granted``: the object is in ``inventory`` and has the grant; ``missing``: it
+    is there without it, whatever other grants it has or lacks; ``absent``: the
+    object is not in the inventory.  Presence comes from the inventory alone.
+    ``actual`` is (object, grantee), ``inventory`` has a column object.
+
+    The three inputs are tagged and unioned, so each is read once: one aggregate
+    by (object, grantee), then one flag by object joined back (a huge object
+    spreads over its grantees)."""
+    flag = lambda e, a, p: [F.lit(x).alias(n) for n, x in (("_e", e), ("_a", a), ("_p", p))]
+    none = F.lit(None).cast("string").alias("grantee")
+    tagged = (
+        expected.select("object", "grantee", *flag(1, 0, 0))
+        .unionAll(actual.select("object", "grantee", *flag(0, 1, 0)))
+        .unionAll(inventory.select("object", none, *flag(0, 0, 1)))
+    )
+    pairs = tagged.groupBy("object", "grantee").agg(*[F.max(c).alias(c) for c in ("_e", "_a", "_p")])
+    wanted = pairs.where("_e = 1").select("object", "grantee", (F.col("_a") == 1).alias("_granted"))
+    there = pairs.where("_p = 1").select("object", F.lit(True).alias("_there"))
+    state = (
+        F.when(F.col("_there").isNull(), F.lit("absent"))
+        .when(F.col("_granted"), F.lit("granted"))
+        .otherwise(F.lit("missing"))
+    )
+    return wanted.join(there.distinct(), "object", "left").select("object", "grantee", state.alias("state"))
+
+
+def missing_grants(states: DataFrame) -> DataFrame:
+    """The missing (object, grantee) pairs of ``expected_grants``."""
+    return states.where(F.col("state") == "missing").select("object", "grantee")
+
+
+def absent_objects(states: DataFrame) -> DataFrame:
+    """The expected objects that are not in the inventory."""
+    return states.where(F.col("state") == "absent").select("object").distinct()
+
+
+def list_missing(missing: DataFrame) -> DataFrame:
+    """A view for people: object, n_missing, missing_grantees (sorted, comma joined).
+
+    One text per object, so only for lists of grantees that a person can read."""
+    return missing.groupBy("object").agg(
         F.count(F.lit(1)).alias("n_missing"),
         F.array_join(F.array_sort(F.collect_set("grantee")), ", ").alias("missing_grantees"),
     )
-    absent = exp.select("object").distinct().join(act_objects, "object", "left_anti")
-    return missing, absent
 
 
 def schedule_window_audit(

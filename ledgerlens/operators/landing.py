@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Header names of the landing sheets -> output names (positional in the
-# original job: Date, Account ID, Product, Amount, Source).
+# Header names of the landing sheets -> output names (positional in
+# the original job: Date, Account ID, Product, Amount, Source).
 DEFAULT_MAPPING = {
     "Date": "date_created",
     "Account ID": "account_id",
@@ -19,14 +19,23 @@ DEFAULT_MAPPING = {
     "Amount": "total",
     "Source - Tableau (additional item)": "source",
 }
-# Accepted date layouts, tried in order.
-DATE_FORMATS = ("yyyy-MM-dd", "MM/dd/yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd")
+#: Column that tells the header a row came under (see ``sources.io.read_landing``).
+HEADER = "_header"
+# Layouts of the day, tried in order; a time of day after it is set aside first.
+DATE_FORMATS = (
+    "yyyy-M-d", "yyyy/M/d", "yyyyMMdd", "M/d/yyyy", "M-d-yyyy", "M/d/yy",
+    "d-MMM-yyyy", "d MMM yyyy", "d MMMM yyyy", "MMM d yyyy", "MMMM d yyyy",
+)
+_TIME = r"(?i)[T ]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[ap]m)?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?$"
 
 
 def parse_date(c, formats=DATE_FORMATS):
-    """first layout that parses, as a DATE; unparsable -> NULL."""
+    """the day of a text in any of the layouts, month before day where both
+    are numbers; a time of day is ignored; unparsable -> NULL."""
     col = F.trim(F.col(c) if isinstance(c, str) else c)
-    return F.coalesce(*[F.to_date(F.try_to_timestamp(col, F.lit(f))) for f in formats])
+    day = F.trim(F.regexp_replace(F.regexp_replace(col, _TIME, ""), ",", " "))
+    day = F.regexp_replace(day, " +", " ")
+    return F.coalesce(*[F.to_date(F.try_to_timestamp(day, F.lit(f))) for f in formats])
 
 
 def parse_int_id(c):
@@ -50,10 +59,18 @@ def clean_landing(
       to double; text that does not parse goes to rejects
     * rows with no ``account_id`` are rejected as ``null_account_id``
       (dropped silently in the original job)
+    * rows that came under a header without one of the mapped names are
+      rejected as ``missing_column``
     """
+    absent = [c for c in mapping if c not in raw.columns]
+    raw = raw.select("*", *[F.lit(None).cast("string").alias(c) for c in absent])
+    if HEADER in raw.columns:
+        incomplete = ~F.forall(F.array(*map(F.lit, mapping)), lambda c: F.array_contains(HEADER, c))
+    else:
+        incomplete = F.lit(bool(absent))
     keep = [c for c in (keep or []) if c in raw.columns]
     cols = [F.nullif(F.trim(F.col(f"`{src}`")), F.lit("")).alias(dst) for src, dst in mapping.items()]
-    df = raw.select(*cols, *keep).na.drop(how="all", subset=list(mapping.values()))
+    df = raw.select(*cols, *keep, incomplete.alias("_incomplete")).na.drop(how="all", subset=list(mapping.values()))
     parsed = df.select(
         "*",
         parse_date("date_created").alias("_date"),
@@ -61,7 +78,8 @@ def clean_landing(
         F.col("total").try_cast("double").alias("_total"),
     )
     reason = (
-        F.when(F.col(key).isNull(), F.lit("null_account_id"))
+        F.when(F.col("_incomplete"), F.lit("missing_column"))
+        .when(F.col(key).isNull(), F.lit("null_account_id"))
         .when(F.col("_id").isNull(), F.lit("bad_account_id"))
         .when(F.col("date_created").isNotNull() & F.col("_date").isNull(), F.lit("bad_date"))
         .when(F.col("total").isNotNull() & F.col("_total").isNull(), F.lit("bad_amount"))

@@ -2,10 +2,10 @@
 
 ``missing_dates`` finds the calendar days (or months) in a range with no row,
 optionally per key.  It never builds keys x calendar: per key the distinct
-dates present, plus two sentinels just outside the range, are ordered and
-each gap between neighbours is expanded with ``sequence``.  Work is linear in
-input dates + missing output; a key's window holds at most the calendar
-length (the distinct pre-aggregate absorbs hot keys).
+dates present are ordered and each gap between neighbours, before the first
+and after the last is expanded with ``sequence``.  The table is read once; work
+is linear in input dates + missing output; a key's window holds at most the
+calendar length (the distinct pre-aggregate absorbs hot keys).
 """
 
 from __future__ import annotations
@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
-
 
 def _unit_expr(unit: str):
     if unit == "day":
@@ -51,26 +49,22 @@ def missing_dates(
     if unit == "month":
         lo, hi = F.trunc(lo, "MM"), F.trunc(hi, "MM")
     d = to_unit(F.col(date_col))
-    present = (
-        existing.select(*keys, d.alias("_d"))
-        .where(F.col("_d").isNotNull() & (F.col("_d") >= lo) & (F.col("_d") <= hi))
-        .distinct()
-    )
-    key_set = existing.select(*keys).distinct() if keys else existing.sparkSession.range(1).select()
-    sentinels = key_set.select(
-        *keys, F.explode(F.array(shift(lo, -1), shift(hi, 1))).alias("_d")
-    )
-    points = present.unionByName(sentinels)
-    w = Window.partitionBy(*keys).orderBy("_d") if keys else Window.orderBy("_d")
-    gaps = points.withColumn("_next", F.lead("_d").over(w)).where(
-        F.col("_next").isNotNull() & (F.col("_next") > shift(F.col("_d"), 1))
-    )
-    out = gaps.select(
-        *keys,
-        F.explode(
-            F.sequence(shift(F.col("_d"), 1), shift(F.col("_next"), -1), F.expr(step))
-        ).alias(out_col),
+    # one pass: each key's distinct dates in the range; NULL stands for all others
+    # and keeps a key without any
+    points = existing.select(*keys, F.when((d >= lo) & (d <= hi), d).alias("_d"))
+    if not keys:  # an empty table lacks every date
+        points = points.unionAll(existing.sparkSession.range(1).select(F.lit(None).cast("date")))
+    w = Window.partitionBy(*keys).orderBy(F.col("_d").asc_nulls_first())
+    near = points.distinct().select(
+        *keys, "_d", F.lag("_d").over(w).alias("_before"), F.lead("_d").over(w).alias("_after")
     )
+    # the dates between a point and the one before, and after the last point
+    first = F.coalesce(shift(F.col("_before"), 1), lo)
+    gap = lambda a, b: F.when(a <= b, F.sequence(a, b, F.expr(step))).otherwise(F.array().cast("array<date>"))
+    ahead = F.when(F.col("_d").isNotNull(), gap(first, shift(F.col("_d"), -1)))
+    tail = F.when(F.col("_after").isNull(), gap(F.coalesce(shift(F.col("_d"), 1), lo), hi))
+    none = F.array().cast("array<date>")
+    out = near.select(*keys, F.explode(F.concat(F.coalesce(ahead, none), F.coalesce(tail, none))).alias(out_col))
     return out.orderBy(F.col(out_col).desc()) if newest_first else out
 
 
@@ -90,32 +84,33 @@ def explode_rate_payloads(payloads: DataFrame) -> DataFrame:
     return payloads.select("date", F.explode("rates").alias("currency", "quoted"))
 
 
-def ingest_rates(
-    payloads: DataFrame,
-    existing: DataFrame,
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> tuple[DataFrame, DataFrame]:
+def ingest_rates(payloads: DataFrame, existing: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows to append and rejects.
 
     The payload quotes units per base unit; the stored rate is its
     reciprocal.  Zero or NULL quotes go to rejects (the reciprocal is
-    undefined) instead of storing infinity, and so do quotes without a date.  A (date, currency) already in
-    ``existing`` is never appended again, so a re-run adds nothing.
+    undefined) instead of storing infinity, and so do quotes without a date.
+    One row per (date, currency): of several quotes the largest one (the
+    smallest rate) is stored, the others go to rejects as ``duplicate_key``;
+    equal quotes count once.  A (date, currency) already in ``existing`` is
+    never appended again, so a re-run adds nothing.
     """
     rows = explode_rate_payloads(payloads)
     quoted = F.col("quoted")
+    best = Window.partitionBy("date", "currency").orderBy(quoted.desc())
+    known = F.col("date").isNotNull() & quoted.isNotNull() & (quoted != 0)
+    # equal quotes of one key meet first, so a hot key holds its distinct quotes only
+    good = rows.where(known).distinct().withColumn("_rank", F.row_number().over(best))
     reason = (
         F.when(F.col("date").isNull(), F.lit("null_date"))
         .when(quoted.isNull(), F.lit("null_rate"))
-        .when(quoted == 0, F.lit("zero_rate"))
+        .otherwise(F.lit("zero_rate"))
+    )
+    rejects = rows.where(~F.coalesce(known, F.lit(False))).select("date", "currency", "quoted", reason.alias("reason")).unionAll(
+        good.where(F.col("_rank") > 1).select("date", "currency", "quoted", F.lit("duplicate_key"))
     )
-    bad = reason.isNotNull()
-    rejects = rows.where(bad).select("date", "currency", "quoted", reason.alias("reason"))
-    good = rows.where(~bad).select(
+    new = good.where(F.col("_rank") == 1).select(
         "date", "currency", F.try_divide(F.lit(1.0), quoted.cast("double")).alias("rate")
-    ).dropDuplicates(["date", "currency", "rate"])
-    have = bounded_broadcast(
-        existing.select("date", "currency").where(F.col("date").isNotNull()).distinct(),
-        broadcast_rows,
     )
-    return good.join(have, ["date", "currency"], "left_anti"), rejects
+    have = existing.select("date", "currency").where(F.col("date").isNotNull()).distinct()
+    return new.join(have, ["date", "currency"], "left_anti"), rejects

@@ -46,25 +46,36 @@ def q_missing_days_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rate_payloads(t: FX.Tables) -> DataFrame:
-    """Landed payloads: per calendar day a map currency -> quote (1 / rate),
-    the first day also carrying a zero and a NULL quote."""
-    rows = FX.calendar_currencies(t).withColumn(
-        "quoted", F.lit(1.0) / FX.currency_rate().cast("double")
+    """Landed payloads from the orders: one per (day, order status), a map from
+    currency (the priority's digit) to a quote that follows the orders' keys, so
+    one day's payloads can disagree.  Some quotes are zero or NULL."""
+    o = t("orders").where(F.col("o_orderdate").isNotNull())
+    top = F.max("o_orderkey")
+    quote = (
+        F.when(top % 41 == 0, F.lit(None).cast("double"))
+        .when(top % 37 == 0, F.lit(0.0))
+        .otherwise((top % 16 + 1) / F.lit(8.0))
     )
-    payload = rows.groupBy("date").agg(
+    quotes = o.groupBy(
+        F.to_date("o_orderdate").alias("date"), "o_orderstatus", F.substring("o_orderpriority", 1, 1).alias("currency")
+    ).agg(quote.alias("quoted"))
+    # at most five priorities a payload
+    return quotes.groupBy("date", "o_orderstatus").agg(
         F.map_from_entries(F.collect_list(F.struct("currency", "quoted"))).alias("rates")
-    )
-    odd = F.create_map(F.lit("Z"), F.lit(0.0), F.lit("N"), F.lit(None).cast("double"))
-    return payload.withColumn(
-        "rates",
-        F.when(F.col("date") == F.lit(FX.CALENDAR_START), F.map_concat("rates", odd)).otherwise(F.col("rates")),
-    )
+    ).select("date", "rates")
+
+
+def known_rates(t: FX.Tables) -> DataFrame:
+    """The rate table so far: the (day, currency) of orders with a clerk number divisible by 3."""
+    o = t("orders").where("o_orderdate IS NOT NULL AND o_orderkey % 3 = 0")
+    return o.select(
+        F.to_date("o_orderdate").alias("date"), F.substring("o_orderpriority", 1, 1).alias("currency"), F.lit(1.0).alias("rate")
+    ).distinct()
 
 
 def _rates_ingest(spark: SparkSession, sf_dir: str):
     t = FX.Tables(spark, sf_dir)
-    existing = FX.exchange_rates(t).withColumn("rate", F.col("rate").cast("double"))
-    return RT.ingest_rates(rate_payloads(t), existing)
+    return RT.ingest_rates(rate_payloads(t), known_rates(t))
 
 
 def q_rates_ingest(spark, sf_dir):
@@ -79,13 +90,16 @@ def q_rates_rejects(spark, sf_dir):
 
 def landing_raw(t: FX.Tables) -> DataFrame:
     """Orders as landed sheet rows (all text) with blank rows, missing ids,
-    ``123.0`` ids, non-numeric ids, US-style and unparsable dates."""
+    ``123.0`` ids, non-numeric ids, days in five layouts and unparsable ones."""
     o = t("orders")
     k = F.col("o_orderkey")
     blank = k % 101 == 0
     date_txt = (
         F.when(k % 53 == 0, F.lit("not a date"))
         .when(k % 7 == 0, F.date_format("o_orderdate", "MM/dd/yyyy"))
+        .when(k % 11 == 0, F.date_format("o_orderdate", "M/d/yyyy"))
+        .when(k % 13 == 0, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00:00")))
+        .when(k % 17 == 0, F.concat(F.date_format("o_orderdate", "MM/dd/yyyy"), F.lit(" 10:00")))
         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
     )
     cust = F.col("o_custkey").cast("string")
@@ -95,15 +109,9 @@ def landing_raw(t: FX.Tables) -> DataFrame:
         .when(k % 5 == 0, F.concat(cust, F.lit(".0")))
         .otherwise(cust)
     )
-    cols = {
-        "Date": date_txt,
-        "Account ID": acct_txt,
-        "Product": F.col("o_orderpriority"),
-        "Amount": F.col("o_totalprice").cast("string"),
-        "Source - Tableau (additional item)": F.col("o_orderstatus"),
-    }
+    values = [date_txt, acct_txt, F.col("o_orderpriority"), F.col("o_totalprice").cast("string"), F.col("o_orderstatus")]
     return o.select(
-        *[F.when(blank, F.lit(None).cast("string")).otherwise(v).alias(name) for name, v in cols.items()]
+        *[F.when(blank, F.lit(None).cast("string")).otherwise(v).alias(name) for name, v in zip(LD.DEFAULT_MAPPING, values, strict=True)]
     )
 
 
@@ -136,9 +144,10 @@ def q_flag_increment(spark, sf_dir):
     increment; the union is the log after two runs (= the full rebuild)."""
     v = published_versions(FX.Tables(spark, sf_dir))
     half = (FL.high_watermark(v) or 0) // 2
-    mode, initial = FL.flag_log_increment(v.where(F.col("id") <= half), None, FLAG_MARKER)
+    _, initial = FL.flag_log_increment(v.where(F.col("id") <= half), None, FLAG_MARKER)
     mode, new = FL.flag_log_increment(v, initial, FLAG_MARKER)
-    return initial.unionByName(new)
+    # a rebuild (the first load held no id above 0) replaces the log
+    return initial.unionByName(new) if mode == "append" else new
 
 
 EVENTS_SCHEMA = T.StructType([
@@ -152,14 +161,15 @@ EVENTS_SCHEMA = T.StructType([
 
 
 def q_flag_stream(spark, sf_dir):
-    """The events file as the landing folder of a file stream; run until
-    caught up, then read the sink (under the session's checkpoint dir)."""
+    """The events table, a file or a folder of part files, as the source of a file
+    stream; run until caught up, then read the sink (under the session's
+    checkpoint dir)."""
     from ..streaming.flag_log import start_flag_stream
 
     run = shared_dir(spark, f"flag_stream/{uuid.uuid4().hex}")
     q = start_flag_stream(
-        spark, sf_dir, EVENTS_SCHEMA, f"{run}/sink", f"{run}/checkpoint",
-        marker=FLAG_MARKER, glob="events.parquet",
+        spark, f"{sf_dir.rstrip('/')}/events.parquet", EVENTS_SCHEMA, f"{run}/sink", f"{run}/checkpoint",
+        marker=FLAG_MARKER,
         rename={"event_id": "id", "user_id": "form_id", "props": "form", "ts": "date_created"},
     )
     q.awaitTermination()
@@ -191,32 +201,37 @@ def q_freshness(spark, sf_dir):
     return A.freshness_audit(inv, as_of, projects=AUDIT_PROJECTS)
 
 
-def _grant_inputs(events: DataFrame):
+def _grant_states(events: DataFrame) -> DataFrame:
+    """Objects are a user's days.  Each day from a user's first to last is expected to be
+    granted to all groups; it is in the inventory when it has an event; an event grants
+    its type's group, but an ``error`` event only a single user."""
     day = F.to_date("ts")
-    obj = lambda d: F.concat(F.lit("user "), F.col("user_id").cast("string"), F.lit(" on "), d.cast("string"))
+    name = A.object_name("_day", "_user")
+    named = lambda df: df.select("*", name.alias("object"))
+    user = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("_user")
     spans = events.groupBy("user_id").agg(F.min(day).alias("d0"), F.max(day).alias("d1"))
-    expected = spans.select(
-        "user_id", F.explode(F.sequence("d0", "d1", F.expr("INTERVAL 1 DAY"))).alias("day")
-    ).select(
-        obj(F.col("day")).alias("object"),
-        F.explode(F.array(*[F.lit(e) for e in EVENT_TYPES])).alias("grantee"),
-    )
+    days = F.transform(F.sequence("d0", "d1", F.expr("INTERVAL 1 DAY")), lambda d: d.cast("string"))
+    expected = named(spans.select(user, F.explode(days).alias("_day"))).select("object", F.explode(F.array(*[F.lit(e) for e in EVENT_TYPES])).alias("grantee"))
     groups = events.select(F.upper("event_type").alias("id"), F.col("event_type").alias("name")).distinct()
-    grants = events.select(
-        obj(day).alias("object"), F.lit("group").alias("grantee_type"),
+    seen = named(events.select(user, day.cast("string").alias("_day"), "event_type"))
+    grants = seen.select(
+        "object",
+        F.when(F.col("event_type") == "error", F.lit("user")).otherwise(F.lit("group")).alias("grantee_type"),
         F.upper("event_type").alias("grantee_id"),
     )
-    return expected, A.group_grants(grants, groups)
+    return A.expected_grants(expected, A.group_grants(grants, groups), seen.select("object"))
 
 
 def q_missing_grants(spark, sf_dir):
-    expected, actual = _grant_inputs(_events(spark, sf_dir))
-    return A.missing_grants(expected, actual)[0]
+    return A.missing_grants(_grant_states(_events(spark, sf_dir)))
+
+
+def q_missing_grants_listed(spark, sf_dir):
+    return A.list_missing(A.missing_grants(_grant_states(_events(spark, sf_dir))))
 
 
 def q_absent_objects(spark, sf_dir):
-    expected, actual = _grant_inputs(_events(spark, sf_dir))
-    return A.missing_grants(expected, actual)[1]
+    return A.absent_objects(_grant_states(_events(spark, sf_dir)))
 
 
 def q_schedule_outside_window(spark, sf_dir):
@@ -240,13 +255,13 @@ def q_audit_summary(spark, sf_dir):
     ev = _events(spark, sf_dir)
     as_of = dt.datetime.fromisoformat(EVENTS_AS_OF)
     stale = A.freshness_audit(extract_inventory(ev), as_of, projects=AUDIT_PROJECTS, ordered=False)
-    expected, actual = _grant_inputs(ev)
-    missing, absent = A.missing_grants(expected, actual)
     outside = q_schedule_outside_window(spark, sf_dir)
-    return A.audit_summary(
-        stale_extracts=stale, missing_grants=missing, absent_objects=absent,
-        outside_window=outside,
-    )
+    # both counts of the grant audit come from one pass over its states
+    counts = _grant_states(ev).agg(
+        F.count(F.when(F.col("state") == "missing", 1)).alias("missing_grants"),
+        F.count_distinct(F.when(F.col("state") == "absent", F.col("object"))).alias("absent_objects"),
+    ).select(F.expr("stack(2, 'missing_grants', missing_grants, 'absent_objects', absent_objects) AS (audit, n_rows)"))
+    return A.audit_summary(stale_extracts=stale, outside_window=outside).unionByName(counts)
 
 
 JOB_QUERIES = {
@@ -262,6 +277,7 @@ JOB_QUERIES = {
     "flag_stream": q_flag_stream,
     "freshness": q_freshness,
     "missing_grants": q_missing_grants,
+    "missing_grants_listed": q_missing_grants_listed,
     "absent_objects": q_absent_objects,
     "schedule_outside_window": q_schedule_outside_window,
     "audit_summary": q_audit_summary,

@@ -6,11 +6,16 @@ from executors to the target (no staging object).
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
+from ..operators.landing import HEADER
+
 # Daily rate table (fixed DDL of the original job).
 RATES_SCHEMA = T.StructType([
     T.StructField("date", T.DateType()),
@@ -29,26 +34,50 @@ FLAG_LOG_SCHEMA = T.StructType([
 ])
 
 
+def _headers(spark: SparkSession, path: str, glob: str | None) -> dict[str, list[str]]:
+    """Header line -> the files that begin with it.  One row per file reaches the driver,
+    which lists the files for any scan anyway."""
+    r = spark.read.option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    lines = r.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("line"), "value",
+    )
+    heads = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
+    out: dict[str, list[str]] = {}
+    for row in heads.orderBy("file").collect():
+        out.setdefault(row["head"], []).append(row["file"])
+    return out
+
+
 def read_landing(
     spark: SparkSession,
     path: str,
     fmt: str = "csv",
     glob: str | None = "*.csv",
-    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Every landing file under ``path`` (recursive, glob-filtered) in
-    one read, header row as column names, all values as text, plus the source
-    file path.  CSV files must share one header; use ``fmt='json'`` for files
-    whose columns differ (union by name)."""
+    """Every landing file under ``path`` (recursive, glob-filtered), all
+    values as text, plus the source file path and ``_header``, the column names of
+    its file.
+
+    CSV files may differ in their headers: files with the same header are read
+    together under it, and the reads are united by name, so a value always goes
+    to the column it stands under.  A column that a file lacks is NULL there."""
+    if fmt == "csv":
+        frames = []
+        for head, files in _headers(spark, path, glob).items():
+            names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([head]))]
+            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+            df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").csv(files)
+            frames.append(df.select("*", F.array(*map(F.lit, names)).alias(HEADER), F.col("_metadata.file_path").alias("source_file")))
+        if not frames:
+            return spark.createDataFrame([], f"{HEADER} array<string>, source_file string")
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     r = spark.read.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    if fmt == "csv":
-        if columns:
-            schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-            r = r.schema(schema).option("enforceSchema", "false")
-        df = r.option("header", "true").option("inferSchema", "false").csv(path)
-    elif fmt == "json":
+    if fmt == "json":
         df = r.option("primitivesAsString", "true").json(path)
     else:
         df = r.format(fmt).load(path)
@@ -90,22 +119,44 @@ def ingest_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """S15 for path tables: is there a readable parquet table at ``path``?"""
+    """S15 for path tables: False only if nothing is at ``path``.  A path that holds
+    something else than a parquet table raises."""
     try:
         spark.read.parquet(path).schema
         return True
-    except AnalysisException:  # path does not exist / not a table
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType) -> bool:
-    """Create an empty table with a fixed schema if missing; True if created."""
+    """Create an empty table with a fixed schema if nothing is there; True if
+    created.  Never overwrites."""
     if table_exists(spark, path):
         return False
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    spark.createDataFrame([], schema).write.mode("errorifexists").parquet(path)
+    return True
+
+
+def create_table_if_absent(spark: SparkSession, name: str, schema: T.StructType) -> bool:
+    """S15 for catalog tables; True if created."""
+    if spark.catalog.tableExists(name):
+        return False
+    spark.createDataFrame([], schema).write.mode("errorifexists").format("parquet").saveAsTable(name)
     return True
 
 
+def append_table(df: DataFrame, name: str) -> None:
+    """S13 for catalog tables: append by column name."""
+    df.select(*df.sparkSession.table(name).columns).write.mode("append").insertInto(name)
+
+
+def overwrite_table(df: DataFrame, name: str) -> None:
+    """S14 for catalog tables: replace the rows."""
+    df.write.mode("overwrite").format("parquet").saveAsTable(name)
+
+
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append rows."""
     w = df.write.mode("append")
