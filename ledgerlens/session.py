@@ -9,9 +9,13 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 # SQL settings the operators assume (all are public Spark confs).
 RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,9 +23,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Lets a join on (account_id, product[, year]) reuse the hash(account_id)
-    # partitioning of the windowed retention frame instead of reshuffling it.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -57,15 +58,28 @@ def build_session(
 def shared_dir(spark: SparkSession, sub: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset (local
-    tests) a fresh scratch folder is created and registered as checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session.  Where it is unset, a local
+    master gets a fresh scratch folder; on a cluster, whose executors do not
+    share local folders, that is an error.
     """
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
-    base = base.rstrip("/")
-    return f"{base}/{sub}"
+    return f"{base.rstrip('/')}/{sub}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    _shipped.add(app)
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="ledgerlens-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))  # served to the executors by the driver
