@@ -151,7 +151,7 @@ def test_default_take_rate_fallbacks(spark):
     rates = spark.createDataFrame([(dt.date(2001, 3, 5), "X", Decimal("1.0"))], "date date, currency string, rate decimal(4,1)")
     take = spark.createDataFrame([], "gateway_group string, date date, product string, rate decimal(20,10)")
     got = {r.gateway_group: r.monthly_total for r in
-           priced_monthly_totals(tx, forms, gateways, rates, take, broadcast_rows=None).collect()}
+           priced_monthly_totals(tx, forms, gateways, rates, take).collect()}
     assert got["WePay"] == Decimal("5.3729985439988")
     assert got["Other"] == Decimal("1.074863799773")
     assert got[None] == Decimal("-1.074863799773")

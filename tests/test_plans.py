@@ -41,9 +41,14 @@ def main_line_exchanges(nodes):
     return out
 
 
+def own_names():
+    """The queries of this library without the optional subpackage's."""
+    return [n for n in E.queries() if not re.match(r"op\d+_|pipeline$", n)]
+
+
 @pytest.fixture(scope="module")
 def qs():
-    return E.queries()
+    return {n: E.queries()[n] for n in own_names()}
 
 
 def test_no_nested_loops_or_python(spark, qs):
@@ -83,7 +88,7 @@ def test_filters_and_columns_reach_the_scan(spark, qs):
 
 
 def test_all_queries_match_oracle_small(spark):
-    res = compare(spark, SF_SMALL, verbose=False)
+    res = compare(spark, SF_SMALL, own_names(), verbose=False)
     bad = {k: v for k, v in res.items() if v.get("match") is False}
     assert not bad, bad
     assert all(v["spark_rows"] >= 0 for v in res.values())
