@@ -16,7 +16,7 @@ def test_hot_account_is_absorbed_by_the_monthly_aggregate(spark):
     share = kept.where("account_id = 1").count() / kept.count()
     assert share > 0.3  # a raw partitioning by account would put >30% in one task
 
-    dense = RP._dense(inp, prm)
+    dense = RP._dense(RP.monthly_totals(inp, prm), prm)
     per_part = [r["count"] for r in dense.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     mean = sum(per_part) / len(per_part)
     # after the partial + final aggregate the hot account is products x groups x months rows
@@ -33,4 +33,14 @@ def test_hot_account_report_is_complete(spark):
     rep = RP.retention_report(inp, prm)
     keys = ["account_id", "product", "gateway_group", "date"]
     assert rep.groupBy(*keys).count().where("count > 1").count() == 0
-    assert rep.count() == RP._dense(inp, prm).count()
+    assert rep.count() == RP._dense(RP.monthly_totals(inp, prm), prm).count()
+
+
+def test_an_account_with_thousands_of_products_spreads(spark):
+    """Windows are partitioned by (account, product), so one marketplace account is not one task."""
+    inp, prm = RP.fixture_inputs(spark, SF), RP.fixture_params()
+    inp.transactions = inp.transactions.withColumn("account_id", F.least("account_id", F.lit(0)))
+    inp.forms = inp.forms.withColumn("product", F.concat(F.lit("p"), F.col("id").cast("string")))
+    dense = RP._dense(RP.monthly_totals(inp, prm), prm)
+    per_part = [r["count"] for r in dense.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(per_part) >= 6 and max(per_part) < 1.6 * sum(per_part) / len(per_part), per_part
