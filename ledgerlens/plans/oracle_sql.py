@@ -98,14 +98,15 @@ def _month(d: str) -> str:
 
 _SERIES = "account_id, product, gateway_group"
 _AS_OF_MONTH = _month(AS_OF)
-#: Thresholds of the size bands: a total above one belongs to that band, or to a better one.
-_BAND_FLOORS = ", ".join(f"({i}, {f})" for i, f in enumerate([2500000, 1000000, 250000, 100000, 25000, 10000, 0]))
+#: The size bands with the totals that they lie above; the last one has no floor.
+_BAND_TABLE = ", ".join(f"({i}, {f}, '{b}')" for i, (f, b) in enumerate(zip([2500000, 1000000, 250000, 100000, 25000, 10000, 0, "NULL"], BANDS)))
 
 # One relation for every question:
-#   cell   a series and month number with its amount
+#   series numbered keys (sid), whole: no key is NULL; pid numbers account and product, NULL if one is
+#   cell   a series and month number with its amount (0 unless whole)
 #   reach  each cell with the amounts of the 24 months that end in it, by distance
 #   wide   the measures of a cell, all conditional sums over its reach
-#   long   one row for each cell and horizon: total, prior, new, change, cohort
+#   long   one row for each cell and horizon: total, prior, new, change, start
 #   judged long with the sums over the product and the status rule
 MODEL_CTES = f"""
 who AS (
@@ -116,7 +117,8 @@ who AS (
 facts AS (
   SELECT t.account_id, f.product,
          CASE WHEN g.type IN ('wepay', 'stripe', 'adyen')
-              THEN MAP {{'wepay': 'WePay', 'stripe': 'Stripe', 'adyen': 'Adyen'}}[g.type] ELSE 'Other' END AS gateway_group,
+              THEN MAP {{'wepay': 'WePay', 'stripe': 'Stripe', 'adyen': 'Adyen'}}[g.type]
+              WHEN g.type IS NOT NULL THEN 'Other' END AS gateway_group,
          {_month('t.date_created')} AS mi,
          CASE WHEN t.transaction_type IN (1, 2) THEN (3 - 2 * t.transaction_type) * t.amount * x.rate ELSE 0 END AS worth
   FROM tx t LEFT JOIN form f ON f.id = t.form_id LEFT JOIN gateway g ON g.id = t.gateway_id
@@ -130,17 +132,22 @@ totals AS (
   LEFT JOIN take k ON k.gateway_group = s.gateway_group AND k.product = s.product AND {_month('k.date')} = s.mi
 ),
 spans AS (SELECT {_SERIES}, MIN(mi) AS low, MAX(mi) AS high FROM totals GROUP BY ALL),
+series AS (
+  SELECT *, row_number() OVER (ORDER BY {_SERIES}) AS sid, product || account_id || gateway_group IS NOT NULL AS whole,
+         CASE WHEN product || account_id IS NOT NULL THEN dense_rank() OVER (ORDER BY account_id, product) END AS pid
+  FROM spans
+),
 cell AS (
-  SELECT c.*, CAST(COALESCE(t.monthly_total, 0) AS DECIMAL(20,5)) AS v
-  FROM (SELECT {_SERIES}, unnest(range(low, least(high + 24, {_AS_OF_MONTH}) + 1)) AS mi FROM spans) c
-  LEFT JOIN totals t USING ({_SERIES}, mi)
+  SELECT c.sid, c.pid, c.mi, CAST(COALESCE(t.monthly_total, 0) AS DECIMAL(20,5)) AS v
+  FROM (SELECT *, unnest(range(low, least(high + 24, {_AS_OF_MONTH}) + 1)) AS mi FROM series) c
+  LEFT JOIN totals t ON c.whole AND t.account_id = c.account_id AND t.product = c.product AND t.gateway_group = c.gateway_group AND t.mi = c.mi
 ),
 reach AS (
-  SELECT a.account_id, a.product, a.gateway_group, a.mi, b.mi AS mj, a.mi - b.mi AS back, b.v, CAST(b.v AS DECIMAL(20,3)) AS v3
-  FROM cell a JOIN cell b USING ({_SERIES}) WHERE b.mi BETWEEN a.mi - 23 AND a.mi
+  SELECT a.sid, a.pid, a.mi, b.mi AS mj, a.mi - b.mi AS back, b.v, CAST(b.v AS DECIMAL(20,3)) AS v3
+  FROM cell a JOIN cell b USING (sid) WHERE b.mi BETWEEN a.mi - 23 AND a.mi
 ),
 sums AS (
-  SELECT {_SERIES}, mi,
+  SELECT sid, pid, mi,
          SUM(v) FILTER (back = 0) AS m_now, COALESCE(SUM(v3) FILTER (back = 12), 0) AS m_before,
          SUM(v) FILTER (back < 12) AS t_now, CAST(COALESCE(SUM(v) FILTER (back >= 12), 0) AS DECIMAL(38,3)) AS t_before,
          SUM(v3) FILTER (mj // 12 = mi // 12) AS y_now,
@@ -148,30 +155,33 @@ sums AS (
   FROM reach GROUP BY ALL
 ),
 starts AS (
-  SELECT account_id, product, MIN(mi) FILTER (t_now > 0) AS t_start, MIN(mi) FILTER (y_now > 0) AS y_start
-  FROM sums GROUP BY ALL
+  SELECT pid, MIN(mi) FILTER (t_now > 0) AS t_start, MIN(mi) FILTER (y_now > 0) AS y_start
+  FROM sums WHERE pid IS NOT NULL GROUP BY ALL
+),
+m_starts AS (
+  SELECT account_id, product, MIN(mi) AS m_start FROM totals
+  WHERE monthly_total > 0 AND account_id IS NOT NULL AND product IS NOT NULL GROUP BY ALL
 ),
-m_starts AS (SELECT account_id, product, MIN(mi) AS m_start FROM totals WHERE monthly_total > 0 GROUP BY ALL),
 firsts AS (
-  SELECT {_SERIES}, mi,
+  SELECT sid, mi,
          SUM(v) FILTER (back < 12 AND mj < t_start + 12) AS t_first,
          SUM(v) FILTER (back < 12 AND mj < y_start + 12 AND mj // 12 = y_start // 12 + 1) AS y_first
-  FROM reach JOIN starts USING (account_id, product) GROUP BY ALL
+  FROM reach LEFT JOIN starts USING (pid) GROUP BY ALL
 ),
 wide AS (
-  SELECT s.*, m_start, t_start, y_start,
+  SELECT s.*, m_start, t_start, y_start, whole,
          CASE WHEN mi - t_start < 12 THEN CAST(t_now AS DECIMAL(38,5))
               WHEN mi - t_start < 24 THEN CAST(COALESCE(t_first, 0) AS DECIMAL(38,5)) ELSE 0 END AS t_new,
          CASE WHEN mi - y_start < 12 THEN CAST(y_now AS DECIMAL(38,5))
               WHEN mi // 12 = y_start // 12 + 1 THEN CAST(COALESCE(y_first, 0) AS DECIMAL(38,5)) ELSE 0 END AS y_new
-  FROM sums s JOIN firsts USING ({_SERIES}, mi) JOIN starts USING (account_id, product)
-  LEFT JOIN m_starts USING (account_id, product)
+  FROM sums s JOIN firsts USING (sid, mi) JOIN series k USING (sid) LEFT JOIN starts t ON t.pid = s.pid
+  LEFT JOIN m_starts m ON m.account_id = k.account_id AND m.product = k.product
 ),
 long AS (
-  SELECT {_SERIES}, mi, horizon, CAST(t AS DECIMAL(38,5)) AS t, CAST(p AS DECIMAL(38,5)) AS p, n,
+  SELECT sid, pid, mi, whole, horizon, CAST(t AS DECIMAL(38,5)) AS t, CAST(p AS DECIMAL(38,5)) AS p, n,
          CAST(t AS DECIMAL(38,5)) - CASE WHEN keep = 1 THEN n ELSE 0 END - CAST(p AS DECIMAL(38,5)) AS d, start
   FROM (
-    SELECT {_SERIES}, mi,
+    SELECT sid, pid, mi, whole,
            unnest(['monthly', 'ttm', 'ytd']) AS horizon,
            unnest([CAST(m_now AS DECIMAL(38,5)), CAST(t_now AS DECIMAL(38,5)), CAST(y_now AS DECIMAL(38,5))]) AS t,
            unnest([CAST(m_before AS DECIMAL(38,5)), CAST(t_before AS DECIMAL(38,5)), CAST(y_before AS DECIMAL(38,5))]) AS p,
@@ -179,34 +189,36 @@ long AS (
     FROM wide)
 ),
 by_product AS (
-  SELECT account_id, product, mi, horizon, SUM(t) AS pt, SUM(p) AS pp FROM long GROUP BY ALL
+  SELECT pid, mi, horizon, SUM(t) AS pt, SUM(p) AS pp FROM long WHERE pid IS NOT NULL GROUP BY ALL
 ),
 last_active AS (
-  SELECT account_id, product, horizon, MAX(mi) AS mi_last FROM by_product WHERE pt > 0 GROUP BY ALL
+  SELECT pid, horizon, MAX(mi) AS mi_last FROM by_product WHERE pt > 0 GROUP BY ALL
 ),
 judged AS (
   SELECT l.*, pt, pp, CASE WHEN mi_last > l.mi THEN mi_last END AS later,
-         CASE WHEN pt > 0 AND pp <= 0 AND l.mi - start < 12 THEN 'new'
+         CASE WHEN NOT whole THEN NULL
+              WHEN pt > 0 AND pp <= 0 AND l.mi - start < 12 THEN 'new'
               WHEN pt <= 0 AND pp > 0 THEN CASE WHEN mi_last > l.mi THEN 'lapsed' ELSE 'lost' END
               WHEN pt > 0 AND pp <= 0 AND l.mi - start >= 12 THEN 'recovered'
               WHEN t > 0 AND d >= 0 AND greatest(pp, COALESCE(n, 0)) > 0 THEN 'upsell'
-              WHEN pt > 0 AND greatest(p, COALESCE(n, 0)) > 0 AND (d < 0 OR (horizon <> 'monthly' AND t <= 0)) THEN 'downsell'
+              WHEN pt > 0 AND greatest(p, COALESCE(n, 0)) > 0 AND (d < 0 OR (l.horizon <> 'monthly' AND t <= 0)) THEN 'downsell'
               WHEN pt <= 0 AND pp <= 0 THEN 'negative or null'
               ELSE 'unknown' END AS status
-  FROM long l JOIN by_product USING (account_id, product, mi, horizon)
-  LEFT JOIN last_active USING (account_id, product, horizon)
+  FROM long l LEFT JOIN by_product b ON b.pid = l.pid AND b.mi = l.mi AND b.horizon = l.horizon
+  LEFT JOIN last_active a ON a.pid = l.pid AND a.horizon = l.horizon
 ),
-bands(idx, floor_total) AS (VALUES {_BAND_FLOORS}),
+bands(idx, floor_total, band) AS (VALUES {_BAND_TABLE}),
 peaks AS (
-  SELECT account_id, product, max_total,
-         (SELECT band FROM band_names WHERE band_names.idx = COALESCE((SELECT MIN(b.idx) FROM bands b WHERE max_total > b.floor_total), 7)) AS processing_max_ttm_size
-  FROM (SELECT account_id, product, MAX(t) AS max_total FROM long WHERE horizon = 'ttm' GROUP BY ALL)
+  SELECT pid, max_total,
+         (SELECT band FROM bands WHERE idx = COALESCE((SELECT MIN(b.idx) FROM bands b WHERE max_total > b.floor_total), 7)) AS processing_max_ttm_size
+  FROM (SELECT pid, MAX(t) AS max_total FROM long WHERE horizon = 'ttm' AND pid IS NOT NULL GROUP BY ALL)
 ),
 named AS (
-  SELECT *, make_date(CAST(mi // 12 AS INTEGER), CAST(mi % 12 + 1 AS INTEGER), 1) AS date,
+  SELECT sid, c.pid, mi, v, {_SERIES}, account_name, account_manager_name,
+         make_date(CAST(mi // 12 AS INTEGER), CAST(mi % 12 + 1 AS INTEGER), 1) AS date,
          CAST(mi % 12 + 1 AS SMALLINT) AS month, CAST(mi // 12 AS SMALLINT) AS year,
          COALESCE(MAP {{1: 'org_one', 2: 'org_two', 3: 'org_three'}}[organization_id], 'unknown') AS org_label
-  FROM cell LEFT JOIN who USING (account_id)
+  FROM cell c JOIN series USING (sid) LEFT JOIN who USING (account_id)
 )
 """
 
@@ -237,21 +249,21 @@ def _pivot() -> str:
             f"{_as_date(at.format('start'))} AS {h}_cohort", f"{_as_date(at.format('later'))} AS {h}_future_date",
             f"{at.format('status')} AS {h}_status",
         ]
-    return f"flat AS (SELECT {_SERIES}, mi, {', '.join(picks)} FROM judged GROUP BY ALL)"
+    return f"flat AS (SELECT sid, mi, {', '.join(picks)} FROM judged GROUP BY ALL)"
 
 
 MODEL_CTES += "," + _pivot() + f""",
-aux AS (SELECT n.account_name, n.account_manager_name, n.org_label AS organization_id, n.date, n.month, n.year, f.*
-        FROM flat f JOIN named n USING ({_SERIES}, mi)),
+aux AS (SELECT n.*, n.org_label AS organization_id, f.* EXCLUDE (sid, mi) FROM flat f JOIN named n USING (sid, mi)),
 report AS (
   SELECT a.*, i.industry, COALESCE(ap.utm_medium, 'organic') AS attribution_type,
          CASE WHEN ap.utm_source IS NULL THEN 'unknown'
               WHEN list_contains(['facebook', 'fb', 'instagram'], lower(ap.utm_source)) THEN 'meta' ELSE ap.utm_source END AS attribution_source,
-         mt.product_max_ttm_size, pk.processing_max_ttm_size,
+         mt.product_max_ttm_size, COALESCE(pk.processing_max_ttm_size, '{BANDS[7]}') AS processing_max_ttm_size,
          COALESCE((SELECT ANY_VALUE(z.customer_size_py) FROM size_py_in z
-                   WHERE z.account_id = a.account_id AND z.product = a.product AND z.year = a.year), (SELECT band FROM band_names WHERE idx = 7)) AS customer_size_py
-  FROM aux a JOIN peaks pk USING (account_id, product) LEFT JOIN max_ttm_in mt USING (account_id, product)
-  LEFT JOIN attribution_in ap USING (account_id) LEFT JOIN industry_in i USING (account_id)
+                   WHERE z.account_id = a.account_id AND z.product = a.product AND z.year = a.year), '{BANDS[7]}') AS customer_size_py
+  FROM aux a LEFT JOIN peaks pk ON pk.pid = a.pid
+  LEFT JOIN max_ttm_in mt ON mt.account_id = a.account_id AND mt.product = a.product
+  LEFT JOIN attribution_in ap ON ap.account_id = a.account_id LEFT JOIN industry_in i ON i.account_id = a.account_id
 )
 """
 
@@ -288,8 +300,8 @@ RETENTION_SELECTS = {
         SELECT {KEYS}, monthly_cohort, monthly_trailing_total, change_in_existing_monthly FROM aux""",
     "ttm_rolling": f"SELECT {KEYS}, ttm_total FROM aux",
     "ttm_trailing": f"SELECT {KEYS}, ttm_trailing_total FROM aux",
-    "ttm_cohort": f"SELECT account_id, product, {_as_date('t_start')} AS ttm_cohort FROM starts WHERE t_start IS NOT NULL",
-    "ytd_cohort": f"SELECT account_id, product, {_as_date('y_start')} AS ytd_cohort FROM starts WHERE y_start IS NOT NULL",
+    "ttm_cohort": f"SELECT DISTINCT account_id, product, {_as_date('t_start')} AS ttm_cohort FROM starts JOIN series USING (pid) WHERE t_start IS NOT NULL",
+    "ytd_cohort": f"SELECT DISTINCT account_id, product, {_as_date('y_start')} AS ytd_cohort FROM starts JOIN series USING (pid) WHERE y_start IS NOT NULL",
     "monthly_cohort": f"SELECT account_id, product, {_as_date('m_start')} AS monthly_cohort FROM m_starts",
     "ttm_new_existing": f"SELECT {KEYS}, ttm_total_new, ttm_total_existing FROM aux",
     "ytd_running": f"SELECT {KEYS}, ytd_total FROM aux",
@@ -304,7 +316,7 @@ RETENTION_SELECTS = {
     **{f"{h}_status": f"SELECT {KEYS}, {h}_status FROM aux" for h in _HORIZONS},
     "status_counts": f"""
         SELECT {_as_date('mi')} AS date, horizon, status, COUNT(*) AS n_rows FROM judged GROUP BY ALL""",
-    "max_ttm_band": f"SELECT account_id, product, {_money('max_total')}, processing_max_ttm_size FROM peaks",
+    "max_ttm_band": f"SELECT DISTINCT account_id, product, {_money('max_total')}, processing_max_ttm_size FROM peaks JOIN series USING (pid)",
     "attribution": """
         SELECT DISTINCT account_id, attribution_type, attribution_source, industry FROM report""",
     "size_py_distinct": """
