@@ -178,3 +178,53 @@ def test_fixture_dimensions_have_unique_keys(spark):
     assert duplicate_keys(inp.accounts, ["id"]).count() == 0
     assert duplicate_keys(inp.forms, ["id"]).count() == 0
     assert duplicate_keys(inp.gateways, ["id"]).count() == 0
+
+
+def _pricing_inputs(spark, amounts, rate="1.5", rate_type="double", amount_type="decimal(16,2)"):
+    ts = dt.datetime(2001, 3, 5, 10)
+    tx = spark.createDataFrame(
+        [(1, 10, 100, "X", ts, 1, Decimal(a), 6) for a in amounts],
+        f"account_id long, form_id long, gateway_id long, currency string, date_created timestamp, "
+        f"transaction_type int, amount {amount_type}, status int")
+    forms = spark.createDataFrame([(10, "A")], "id long, product string")
+    gateways = spark.createDataFrame([(100, "wepay")], "id long, type string")
+    rates = spark.createDataFrame([(dt.date(2001, 3, 5), "X", rate)], "date date, currency string, rate string")
+    rates = rates.withColumn("rate", rates.rate.cast(rate_type))
+    take = spark.createDataFrame([("WePay", dt.date(2001, 3, 1), "A", Decimal("0.02"))], "gateway_group string, date date, product string, rate decimal(20,10)")
+    return tx, forms, gateways, rates, take
+
+
+def test_double_day_rate_gives_exact_sums(spark):
+    from ledgerlens.operators.pricing import priced_monthly_totals
+
+    got = priced_monthly_totals(*_pricing_inputs(spark, ["0.10"] * 1000, rate="1.1")).collect()
+    assert got[0].monthly_total == Decimal("2.2")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_is_not_capped(spark, ansi):
+    """A month of 2e13 and a product sum above it go through the whole lineage."""
+    import dataclasses
+
+    from ledgerlens.plans import retention as RP
+
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        inp, prm = RP.fixture_inputs(spark, "/root/testdata/sf0.001"), RP.fixture_params()
+        tx, forms, gateways, rates, take = _pricing_inputs(spark, ["99999999999999.99"] * 10, rate="1", rate_type="decimal(4,1)")
+        inp = dataclasses.replace(inp, transactions=tx, forms=forms, gateways=gateways, exchange_rates=rates, take_rates=take)
+        row = RP.retention_report(inp, prm).where("date = date'2001-03-01'").collect()[0]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    want = Decimal("19999999999999.998")
+    assert row.monthly_total == row.ttm_total == row.ttm_total_product == row.ytd_total == want
+    assert row.monthly_status == "new"
+
+
+def test_duplicate_dimension_keys_stop_the_job(spark):
+    from ledgerlens.operators.pricing import priced_monthly_totals
+
+    tx, forms, gateways, rates, take = _pricing_inputs(spark, ["1.00"])
+    with pytest.raises(Exception, match="exchange rate: a key occurs more than once"):
+        priced_monthly_totals(tx, forms, gateways, rates.unionAll(rates), take).collect()

@@ -5,10 +5,13 @@ import datetime as dt
 import os
 import time
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import audits as A
 from ledgerlens.operators import flaglog as FL
+from ledgerlens.operators import landing as LD
 from ledgerlens.operators import rates as RT
 from ledgerlens.plans import refresh
 from ledgerlens.sources import io
@@ -195,17 +198,109 @@ def test_object_name(spark):
 
 
 def test_missing_grants_and_absent(spark):
+    """Presence comes from the inventory: ds4 is there with a user's grant only, so it lacks its group."""
     expected = spark.createDataFrame([
-        ("ds1", "Internal"), ("ds1", "Data"), ("ds1", "Data"), ("ds2", "Internal"), ("ds3", "Internal"),
+        ("ds1", "Readers"), ("ds1", "Writers"), ("ds1", "Writers"), ("ds2", "Readers"), ("ds3", "Readers"), ("ds4", "Readers"),
     ], "object string, grantee string")
     grants = spark.createDataFrame([
-        ("ds1", "group", 1), ("ds1", "user", 2), ("ds2", "group", 1), ("ds2", "group", 3),
+        ("ds1", "group", 1), ("ds1", "user", 2), ("ds2", "group", 1), ("ds2", "group", 3), ("ds4", "user", 1), ("gone", "group", 1),
     ], "object string, grantee_type string, grantee_id int")
-    groups = spark.createDataFrame([(1, "Internal"), (2, "Data"), (3, "Other")], "id int, name string")
-    actual = A.group_grants(grants, groups)
-    missing, absent = A.missing_grants(expected, actual)
-    assert [(r.object, r.n_missing, r.missing_grantees) for r in missing.collect()] == [("ds1", 1, "Data")]
-    assert [r.object for r in absent.collect()] == ["ds3"]
+    groups = spark.createDataFrame([(1, "Readers"), (2, "Writers"), (3, "Other")], "id int, name string")
+    inventory = spark.createDataFrame([("ds1",), ("ds2",), ("ds2",), ("ds4",), ("ds9",)], "object string")
+    states = A.expected_grants(expected, A.group_grants(grants, groups), inventory)
+    assert sorted(tuple(r) for r in states.collect()) == [
+        ("ds1", "Readers", "granted"), ("ds1", "Writers", "missing"), ("ds2", "Readers", "granted"),
+        ("ds3", "Readers", "absent"), ("ds4", "Readers", "missing")]
+    missing = A.missing_grants(states)
+    assert sorted(tuple(r) for r in missing.collect()) == [("ds1", "Writers"), ("ds4", "Readers")]
+    assert sorted(tuple(r) for r in A.list_missing(missing).collect()) == [("ds1", 1, "Writers"), ("ds4", 1, "Readers")]
+    assert [r.object for r in A.absent_objects(states).collect()] == ["ds3"]
+
+
+def test_landing_follows_each_file_s_header(spark, scratch):
+    land = f"{scratch}/landing"
+    os.makedirs(land)
+    files = {
+        "a.csv": "Date,Account ID,Product,Amount,Source - Tableau (additional item)\n2024-01-05,12,Tickets,10.5,web\n",
+        "b.csv": "Amount,Product,Account ID,Date,Source - Tableau (additional item)\n99.5,Tickets,77,1/7/2024,web\n",
+        "c.csv": "Date,Account ID,Product,Source - Tableau (additional item)\n2024-01-09,13,Tickets,web\n",
+        "d.csv": "Date,Account ID,Product,Amount,Source - Tableau (additional item)\n"
+                 "2024-01-07T00:00:00,1,A,1,web\n01/08/2024 10:00,2,A,2,web\n\"Jan 9, 2024\",3,A,3,web\n20240110,4,A,4,web\n",
+    }
+    for name, text in files.items():
+        with open(f"{land}/{name}", "w") as f:
+            f.write(text)
+    out = refresh.load_landing(spark, land, f"{scratch}/good", f"{scratch}/rejects")
+    assert out == {"written": 6, "rejected": 1}
+    got = {r.account_id: (r.date_created, r.total) for r in spark.read.parquet(f"{scratch}/good").collect()}
+    assert got == {12: (D(2024, 1, 5), 10.5), 77: (D(2024, 1, 7), 99.5), 1: (D(2024, 1, 7), 1.0), 2: (D(2024, 1, 8), 2.0),
+                   3: (D(2024, 1, 9), 3.0), 4: (D(2024, 1, 10), 4.0)}
+    assert [(r.account_id, r.reason) for r in spark.read.parquet(f"{scratch}/rejects").collect()] == [("13", "missing_column")]
+    empty = io.read_landing(spark, land, glob="*.none")
+    assert LD.clean_landing(empty)[0].count() == 0
+
+
+def test_one_rate_per_date_and_currency(spark, scratch):
+    path = f"{scratch}/payloads"
+    os.makedirs(path)
+    with open(f"{path}/p.json", "w") as f:
+        f.write('{"date": "2020-01-01", "rates": {"EUR": 0.5}}\n{"date": "2020-01-01", "rates": {"EUR": 0.25, "GBP": 2.0}}\n'
+                '{"date": "2020-01-01", "rates": {"EUR": 0.5}}\n')
+    target, rej = f"{scratch}/rates", f"{scratch}/rej"
+    assert refresh.refresh_rates(spark, io.read_rate_payloads(spark, path), target, rej) == {"appended": 2, "rejected": 1}
+    assert {(r.currency, r.rate) for r in spark.read.parquet(target).collect()} == {("EUR", 2.0), ("GBP", 0.5)}
+    assert [(r.quoted, r.reason) for r in spark.read.parquet(rej).collect()] == [(0.25, "duplicate_key")]
+
+
+def test_create_never_overwrites(spark, scratch):
+    for other in ("2024", "_meta"):
+        target = f"{scratch}/{other}-target"
+        os.makedirs(f"{target}/{other}")
+        with open(f"{target}/{other}/x.csv", "w") as f:
+            f.write("a\n1\n")
+        with pytest.raises(AnalysisException):
+            io.create_if_absent(spark, target, io.RATES_SCHEMA)
+        assert os.path.exists(f"{target}/{other}/x.csv")
+    assert io.create_if_absent(spark, f"{scratch}/new", io.RATES_SCHEMA)
+    assert not io.create_if_absent(spark, f"{scratch}/new", io.RATES_SCHEMA)
+
+
+def test_csv_export_and_ingest(spark, scratch):
+    rows = _versions(spark, [1, 2, 4])
+    log = FL.flag_log_full(rows).select("id", "form_id", "pp_enabled", "date_created")
+    io.export_csv(log, f"{scratch}/csv")
+    back = io.ingest_csv(spark, f"{scratch}/csv", io.FLAG_LOG_SCHEMA)
+    assert _log_rows(back) == _log_rows(log)
+
+
+def test_catalog_tables(spark, scratch):
+    name = "rates_of_test"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.createDataFrame([], io.RATES_SCHEMA).write.format("parquet").option("path", f"{scratch}/t").saveAsTable(name)
+    assert not io.create_table_if_absent(spark, name, io.RATES_SCHEMA)
+    row = spark.createDataFrame([(2.0, "EUR", D(2020, 1, 1))], "rate double, currency string, date date")
+    io.append_table(row, name)
+    io.append_table(row, name)
+    assert [tuple(r) for r in spark.table(name).distinct().collect()] == [(D(2020, 1, 1), "EUR", 2.0)]
+    assert spark.table(name).count() == 2
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_flag_stream_of_a_table_folder(spark, scratch):
+    """The query's table may be one file or a folder of part files."""
+    from ledgerlens.plans import jobs
+
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(f"{scratch}/events.parquet")
+    got = jobs.q_flag_stream(spark, scratch)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, jobs.q_flag_full(spark, scratch).collect()))
+
+
+def test_flag_increment_with_small_ids(spark, scratch):
+    from ledgerlens.plans import jobs
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(2)
+    events.withColumn("event_id", F.monotonically_increasing_id() % 2).coalesce(1).write.parquet(f"{scratch}/events.parquet")
+    assert jobs.q_flag_increment(spark, scratch).count() == 2
 
 
 def test_flag_stream_drops_repeated_versions(spark, scratch):
