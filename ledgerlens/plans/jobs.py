@@ -28,9 +28,10 @@ AUDIT_PROJECTS = ["click", "purchase", "signup", "view"]
 # ---------------------------------------------------------------- C1 / C2
 
 def q_missing_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days without an order, per order priority."""
-    o = FX.Tables(spark, sf_dir)("orders").select("o_orderpriority", "o_orderdate")
-    return RT.missing_dates(o, "o_orderdate", GAP_START, GAP_END, keys=["o_orderpriority"])
+    """Days without an order, per order priority and status."""
+    keys = ["o_orderpriority", "o_orderstatus"]
+    o = FX.Tables(spark, sf_dir)("orders").select(*keys, "o_orderdate")
+    return RT.missing_dates(o, "o_orderdate", GAP_START, GAP_END, keys=keys)
 
 
 def q_missing_months_by_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +67,7 @@ def rate_payloads(t: FX.Tables) -> DataFrame:
 
 
 def known_rates(t: FX.Tables) -> DataFrame:
-    """The rate table so far: the (day, currency) of orders with a clerk number divisible by 3."""
+    """The rate table so far: the (day, currency) of orders with a key divisible by 3."""
     o = t("orders").where("o_orderdate IS NOT NULL AND o_orderkey % 3 = 0")
     return o.select(
         F.to_date("o_orderdate").alias("date"), F.substring("o_orderpriority", 1, 1).alias("currency"), F.lit(1.0).alias("rate")

@@ -343,9 +343,9 @@ WITH cal AS (
   FROM range(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-02', INTERVAL 1 {step})
 ),
 ks AS (SELECT DISTINCT {key} FROM orders),
-seen AS (SELECT DISTINCT {key}, CAST({trunc} AS DATE) AS d FROM orders)
-SELECT ks.{key}, cal.missing_date FROM ks CROSS JOIN cal
-WHERE NOT EXISTS (SELECT 1 FROM seen s WHERE s.{key} = ks.{key} AND s.d = cal.missing_date)
+seen AS (SELECT DISTINCT {key}, CAST({trunc} AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL)
+SELECT ks.*, cal.missing_date FROM ks CROSS JOIN cal
+WHERE ({key}, missing_date) NOT IN (SELECT ({key}, d) FROM seen)
 """
 
 _QUOTES = """
@@ -424,7 +424,7 @@ lacking AS (SELECT object, grantee FROM states WHERE present AND NOT granted)
 """
 
 JOB_SQL = {
-    "missing_dates": _KEYED_GAPS.format(step="DAY", key="o_orderpriority", trunc="o_orderdate"),
+    "missing_dates": _KEYED_GAPS.format(step="DAY", key="o_orderpriority, o_orderstatus", trunc="o_orderdate"),
     "missing_months_by_customer": _KEYED_GAPS.format(
         step="MONTH", key="o_custkey", trunc="date_trunc('month', o_orderdate)"),
     "missing_days_any": """
