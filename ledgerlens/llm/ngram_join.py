@@ -16,12 +16,14 @@ join finds the links between different sets:
    each subclass: with weight sum(rare) + sum(max(0, n_subclass - 1)) = e + 1, partners
    share a rare token or a pair in their prefixes.  Pairs carry a length class; each set
    is indexed under its own and the next, where all its partners are met.
-3. Candidates.  First every set meets one pivot: of the smallest nodes of its posting lists the
-   one it shares most lists with.  Verified links join components; only pairs of one
-   list whose components still differ are then verified, the members of a list's largest
-   component on one side only.  No pairs within a component are made.  Lists of rare tokens
-   are bounded by the class, so a window over the list finds them with one shuffle; lists of
-   pairs, which may be as long as the table, are counted first and joined back.
+3. Candidates.  First every set meets up to three pivots of its posting lists (the extremes of three
+   orders, of each the one it shares most lists with); verified links join components.  From
+   then on only sets of one list whose components differ are compared: short lists by a self
+   join, long ones in blocks of at most ``BLOCK`` sets a side, which give no pairs but those that
+   their sketches leave (see 4).  The blocks are compared twice: first each set's nearest other
+   component is verified and joined, then all pairs that are left between components.  Lists of
+   rare tokens are bounded by the class, so a window over the list finds them with one shuffle;
+   lists of pairs, which may be as long as the table, are counted first and joined back.
 4. Verification first bounds the difference of two sets from below: the parity sketch of a set
    (bit i: is the number of its tokens that fall on i odd) is linear, so the sketches of
    two sets differ in no more bits than the sets in tokens; pairs that differ in more than a link
@@ -58,6 +60,8 @@ CHUNK = 4_000_000
 _MEMO = 1_000_000
 #: Size of the bitmap that thins the table before candidate texts are shuffled.
 _BITS = 1 << 23
+#: Lists longer than SHORT are compared in blocks of BLOCK sets.
+SHORT, BLOCK = 16, 512
 _STEP = 1.26  # of length classes; partners' lengths differ by 1.25 at most
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -148,7 +152,7 @@ def parity_sketches(tokens: np.ndarray) -> tuple[bytes, bytes]:
     """The small and the large parity sketch of a set: about one and four bits a token."""
     if not len(tokens):
         return b"", b""
-    bits = max(256, 1 << int(2 * len(tokens) - 1).bit_length())
+    bits = max(1024, 1 << int(2 * len(tokens) - 1).bit_length())
     odd = np.bincount((tokens >> np.uint64(20) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     small = odd.reshape(4, bits // 4).sum(axis=0) & 1
     return np.packbits(small).tobytes(), np.packbits(odd).tobytes()
@@ -227,13 +231,20 @@ def with_sets(docs: DataFrame, text: str, frequent: np.ndarray | None, drop_text
 
 
 def _posting_lists(rows: DataFrame) -> DataFrame:
-    """(sig, node, low) of the lists that hold two different sets at least; ``low`` is the smallest."""
+    """(sig, node, low, high, middle, n) of the lists that hold two different sets at least: the smallest
+    and largest node, the one that is smallest in a third order, and the length of the list."""
+    mixed = F.col("node").bitwiseXOR(F.lit(0x2545F4914F6CDD1D))
+    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.min(mixed).alias("middle"), F.count(F.lit(1)).alias("n")]
     rare = rows.select(F.explode("__rare").alias("sig"), F.col("__set").alias("node"))
     lists = Window.partitionBy("sig")
-    rare = rare.select("sig", "node", F.min("node").over(lists).alias("low"), F.max("node").over(lists).alias("high"))
+    rare = rare.select(
+        "sig", "node", F.min("node").over(lists).alias("low"), F.max("node").over(lists).alias("high"),
+        F.min(mixed).over(lists).alias("middle"), F.count(F.lit(1)).over(lists).alias("n"),
+    ).where("low <> high").distinct()  # n counts copies too: it only picks the way of comparing
     pairs = rows.select(F.explode("__pairs").alias("sig"), F.col("__set").alias("node")).distinct()
-    ends = pairs.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    return rare.where("low <> high").select("sig", "node", "low").distinct().unionAll(pairs.join(ends, "sig").select("sig", "node", "low"))
+    known = pairs.groupBy("sig").agg(*ends).where("low <> high")
+    every = rare.unionAll(pairs.join(known, "sig").select(*rare.columns))
+    return every.withColumn("middle", F.col("middle").bitwiseXOR(F.lit(0x2545F4914F6CDD1D)))
 
 
 def _picked_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -298,6 +309,110 @@ def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame
     return met.mapInArrow(run, "u bigint, v bigint")
 
 
+def _star_pairs(lists: DataFrame) -> DataFrame:
+    """(u, v): each node with the pivots it shares most lists with, one of each order."""
+    kinds = F.explode(F.create_map(*[x for k in ("low", "high", "middle") for x in (F.lit(k), F.col(k))])).alias("kind", "pivot")
+    shares = lists.select("node", kinds).where("node <> pivot").groupBy("node", "kind", "pivot").agg(F.count(F.lit(1)).alias("n"))
+    nearest = shares.groupBy("node", "kind").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("pivot"))
+    return nearest.select(*_ordered(F.col("node"), F.col("pivot"))).distinct()
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers of differing bits between the rows of two arrays of 64-bit words."""
+    out = np.empty((len(a), len(b)), np.int64)
+    step = max(1, 2_000_000 // max(1, b.size))
+    for at in range(0, len(a), step):
+        out[at : at + step] = np.bitwise_count(a[at : at + step, None, :] ^ b[None, :, :]).sum(axis=2)
+    return out
+
+
+def near_in_block(side: np.ndarray, node: np.ndarray, root: np.ndarray, n: np.ndarray, sketch: list[bytes], last: bool) -> np.ndarray:
+    """Pairs (rows of positions) of different components that the sketches leave; unless ``last``, of each
+    position only the nearest.  ``side``: 0 and 1 for two blocks, all 0 for one block with itself."""
+    sizes = np.array([len(x) for x in sketch])
+    found = []
+    for size in np.unique(sizes):
+        mine = np.flatnonzero(sizes == size)
+        words = np.frombuffer(b"".join(sketch[i] for i in mine), np.uint64).reshape(len(mine), size // 8)
+        double = np.flatnonzero(sizes == 2 * size)  # folded to this size
+        wide = np.frombuffer(b"".join(sketch[i] for i in double), np.uint64).reshape(len(double), size // 4)
+        half = wide.shape[1] // 2
+        for other, theirs in ((mine, words), (double, wide[:, :half] ^ wide[:, half:])):
+            if not len(other):
+                continue
+            apart = _distances(words, theirs)
+            n1, n2 = n[mine][:, None], n[other][None, :]
+            may = (9 * apart <= n1 + n2) & (100 * np.minimum(n1, n2) >= PERCENT * np.maximum(n1, n2))
+            may &= root[mine][:, None] != root[other][None, :]
+            if (side != 0).any():
+                may &= side[mine][:, None] != side[other][None, :]
+            i, j = np.nonzero(may)
+            found.append(np.column_stack([mine[i], other[j], apart[i, j]]))
+    pairs = np.concatenate(found) if found else np.empty((0, 3), np.int64)
+    if not last and len(pairs):
+        both = np.concatenate([pairs, pairs[:, [1, 0, 2]]])
+        both = both[np.lexsort((both[:, 1], both[:, 2], both[:, 0]))]
+        pairs = both[np.concatenate(([True], both[1:, 0] != both[:-1, 0]))]
+    return pairs[:, :2]
+
+
+def _in_blocks(lists: DataFrame, nodes: DataFrame, last: bool) -> DataFrame:
+    """(u, v) of long lists (sig, node, root, n: length), block by block."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = lists.select("sig", "node", "root", blocks.alias("blocks")).withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    # a block meets itself and every other one once: its rows go to as many groups as there are blocks
+    dealt = own.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")).select(
+        "sig", F.least("b", "o").alias("b1"), F.greatest("b", "o").alias("b2"), (F.col("b") > F.col("o")).cast("int").alias("side"), "node", "root"
+    )
+    full = dealt.join(nodes.select("node", F.col("n").alias("size"), "large"), "node").select("sig", "b1", "b2", "side", "node", "root", "size", "large")
+    full = full.repartition("sig", "b1", "b2").sortWithinPartitions("sig", "b1", "b2")
+
+    def run(batches):
+        names = ["sig", "b1", "b2", "side", "node", "root", "size", "large"]
+        held: list[pa.Table] = []
+
+        def compared(group: pa.Table) -> pa.RecordBatch:
+            side, node, root, size = (group.column(c).to_numpy() for c in ("side", "node", "root", "size"))
+            pairs = near_in_block(side, node, root, size, group.column("large").to_pylist(), last)
+            a, b = node[pairs[:, 0]], node[pairs[:, 1]]
+            return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["u", "v"])
+
+        for batch in batches:
+            part = pa.Table.from_batches([batch]).select(names)
+            keys = np.column_stack([part.column(c).to_numpy() for c in names[:3]])
+            ends = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+            if held:
+                key = [held[0].column(c)[0].as_py() for c in names[:3]]
+                if list(keys[0]) != key:
+                    yield compared(pa.concat_tables(held))
+                    held = []
+            starts = [0, *ends.tolist(), len(keys)]
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                held.append(part.slice(a, b - a))
+                if b < len(keys):  # the last group may go on in the next batch
+                    yield compared(pa.concat_tables(held))
+                    held = []
+        if held:
+            yield compared(pa.concat_tables(held))
+
+    return full.mapInArrow(run, "u bigint, v bigint")
+
+
+def _open_pairs(lists: DataFrame, roots: DataFrame, nodes: DataFrame, last: bool) -> DataFrame:
+    """Distinct (u, v) that share a list and belong to different components."""
+    placed = lists.select("sig", "node", "n").join(roots, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("root"))
+    ends = placed.groupBy("sig").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("sig")
+    still = materialize(placed.join(ends, "sig"), "open-lists")
+    short = still.where(F.col("n") <= SHORT)
+    other = short.select("sig", F.col("node").alias("b"), F.col("root").alias("rb"))
+    pairs = short.select("sig", F.col("node").alias("a"), F.col("root").alias("ra")).join(other, "sig").where("ra <> rb AND a > b")
+    long = still.where(F.col("n") > SHORT)
+    if not last:  # the nearest of the longest list of each node will do
+        longest = long.groupBy("node").agg(F.max_by("sig", F.struct("n", "sig")).alias("sig"))
+        long = long.join(longest, ["sig", "node"])
+    return pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(_in_blocks(long, nodes, last)).distinct()
+
+
 def _ordered(a, b) -> list:
     return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
 
@@ -312,9 +427,7 @@ def join_sets(
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
 
     lists = materialize(_posting_lists(rows), "postings")
-    shares = lists.where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n"))
-    nearest = shares.groupBy("node").agg(F.max_by("low", F.struct("n", "low")).alias("low"))
-    starred = materialize(nearest.select(F.col("node").alias("u"), F.col("low").alias("v")), "star-pairs")
+    starred = materialize(_star_pairs(lists), "star-pairs")
     listed = lists.select("node").distinct()
     keys = rows.select(F.col("__set").alias("node"), key.alias("__key")).groupBy("node").agg(F.min("__key").alias("__key"))
     picked = materialize(listed.join(keys, "node"), "picked")
@@ -323,22 +436,16 @@ def join_sets(
     texts = materialize(_picked_texts(body.withColumn("__key", key), picked), "candidate-texts")
     links = materialize(_verified(starred, nodes, texts), "star-links")
 
-    # pairs of a list whose components still differ
-    roots = components(links)
-    placed = lists.select("sig", "node").join(roots, "node", "left").select("sig", "node", F.coalesce("root", "node").alias("root"))
-    placed = materialize(placed, "placed")
-    counts = placed.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
-    split = counts.groupBy("sig").agg(F.max_by("root", F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1").drop("roots")
-    open_lists = placed.join(split, "sig")
-    left = open_lists.where("root <> most").select("sig", F.col("node").alias("a"), F.col("root").alias("ra"))
-    right = open_lists.select("sig", F.col("node").alias("b"), F.col("root").alias("rb"))
-    more = left.join(right, "sig").where("ra <> rb").select(*_ordered(F.col("a"), F.col("b"))).distinct()
-    more = materialize(more.join(starred, ["u", "v"], "left_anti"), "more-pairs")
-    links = links.unionAll(materialize(_verified(more, nodes, texts), "more-links"))
+    seen, roots = starred, components(links)
+    for last in (False, True):
+        more = materialize(_open_pairs(lists, roots, nodes, last).join(seen, ["u", "v"], "left_anti"), "more-pairs")
+        found = materialize(_verified(more, nodes, texts), "more-links")
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(found))
+        links, seen = links.unionAll(found), seen.unionAll(more)
 
     root = F.coalesce("root", "node")
     placed_rows = rows.select("doc_id", "__n", F.col("__set").alias("node"))
-    full = placed_rows.where("__n > 0").join(components(links), "node", "left").select("doc_id", "__n", "node", root.alias("root"))
+    full = placed_rows.where("__n > 0").join(roots, "node", "left").select("doc_id", "__n", "node", root.alias("root"))
     least = full.groupBy("root").agg(F.min("doc_id").alias("__component"))
     out = full.join(least, "root").select("doc_id", "__n", F.col("node").alias("__set"), F.col("root").alias("__root"), "__component")
     empty = placed_rows.where("__n = 0").select("doc_id", "__n", F.col("node").alias("__set"), F.lit(None).cast("bigint").alias("__root"), F.col("doc_id").alias("__component"))

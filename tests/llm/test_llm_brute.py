@@ -64,9 +64,11 @@ def brute_components(texts):
     return {i: (len(sets[i]), r) for i, r in union_find(links, range(len(texts))).items()}
 
 
-@pytest.mark.parametrize("floor", [16, 3, 1])
-def test_ngram_join_equals_all_pairs(spark, floor):
-    """Also where most tokens count as frequent and are indexed as pairs."""
+@pytest.mark.parametrize("floor, short, block", [(16, 16, 512), (3, 3, 4), (1, 1, 7)])
+def test_ngram_join_equals_all_pairs(spark, monkeypatch, floor, short, block):
+    """Also where most tokens count as frequent and are indexed as pairs, and lists are long."""
+    monkeypatch.setattr(ngram_join, "SHORT", short)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
     texts = near_copies(floor)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(2)
     rows, links = ngram_join.join_sets(docs, frequent=0.0, least_frequent=floor)
