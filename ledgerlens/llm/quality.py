@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from .common import with_text_columns
 from .toxicity import fit_logistic
 
-SAMPLE_ROWS = 20_000
-POOL_ROWS = 20_000
+SAMPLE_ROWS = 8_000
+POOL_ROWS = 8_000
 ROUNDS = 5
 #: Rows that a view hands over in a round, and how often it must be right on rows held back.
 HANDED = 1_000
@@ -161,10 +161,11 @@ def fit_quality(
     pool = ids.where("quality IS NULL").orderBy(*order).limit(pool_rows)
     chosen = F.broadcast(labelled.unionAll(pool))  # bounded by sample_rows + pool_rows
     body = docs.select("doc_id", F.col(text).cast("string").alias("text"), *_meta_slots_of(docs))
-    rows = with_features(body.join(chosen, "doc_id"), "text", keep_text=False).toPandas()
+    flat = [F.col("__features")[i].alias(name) for i, name in enumerate(TEXT_FEATURES)]
+    rows = with_features(body.join(chosen, "doc_id"), "text", keep_text=False).select("doc_id", "quality", "__m0", "__m1", "__m2", *flat).toPandas()
     rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
     known = rows["quality"].notna().to_numpy()
-    xt = np.array(rows["__features"].tolist(), float).reshape(len(rows), len(TEXT_FEATURES))
+    xt = rows[TEXT_FEATURES].to_numpy(float)
     xm = _meta_matrix(rows[["__m0", "__m1", "__m2"]].to_numpy(int))
     held = np.arange(known.sum()) % 4 == 0
     return co_train(xt[known], xm[known], rows["quality"][known].to_numpy(float), held, xt[~known], xm[~known], rounds)
