@@ -31,13 +31,15 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
     model = pieces.Pieces(pieces.read_model(PIECE_MODEL))
     encoded = pieces.encode_texts(docs, model, n=2, packed=True)
-    decoded = pieces.decode_ids(encoded, model)
+    second = F.sha2(F.get("__next_ids", F.lit(0)), 256).alias("second_ids_sha256")
+    decoded = pieces.decode_ids(encoded.select("doc_id", "text", "__ids", "__score", "__scores", second), model)
     return decoded.select(
         "doc_id",
         (F.octet_length("__ids") / 4).cast("bigint").alias("n_pieces"),
         F.sha2("__ids", 256).alias("ids_sha256"),
         F.col("__score").alias("score"),
         F.get("__scores", F.lit(1)).alias("second_score"),
+        "second_ids_sha256",
         F.col("text").eqNullSafe(F.col("__decoded")).alias("round_trip"),
     )
 

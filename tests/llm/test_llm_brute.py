@@ -224,6 +224,40 @@ def test_nbest_of_texts(model):
     assert [s for s, _ in model.nbest(whole, 6)] == [s for s, _ in pieces.Encoder(model, 6).nbest("the cat\nsat")]
 
 
+def test_two_best_come_from_the_search(spark, model, monkeypatch):
+    """Also for N = 2: A-star opens a segment of every text, and all N segmentations are returned."""
+    searched, nbest = [], pieces.Pieces.nbest
+    monkeypatch.setattr(pieces.Pieces, "nbest", lambda self, segment, n, plain=False: searched.append(segment) or nbest(self, segment, n, plain))
+    texts = ["the cat sat\non the mat", "  two  blanks", "日本▁語 😀 and more", "x" * 300]
+    for text, (score, scores, ids) in zip(texts, pieces.Encoder(model, 2).encode_all(texts), strict=True):
+        segments = pieces.Encoder(model, 2)._segments(text)
+        assert set(searched) & set(segments)
+        loss = min(model.solve([x])[2][0] for x in segments if x != pieces._OWN_BLANK)  # two-best Viterbi
+        assert scores == [score, score - loss] and len(set(ids)) == 2
+        for s, own in zip(scores, ids, strict=True):
+            own = np.frombuffer(own, np.int32).tolist()
+            costs = [model.byte_score if i in model.byte_ids.values() else model.scores[i] for i in own]
+            assert sum(costs) == s and model.decode(own) == text
+    docs = spark.createDataFrame(list(enumerate([*texts, None, ""])), "doc_id bigint, text string")
+    rows = pieces.encode_texts(docs, model, n=3).orderBy("doc_id").collect()
+    for r in rows[:4]:
+        want = [own for _, own in pieces.Encoder(model, 3).nbest(r["text"])]
+        assert [list(r["__ids"]), *map(list, r["__next_ids"])] == want and len(want) == 3
+    assert rows[4]["__next_ids"] is None and rows[5]["__next_ids"] == []
+
+
+def test_op2_has_the_second_segmentation(spark, model):
+    import hashlib
+
+    import __spark_entry__ as entry
+
+    rows = {r["doc_id"]: r for r in entry.queries()["op2_sentencepiece"](spark, "/root/testdata/sf0.001").collect()}
+    encoder = pieces.Encoder(model, 2)
+    for d in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20).collect():
+        second = np.array(encoder.nbest(d["text"])[1][1], np.int32).tobytes()
+        assert rows[d["doc_id"]]["second_ids_sha256"] == hashlib.sha256(second).hexdigest() != rows[d["doc_id"]]["ids_sha256"]
+
+
 def test_round_trip_of_documents(spark):
     import __spark_entry__ as entry
 
