@@ -2,19 +2,22 @@
 
 The text view sees counts from the text only (letter case, digits, marks, repeated words and
 lines, lengths); the metadata view sees language, source and length class.  Both are logistic
-regressions.  In each round each view labels the unlabelled rows it is surest of, in the labels'
-proportion, and hands them to the other view's training set; rows are handed over once.  How sure
+regressions.  In each round each view labels all unlabelled rows it is sure of and hands them to
+the other view's training set; rows are handed over once.  How sure
 it must be is measured: the labels it would give to held-back rows must be right in
 ``PRECISION`` of the cases, so a view that only knows the base rate teaches nothing.  Each view
 is then calibrated (Platt) on the rows held back, and a last logistic regression on the two
 calibrated log-odds, fitted on the same rows, gives the score of all documents.
 
-Fitted on bounded samples: the ``sample_rows`` labelled and ``pool_rows`` unlabelled rows with
-the smallest hashes of their id.  Only their features reach the driver.  All documents are
-scored, without a shuffle.
+Labelled rows are a bounded sample: the ``sample_rows`` with the smallest hashes of their id; their
+features reach the driver.  Unlabelled documents all take part and stay in Spark: a row's
+pseudo-label follows from its features and the teachers so far, the metadata view is fitted on
+counts by its slots (bounded), the text view by Newton steps whose gradients and
+Hessians each task sums up.  All documents are scored, without a shuffle.
 
 Defined results: null counts as the empty text, null metadata as values of their own.
-Labels that are null or without a document aren't used; a document labelled twice counts as good only
+Rows that repeat an id count once in the fit (the least features), rows with a null id
+are unlabelled ones each.  Labels that are null or without a document aren't used; a document labelled twice counts as good only
 if all its labels say so.  Without labels of both kinds every score is the share of good
 labels (1 without labels).  Rows are scored one by one; other columns pass through.
 """
@@ -28,14 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import with_text_columns
+from .common import materialize, with_text_columns
 from .toxicity import fit_logistic
 
-SAMPLE_ROWS = 8_000
-POOL_ROWS = 8_000
+SAMPLE_ROWS = 20_000
 ROUNDS = 5
-#: Rows that a view hands over in a round, and how often it must be right on rows held back.
-HANDED = 1_000
+#: How often a view must be right on rows held back.
 PRECISION = 0.99
 #: Rows held back on which that is measured, at least.
 SUPPORT = 5
@@ -47,6 +48,7 @@ TEXT_FEATURES = ["upper", "digit", "bang", "bar", "symbol", "beyond_ascii", "dis
 _SYMBOLS = list(b"%$&*#@^~<>{}[]\\")
 #: Log-odds are cut here, so no view outweighs all else.
 _CUT = 12.0
+_BLOCK = 4_096
 
 
 def text_features(raw: bytes | None) -> list[float]:
@@ -86,15 +88,137 @@ def _meta_slots(lang: Column, source: Column, n_chars: Column) -> list[Column]:
     ]
 
 
-def _meta_matrix(slots: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(slots), 2 * BUCKETS + LENGTHS))
-    for column in slots.T:
-        out[np.arange(len(slots)), column] = 1.0
+def _odds(w: list[float], x: np.ndarray) -> np.ndarray:
+    """Log-odds of rows; whole numbers are the slots of ones (see ``_meta_slots``)."""
+    w = np.asarray(w)
+    z = w[1:][x].sum(axis=1) if x.dtype.kind == "i" else x @ w[1:]
+    return np.clip(w[0] + z, -_CUT, _CUT)
+
+
+def _width(x: np.ndarray) -> int:
+    return 2 * BUCKETS + LENGTHS if x.dtype.kind == "i" else x.shape[1]
+
+
+def _sums(w: np.ndarray, x: np.ndarray, y: np.ndarray, weight: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the logistic loss at ``w`` (of scaled columns, the intercept first)."""
+    gradient, hessian = np.zeros(len(w)), np.zeros((len(w), len(w)))
+    for at in range(0, len(x), _BLOCK):
+        part = x[at : at + _BLOCK]
+        a = np.zeros((len(part), len(w)))
+        a[:, 0] = 1.0
+        if x.dtype.kind == "i":
+            a[np.arange(len(part))[:, None], part + 1] = 1.0
+        else:
+            a[:, 1:] = part / scale
+        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+        own = weight[at : at + _BLOCK]
+        gradient += a.T @ (own * (p - y[at : at + _BLOCK]))
+        hessian += (a * (own * p * (1 - p))[:, None]).T @ a
+    return gradient, hessian
+
+
+def _newton(sums, width: int, scale: np.ndarray, ridge: float, steps: int = 50) -> list[float]:
+    """Newton's method with a ridge, as ``fit_logistic``, on the gradients and Hessians that ``sums`` gives."""
+    w, keep = np.zeros(width + 1), np.eye(width + 1) * ridge
+    keep[0, 0] = 1e-6
+    for _ in range(steps):
+        gradient, hessian = sums(w)
+        step = np.linalg.solve(hessian + keep, gradient + keep @ w)
+        w -= np.clip(step, -4, 4)
+        if np.abs(step).max() < 1e-8:
+            break
+    return [float(w[0]), *map(float, w[1:] / scale)]
+
+
+def _pseudo_labels(x: np.ndarray, teachers: list[tuple]) -> np.ndarray:
+    """1 or 0 by the first of the ``teachers`` (weights, sure of good from, sure of bad from) that is sure, else -1."""
+    out = np.full(len(x), -1)
+    for w, good, bad in teachers:
+        p = 1 / (1 + np.exp(-_odds(w, x)))
+        free = out < 0
+        out[free & (p >= good)] = 1
+        out[free & (1 - p >= bad)] = 0
     return out
 
 
-def _odds(w: list[float], x: np.ndarray) -> np.ndarray:
-    return np.clip(w[0] + x @ np.array(w[1:]), -_CUT, _CUT)
+class LocalPool:
+    """Unlabelled rows as two matrices."""
+
+    def __init__(self, text: np.ndarray, meta: np.ndarray):
+        self.views = {"text": text, "meta": meta}
+
+    def peaks(self) -> np.ndarray:
+        return np.abs(self.views["text"]).max(axis=0, initial=0.0)
+
+    def taught(self, pupil: str, teachers: list[tuple], scale: np.ndarray):
+        """(rows with pseudo-labels, their sums at given weights)."""
+        label = _pseudo_labels(self.views["meta" if pupil == "text" else "text"], teachers)
+        x, y = self.views[pupil][label >= 0], label[label >= 0]
+        return len(x), lambda w: _sums(w, x, y, np.ones(len(x)), scale)
+
+
+def _views(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(text features, slots) of a batch of the pool."""
+    columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+    return np.column_stack(columns[3:]), np.column_stack(columns[:3]).astype(np.int64)
+
+
+class SparkPool:
+    """Unlabelled rows in Spark: the columns ``__m0`` to ``__m2`` and the text features."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows.select("__m0", "__m1", "__m2", *TEXT_FEATURES)
+
+    def peaks(self) -> np.ndarray:
+        row = self.rows.agg(*[F.max(F.abs(c)) for c in TEXT_FEATURES]).first()
+        return np.array([0.0 if v is None else v for v in row])
+
+    def taught(self, pupil: str, teachers: list[tuple], scale: np.ndarray):
+        return (self._by_slots if pupil == "meta" else self._by_rows)(teachers, scale)
+
+    def _by_slots(self, teachers, scale):
+        top = 1 << 10
+
+        def run(batches):
+            for batch in batches:
+                text, slots = _views(batch)
+                label = _pseudo_labels(text, teachers)
+                codes, place = np.unique((slots[:, 0] * top + slots[:, 1]) * top + slots[:, 2], return_inverse=True)
+                counts = [np.bincount(place[label == k], minlength=len(codes)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in (codes, *counts)], names=["code", "bad", "good"])
+
+        found = self.rows.mapInArrow(run, "code bigint, bad bigint, good bigint").where("bad + good > 0")
+        found = found.groupBy("code").agg(F.sum("bad"), F.sum("good")).collect()  # at most one row for each three slots
+        code, bad, good = np.array(sorted(map(tuple, found)), np.int64).reshape(-1, 3).T
+        slots = np.column_stack([code // top**2, code // top % top, code % top])
+        x, y = np.concatenate([slots, slots]), np.repeat([0.0, 1.0], len(slots))
+        weight = np.concatenate([bad, good]).astype(float)
+        return int(weight.sum()), lambda w: _sums(w, x, y, weight, scale)
+
+    def _by_rows(self, teachers, scale):
+        rows, width = self.rows, len(TEXT_FEATURES) + 1
+
+        def at(w):
+            def run(batches):
+                out = np.zeros(1 + width + width**2)
+                for batch in batches:
+                    text, slots = _views(batch)
+                    label = _pseudo_labels(slots, teachers)
+                    x, y = text[label >= 0], label[label >= 0]
+                    gradient, hessian = _sums(w, x, y, np.ones(len(x)), scale)
+                    out += np.concatenate(([len(x)], gradient, hessian.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
+
+            parts = [np.frombuffer(r["sums"]) for r in rows.mapInArrow(run, "sums binary").collect()]  # one a task
+            return np.sum(parts, axis=0) if parts else np.zeros(1 + width + width**2)
+
+        first = at(np.zeros(width))  # where Newton's method begins
+
+        def sums(w):
+            own = at(w) if w.any() else first
+            return own[1 : 1 + width], own[1 + width :].reshape(width, width)
+
+        return int(first[0]), sums
 
 
 def _sure_from(chance: np.ndarray, right: np.ndarray, precision: float) -> float:
@@ -113,62 +237,71 @@ class QualityModel:
         self.prior, self.text, self.meta, self.platt, self.mix = prior, text, meta, platt, mix
 
 
-def co_train(xt, xm, y, held, ut, um, rounds: int = ROUNDS, handed: int = HANDED, precision: float = PRECISION) -> QualityModel:
+def co_train(xt, xm, y, held, ut, um, rounds: int = ROUNDS, precision: float = PRECISION) -> QualityModel:
     """Features and labels of labelled rows (``held``: kept for calibration), features of unlabelled ones."""
+    return co_train_over(LocalPool(ut, um), xt, xm, y, held, rounds, precision)
+
+
+def co_train_over(pool, xt, xm, y, held, rounds: int = ROUNDS, precision: float = PRECISION) -> QualityModel:
+    """As ``co_train``, with the unlabelled rows in a pool."""
     prior = float(y.mean()) if len(y) else 1.0
     if not (~held).any() or len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         return QualityModel(prior)
-    train = {"text": ([xt[~held]], [y[~held]]), "meta": ([xm[~held]], [y[~held]])}
-    view, held_view = {"text": ut, "meta": um}, {"text": xt[held], "meta": xm[held]}
-    given = {"text": np.zeros(len(ut), bool), "meta": np.zeros(len(um), bool)}
-    fit = lambda v: fit_logistic(np.concatenate(train[v][0]), np.concatenate(train[v][1]), ridge=1.0 if v == "meta" else 1e-2)
+    x, own = {"text": xt, "meta": xm}, y[~held]
+    scale = {"text": np.maximum(np.maximum(np.abs(xt).max(axis=0), pool.peaks()), 1e-9), "meta": np.ones(_width(xm))}
+    teachers: dict[str, list[tuple]] = {"text": [], "meta": []}  # by pupil
+    taught = {"text": (0, None), "meta": (0, None)}
+
+    def fit(v: str) -> list[float]:
+        def sums(w):
+            mine = _sums(w, x[v][~held], own, np.ones(len(own)), scale[v])
+            if not taught[v][0]:
+                return mine
+            return tuple(a + b for a, b in zip(mine, taught[v][1](w), strict=True))
+
+        return _newton(sums, _width(x[v]), scale[v], ridge=1.0 if v == "meta" else 1e-2)
+
     for _ in range(rounds):
         moved = 0
         for teacher, pupil in (("text", "meta"), ("meta", "text")):
-            if not len(view[teacher]):
-                continue
             w = fit(teacher)
-            p, own = (1 / (1 + np.exp(-_odds(w, x))) for x in (view[teacher], held_view[teacher]))
-            for label, chance, seen, share in ((1.0, p, own, prior), (0.0, 1 - p, 1 - own, 1 - prior)):
-                able = np.flatnonzero((chance >= _sure_from(seen, y[held] == label, precision)) & ~given[pupil])
-                chosen = able[np.argsort(-chance[able], kind="stable")][: max(1, round(handed * share))]
-                given[pupil][chosen] = True
-                train[pupil][0].append(view[pupil][chosen])
-                train[pupil][1].append(np.full(len(chosen), label))
-                moved += len(chosen)
+            p = 1 / (1 + np.exp(-_odds(w, x[teacher][held])))
+            sure = [_sure_from(chance, y[held] == label, precision) for label, chance in ((1.0, p), (0.0, 1 - p))]
+            if min(sure) > 1:
+                continue
+            before = taught[pupil][0]
+            teachers[pupil].append((w, *sure))
+            taught[pupil] = pool.taught(pupil, list(teachers[pupil]), scale[pupil])
+            moved += taught[pupil][0] - before
         if not moved:
             break
     text, meta = fit("text"), fit("meta")
     platt = []
-    for w, x in ((text, xt), (meta, xm)):
-        platt.append(fit_logistic(_odds(w, x[held])[:, None], y[held]))
-    both = np.column_stack([_odds(c, _odds(w, x[held])[:, None]) for c, w, x in zip(platt, (text, meta), (xt, xm), strict=True)])
+    for w, v in ((text, xt), (meta, xm)):
+        platt.append(fit_logistic(_odds(w, v[held])[:, None], y[held]))
+    both = np.column_stack([_odds(c, _odds(w, v[held])[:, None]) for c, w, v in zip(platt, (text, meta), (xt, xm), strict=True)])
     return QualityModel(prior, text, meta, platt, fit_logistic(both, y[held]))
 
 
-def fit_quality(
-    docs: DataFrame, labels: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, pool_rows: int = POOL_ROWS, rounds: int = ROUNDS
-) -> QualityModel:
+def fit_quality(docs: DataFrame, labels: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, rounds: int = ROUNDS) -> QualityModel:
     """Fit on ``docs`` (doc_id, the text, lang, source, n_chars) and ``labels`` (doc_id, quality)."""
     one = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.min((F.col("quality") > 0).cast("int")).alias("quality"))
     )
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    ids = docs.where("doc_id IS NOT NULL").select("doc_id").distinct().join(one, "doc_id", "left")
-    labelled = ids.where("quality IS NOT NULL").orderBy(*order).limit(sample_rows)
-    pool = ids.where("quality IS NULL").orderBy(*order).limit(pool_rows)
-    chosen = F.broadcast(labelled.unionAll(pool))  # bounded by sample_rows + pool_rows
     body = docs.select("doc_id", F.col(text).cast("string").alias("text"), *_meta_slots_of(docs))
     flat = [F.col("__features")[i].alias(name) for i, name in enumerate(TEXT_FEATURES)]
-    rows = with_features(body.join(chosen, "doc_id"), "text", keep_text=False).select("doc_id", "quality", "__m0", "__m1", "__m2", *flat).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    known = rows["quality"].notna().to_numpy()
-    xt = rows[TEXT_FEATURES].to_numpy(float)
-    xm = _meta_matrix(rows[["__m0", "__m1", "__m2"]].to_numpy(int))
-    held = np.arange(known.sum()) % 4 == 0
-    return co_train(xt[known], xm[known], rows["quality"][known].to_numpy(float), held, xt[~known], xm[~known], rounds)
+    single = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("__row")  # null ids aren't one document
+    rows = with_features(body, "text", keep_text=False).select("doc_id", single, F.struct("__m0", "__m1", "__m2", *flat).alias("own"))
+    rows = rows.groupBy("doc_id", "__row").agg(F.min("own").alias("own")).join(one, "doc_id", "left").select("doc_id", "quality", "own.*")
+    rows = materialize(rows, "quality-features")
+    known = rows.where("quality IS NOT NULL").orderBy(F.xxhash64("doc_id"), F.col("doc_id")).limit(sample_rows).toPandas()
+    known = known.sort_values("doc_id")
+    xt = known[TEXT_FEATURES].to_numpy(float)
+    xm = known[["__m0", "__m1", "__m2"]].to_numpy(np.int64)
+    held = np.arange(len(known)) % 4 == 0
+    return co_train_over(SparkPool(rows.where("quality IS NULL")), xt, xm, known["quality"].to_numpy(float), held, rounds)
 
 
 def _meta_slots_of(docs: DataFrame) -> list[Column]:

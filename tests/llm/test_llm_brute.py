@@ -388,6 +388,26 @@ def test_co_training_learns_from_the_other_view():
     assert gain(taught) > 2 and gain(taught) > gain(alone) + 1
 
 
+def test_all_unlabelled_documents_are_exchanged(spark):
+    """The pool in Spark labels and sums up like one in memory, and none is left out."""
+    rng = np.random.default_rng(9)
+    n, k = 30_000, len(quality.TEXT_FEATURES)
+    kinds = rng.integers(0, 2, n + 400)
+    text = rng.random((n + 400, k)) * 0.2 + kinds[:, None] * 0.5
+    slots = np.column_stack([kinds, 64 + rng.integers(0, 5, n + 400), 128 + rng.integers(0, 9, n + 400)])
+    columns = ", ".join([*[f"__m{i} int" for i in range(3)], *[f"{c} double" for c in quality.TEXT_FEATURES]])
+    rows = [(*map(int, a), *map(float, b)) for a, b in zip(slots[400:], text[400:], strict=True)]
+    pool = quality.SparkPool(spark.createDataFrame(rows, columns).repartition(3))
+    y, held = kinds[:400].astype(float), np.arange(400) % 4 == 0
+    here = quality.LocalPool(text[400:], slots[400:])
+    a, b = (quality.co_train_over(p, text[:400], slots[:400], y, held) for p in (pool, here))
+    for own, other in ((a.text, b.text), (a.meta, b.meta), (a.mix, b.mix)):
+        assert np.allclose(own, other, rtol=1e-6, atol=1e-6)
+    sure = [(a.text, 0.5, 0.5)]
+    assert pool.taught("meta", sure, np.ones(152))[0] == n  # far more than any sample
+    assert quality.SAMPLE_ROWS == 20_000
+
+
 def test_license_families():
     fitted = licenses.train([f"plain words of text number {i} in the".encode().split() for i in range(200)])
     find = lambda text: fitted.find(licenses.words_of(text.encode()))
