@@ -8,8 +8,12 @@ compared by a 64-bit digest; one that stands in two documents or more is repeate
 
 Repeated chunks that follow each other in a document form a run.  The chunks at the two
 ends of a shared passage also hold bytes from outside of it, so a run is shorter than the passage
-by about 90 bytes; runs of ``MIN_WORDS`` words or more are reported, which
-passages of over 50 words reach.  Each run names the smallest document that has its first
+by about 90 bytes.  A run is therefore a seed, however short: on either side it is extended over its
+neighbouring chunks as far as the text equals that of the smallest or the largest document that has the
+chunk at this end (whichever agrees further; a document isn't compared with itself).
+Extended passages of ``MIN_WORDS`` words or more are reported; a word that a passage ends within
+counts only if a chunk of the run holds its beginning.  A passage is missed only if no whole chunk lies in
+it.  Each run names the smallest document that has its first
 chunk: there the passage is kept, elsewhere it may be removed.
 
 Digest lists are never gathered: counts are aggregated by digest, then joined back, so a
@@ -17,7 +21,8 @@ chunk in a third of all documents spreads over tasks.
 
 Defined results: null and empty texts have no chunks.  A text without a cut is one chunk.
 Rows with a null id take no part.  Rows that repeat an id count as one document, so a
-passage that only they share is not repeated; each distinct run is reported once.  Extra columns
+passage that only they share is not repeated; each distinct run is reported once.  A chunk that stands
+in the compared document several times is taken where it stands first.  Extra columns
 are ignored.
 """
 
@@ -33,6 +38,9 @@ from .common import materialize, raw_texts, slices
 
 RADIUS = 20
 MIN_WORDS = 25
+#: Neighbouring chunks that are compared.  Texts that agree over a whole chunk and the 36 bytes of hash window and
+#: radius beyond have the same cuts there, so the run would go on; two more chunks are longer.
+_NEIGHBOURS = 3
 
 #: 256 gear values from a rule: the digests of the bytes.
 GEAR = np.array([xxhash.xxh32_intdigest(bytes([b]), 7) & 0xFFFF for b in range(256)], np.uint16)
@@ -77,15 +85,29 @@ def cut_ends(data: np.ndarray, radius: int = RADIUS) -> np.ndarray:
     return ends if len(ends) and ends[-1] == size else np.append(ends, size)
 
 
-def chunk_rows(raw: bytes) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
-    """(digests, starts, ends, words begun) of the chunks of a text; offsets in code points."""
+def _chunk_bounds(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, starts, ends) of the chunks of a text."""
     data = np.frombuffer(raw, np.uint8)
     ends = cut_ends(data)
-    starts = np.concatenate(([0], ends[:-1]))
-    view = memoryview(raw)
-    digests = [xxhash.xxh64_intdigest(view[a:b]) - (1 << 63) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return data, np.concatenate(([0], ends[:-1])), ends
+
+
+def _digest(part) -> int:
+    return xxhash.xxh64_intdigest(part) - (1 << 63)
+
+
+def _words_begun(data: np.ndarray) -> np.ndarray:
+    """Where words begin."""
     blank = (data == 32) | ((data >= 9) & (data <= 13))
-    begun = np.concatenate(([0], np.cumsum(~blank & np.concatenate(([True], blank[:-1])))))
+    return ~blank & np.concatenate(([True], blank[:-1]))
+
+
+def chunk_rows(raw: bytes) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """(digests, starts, ends, words begun) of the chunks of a text; offsets in code points."""
+    data, starts, ends = _chunk_bounds(raw)
+    view = memoryview(raw)
+    digests = [_digest(view[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    begun = np.concatenate(([0], np.cumsum(_words_begun(data))))
     if raw.isascii():
         points = np.arange(len(data) + 1)
     else:
@@ -93,6 +115,36 @@ def chunk_rows(raw: bytes) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarra
     return digests, points[starts], points[ends], begun[ends] - begun[starts]
 
 
+def contexts(raw: bytes, places: list[tuple[int, int]]) -> list[tuple[int, int, bytes, bytes]]:
+    """(place, digest, bytes before, bytes after) of the chunks of a text that stand at ``places`` with their digests."""
+    _, starts, ends = _chunk_bounds(raw)
+    out = []
+    for place, digest in places:
+        if place < len(ends) and _digest(raw[starts[place] : ends[place]]) == digest:
+            first, last = max(0, place - _NEIGHBOURS), min(len(ends) - 1, place + _NEIGHBOURS)
+            # a byte more at either end tells whether a word begins or goes on there
+            out.append((place, digest, raw[max(0, starts[first] - 1) : starts[place]], raw[ends[place] - 1 : ends[last] + 1]))
+    return out
+
+
+def extension(own: bytes, other: bytes, before: bool) -> tuple[int, int]:
+    """(code points, words) by which a passage goes on before or after a chunk: the part common to both contexts."""
+    a, b = (own[::-1], other[::-1]) if before else (own, other)
+    size = min(len(a), len(b))
+    differ = np.flatnonzero(np.frombuffer(a[:size], np.uint8) != np.frombuffer(b[:size], np.uint8))
+    n = int(differ[0]) if len(differ) else size
+    data = np.frombuffer(own, np.uint8)
+    begun, points = _words_begun(data), (data & 0xC0) != 0x80
+    if before:
+        return int(points[len(own) - n :].sum()), int(begun[len(own) - n :].sum())
+    while 0 < n < len(own) and not points[n]:  # no part of a character
+        n -= 1
+    words = int(begun[1:n].sum())  # the first byte is the chunk's last
+    if words and n < len(own) and not begun[n] and not own[n - 1 : n].isspace() and not own[n : n + 1].isspace():
+        words -= 1  # its last word goes on
+    return int(points[1:n].sum()), words
+
+
 def chunk_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(doc_id, place, digest, start, end, words), a row for each chunk."""
 
@@ -112,15 +164,53 @@ def chunk_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, place int, digest bigint, start int, end int, words int")
 
 
+def _context_table(docs: DataFrame, places: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, place, digest, before, after) of the chunks in ``places`` (doc_id, place, digest)."""
+    own = places.groupBy("doc_id").agg(F.collect_list(F.struct("place", "digest")).alias("places"))  # of one document
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).join(own, "doc_id")
+
+    def run(batches):
+        for part in slices(batches):
+            out = []
+            for own, raw, wanted in zip(part.column(0).to_pylist(), raw_texts(part.column(1)), part.column(2).to_pylist(), strict=True):
+                if raw:
+                    out += [(own, *x) for x in contexts(raw, [(w["place"], w["digest"]) for w in wanted])]
+            cells = list(zip(*out, strict=True)) or [[]] * 5
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
+            names = ["doc_id", "place", "digest", "before", "after"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], names=names)
+
+    found = rows.select("doc_id", "text", "places").mapInArrow(run, "doc_id bigint, place int, digest bigint, before binary, after binary")
+    # rows that repeat an id may have other texts around the chunk
+    return found.groupBy("doc_id", "place", "digest").agg(F.min("before").alias("before"), F.min("after").alias("after"))
+
+
+def _extensions(pairs: DataFrame) -> DataFrame:
+    """(doc_id, run, front, points, words) of pairs (doc_id, run, front, own, other)."""
+
+    def run(batches):
+        for part in slices(batches):
+            ids, runs, front, own, other = (c.to_pylist() for c in part.columns)
+            found = [extension(a, b, f) for a, b, f in zip(own, other, front, strict=True)]
+            cells = [ids, runs, front, [p for p, _ in found], [w for _, w in found]]
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int32())
+            names = ["doc_id", "run", "front", "points", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cells, kinds, strict=True)], names=names)
+
+    return pairs.select("doc_id", "run", "front", "own", "other").mapInArrow(run, "doc_id bigint, run int, front boolean, points int, words int")
+
+
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """Runs of repeated chunks: doc_id, start, end (code points), n_chunks, n_words, first_doc_id."""
+    """Runs of repeated chunks, extended: doc_id, start, end (code points), n_chunks, n_words, first_doc_id."""
     chunks = chunk_table(docs, doc_id, text)
     repeated = chunks.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high")
-    found = materialize(chunks.join(repeated.select("digest", "low").hint("shuffle_hash"), "digest"), "repeated-chunks").distinct()
+    found = materialize(chunks.join(repeated.hint("shuffle_hash"), "digest"), "repeated-chunks")
     by_doc = Window.partitionBy("doc_id").orderBy("place")
     run = F.col("place") - F.row_number().over(by_doc)
-    return (
-        found.select("*", run.alias("run"))
+    edge = F.struct("place", "digest", "low", "high")
+    runs = (
+        found.distinct()
+        .select("*", run.alias("run"))
         .groupBy("doc_id", "run")
         .agg(
             F.min("start").alias("start"),
@@ -128,7 +218,37 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
             F.count(F.lit(1)).alias("n_chunks"),
             F.sum("words").alias("n_words"),
             F.min_by("low", "place").alias("first_doc_id"),
+            F.min_by(edge, "place").alias("first"),
+            F.max_by(edge, "place").alias("last"),
+        )
+    )
+    runs = materialize(runs, "chunk-runs")
+    sides = F.array(F.struct(F.lit(True).alias("front"), F.col("first").alias("edge")), F.struct(F.lit(False).alias("front"), F.col("last").alias("edge")))
+    ends = runs.select("doc_id", "run", F.explode(sides).alias("side")).select("doc_id", "run", "side.front", "side.edge.*")
+    others = F.explode(F.array("low", "high")).alias("partner")
+    # where the compared documents have the chunk first
+    partners = ends.select("digest", others).distinct()
+    first = found.select("digest", F.col("doc_id").alias("partner"), "place").join(partners, ["digest", "partner"])
+    first = first.groupBy("digest", "partner").agg(F.min("place").alias("place")).select(F.col("partner").alias("doc_id"), "place", "digest")
+    places = ends.select("doc_id", "place", "digest").union(first).distinct()
+    known = materialize(_context_table(docs, places, doc_id, text), "chunk-contexts")
+    side = F.when(F.col("front"), F.col("before")).otherwise(F.col("after"))
+    own = ends.join(known, ["doc_id", "place", "digest"]).select("doc_id", "run", "front", "digest", "low", "high", side.alias("own"))
+    own = own.select("doc_id", "run", "front", "digest", "own", others).where("partner <> doc_id")
+    other = known.join(first, ["doc_id", "place", "digest"]).select("digest", F.col("doc_id").alias("partner"), "before", "after")
+    pairs = own.join(other.hint("shuffle_hash"), ["digest", "partner"]).select("doc_id", "run", "front", "own", side.alias("other"))
+    most = lambda column, front: F.coalesce(F.max(F.when(F.col("front") == front, F.col(column))), F.lit(0)).alias(f"{column}_{front}")
+    longer = _extensions(pairs).groupBy("doc_id", "run").agg(*[most(c, f) for c in ("points", "words") for f in (True, False)])
+    added = lambda column: F.coalesce(F.col(column), F.lit(0))
+    return (
+        runs.join(longer, ["doc_id", "run"], "left")
+        .select(
+            "doc_id",
+            (F.col("start") - added("points_True")).alias("start"),
+            (F.col("end") + added("points_False")).alias("end"),
+            "n_chunks",
+            (F.col("n_words") + added("words_True") + added("words_False")).alias("n_words"),
+            "first_doc_id",
         )
         .where(F.col("n_words") >= min_words)
-        .drop("run")
     )

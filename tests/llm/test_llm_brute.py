@@ -160,6 +160,34 @@ def test_shared_passages_are_found(spark):
     assert len(found & want) >= 0.95 * len(want) and not found & clean
 
 
+@pytest.mark.parametrize("longest", [3, 9])
+def test_all_planted_passages_are_found_whole(spark, longest):
+    """Short words too, and each passage from its first to its last word."""
+    rng = random.Random(longest)
+    word = lambda: "".join(rng.choice("etaoinshr") for _ in range(rng.randint(2, longest)))
+    text = lambda n: [word() for _ in range(n)]
+    rows, want = [], {}
+    for p in range(150):
+        passage = text(rng.randint(51, 56))
+        for c in range(3):
+            own = text(rng.randint(20, 200))
+            at = rng.randrange(1, len(own))
+            rows.append((p * 10 + c, " ".join(own[:at] + passage + own[at:])))
+            start = len(" ".join(own[:at])) + 1
+            want[p * 10 + c] = (start, start + len(" ".join(passage)))
+    found = chunks.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = {i: [r for r in found if r["doc_id"] == i] for i in want}
+    for i, (start, end) in want.items():
+        assert any(r["start"] <= start and r["end"] >= end for r in got[i]), i
+        assert all(r["start"] > start - 20 and r["end"] < end + 20 and r["n_words"] >= 51 for r in got[i]), i
+
+
+def test_extension_is_the_common_part():
+    assert chunks.extension(b"one two three", b"xx two three", True) == (10, 2)
+    assert chunks.extension(b". two threes, ", b". two three", False) == (10, 1)
+    assert chunks.extension("xé".encode(), "xè".encode(), False) == (0, 0)
+
+
 def test_secret_spans_equal_a_plain_scan(spark):
     rng = random.Random(2)
     bits = ["password=", "Token: ", "api_key = '", "apikey:\"", "AKIA", "ABCDEFGH12", "deadbeef", "0123456789abcdef", "äö", " ", "\n", "secret=secret: ", "xyzXYZ123+/=", "user=bob", "https://a.b/c", "AbC123" * 5, "passwd"]
