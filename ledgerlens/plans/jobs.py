@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..operators import audits as A
 from ..operators import flaglog as FL
 from ..operators import landing as LD
+from ..operators import ordering as OR
 from ..operators import rates as RT
 from ..session import shared_dir
 from ..sources import fixtures as FX
@@ -177,6 +178,11 @@ def q_flag_stream(spark, sf_dir):
     return spark.read.parquet(f"{run}/sink")
 
 
+def q_missing_days_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O1: the days without any order, latest first, with their place."""
+    return OR.with_position(q_missing_days_any(spark, sf_dir), F.col("missing_date").desc())
+
+
 # ---------------------------------------------------------------- C13-C15
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -202,6 +208,13 @@ def q_freshness(spark, sf_dir):
     return A.freshness_audit(inv, as_of, projects=AUDIT_PROJECTS)
 
 
+def q_freshness_ordered(spark, sf_dir):
+    """O2: the stale extracts, oldest first, then by name and project, with their place."""
+    inv = extract_inventory(_events(spark, sf_dir))
+    stale = A.freshness_audit(inv, dt.datetime.fromisoformat(EVENTS_AS_OF), projects=AUDIT_PROJECTS, ordered=False)
+    return OR.with_position(stale, F.col("days_since_refresh").desc(), F.col("extract").asc(), F.col("project").asc())
+
+
 def _grant_states(events: DataFrame) -> DataFrame:
     """Objects are a user's days.  Each day from a user's first to last is expected to be
     granted to all groups; it is in the inventory when it has an event; an event grants
@@ -235,7 +248,7 @@ def q_absent_objects(spark, sf_dir):
     return A.absent_objects(_grant_states(_events(spark, sf_dir)))
 
 
-def q_schedule_outside_window(spark, sf_dir):
+def _outside_window(spark, sf_dir, ordered: bool) -> DataFrame:
     ev = _events(spark, sf_dir)
     ds_id = F.concat(F.col("user_id").cast("string"), F.lit("/"), F.col("event_type"))
     datasources = ev.select("user_id", "event_type").distinct().select(
@@ -247,7 +260,19 @@ def q_schedule_outside_window(spark, sf_dir):
         ds_id.alias("datasource_id"), F.col("ts").alias("start_at"),
         (F.col("value") >= 1.0).alias("daily"),
     )
-    return A.schedule_window_audit(tasks, datasources, projects=AUDIT_PROJECTS)
+    return A.schedule_window_audit(tasks, datasources, projects=AUDIT_PROJECTS, ordered=ordered)
+
+
+def q_schedule_outside_window(spark, sf_dir):
+    return _outside_window(spark, sf_dir, ordered=True)
+
+
+def q_schedule_ordered(spark, sf_dir):
+    """O3: the tasks outside the window by lower-cased name, then by project, time and
+    flag, with their place."""
+    out = _outside_window(spark, sf_dir, ordered=False)
+    keys = [F.lower("datasource_name"), F.col("project_name"), F.col("start_time"), F.col("refreshed_daily"), F.col("datasource_name")]
+    return OR.with_position(out, *[k.asc_nulls_first() for k in keys])
 
 
 def q_audit_summary(spark, sf_dir):
@@ -256,7 +281,7 @@ def q_audit_summary(spark, sf_dir):
     ev = _events(spark, sf_dir)
     as_of = dt.datetime.fromisoformat(EVENTS_AS_OF)
     stale = A.freshness_audit(extract_inventory(ev), as_of, projects=AUDIT_PROJECTS, ordered=False)
-    outside = q_schedule_outside_window(spark, sf_dir)
+    outside = _outside_window(spark, sf_dir, ordered=False)
     # both counts of the grant audit come from one pass over its states
     counts = _grant_states(ev).agg(
         F.count(F.when(F.col("state") == "missing", 1)).alias("missing_grants"),
@@ -269,6 +294,7 @@ JOB_QUERIES = {
     "missing_dates": q_missing_dates,
     "missing_months_by_customer": q_missing_months_by_customer,
     "missing_days_any": q_missing_days_any,
+    "missing_days_ordered": q_missing_days_ordered,
     "rates_ingest": q_rates_ingest,
     "rates_rejects": q_rates_rejects,
     "landing_clean": q_landing_clean,
@@ -277,9 +303,11 @@ JOB_QUERIES = {
     "flag_increment": q_flag_increment,
     "flag_stream": q_flag_stream,
     "freshness": q_freshness,
+    "freshness_ordered": q_freshness_ordered,
     "missing_grants": q_missing_grants,
     "missing_grants_listed": q_missing_grants_listed,
     "absent_objects": q_absent_objects,
     "schedule_outside_window": q_schedule_outside_window,
+    "schedule_ordered": q_schedule_ordered,
     "audit_summary": q_audit_summary,
 }

@@ -477,6 +477,16 @@ JOB_SQL = {
 }
 
 
+JOB_SQL["missing_days_ordered"] = (
+    "SELECT missing_date, row_number() OVER (ORDER BY missing_date DESC) AS position FROM (" + JOB_SQL["missing_days_any"] + ") x"
+)
+JOB_SQL["freshness_ordered"] = (
+    "SELECT *, row_number() OVER (ORDER BY days_since_refresh DESC, extract, project) AS position FROM (" + JOB_SQL["freshness"] + ") x"
+)
+JOB_SQL["schedule_ordered"] = (
+    "SELECT *, row_number() OVER (ORDER BY lower(datasource_name) NULLS FIRST, project_name NULLS FIRST, start_time NULLS FIRST,"
+    " refreshed_daily NULLS FIRST, datasource_name NULLS FIRST) AS position FROM (" + JOB_SQL["schedule_outside_window"] + ") x"
+)
 JOB_SQL["audit_summary"] = (
     "SELECT 'stale_extracts' AS audit, COUNT(*) AS n_rows FROM (" + JOB_SQL["freshness"] + ") a"
     " UNION ALL SELECT 'missing_grants', COUNT(*) FROM (" + JOB_SQL["missing_grants"] + ") b"

@@ -7,7 +7,6 @@ aggregates, nothing is collected row by row).
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,16 +14,10 @@ from pyspark.sql import functions as F
 from ..operators import flaglog as FL
 from ..operators import landing as LD
 from ..operators import rates as RT
-from ..session import shared_dir
+from ..session import written
 from ..sources import io
 
 
-def _written(df: DataFrame) -> DataFrame:
-    path = shared_dir(df.sparkSession, f"refresh/{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def refresh_rates(
     spark: SparkSession,
     payloads: DataFrame,
@@ -38,13 +31,13 @@ def refresh_rates(
     existing = spark.read.parquet(target)
     good, rejects = RT.ingest_rates(payloads, existing)
     # written once to the shared folder: the append below changes what ``existing`` reads
-    good = _written(good)
+    good = written(good, "refresh")
     n_good = good.count()
     if n_good:
         io.append(good.select("date", "currency", "rate"), target)
     n_rej = 0
     if rejects_target is not None:
-        rejects = _written(rejects)
+        rejects = written(rejects, "refresh")
         n_rej = rejects.count()
         if n_rej:
             io.append(rejects, rejects_target)

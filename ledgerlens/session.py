@@ -9,10 +9,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -71,6 +72,14 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     return f"{base.rstrip('/')}/{sub}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under ``shared_dir`` and read back: later jobs reread the
+    files, also after executors are lost."""
+    path = shared_dir(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per application."""
     app = spark.sparkContext.applicationId
