@@ -115,10 +115,103 @@ DECONTAMINATION = f"""
            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM words w LEFT JOIN hits h ON h.doc_id = w.doc_id LEFT JOIN own o ON o.doc_id = w.doc_id"""
 
+# the streams of a source in shuffled order; a target by the level to which all sources are filled
+SOURCE_MIX = """
+    WITH sized AS (
+      SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+             md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS k
+      FROM documents),
+    sources AS (
+      SELECT source, words, 2 * words AS most, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 + 1] AS w
+      FROM (SELECT source, sum(size)::HUGEINT AS words FROM sized GROUP BY source)),
+    judged AS (
+      SELECT s.*, 2 * (SELECT sum(least(t.most * s.w, s.most * t.w)) FROM sources t)
+                  <= 3 * (SELECT sum(words) FROM sources) * s.w AS full
+      FROM sources s),
+    level AS (
+      SELECT 3 * sum(words) - 2 * coalesce(sum(most) FILTER ("full"), 0) AS rest, 2 * sum(w) FILTER (NOT "full") AS share FROM judged),
+    targets AS (
+      SELECT source, words::BIGINT AS words, CASE WHEN "full" THEN most::DOUBLE ELSE (w * rest)::DOUBLE / share::DOUBLE END AS target
+      FROM judged, level),
+    streams AS (
+      SELECT doc_id, size, s.source, words, target, floor(target)::BIGINT AS due,
+             (sum(size) OVER (PARTITION BY s.source ORDER BY k, size ROWS UNBOUNDED PRECEDING))::BIGINT - size AS low
+      FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, words AS source_size, target,
+           CASE WHEN words = 0 THEN 0 ELSE (due // words) * size + greatest(0, least(low + size, due % words) - low) END::BIGINT AS taken
+    FROM streams"""
+
+_CRC_TABLE = """
+    crc(bits) AS (
+      SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+               CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END, i::BIGINT)))"""
+
+
+def _crc32(text: str) -> str:
+    """crc32 of a text of code points below U+0800; ``bits`` is in scope."""
+    octets = (
+        f"flatten(list_transform(regexp_extract_all({text}, '(?s).'), lambda c:"
+        " CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [(192 + (unicode(c) >> 6))::BIGINT, (128 + (unicode(c) & 63))::BIGINT] END))"
+    )
+    return f"xor(4294967295::BIGINT, list_reduce({octets}, lambda c, o: xor(c >> 8, bits[(xor(c, o) & 255) + 1]), 4294967295::BIGINT))"
+
+
+SPELLING_VARIANTS = f"""
+    WITH RECURSIVE {_CRC_TABLE},
+    runs AS (
+      SELECT doc_id, r, count(*) AS m FROM (
+        SELECT doc_id, unnest(regexp_extract_all({_FOLD}, '[a-z\u00C0-\u00FF]+')) AS r FROM documents)
+      WHERE length(r) >= 5 GROUP BY ALL),
+    hashed AS (SELECT *, {_crc32("doc_id::VARCHAR || ':' || r")} AS h FROM runs, crc),
+    thinned AS (
+      SELECT CASE WHEN h % 97 = 0 THEN r[:(h % length(r))] || r[(h % length(r)) + 2:] ELSE r END AS word, m FROM hashed),
+    words AS (SELECT word, sum(m)::BIGINT AS n FROM thinned WHERE length(word) >= 5 GROUP BY word HAVING sum(m) >= 3),
+    forms AS (SELECT word, n, i, word[:i] || word[i + 2:] AS f FROM (SELECT *, unnest(range(length(word))) AS i FROM words)),
+    shorter AS (SELECT DISTINCT f.word AS u, w.word AS v, w.n FROM forms f JOIN words w ON w.word = f.f),
+    longer AS (SELECT DISTINCT w.word AS u, f.word AS v, f.n FROM forms f JOIN words w ON w.word = f.f),
+    near AS (
+      SELECT a.word AS u, b.word AS v, b.n FROM forms a JOIN forms b ON a.f = b.f AND a.i = b.i AND a.word <> b.word
+      UNION ALL SELECT * FROM shorter UNION ALL SELECT * FROM longer),
+    best AS (SELECT u, count(*) AS n_near, max(n) AS most, first(v ORDER BY n DESC, v) AS v FROM near GROUP BY u),
+    judged AS (
+      SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 2 * n THEN v END AS form, CASE WHEN most >= 2 * n THEN most END AS form_n
+      FROM words LEFT JOIN best ON u = word),
+    steps AS (
+      SELECT word, word AS at, form AS next FROM judged
+      UNION ALL SELECT s.word, j.word, j.form FROM steps s JOIN judged j ON j.word = s.next)
+    SELECT j.word, j.form, s.at AS root, j.n, j.n_near, j.form_n FROM judged j JOIN steps s ON s.word = j.word AND s.next IS NULL"""
+
+CONVERSATION_TRIE = f"""
+    WITH {_CRC_TABLE},
+    lists AS (
+      SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS ts
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    headed AS (SELECT conv_id, ts, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM lists, crc),
+    rebuilt AS (
+      SELECT a.conv_id, list_concat(CASE WHEN b.ts IS NULL THEN [] ELSE b.ts[1:a.h] END, a.ts[a.h + 1:]) AS ts
+      FROM headed a LEFT JOIN lists b ON b.conv_id = a.conv_id - a.conv_id % 5),
+    paths AS (SELECT conv_id AS c, ts, unnest(range(len(ts) + 1)) AS depth FROM rebuilt),
+    nodes AS (
+      SELECT ts[1:depth] AS k, depth, min(c) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(ts) = depth), '')) AS ends_sha256
+      FROM paths GROUP BY ALL),
+    own AS (SELECT *, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * strlen(k[depth].x) END AS saved FROM nodes),
+    children AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+    up AS (SELECT k[1:d] AS k, saved, leaf FROM (
+      SELECT o.k, saved, (c.k IS NULL)::INTEGER AS leaf, unnest(range(depth + 1)) AS d FROM own o LEFT JOIN children c ON c.k = o.k)),
+    totals AS (SELECT k, sum(saved) AS saved, sum(leaf) AS leaves FROM up GROUP BY k)
+    SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children,
+           t.leaves::BIGINT AS n_leaves, t.saved::BIGINT AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN totals t ON t.k = n.k LEFT JOIN children c ON c.k = n.k
+    LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.k = n.k[1:n.depth - 1]"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_secret_scan": _secret_scan(),
     "op5_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
     "op7_url_filter": _url_filter(),
     "op9_exact_top_k": EXACT_TOP_K,
     "op10_decontamination": DECONTAMINATION,
+    "op11_source_mix": SOURCE_MIX,
+    "op12_spelling_variants": SPELLING_VARIANTS,
+    "op13_conversation_trie": CONVERSATION_TRIE,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunks, decontaminate, licenses, ngram_join, pieces, quality, secrets, topk, toxicity, urls
+from . import chunks, decontaminate, licenses, mixing, ngram_join, pieces, prefix_trie, quality, secrets, spelling, topk, toxicity, urls
 from .common import table
 from .oracle_sql import ORACLE_SQL  # noqa: F401
 from .parameters import PIECE_MODEL, URL_RULES
@@ -114,6 +114,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", F.col("text").cast("string").alias("text"))
+    return mixing.document_shares(mixing.mix_sources(docs)).select(
+        F.col("__id").alias("doc_id"),
+        F.col("__size").alias("size"),
+        F.col("__words").alias("source_size"),
+        F.col("__target").alias("target"),
+        F.col("__taken").alias("taken"),
+    )
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("string").alias("text"))
+    return spelling.spelling_variants(docs).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes = prefix_trie.conversation_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"), "ends_sha256"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_sentencepiece": op2_sentencepiece,
@@ -125,4 +148,7 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_decontamination": op10_decontamination,
+    "op11_source_mix": op11_source_mix,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_trie": op13_conversation_trie,
 }
