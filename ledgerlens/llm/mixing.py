@@ -44,7 +44,7 @@ BLOCK_WORDS = 8192
 _WORD = "[^\\\\x20\\\\x09-\\\\x0D]+"
 #: Slots a chunk when slots are ranked; documents a bucket, about, when positions are summed.
 _CHUNK = 4096
-_BUCKET = 4096
+_BUCKET = 1024
 
 
 @dataclass(frozen=True)

@@ -14,10 +14,11 @@ between them.  Near words are found as follows, for words between two marks on e
    leave every word at least one gram that stays.
 4. Lists: near words share all their grams but those affected, so of the rarest (affected + 1) grams of each
    they share one, at the same place from the left or from the right.  These grams go into lists by gram, place
-   and length; a list of up to ``long_list`` words is merged with itself or with that of the next length.
-5. Long lists: words that share a one-deletion form are met by (list, form) instead, one small group a form.
+   and length, together with those of the next length; each list is sorted together and merged with itself.
+5. Lists of more than ``long_list`` words: words that share a one-deletion form are met by (list, form) instead, one
+   small group a form.
    No pair is lost and none is listed twice over.
-6. All pairs met are verified by edit distance.
+6. All pairs met are verified: first by the letters that stand an odd number of times, then by edit distance.
 
 Forms are followed to the root by doubling; counts at least double along forms, so few rounds do.
 
@@ -34,6 +35,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -49,7 +51,9 @@ THINNED = 97
 SHORTEST, LONGEST = 2, 4
 MARKS = LONGEST - 2
 FREQUENT = 100
-LONG_LIST = 128
+LONG_LIST = 4096
+#: Lists of up to so many words are compared all at once; larger ones by so many cells at a time.
+_FEW, _CELLS = 16, 1 << 20
 #: At most so many frequent grams of one length.
 _GRAMS = 1 << 16
 #: Distinct runs, and their bytes, that a task counts before it hands them on.
@@ -213,12 +217,76 @@ def _fold(word: str) -> int:
     return h
 
 
-_LISTED = "key bigint, part int, word string, n bigint"
+def odd_letters(words: pa.Array) -> np.ndarray:
+    """64 bits for each word: which letters (by the last six bits of their last byte) stand an odd number of times.
+    One edit turns two at most."""
+    words = words.cast(pa.large_binary())
+    ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    last = np.append((data[1:] & 0xC0) != 0x80, True)[: len(data)]  # the byte that ends a character
+    bits = np.where(last, np.uint64(1) << (data & np.uint8(63)).astype(np.uint64), np.uint64(0))
+    return np.bitwise_xor.reduceat(bits, ends[:-1] - ends[0]) if len(words) else np.empty(0, np.uint64)
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether words of equal length, or a word and one that is longer by one, differ by one edit."""
+    i, size = 0, len(a)
+    while i < size and a[i] == b[i]:
+        i += 1
+    return a != b and (a[i + 1 :] == b[i + 1 :] if len(b) == size else a[i:] == b[i + 1 :])
+
+
+def _alike(odd: np.ndarray, part: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (i, j) in the list [low, high) that the odd letters leave, block by block."""
+    found_i, found_j = [], []
+    step = max(1, _CELLS // (high - low))
+    for at in range(low, high, step):
+        end = min(high, at + step)
+        may = np.bitwise_count(odd[at:end, None] ^ odd[None, at:high]) <= 2
+        may &= (part[at:end, None] == 0) | (part[at:end, None] + part[None, at:high] == 3)
+        i, j = np.nonzero(np.triu(may, 1))
+        found_i.append(i + at)
+        found_j.append(j + at)
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def _near_in_lists(key: np.ndarray, part: np.ndarray, words: pa.Array) -> list[tuple[str, str]]:
+    """The near pairs of whole lists, sorted by key."""
+    odd = odd_letters(words)
+    bounds = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+    sizes = np.diff(bounds)
+    wide = sizes > _FEW
+    pairs = [_alike(odd, part, bounds[g], bounds[g + 1]) for g in np.flatnonzero(wide)]
+    # the small lists all at once: each row with the next, the next but one and so on
+    small = np.repeat(~wide, sizes)
+    for gap in range(1, _FEW):
+        i = np.flatnonzero((key[gap:] == key[:-gap]) & small[gap:])
+        if not len(i):
+            break
+        j = i + gap
+        i, j = i[(may := (np.bitwise_count(odd[i] ^ odd[j]) <= 2) & ((part[i] == 0) | (part[i] + part[j] == 3)))], j[may]
+        pairs.append((i, j))
+    if not pairs:
+        return []
+    i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+    turn = part[i] == 2  # the shorter word first
+    i, j = np.where(turn, j, i), np.where(turn, i, j)
+    own = words.to_pylist()
+    met = ((own[x], own[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True))
+    return [(min(u, v), max(u, v)) if len(u) == len(v) else (u, v) for u, v in met if one_edit(u, v)]
+
+
+_LISTED = "key bigint, part int, word string"
+_MET = "u string, v string, key bigint, part int"
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def _listed(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int32(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["key", "part", "word", "n"])
+_LIST_ROWS = pa.schema([("key", pa.int64()), ("part", pa.int32()), ("word", pa.string())])
+_MET_ROWS = pa.schema([("u", pa.string()), ("v", pa.string()), ("key", pa.int64()), ("part", pa.int32())])
 
 
 def _lists(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
@@ -226,50 +294,80 @@ def _lists(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2048):
-            rows = [
-                (key, role, w, n)
-                for w, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)
-                for key, role in list_keys(w, shared.value)
-            ]
-            yield _listed(rows)
+            yield _batch([(key, role, w) for w in part.column(0).to_pylist() for key, role in list_keys(w, shared.value)], _LIST_ROWS)
 
-    return words.select("word", "n").mapInArrow(run, _LISTED)
+    return words.select("word").mapInArrow(run, _LISTED)
 
 
-def _forms(lists: DataFrame) -> DataFrame:
-    """The rows of long lists by (list, one-deletion form)."""
+def _forms(key: np.ndarray, part: np.ndarray, words: list[str]) -> pa.RecordBatch:
+    """Rows of a long list by (list, one-deletion form), as rows that are still to be met."""
+    rows = [
+        (w, None, (k * 0x9E3779B97F4A7C15 + form) % (1 << 64) - (1 << 63), role)
+        for k, role, w in zip(key.tolist(), part.tolist(), words, strict=True)
+        for form in one_deletion_keys(w, role)
+    ]
+    return _batch(rows, _MET_ROWS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, 2048):
-            columns = [part.column(part.schema.get_field_index(n)).to_pylist() for n in ("key", "part", "word", "n")]
-            rows = [
-                ((key * 0x9E3779B97F4A7C15 + form) % (1 << 64) - (1 << 63), role, w, n)
-                for key, role, w, n in zip(*columns, strict=True)
-                for form in one_deletion_keys(w, role)
-            ]
-            yield _listed(rows)
-
-    return lists.mapInArrow(run, _LISTED)
 
+def _merged(lists: DataFrame, long_list: int | None) -> DataFrame:
+    """(u, v, key, part): the near pairs among the words of each list (key null), and the rows of lists of more than
+    ``long_list`` words by their forms (v null).  A task goes through its lists in order and holds one at a time,
+    of a long one no more than ``long_list`` rows."""
+    dealt = lists.repartition("key").sortWithinPartitions("key")
 
-def _met(lists: DataFrame) -> DataFrame:
-    """The near pairs among the words of each list."""
-    one = lists.select("key", F.col("part").alias("p"), F.col("word").alias("u"), F.col("n").alias("un")).where("p < 2")
-    two = lists.select("key", F.col("part").alias("r"), F.col("word").alias("v"), F.col("n").alias("vn")).where("r <> 1")
-    return one.join(two, "key").where(
-        ((F.col("p") == 0) & (F.col("r") == 0) & (F.col("u") < F.col("v")) | (F.col("p") == 1) & (F.col("r") == 2))
-        & (F.levenshtein("u", "v", 1) == 1)
-    ).select("u", "un", "v", "vn")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        spilled = None  # the long list that goes on
+
+        def done(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            key, part = rows.column("key").to_numpy(), rows.column("part").to_numpy()
+            words = rows.column("word").combine_chunks()
+            if long_list is not None:
+                size = np.diff(np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True]))))
+                long = np.repeat(size > long_list, size)
+                if long.any():
+                    yield _forms(key[long], part[long], words.filter(pa.array(long)).to_pylist())
+                    key, part, words = key[~long], part[~long], words.filter(pa.array(~long))
+            found = sorted(set(_near_in_lists(key, part, words)))
+            if found:
+                yield _batch([(u, v, None, None) for u, v in found], _MET_ROWS)
+
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            key = rows.column("key").to_numpy()
+            if spilled is not None:
+                more = int(np.searchsorted(key, spilled, side="right"))
+                if more:
+                    gone = rows.slice(0, more)
+                    yield _forms(key[:more], gone.column("part").to_numpy(), gone.column("word").to_pylist())
+                    rows, key = rows.slice(more), key[more:]
+                if not len(key):
+                    continue
+                spilled = None
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+                key = rows.column("key").to_numpy()
+            last = int(np.searchsorted(key, key[-1]))  # the last list may go on
+            if last:
+                yield from done(rows.slice(0, last))
+            held = rows.slice(last)
+            if long_list is not None and held.num_rows > long_list:
+                yield from done(held)
+                held, spilled = None, int(key[-1])
+        if held is not None:
+            yield from done(held)
+
+    return dealt.mapInArrow(run, _MET)
 
 
 def near_pairs(words: DataFrame, frequent: int = FREQUENT, long_list: int = LONG_LIST) -> DataFrame:
     """(u, un, v, vn): the pairs of ``words`` (word, n) at one edit, each once."""
-    lists = materialize(_lists(words, frequent_grams(words, frequent)), "lists")
-    long = lists.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > long_list).select("key", F.lit(True).alias("long"))
-    marked = lists.join(long, "key", "left")
-    short = _met(marked.where("long IS NULL").drop("long"))
-    split = _met(_forms(marked.where("long").drop("long")))
-    return short.unionByName(split).distinct()
+    first = materialize(_merged(_lists(words, frequent_grams(words, frequent)), long_list), "merged-lists")
+    # lists by form are short: of a form with a letter more, at one place or anywhere
+    split = _merged(first.where("v IS NULL").select("key", "part", F.col("u").alias("word")), None)
+    found = first.where("v IS NOT NULL").select("u", "v").unionAll(split.select("u", "v")).distinct()
+    one = lambda c: words.select(F.col("word").alias(c), F.col("n").alias(f"{c}n"))
+    return found.join(one("u"), "u").join(one("v"), "v").select("u", "un", "v", "vn")
 
 
 def spelling_variants(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", frequent: int = FREQUENT, long_list: int = LONG_LIST) -> DataFrame:
