@@ -1,11 +1,16 @@
 """C4: priced monthly totals per (account, product, gateway group, month).
 
-Transactions meet form -> product, gateway -> group and the day rate; the
-partial aggregate on the monthly grain then absorbs them before its own
-exchange.  The take rate depends on the keys of that grain only, so it is joined to
-the monthly sums, not to the transactions, and multiplied there.  Joins are
-left to Spark's size statistics and AQE; dimension keys are checked to be
-unique inside the plan.
+Two aggregates.  The raw rows are summed first, by (account, form, gateway,
+currency, day): all rows of such a group have one product, one gateway group and
+one day rate.  Only these sums meet form -> product, gateway -> group and the day
+rate, and are multiplied; the second aggregate brings them to the monthly grain.
+So raw rows cross one exchange, behind a partial aggregate, however large the dimensions
+are.  The take rate depends on the keys of the monthly grain only, so it is joined to
+the monthly sums and multiplied there.  Joins are left to Spark's size statistics and
+AQE; dimension keys are checked to be unique inside the plan.
+
+Products are exact (``functions.money``): day rates of any numeric type, doubles
+included, count with up to 24 decimals.
 
 Account attributes (name, organization, manager) are *not* group keys: they
 are attached to the monthly rows by ``attach_account_attributes``, one manager
@@ -16,17 +21,17 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import labels as L
-from ..functions.dates import month_start
+from ..functions import money as M
 from .joins import unique_rows
 
 SERIES_KEYS = ["account_id", "product", "gateway_group"]
 KEPT_STATUS = 6
-RATE_TYPE = "decimal(20,10)"
-TOTAL_TYPE = "decimal(38,13)"
+TOTAL_TYPE = M.PRODUCT_TYPE
 
 
 def _dec_lit(value) -> F.Column:
@@ -41,25 +46,6 @@ def gateway_groups(gateways: DataFrame) -> DataFrame:
     )
 
 
-def exact_product(total: Column, rate: Column) -> Column:
-    """``total`` x ``rate`` as decimal(38,13).
-
-    Spark cuts decimals of a product whose declared digits exceed 38, so the
-    factors are narrowed to what the values need.  For rates of up to ten
-    decimals all of the total's twelve are kept below 1e13 and five below
-    1e20; for longer rates (up to 16 decimals) six below 1e13.  Beyond, or for
-    rates from 100 on, Spark's own rule applies.  No value below 1e25 is cut."""
-    ten, sixteen = rate.try_cast("decimal(12,10)"), rate.try_cast("decimal(18,16)")
-    size, plain = F.abs(total), rate.try_cast("decimal(12,10)") == rate
-    narrow = lambda kind, by: (total.try_cast(kind) * by).cast(TOTAL_TYPE)
-    return (
-        F.when(plain & (size < Decimal("1e13")), narrow("decimal(25,12)", ten))
-        .when(plain & (size < Decimal("1e20")), narrow("decimal(25,5)", ten))
-        .when((F.abs(rate) < 100) & (size < Decimal("1e13")), narrow("decimal(19,6)", sixteen))
-        .otherwise((total * rate).cast(TOTAL_TYPE))
-    )
-
-
 def priced_monthly_totals(
     transactions: DataFrame,
     forms: DataFrame,
@@ -77,9 +63,11 @@ def priced_monthly_totals(
     ``transactions``: account_id, form_id, gateway_id, currency, date_created,
     transaction_type (1 add, 2 subtract, other 0), amount, status.
     ``forms``: id, product.  ``gateways``: id, type.
-    ``exchange_rates``: date, currency, rate (any numeric type; taken as
-    decimal(20,10), so sums do not depend on the order of rows).
-    ``take_rates``: gateway_group, date (month start), product, rate.
+    ``exchange_rates``: date, currency, rate; ``take_rates``: gateway_group, date
+    (month start), product, rate.  Rates may have any numeric type; they are taken as
+    decimals, so sums do not depend on the order of rows.  An amount that is no
+    decimal counts with twelve decimals.  Totals may have 24 whole digits; a
+    larger one stops the job.
 
     A missing day rate makes that transaction NULL (skipped by SUM); a month
     whose transactions all lack a rate has a NULL total.  A missing take rate
@@ -87,20 +75,34 @@ def priced_monthly_totals(
     other or NULL group.  Pass ``fallback_type`` (e.g. ``decimal(20,10)``) to
     fix the literal type.  A dimension key that occurs twice stops the job.
     """
-    tx = transactions.where(F.col("status") == kept_status).select(
-        "account_id", "form_id", "gateway_id", "currency", "date_created",
-        "transaction_type", "amount",
+    kind = transactions.schema["amount"].dataType
+    amount = F.col("amount") if isinstance(kind, T.DecimalType) else F.col("amount").cast(M.TOTAL_FACTOR)
+    added = F.when(F.col("transaction_type") == 1, amount).when(F.col("transaction_type") == 2, -amount)
+    # a row of another type counts 0, with a day rate or without
+    other = F.coalesce(~F.col("transaction_type").isin(1, 2), F.lit(True))
+    days = (
+        transactions.where(F.col("status") == kept_status)
+        .select(
+            "account_id", "form_id", "gateway_id", "currency", F.to_date("date_created").alias("_day"),
+            added.alias("_added"), F.when(other, F.lit(0)).alias("_zero"),
+        )
+        .groupBy("account_id", "form_id", "gateway_id", "currency", "_day")
+        .agg(F.sum("_added").alias("_amount"), F.max("_zero").alias("_zero"))
     )
     form_dim = unique_rows(forms.select(F.col("id").alias("form_id"), "product"), ["form_id"], "form")
     gw_dim = unique_rows(gateway_groups(gateways), ["gateway_id"], "gateway")
     er = unique_rows(
         exchange_rates.select(
-            F.col("date").alias("_day"), "currency", F.col("rate").cast(RATE_TYPE).alias("_er_rate")
+            F.col("date").alias("_day"), "currency",
+            M.rate_factor(F.col("rate"), exchange_rates.schema["rate"].dataType).alias("_er_rate"),
         ),
         ["currency", "_day"], "exchange rate",
     )
     tr = unique_rows(
-        take_rates.select("gateway_group", "date", "product", F.col("rate").cast(RATE_TYPE).alias("_tr_rate")),
+        take_rates.select(
+            "gateway_group", "date", "product",
+            M.rate_factor(F.col("rate"), take_rates.schema["rate"].dataType).alias("_tr_rate"),
+        ),
         ["gateway_group", "date", "product"], "take rate",
     )
 
@@ -109,25 +111,21 @@ def priced_monthly_totals(
         fb_w, fb_o = fb_w.cast(fallback_type), fb_o.cast(fallback_type)
 
     joined = (
-        tx.join(form_dim, "form_id", "left")
+        days.join(form_dim, "form_id", "left")
         .join(gw_dim, "gateway_id", "left")
-        .withColumn("_day", F.to_date("date_created"))
-        .withColumn("date", month_start("date_created"))
         .join(er, ["currency", "_day"], "left")
+        .withColumn("date", F.trunc("_day", "MM"))
     )
-    converted = F.col("amount") * F.col("_er_rate")
-    signed = (
-        F.when(F.col("transaction_type") == 1, converted)
-        .when(F.col("transaction_type") == 2, -converted)
-        .otherwise(F.lit(0))
-    )
-    monthly = joined.groupBy(*SERIES_KEYS, "date").agg(F.sum(signed).alias("_converted"))
+    priced = M.with_product(joined, "_amount", "_er_rate", "_converted")
+    counted = F.coalesce(F.col("_converted"), F.col("_zero").cast(priced.schema["_converted"].dataType))
+    monthly = priced.groupBy(*SERIES_KEYS, "date").agg(F.sum(counted).alias("_sum"))
     take = F.coalesce(
-        F.col("_tr_rate"),
-        F.when(F.col("gateway_group") == L.WEPAY_GROUP, fb_w).otherwise(fb_o),
+        F.col("_tr_rate").cast(M.RATE_FACTOR),
+        F.when(F.col("gateway_group") == L.WEPAY_GROUP, fb_w.cast(M.RATE_FACTOR)).otherwise(fb_o.cast(M.RATE_FACTOR)),
     )
-    return monthly.join(tr, ["gateway_group", "date", "product"], "left").select(
-        *SERIES_KEYS, "date", exact_product(F.col("_converted"), take).alias("monthly_total")
+    met = monthly.join(tr, ["gateway_group", "date", "product"], "left").withColumn("_take", take)
+    return M.with_product(met, "_sum", "_take", "monthly_total").select(
+        *SERIES_KEYS, "date", F.col("monthly_total").cast(TOTAL_TYPE).alias("monthly_total")
     )
 
 
