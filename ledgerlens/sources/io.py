@@ -7,7 +7,6 @@ from executors to the target (no staging object).
 from __future__ import annotations
 
 import csv
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from ..operators.landing import HEADER
+from ..session import written
 
 # Daily rate table (fixed DDL of the original job).
 RATES_SCHEMA = T.StructType([
@@ -34,9 +34,16 @@ FLAG_LOG_SCHEMA = T.StructType([
 ])
 
 
-def _headers(spark: SparkSession, path: str, glob: str | None) -> dict[str, list[str]]:
-    """Header line -> the files that begin with it.  One row per file reaches the driver,
-    which lists the files for any scan anyway."""
+def _names(head: str) -> list[str]:
+    return [n.strip().lstrip("\ufeff") for n in next(csv.reader([head]), [])]
+
+
+def _read_csv_landing(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
+    """Every line of every file under its own header, by one scan.
+
+    The lines are read once as text and kept in the shared folder; the line at the start of a file
+    is its header.  Distinct headers (not files) reach the driver, to name the columns; each line gets
+    its file's header by a join and is split once, under positions as many as the widest header has."""
     r = spark.read.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -44,11 +51,28 @@ def _headers(spark: SparkSession, path: str, glob: str | None) -> dict[str, list
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
         F.monotonically_increasing_id().alias("line"), "value",
     )
-    heads = lines.where("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("head"))
-    out: dict[str, list[str]] = {}
-    for row in heads.orderBy("file").collect():
-        out.setdefault(row["head"], []).append(row["file"])
-    return out
+    lines = written(lines.where("value <> ''"), "landing")
+    heads = lines.where("at = 0").groupBy("file").agg(F.min(F.struct("line", "value")).alias("head")).select(
+        F.col("file").alias("source_file"), F.col("head.line").alias("first"), F.col("head.value").alias("head")
+    )
+    headers = {row["head"]: _names(row["head"]) for row in heads.select("head").distinct().collect()}
+    if not headers:
+        return spark.createDataFrame([], f"{HEADER} array<string>, source_file string")
+    # names that differ in case alone are one column, spelled as it sorts first
+    columns = {n.lower(): n for h in sorted(headers, reverse=True) for n in reversed(headers[h])}
+    width = max(map(len, headers.values()))
+    named = spark.createDataFrame([(h, ns, [n.lower() for n in ns]) for h, ns in headers.items()], f"h string, {HEADER} array<string>, names array<string>")
+    heads = heads.join(named, F.col("head") == F.col("h")).drop("h", "head")
+    rows = lines.join(heads, F.col("file") == F.col("source_file")).where("line <> first")
+    split = F.from_csv("value", ", ".join(f"_c{i} string" for i in range(width)))
+    values = rows.select("names", HEADER, "source_file", split.alias("row")).select(
+        "names", HEADER, "source_file", F.array(*[F.col(f"row._c{i}") for i in range(width)]).alias("row")
+    )
+    at = lambda n: F.array_position("names", n).cast("int")
+    ordered = sorted(columns, key=lambda n: min((i, h) for h, ns in headers.items() for i, x in enumerate(ns) if x.lower() == n))
+    return values.select(
+        *[F.when(at(n) > 0, F.get("row", at(n) - 1)).alias(columns[n]) for n in ordered], HEADER, "source_file"
+    )
 
 
 def read_landing(
@@ -61,19 +85,11 @@ def read_landing(
     values as text, plus the source file path and ``_header``, the column names of
     its file.
 
-    CSV files may differ in their headers: files with the same header are read
-    together under it, and the reads are united by name, so a value always goes
-    to the column it stands under.  A column that a file lacks is NULL there."""
+    CSV files may differ in their headers: a value always goes to the column it stands
+    under, whatever other files say, and a column that a file lacks is NULL there.  Each
+    file is read once, by one scan for any number of headers."""
     if fmt == "csv":
-        frames = []
-        for head, files in _headers(spark, path, glob).items():
-            names = [n.strip().lstrip("\ufeff") for n in next(csv.reader([head]))]
-            schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-            df = spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").csv(files)
-            frames.append(df.select("*", F.array(*map(F.lit, names)).alias(HEADER), F.col("_metadata.file_path").alias("source_file")))
-        if not frames:
-            return spark.createDataFrame([], f"{HEADER} array<string>, source_file string")
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        return _read_csv_landing(spark, path, glob)
     r = spark.read.option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
