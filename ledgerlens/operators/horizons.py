@@ -5,19 +5,18 @@ warehouse formulation disappear:
 
 * prior-year value (monthly, TTM, YTD)   ``lag(.., 12)``
 * TTM                                    sum over the last 12 rows
-* YTD                                    sum of this year's months among the
-                                         last 12 rows (lags 0..month-1)
+* YTD                                    running sum less its value in the last
+                                         December
 * "new" amounts in the cohort's first    conditional sums over the last 12 rows
   year / the following calendar year
 
 Row offsets are month offsets because ``densify_months`` gives one row per
 series and month with no gaps.
 
-The expressions are grouped in three dependency layers; each layer is one
-``select`` with window expressions of a single spec, so Spark plans one
-Window operator per layer, all sharing one sort of the series:
+The expressions are grouped in three dependency layers; each layer has window
+expressions of a single spec (the first in two steps), all sharing one sort of the series:
 
-1. series:  prior-year month, TTM, YTD (offset reads of the last 12 rows)
+1. series:  prior-year month, TTM, running sum; then its value in the last December
 2. product: the TTM and YTD cohorts (the monthly one comes from densify)
 3. series:  first-year sums for TTM and YTD, prior-year TTM and YTD
 
@@ -96,21 +95,19 @@ def add_horizons(base: DataFrame) -> DataFrame:
     rounded = v.cast(TRAILING_TYPE)
     date = F.col("date")
 
-    # 1. series window.  YTD: the months of this calendar year among the last
-    # 12 rows are exactly the offsets 0 .. month-1 (dense series).
-    this_year = [
-        F.when(F.col("month") > k, F.lag(rounded, k).over(w_series())) for k in range(12)
-    ]
+    # 1. series window.  YTD: the sum of all months so far, less what it was in the
+    # last December (read in a second Window operator over the same sort)
+    so_far = w_series().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     df = base.select(
         "*",
         F.lag(rounded, 12).over(w_series()).alias("_m_prior"),
         F.sum(v).over(w_last_12()).cast(AMOUNT).alias("_ttm"),
-        *[c.alias(f"_y{k}") for k, c in enumerate(this_year)],
+        F.sum(rounded).over(so_far).alias("_so_far"),
     )
-    df = df.withColumn(
-        "_ytd",
-        sum((F.coalesce(F.col(f"_y{k}"), F.lit(0)) for k in range(12)), F.lit(0)).cast(AMOUNT_3),
-    ).drop(*[f"_y{k}" for k in range(12)])
+    december = F.last(F.when(F.col("month") == 12, F.col("_so_far")), ignorenulls=True).over(
+        w_series().rowsBetween(Window.unboundedPreceding, -1)
+    )
+    df = df.withColumn("_ytd", (F.col("_so_far") - F.coalesce(december, F.lit(0))).cast(AMOUNT_3)).drop("_so_far")
     # 2. product window: TTM and YTD cohorts
     df = df.select(
         "*",
