@@ -15,7 +15,12 @@ from ..operators import flaglog as FL
 from ..operators import landing as LD
 from ..operators import rates as RT
 from ..session import written
-from ..sources import io
+from ..sources import commits, io
+
+
+def read_rates(spark: SparkSession, target: str) -> DataFrame:
+    """The rate table as it is published at ``target``; empty if nothing was."""
+    return commits.read(spark, target, io.RATES_SCHEMA)
 
 
 def refresh_rates(
@@ -23,18 +28,28 @@ def refresh_rates(
     payloads: DataFrame,
     target: str,
     rejects_target: str | None = None,
+    tries: int = 5,
 ) -> dict:
-    """C2 + S13/S15: create the rate table if absent, append new (date,
-    currency) rows, never twice.  Rejected quotes are appended to
-    ``rejects_target`` when given."""
-    io.create_if_absent(spark, target, io.RATES_SCHEMA)
-    existing = spark.read.parquet(target)
-    good, rejects = RT.ingest_rates(payloads, existing)
-    # written once to the shared folder: the append below changes what ``existing`` reads
-    good = written(good, "refresh")
-    n_good = good.count()
-    if n_good:
-        io.append(good.select("date", "currency", "rate"), target)
+    """C2 + S13/S15: append new (date, currency) rows to the rate table, never twice; an
+    absent table is an empty one.  Rejected quotes are appended to
+    ``rejects_target`` when given.
+
+    The rows are checked against the published table and published as one list
+    (``sources.commits``).  A run that stops before leaves nothing that is read; when another run
+    publishes first, the keys are checked again against what it added, up to ``tries`` times."""
+    for left in range(tries, 0, -1):
+        base = commits.current(spark, target)
+        good, rejects = RT.ingest_rates(payloads, commits.read(spark, target, io.RATES_SCHEMA, base))
+        good = written(good.select("date", "currency", "rate"), "refresh")
+        n_good = good.count()
+        if n_good:
+            try:
+                commits.append(good, target, base)
+            except commits.Refused:
+                if left == 1:
+                    raise
+                continue
+        break
     n_rej = 0
     if rejects_target is not None:
         rejects = written(rejects, "refresh")
@@ -46,8 +61,7 @@ def refresh_rates(
 
 def rate_gaps(spark: SparkSession, target: str, start: dt.date, end: dt.date) -> DataFrame:
     """C1 on the rate table: days in [start, end] with no rate at all."""
-    io.create_if_absent(spark, target, io.RATES_SCHEMA)
-    return RT.missing_dates(spark.read.parquet(target), "date", start, end)
+    return RT.missing_dates(read_rates(spark, target), "date", start, end)
 
 
 def load_landing(
@@ -69,6 +83,15 @@ def load_landing(
     return out
 
 
+def load_landing_tables(spark: SparkSession, tables: dict[str, str], rejects: str | None = None) -> dict[str, dict]:
+    """C3 for several tables, target -> landing path; rejects go to ``rejects`` / the target's last name.  Each
+    table is loaded on its own: one that fails leaves those before it loaded."""
+    return {
+        target: load_landing(spark, path, target, rejects and f"{rejects}/{target.rstrip('/').rsplit('/', 1)[-1]}")
+        for target, path in tables.items()
+    }
+
+
 def refresh_flag_log(
     spark: SparkSession,
     versions: DataFrame,

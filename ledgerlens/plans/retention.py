@@ -154,9 +154,13 @@ def _account_lookups(df: DataFrame, inp: RetentionInputs) -> DataFrame:
     return R.attach_industry(R.attach_attribution(df, inp.attribution), inp.industries)
 
 
-def retention_report(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
-    """Q22: the 40-column report."""
-    monthly = _account_lookups(_labelled(inp, prm), inp)
+def retention_report(inp: RetentionInputs, prm: RetentionParams, keys: DataFrame | None = None) -> DataFrame:
+    """Q22: the 40-column report, of all series or of those of ``keys`` (account_id, product)."""
+    monthly = _labelled(inp, prm)
+    if keys is not None:
+        own = monthly.account_id.eqNullSafe(keys.account_id) & monthly["product"].eqNullSafe(keys["product"])
+        monthly = monthly.join(keys, own, "left_semi")
+    monthly = _account_lookups(monthly, inp)
     monthly = R.attach_product_lookups(monthly, inp.max_ttm, inp.size_py)
     return R.retention_report(S.classify_status(H.add_horizons(_dense(monthly, prm))))
 
