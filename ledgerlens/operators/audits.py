@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import floor_days_between, micros_of_day, time_of_day_micros
+from .ordering import with_position
 
 # Defaults of the original audits (fixed values).
 DEFAULT_OFFSET_HOURS = 7
@@ -115,6 +116,21 @@ def list_missing(missing: DataFrame) -> DataFrame:
     )
 
 
+def list_missing_pages(missing: DataFrame, page_rows: int = 1000) -> DataFrame:
+    """A12 / A14 at any size: object, page (from 1), n_missing, missing_grantees (sorted, comma joined).
+
+    A page holds the next ``page_rows`` grantees of its object in their order, so no list grows with
+    the object: places come from one order over all pairs, and an object with a million grantees
+    spreads over the tasks like any other rows."""
+    placed = with_position(missing.select("object", "grantee"), F.col("object").asc(), F.col("grantee").asc(), name="_at")
+    starts = placed.groupBy(F.col("object").alias("_of")).agg(F.min("_at").alias("_first"))
+    page = F.floor((F.col("_at") - F.col("_first")) / page_rows) + 1
+    return placed.join(starts, F.col("object").eqNullSafe(F.col("_of"))).groupBy("object", page.alias("page")).agg(
+        F.count(F.lit(1)).alias("n_missing"),
+        F.array_join(F.array_sort(F.collect_list("grantee")), ", ").alias("missing_grantees"),
+    )
+
+
 def schedule_window_audit(
     tasks: DataFrame,
     datasources: DataFrame,

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 # Marker searched for in the published form text (fixed value of the original job).
 DEFAULT_MARKER = "purchaseProtection"
@@ -50,3 +51,19 @@ def flag_log_increment(versions: DataFrame, log: DataFrame | None,
     if hw == 0:
         return "full", flag_log_full(versions, marker)
     return "append", flag_rows(versions.where(F.col("id") > F.lit(hw)), marker)
+
+
+def delivered_in_time(deliveries: DataFrame, delay_ms: int) -> DataFrame:
+    """X1 as a batch: the versions that a stream with a watermark of ``delay_ms`` keeps, each once.
+
+    ``deliveries``: versions with ``drop``, the number (from 0) of the batch that brought them.  The watermark of a
+    drop is the latest ``date_created`` of all drops before it, in whole milliseconds, less the delay; a delivery at or
+    below it is late.  A version counts if one of its deliveries is in time.  Drops are few (one row each
+    in the watermark's window); the versions are grouped by id."""
+    latest = deliveries.groupBy("drop").agg(F.max(F.unix_millis("date_created")).alias("_latest"))
+    before = Window.orderBy("drop").rowsBetween(Window.unboundedPreceding, -1)
+    marks = latest.select(F.col("drop").alias("_drop"), (F.max("_latest").over(before) - delay_ms).alias("_mark"))
+    met = deliveries.join(marks, F.col("drop") == F.col("_drop"))
+    in_time = F.col("_mark").isNull() | (F.unix_micros("date_created") > F.col("_mark") * 1000)
+    rows = [c for c in deliveries.columns if c not in ("id", "drop")]
+    return met.where(in_time).groupBy("id").agg(F.min(F.struct("drop", *rows)).alias("_v")).select("id", *[F.col(f"_v.{c}") for c in rows])

@@ -6,13 +6,18 @@ whole tables.  Output columns are aliased and typed like ``oracle_sql``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import densify as D
+from ..operators import pricing as P
 from ..operators import report as R
+from ..session import shared_dir
+from ..sources import fixtures as FX
 from . import retention as RP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +40,15 @@ def q_priced_monthly_totals(spark, sf_dir):
     )
 
 
+def q_priced_monthly_totals_double(spark, sf_dir):
+    """C4 with day rates stored as doubles, all of their digits counted."""
+    inp, prm = _ctx(spark, sf_dir)
+    inp = replace(inp, exchange_rates=FX.exchange_rates_double(FX.Tables(spark, sf_dir)))
+    return RP.monthly_totals(inp, prm).select(
+        "account_id", "product", "gateway_group", "date", F.col("monthly_total").cast(R.MONEY_TYPE).alias("monthly_total")
+    )
+
+
 def q_series_extent(spark, sf_dir):
     inp, prm = _ctx(spark, sf_dir)
     return D.series_extent(RP.monthly_totals(inp, prm))
@@ -142,8 +156,24 @@ def q_retention_report(spark, sf_dir):
     return RP.retention_report(inp, prm)
 
 
+def q_retention_report_incremental(spark, sf_dir):
+    """The report built without the latest orders, then refreshed by them; the published buckets."""
+    from . import incremental as INC
+
+    inp, prm = _ctx(spark, sf_dir)
+    t = FX.Tables(spark, sf_dir)
+    last = t("orders").agg(F.max("o_orderkey")).first()[0] or 0
+    early, late = (FX.dim_transaction(t, P.KEPT_STATUS, keys) for keys in (F.col("o_orderkey") <= last * 98 // 100, F.col("o_orderkey") > last * 98 // 100))
+    target = shared_dir(spark, f"retention_report/{uuid.uuid4().hex}")
+    INC.refresh_report(spark, replace(inp, transactions=early), prm, target)
+    INC.refresh_report(spark, inp, prm, target, changed=late.select("account_id", "form_id"))
+    schema = RP.retention_report(inp, prm).schema
+    return INC.read_report(spark, target, schema)
+
+
 RETENTION_QUERIES: dict[str, Query] = {
     "priced_monthly_totals": q_priced_monthly_totals,
+    "priced_monthly_totals_double": q_priced_monthly_totals_double,
     "series_extent": q_series_extent,
     "dense_base": q_dense_base,
     "monthly_metrics": q_monthly_metrics,
@@ -167,6 +197,7 @@ RETENTION_QUERIES: dict[str, Query] = {
     "attribution": q_attribution,
     "size_py_distinct": q_size_py_distinct,
     "retention_report": q_retention_report,
+    "retention_report_incremental": q_retention_report_incremental,
 }
 
 

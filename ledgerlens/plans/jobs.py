@@ -17,6 +17,7 @@ from ..operators import ordering as OR
 from ..operators import rates as RT
 from ..session import shared_dir
 from ..sources import fixtures as FX
+from ..sources import io
 
 GAP_START = dt.date(1995, 1, 1)
 GAP_END = dt.date(2001, 8, 1)
@@ -47,7 +48,7 @@ def q_missing_days_any(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RT.missing_dates(o, "o_orderdate", GAP_START, GAP_END)
 
 
-def rate_payloads(t: FX.Tables) -> DataFrame:
+def rate_payloads(t: FX.Tables, keep_status: bool = False) -> DataFrame:
     """Landed payloads from the orders: one per (day, order status), a map from
     currency (the priority's digit) to a quote that follows the orders' keys, so
     one day's payloads can disagree.  Some quotes are zero or NULL."""
@@ -64,7 +65,7 @@ def rate_payloads(t: FX.Tables) -> DataFrame:
     # at most five priorities a payload
     return quotes.groupBy("date", "o_orderstatus").agg(
         F.map_from_entries(F.collect_list(F.struct("currency", "quoted"))).alias("rates")
-    ).select("date", "rates")
+    ).select("date", "rates", *(["o_orderstatus"] if keep_status else []))
 
 
 def known_rates(t: FX.Tables) -> DataFrame:
@@ -88,9 +89,22 @@ def q_rates_rejects(spark, sf_dir):
     return _rates_ingest(spark, sf_dir)[1].select("date", "currency", "reason")
 
 
+def q_rates_append(spark, sf_dir):
+    """The rate table after three refreshes: with the payloads of the filled orders, with
+    all payloads, and with all again (which adds nothing)."""
+    from . import refresh
+
+    t = FX.Tables(spark, sf_dir)
+    target = shared_dir(spark, f"rates_append/{uuid.uuid4().hex}")
+    rates = rate_payloads(t, keep_status=True)
+    for payloads in (rates.where("o_orderstatus = 'F'"), rates, rates):
+        refresh.refresh_rates(spark, payloads.select("date", "rates"), target)
+    return refresh.read_rates(spark, target)
+
+
 # ---------------------------------------------------------------- C3
 
-def landing_raw(t: FX.Tables) -> DataFrame:
+def landing_raw(t: FX.Tables, *keep: str) -> DataFrame:
     """Orders as landed sheet rows (all text) with blank rows, missing ids,
     ``123.0`` ids, non-numeric ids, days in five layouts and unparsable ones."""
     o = t("orders")
@@ -113,7 +127,8 @@ def landing_raw(t: FX.Tables) -> DataFrame:
     )
     values = [date_txt, acct_txt, F.col("o_orderpriority"), F.col("o_totalprice").cast("string"), F.col("o_orderstatus")]
     return o.select(
-        *[F.when(blank, F.lit(None).cast("string")).otherwise(v).alias(name) for name, v in zip(LD.DEFAULT_MAPPING, values, strict=True)]
+        *keep,
+        *[F.when(blank, F.lit(None).cast("string")).otherwise(v).alias(name) for name, v in zip(LD.DEFAULT_MAPPING, values, strict=True)],
     )
 
 
@@ -126,6 +141,34 @@ def q_landing_rejects(spark, sf_dir):
     return rej.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def q_landing_files(spark, sf_dir):
+    """The same rows landed as CSV files under three headers (other orders of the columns, one more
+    column), read by one scan and cleaned."""
+    names = list(LD.DEFAULT_MAPPING)
+    raw = landing_raw(FX.Tables(spark, sf_dir), "o_orderkey")
+    land = shared_dir(spark, f"landing_files/{uuid.uuid4().hex}")
+    for i, columns in enumerate((names, names[::-1], ["o_orderkey", *names[2:], *names[:2]])):
+        raw.where(F.col("o_orderkey") % 3 == i).select(*[F.col(f"`{c}`") for c in columns]).write.option("header", "true").csv(f"{land}/drop{i}")
+    return LD.clean_landing(io.read_landing(spark, land))[0]
+
+
+#: Ways to write a day: by date_format pattern, the month before the day, behind it or by name.
+DAY_LAYOUTS = (
+    "yyyy-MM-dd", "dd/MM/yyyy", "d.M.yyyy", "yyyyMMdd", "MM-dd-yy", "d MMM yyyy", "MMMM d, yyyy", "EEE, d MMM yyyy",
+    "yyyy.M.d", "dd-MMM-yy", "MM/dd/yyyy hh:mm a", "yyyy-MM-dd'T'HH:mm:ss'Z'", "yyyy/dd/MM", "M d yyyy",
+)
+
+
+def q_landing_dates(spark, sf_dir):
+    """the order dates written in fourteen layouts, by the order's key, and read again."""
+    o = FX.Tables(spark, sf_dir)("orders").select("o_orderkey", "o_orderdate")
+    layout = F.col("o_orderkey") % len(DAY_LAYOUTS)
+    text = F.lit(None).cast("string")
+    for i, pattern in enumerate(DAY_LAYOUTS):
+        text = F.when(layout == i, F.date_format("o_orderdate", pattern)).otherwise(text)
+    return o.select("o_orderkey", LD.parse_date(text).alias("day"))
+
+
 # ---------------------------------------------------------------- C12 / X1
 
 def published_versions(t: FX.Tables) -> DataFrame:
@@ -183,6 +226,44 @@ def q_missing_days_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return OR.with_position(q_missing_days_any(spark, sf_dir), F.col("missing_date").desc())
 
 
+#: The watermark's delay in the late stream.
+LATE_MS = 86_400_000
+LATE_DROPS = 4
+
+
+def late_deliveries(events: DataFrame) -> DataFrame:
+    """The events as deliveries in drops: a drop brings the next stretch of event time, a third of the events of the
+    drop before once more, and one in eleven of these for the first time."""
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    ends = events.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    low, span = ends["low"] or 0, (ends["high"] or 0) - (ends["low"] or 0) + 1
+    own = F.expr("least({1}, (unix_micros(cast(ts as timestamp)) - {0}L) * {2} div {3}L)".format(low, LATE_DROPS - 1, LATE_DROPS, span))
+    held = F.col("event_id") % 11 == 0
+    again = (F.col("event_id") % 3 == 0) & ~held & (own < LATE_DROPS - 1)
+    drops = F.when(held, F.array(F.least(own + 1, F.lit(LATE_DROPS - 1)))).when(again, F.array(own, own + 1)).otherwise(F.array(own))
+    return events.withColumn("drop", F.explode(drops))
+
+
+def q_flag_stream_late(spark, sf_dir):
+    """X1 with late and repeated versions: each drop lands as files, the stream starts again from its checkpoint,
+    catches up and stops; then the sink is read.  Equal to ``flaglog.delivered_in_time``."""
+    from ..streaming.flag_log import start_flag_stream
+
+    run = shared_dir(spark, f"flag_stream_late/{uuid.uuid4().hex}")
+    names = [f.name for f in EVENTS_SCHEMA.fields]
+    events = FX.Tables(spark, sf_dir)("events").select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EVENTS_SCHEMA.fields])
+    deliveries = late_deliveries(events)
+    for drop in range(LATE_DROPS):
+        deliveries.where(F.col("drop") == drop).select(*names).write.parquet(f"{run}/source/drop{drop}")
+        q = start_flag_stream(
+            spark, f"{run}/source", EVENTS_SCHEMA, f"{run}/sink", f"{run}/checkpoint", marker=FLAG_MARKER,
+            rename={"event_id": "id", "user_id": "form_id", "props": "form", "ts": "date_created"},
+            dedupe_within=f"{LATE_MS} milliseconds",
+        )
+        q.awaitTermination()
+    return spark.read.parquet(f"{run}/sink")
+
+
 # ---------------------------------------------------------------- C13-C15
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -244,6 +325,11 @@ def q_missing_grants_listed(spark, sf_dir):
     return A.list_missing(A.missing_grants(_grant_states(_events(spark, sf_dir))))
 
 
+def q_missing_grants_paged(spark, sf_dir):
+    """The missing grants in pages of two per object."""
+    return A.list_missing_pages(A.missing_grants(_grant_states(_events(spark, sf_dir))), page_rows=2)
+
+
 def q_absent_objects(spark, sf_dir):
     return A.absent_objects(_grant_states(_events(spark, sf_dir)))
 
@@ -297,15 +383,20 @@ JOB_QUERIES = {
     "missing_days_ordered": q_missing_days_ordered,
     "rates_ingest": q_rates_ingest,
     "rates_rejects": q_rates_rejects,
+    "rates_append": q_rates_append,
     "landing_clean": q_landing_clean,
     "landing_rejects": q_landing_rejects,
+    "landing_files": q_landing_files,
+    "landing_dates": q_landing_dates,
     "flag_full": q_flag_full,
     "flag_increment": q_flag_increment,
     "flag_stream": q_flag_stream,
+    "flag_stream_late": q_flag_stream_late,
     "freshness": q_freshness,
     "freshness_ordered": q_freshness_ordered,
     "missing_grants": q_missing_grants,
     "missing_grants_listed": q_missing_grants_listed,
+    "missing_grants_paged": q_missing_grants_paged,
     "absent_objects": q_absent_objects,
     "schedule_outside_window": q_schedule_outside_window,
     "schedule_ordered": q_schedule_ordered,

@@ -330,6 +330,30 @@ RETENTION_SELECTS = {
 }
 
 
+# In whole units: cents, rates of 24 decimals by the text of the double, take rates of six decimals.
+RETENTION_SELECTS["priced_monthly_totals_double"] = f"""
+        SELECT account_id, product, gateway_group, {_as_date('mi')} AS date,
+               CAST(CAST(sign(units) AS HUGEINT) * ((abs(units) + 500000000000000000000000000) // 1000000000000000000000000000) AS DECIMAL(32,0))
+               * 0.00001::DECIMAL(6,5) AS monthly_total
+        FROM (
+          SELECT s.*, s.part * CAST(COALESCE(k.rate, CASE s.gateway_group WHEN 'WePay' THEN 0.005373 ELSE 0.001075 END) * 1000000 AS HUGEINT) AS units
+          FROM (
+            SELECT account_id, product, gateway_group, mi,
+                   SUM((3 - 2 * transaction_type) * CAST(amount * 100 AS HUGEINT) * rate24) AS part
+            FROM (
+              SELECT t.*, f.product, {_month('t.date_created')} AS mi,
+                     CASE WHEN g.type IN ('wepay', 'stripe', 'adyen') THEN MAP {{'wepay': 'WePay', 'stripe': 'Stripe', 'adyen': 'Adyen'}}[g.type]
+                          WHEN g.type IS NOT NULL THEN 'Other' END AS gateway_group,
+                     CAST(replace(CAST(CAST(CAST(
+                       1.0::DOUBLE / ((16345 + 10 * date_diff('day', DATE '1995-01-01', x.date) + CAST(x.currency AS INTEGER)) / 1000.0::DOUBLE)
+                       AS VARCHAR) AS DECIMAL(38,24)) AS VARCHAR), '.', '') AS HUGEINT) AS rate24
+              FROM tx t LEFT JOIN form f ON f.id = t.form_id LEFT JOIN gateway g ON g.id = t.gateway_id
+              LEFT JOIN fx x ON x.currency = t.currency AND x.date = CAST(t.date_created AS DATE) WHERE t.status = 6)
+            GROUP BY ALL) s
+          LEFT JOIN take k ON k.gateway_group = s.gateway_group AND k.product = s.product AND {_month('k.date')} = s.mi)"""
+RETENTION_SELECTS["retention_report_incremental"] = RETENTION_SELECTS["retention_report"]
+
+
 def retention_sql(name: str) -> str:
     return "WITH " + FIXTURE_CTES.strip() + ",\n" + MODEL_CTES.strip() + "\n" + RETENTION_SELECTS[name]
 
@@ -477,6 +501,34 @@ JOB_SQL = {
 }
 
 
+JOB_SQL["rates_append"] = """
+    WITH quotes AS (
+      SELECT CAST(o_orderdate AS DATE) AS date, left(o_orderpriority, 1) AS currency, o_orderstatus = 'F' AS first, max(o_orderkey) AS top
+      FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2, o_orderstatus),
+    priced AS (SELECT *, (top % 16 + 1) / 8.0 AS quoted FROM quotes WHERE top % 41 <> 0 AND top % 37 <> 0),
+    best AS (SELECT date, currency, coalesce(max(quoted) FILTER ("first"), max(quoted)) AS quoted FROM priced GROUP BY 1, 2)
+    SELECT date, currency, 1.0 / CAST(quoted AS DOUBLE) AS rate FROM best"""
+JOB_SQL["landing_files"] = JOB_SQL["landing_clean"]
+# the month comes first unless it is over 12; only three of the layouts leave that open
+JOB_SQL["landing_dates"] = """
+    SELECT o_orderkey,
+           CASE WHEN o_orderkey % 14 IN (1, 2, 12) AND day(o_orderdate) <= 12
+                THEN make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate))
+                ELSE CAST(o_orderdate AS DATE) END AS day
+    FROM orders"""
+JOB_SQL["flag_stream_late"] = """
+    WITH ev AS (SELECT *, epoch_us(ts) AS us FROM events),
+    ends AS (SELECT min(us) AS low, max(us) - min(us) + 1 AS span FROM ev),
+    placed AS (SELECT ev.*, least(3, (us - low) * 4 // span) AS own FROM ev, ends),
+    deliveries AS (
+      SELECT *, CASE WHEN event_id % 11 = 0 THEN least(own + 1, 3) ELSE own END AS n FROM placed
+      UNION ALL SELECT *, own + 1 FROM placed WHERE event_id % 3 = 0 AND event_id % 11 <> 0 AND own < 3),
+    marks AS (SELECT n, (SELECT max(us) FROM deliveries b WHERE b.n < a.n) // 1000 * 1000 - 86400000000 AS mark FROM (SELECT DISTINCT n FROM deliveries) a)
+    SELECT DISTINCT event_id AS id, user_id AS form_id, CAST(CASE WHEN props LIKE '%"k": 7%' THEN 1 ELSE 0 END AS INTEGER) AS pp_enabled, ts AS date_created
+    FROM deliveries JOIN marks USING (n) WHERE mark IS NULL OR us > mark"""
+JOB_SQL["missing_grants_paged"] = _GRANTS + """
+    SELECT object, place // 2 + 1 AS page, COUNT(*) AS n_missing, string_agg(grantee, ', ' ORDER BY grantee) AS missing_grantees
+    FROM (SELECT *, row_number() OVER (PARTITION BY object ORDER BY grantee) - 1 AS place FROM lacking) GROUP BY ALL"""
 JOB_SQL["missing_days_ordered"] = (
     "SELECT missing_date, row_number() OVER (ORDER BY missing_date DESC) AS position FROM (" + JOB_SQL["missing_days_any"] + ") x"
 )

@@ -13,6 +13,7 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import labels as L
 
@@ -36,22 +37,25 @@ BAND_NAMES = [b for _, b in L.SIZE_BANDS] + [L.NON_ACTIVE_BAND]
 class Tables:
     """Lazy access to ``{sf_dir}/{name}.parquet``.
 
-    The read (file listing + footer schema) is done once per session and
-    path; the returned DataFrame is an immutable lazy plan, safe to reuse.
+    The schema is read once per session and path; the files are listed anew by every
+    instance, so files that were added since are seen.
     """
 
-    _reads: dict[tuple[str, str], DataFrame] = {}
+    _schemas: dict[tuple[str, str], StructType] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.reads: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        path = f"{self.sf_dir}/{name}.parquet"
-        key = (self.spark.sparkContext.applicationId, path)
-        if key not in Tables._reads:
-            Tables._reads[key] = self.spark.read.parquet(path)
-        return Tables._reads[key]
+        if name not in self.reads:
+            path = f"{self.sf_dir}/{name}.parquet"
+            key = (self.spark.sparkContext.applicationId, path)
+            if key not in Tables._schemas:
+                Tables._schemas[key] = self.spark.read.parquet(path).schema
+            self.reads[name] = self.spark.read.schema(Tables._schemas[key]).parquet(path)
+        return self.reads[name]
 
 
 def _pick(values: list, index) -> F.Column:
@@ -82,13 +86,15 @@ def dim_dates(t: Tables, start: dt.date = CALENDAR_START, end: dt.date = AS_OF)
 ORDER_STATUS = {"F": 6, "O": 1, "P": 2}
 
 
-def dim_transaction(t: Tables, status: int | None = None) -> DataFrame:
-    """Transactions; ``status`` keeps those of one status by a filter on the raw
-    column, which reaches the scan."""
+def dim_transaction(t: Tables, status: int | None = None, orders: F.Column | None = None) -> DataFrame:
+    """Transactions; ``status`` keeps those of one status, ``orders`` those of some orders, by
+    filters on raw columns, which reach the scan."""
     li = t("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", "l_returnflag", "l_shipdate"
     )
     o = t("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    if orders is not None:
+        o = o.where(orders)
     if status is not None:
         o = o.where(F.col("o_orderstatus").isin([k for k, v in ORDER_STATUS.items() if v == status]))
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
@@ -169,6 +175,13 @@ def exchange_rates(t: Tables) -> DataFrame:
     ).select("date", "currency", rate.alias("rate"))
 
 
+def exchange_rates_double(t: Tables) -> DataFrame:
+    """The days and currencies of ``exchange_rates`` with doubles of all their digits: the reciprocal of a
+    quote that follows the day and the currency, as the rate job stores it."""
+    quote = (F.lit(16345) + 10 * F.date_diff("date", F.lit(CALENDAR_START)) + F.col("currency").cast("int")) / F.lit(1000.0)
+    return exchange_rates(t).select("date", "currency", (F.lit(1.0) / quote).alias("rate"))
+
+
 def take_rates(t: Tables) -> DataFrame:
     """0.01 per (gateway group, month, product); group Other has no row in even months."""
     products = t("part").select(F.col("p_type").alias("product")).distinct()

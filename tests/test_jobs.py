@@ -36,11 +36,11 @@ def test_rates_refresh_is_idempotent(spark, scratch):
     target, rej = f"{scratch}/rates", f"{scratch}/rejects"
     first = refresh.refresh_rates(spark, _payloads(spark), target, rej)
     assert first == {"appended": 3, "rejected": 3}
-    got = {(r.date, r.currency): r.rate for r in spark.read.parquet(target).collect()}
+    got = {(r.date, r.currency): r.rate for r in refresh.read_rates(spark, target).collect()}
     assert got == {(D(2020, 1, 1), "EUR"): 2.0, (D(2020, 1, 1), "GBP"): 4.0, (D(2020, 1, 2), "EUR"): 2.0}
     second = refresh.refresh_rates(spark, _payloads(spark), target)
     assert second["appended"] == 0
-    assert spark.read.parquet(target).count() == 3
+    assert refresh.read_rates(spark, target).count() == 3
     reasons = sorted(r.reason for r in spark.read.parquet(rej).collect())
     assert reasons == ["null_date", "null_rate", "zero_rate"]
 
@@ -193,7 +193,7 @@ def test_schedule_window_edges(spark):
 
 
 def test_object_name(spark):
-    df = spark.createDataFrame([("Invoices", "Data-team")], "name string, project string")
+    df = spark.createDataFrame([("Refunds", "Audit-team")], "name string, project string")
     assert df.select(A.object_name("name", "project").alias("o")).first().o == "Invoices in Data-team"
 
 
@@ -248,7 +248,7 @@ def test_one_rate_per_date_and_currency(spark, scratch):
                 '{"date": "2020-01-01", "rates": {"EUR": 0.5}}\n')
     target, rej = f"{scratch}/rates", f"{scratch}/rej"
     assert refresh.refresh_rates(spark, io.read_rate_payloads(spark, path), target, rej) == {"appended": 2, "rejected": 1}
-    assert {(r.currency, r.rate) for r in spark.read.parquet(target).collect()} == {("EUR", 2.0), ("GBP", 0.5)}
+    assert {(r.currency, r.rate) for r in refresh.read_rates(spark, target).collect()} == {("EUR", 2.0), ("GBP", 0.5)}
     assert [(r.quoted, r.reason) for r in spark.read.parquet(rej).collect()] == [(0.25, "duplicate_key")]
 
 
