@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -38,9 +38,12 @@ def components(edges: DataFrame) -> DataFrame:
 
     A node without edges, or with an edge to itself only, has no row.
     """
-    now = edges.select("u", "v").where("u <> v")
+    now, before = edges.select("u", "v").where("u <> v"), None
     while True:
         now = materialize(_small_star(_large_star(now)), "stars")
+        if before is not None:
+            discard(before)
+        before = now
         if _tangled(now).isEmpty():
             break
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(

@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, raw_texts, slices, with_text_columns
+from .common import discard, materialize, raw_texts, slices, with_text_columns
 from .components import components
 
 WORDS = 5
@@ -58,6 +58,8 @@ LEAST_FREQUENT = 8
 #: Tokens counted at a time within a task.
 CHUNK = 4_000_000
 _MEMO = 1_000_000
+#: Stands for a null id in keys.
+_NO_ID = -(1 << 63)
 #: Size of the bitmap that thins the table before candidate texts are shuffled.
 _BITS = 1 << 23
 #: Lists longer than SHORT are compared in blocks of BLOCK sets.
@@ -101,6 +103,11 @@ def shingles(raw: bytes | None, memo: WordHashes) -> np.ndarray:
     return np.unique(_mix(total + np.uint64(n)))
 
 
+def body_hash(text):
+    """64 bits of a text, to tell the rows of one id apart."""
+    return F.xxhash64(text.cast("string"))
+
+
 def set_key(tokens: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(tokens.tobytes(), len(tokens)) - (1 << 63) if len(tokens) else 0
 
@@ -201,6 +208,7 @@ def _frequent_tokens(docs: DataFrame, text: str, share: float, floor: int) -> np
     total = counts.where("token IS NULL").agg(F.sum("n")).first()[0] or 0
     least = max(float(floor), share * total)
     found = counts.where((F.col("n") >= least) & F.col("token").isNotNull()).select("token").toPandas()["token"].to_numpy(np.int64)
+    discard(counts)
     return np.sort(found.view(np.uint64))
 
 
@@ -230,17 +238,29 @@ def with_sets(docs: DataFrame, text: str, frequent: np.ndarray | None, drop_text
     return with_text_columns(docs, text, make, fields, drop_text=drop_text)
 
 
+def _one_row_a_set(rows: DataFrame) -> DataFrame:
+    """``rows`` without those whose set an earlier row has: a group of copies, however large, is one entry in its lists.
+
+    Only the sets that occur twice or more are joined back; they are written first, so the join sees their size
+    and, where they are too many to broadcast, can split a hot one."""
+    several = rows.where("__n > 0").groupBy("__set").agg(F.min("__row").alias("first"), F.count(F.lit(1)).alias("m"))
+    several = materialize(several.where("m > 1").select(F.col("__set").alias("copied"), "first"), "copied-sets")
+    met = rows.join(several, F.col("__set") == F.col("copied"), "left")
+    return met.where("__n > 0 AND (first IS NULL OR first = __row)").drop("copied", "first")
+
+
 def _posting_lists(rows: DataFrame) -> DataFrame:
     """(sig, node, low, high, middle, n) of the lists that hold two different sets at least: the smallest
-    and largest node, the one that is smallest in a third order, and the length of the list."""
-    mixed = F.col("node").bitwiseXOR(F.lit(0x2545F4914F6CDD1D))
-    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.min(mixed).alias("middle"), F.count(F.lit(1)).alias("n")]
+    and largest node, the one that is smallest in a third order, and the length of the list.  ``rows`` has each
+    set once."""
+    third = F.col("node").bitwiseXOR(F.lit(0x2545F4914F6CDD1D))
+    ends = [F.min("node").alias("low"), F.max("node").alias("high"), F.min(third).alias("middle"), F.count(F.lit(1)).alias("n")]
     rare = rows.select(F.explode("__rare").alias("sig"), F.col("__set").alias("node"))
     lists = Window.partitionBy("sig")
     rare = rare.select(
         "sig", "node", F.min("node").over(lists).alias("low"), F.max("node").over(lists).alias("high"),
-        F.min(mixed).over(lists).alias("middle"), F.count(F.lit(1)).over(lists).alias("n"),
-    ).where("low <> high").distinct()  # n counts copies too: it only picks the way of comparing
+        F.min(third).over(lists).alias("middle"), F.count(F.lit(1)).over(lists).alias("n"),
+    ).where("low <> high")
     pairs = rows.select(F.explode("__pairs").alias("sig"), F.col("__set").alias("node")).distinct()
     known = pairs.groupBy("sig").agg(*ends).where("low <> high")
     every = rare.unionAll(pairs.join(known, "sig").select(*rare.columns))
@@ -248,7 +268,8 @@ def _posting_lists(rows: DataFrame) -> DataFrame:
 
 
 def _picked_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) for ``nodes`` (node, __key: an id whose row has that set) from ``docs`` (__key, text).
+    """(node, text) for ``nodes`` (node, __key and __body: id and text hash of a row that has that set) from
+    ``docs`` (__key, __body, text).
 
     A bitmap of fixed size, made of the hashes of the ids, thins the table before the texts are
     shuffled; the join is exact.
@@ -264,12 +285,11 @@ def _picked_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def thin(batches):
         for part in batches:
-            bits = part.column(2).to_numpy()
-            yield part.filter(pa.array((shared.value[bits // 32] >> (bits % 32)) & 1 == 1)).select([0, 1])
+            bits = part.column(3).to_numpy()
+            yield part.filter(pa.array((shared.value[bits // 32] >> (bits % 32)) & 1 == 1)).select([0, 1, 2])
 
-    likely = docs.select("__key", "text", bit.alias("bit")).mapInArrow(thin, "__key bigint, text string")
-    rows = with_sets(likely.join(nodes, "__key"), "text", None, drop_text=False)
-    return rows.where("__set = node").select("node", "text").dropDuplicates(["node"])  # rows may repeat an id
+    likely = docs.select("__key", "__body", "text", bit.alias("bit")).mapInArrow(thin, "__key bigint, __body bigint, text string")
+    return likely.join(nodes, ["__key", "__body"]).select("node", "text").dropDuplicates(["node"])  # rows may repeat id and text
 
 
 def _not_too_different(pairs: DataFrame, nodes: DataFrame, sketch: str) -> DataFrame:
@@ -398,8 +418,8 @@ def _in_blocks(lists: DataFrame, nodes: DataFrame, last: bool) -> DataFrame:
     return full.mapInArrow(run, "u bigint, v bigint")
 
 
-def _open_pairs(lists: DataFrame, roots: DataFrame, nodes: DataFrame, last: bool) -> DataFrame:
-    """Distinct (u, v) that share a list and belong to different components."""
+def _open_pairs(lists: DataFrame, roots: DataFrame, nodes: DataFrame, seen: DataFrame, last: bool) -> DataFrame:
+    """Distinct (u, v) that share a list, belong to different components and are not in ``seen``."""
     placed = lists.select("sig", "node", "n").join(roots, "node", "left").select("sig", "node", "n", F.coalesce("root", "node").alias("root"))
     ends = placed.groupBy("sig").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("sig")
     still = materialize(placed.join(ends, "sig"), "open-lists")
@@ -410,7 +430,10 @@ def _open_pairs(lists: DataFrame, roots: DataFrame, nodes: DataFrame, last: bool
     if not last:  # the nearest of the longest list of each node will do
         longest = long.groupBy("node").agg(F.max_by("sig", F.struct("n", "sig")).alias("sig"))
         long = long.join(longest, ["sig", "node"])
-    return pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(_in_blocks(long, nodes, last)).distinct()
+    every = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(_in_blocks(long, nodes, last)).distinct()
+    out = materialize(every.join(seen, ["u", "v"], "left_anti"), "more-pairs")
+    discard(still)
+    return out
 
 
 def _ordered(a, b) -> list:
@@ -422,45 +445,54 @@ def join_sets(
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, links): rows have doc_id, ``__n``, ``__set``, ``__root`` (the component's smallest
     node, null for empty sets) and ``__component`` (its smallest doc_id); links are pairs (u, v) of different sets, verified, that connect each component."""
-    body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = materialize(with_sets(body, "text", _frequent_tokens(body, "text", frequent, least_frequent)), "sets")
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-
-    lists = materialize(_posting_lists(rows), "postings")
+    body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), body_hash(F.col(text)).alias("__body"))
+    rows = with_sets(body, "text", _frequent_tokens(body, "text", frequent, least_frequent))
+    whole = materialize(rows.withColumn("__row", F.monotonically_increasing_id()), "sets")
+    key = F.coalesce(F.col("doc_id"), F.lit(_NO_ID))
+    once = materialize(_one_row_a_set(whole), "sets-once")
+    rows = materialize(whole.select("doc_id", "__body", "__n", "__set"), "set-keys")
+    discard(whole)
+    lists = materialize(_posting_lists(once), "postings")
     starred = materialize(_star_pairs(lists), "star-pairs")
-    listed = lists.select("node").distinct()
-    keys = rows.select(F.col("__set").alias("node"), key.alias("__key")).groupBy("node").agg(F.min("__key").alias("__key"))
-    picked = materialize(listed.join(keys, "node"), "picked")
-    own = rows.select(F.col("__set").alias("node"), key.alias("__key"), F.col("__n").alias("n"), F.col("__small").alias("small"), F.col("__large").alias("large"))
-    nodes = materialize(own.join(picked, ["node", "__key"]).dropDuplicates(["node"]).drop("__key"), "nodes")
-    texts = materialize(_picked_texts(body.withColumn("__key", key), picked), "candidate-texts")
+    own = once.select(F.col("__set").alias("node"), key.alias("__key"), "__body", F.col("__n").alias("n"), F.col("__small").alias("small"), F.col("__large").alias("large"))
+    nodes = materialize(own.join(lists.select("node").distinct(), "node"), "nodes")
+    texts = _picked_texts(body.withColumn("__key", key), nodes.select("node", "__key", "__body"))
+    texts = materialize(texts, "candidate-texts")
+    discard(once)
     links = materialize(_verified(starred, nodes, texts), "star-links")
 
     seen, roots = starred, components(links)
     for last in (False, True):
-        more = materialize(_open_pairs(lists, roots, nodes, last).join(seen, ["u", "v"], "left_anti"), "more-pairs")
+        more = _open_pairs(lists, roots, nodes, seen, last)
         found = materialize(_verified(more, nodes, texts), "more-links")
         roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).unionAll(found))
         links, seen = links.unionAll(found), seen.unionAll(more)
+    discard(lists, texts, nodes)
 
     root = F.coalesce("root", "node")
-    placed_rows = rows.select("doc_id", "__n", F.col("__set").alias("node"))
-    full = placed_rows.where("__n > 0").join(roots, "node", "left").select("doc_id", "__n", "node", root.alias("root"))
-    least = full.groupBy("root").agg(F.min("doc_id").alias("__component"))
-    out = full.join(least, "root").select("doc_id", "__n", F.col("node").alias("__set"), F.col("root").alias("__root"), "__component")
-    empty = placed_rows.where("__n = 0").select("doc_id", "__n", F.col("node").alias("__set"), F.lit(None).cast("bigint").alias("__root"), F.col("doc_id").alias("__component"))
+    placed_rows = rows.select("doc_id", "__n", F.col("__set").alias("node"), "__body")
+    full = placed_rows.where("__n > 0").join(roots, "node", "left").select("doc_id", "__n", "node", "__body", root.alias("root"))
+    least = materialize(full.groupBy("root").agg(F.min("doc_id").alias("__component")), "least-ids")
+    out = full.join(least, "root").select("doc_id", "__n", F.col("node").alias("__set"), F.col("root").alias("__root"), "__component", "__body")
+    empty = placed_rows.where("__n = 0").select(
+        "doc_id", "__n", F.col("node").alias("__set"), F.lit(None).cast("bigint").alias("__root"), F.col("doc_id").alias("__component"), "__body"
+    )
     return out.unionAll(empty), links
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id (null counts as smallest of all).
+    """``docs`` with one row of each component: the one with the smallest id (null counts as smallest of all), of rows
+    that share it the one with the smallest hash of the text.
 
-    Rows without words all stay; rows that repeat id and set stay once.
+    Rows without words all stay, however they repeat; rows that repeat id and text stay once.
     """
     rows, _ = join_sets(docs, doc_id, text)
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    kept = rows.where("__n > 0").select("__set", "__root", key.alias("__key"))
-    first = kept.groupBy("__root").agg(F.min(F.struct("__key", "__set")).alias("f")).select("f.__key", "f.__set")
-    marked = with_sets(docs, text, None, drop_text=False).withColumn("__key", F.coalesce(F.col(doc_id), F.lit(-(1 << 63))))
-    met = marked.join(first.withColumn("__kept", F.lit(True)), ["__set", "__key"], "left")
-    return met.where("__kept OR __n = 0").dropDuplicates(["__set", "__key"]).select(*docs.columns)
+    key = F.coalesce(F.col(doc_id), F.lit(_NO_ID))
+    placed = rows.where("__n > 0").select("__root", F.coalesce("doc_id", F.lit(_NO_ID)).alias("__key"), "__body")
+    first = placed.groupBy("__root").agg(F.min(F.struct("__key", "__body")).alias("f")).select("f.__key", "f.__body")
+    wordless = rows.where("__n = 0").select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("__key"), "__body").distinct()
+    # which rows stay is known by id and text hash alone: no text is read again for it
+    kept = materialize(first.select("*", F.lit(True).alias("__once")).unionAll(wordless.select("*", F.lit(False).alias("__once"))), "kept-rows")
+    met = docs.withColumns({"__key": key, "__body": body_hash(F.col(text))}).join(kept, ["__key", "__body"])
+    once = met.where("__once").dropDuplicates(["__key", "__body"])
+    return once.unionAll(met.where("NOT __once")).select(*docs.columns)
