@@ -57,7 +57,9 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+    passages = chunks.repeated_passages(table(spark, sf_dir, "documents"))
+    line = lambda p: F.concat_ws(":", p["start"].cast("string"), p["end"].cast("string"), p["keeper"].cast("string"))
+    return passages.withColumn("parts", F.array_join(F.transform("parts", line), ","))
 
 
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
