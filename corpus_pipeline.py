@@ -5,9 +5,9 @@ reread as the next stage's ``docs``.  All but the last return the columns of ``d
 
 1. ``quality``: documents that the co-trained classifier scores below 0.5 go.
 2. ``near_duplicates``: of each component of the n-gram Jaccard join one document stays, the one
-   with the smallest id (texts without words all stay).
+   with the smallest id (rows without words all stay, however they repeat).
 3. ``decontaminate``: documents that hold a window of a benchmark item go.
-4. ``secrets``: all spans that the secret scan reports are replaced by ``[SECRET]`` in the text,
+4. ``secrets``: all spans that the secret scan reports, but endpoints, are replaced by ``[SECRET]`` in the text,
    and ``n_chars`` follows; no document goes.
 5. ``piece_ids``: doc_id, lang, source, the ids of the best segmentation, their number, its score
    and that of the second best.

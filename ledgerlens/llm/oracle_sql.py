@@ -2,46 +2,55 @@
 
 from __future__ import annotations
 
-from . import secrets
 from .parameters import URL_RULES
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+# (kind, pattern, least and most length of group 2, what it is, what it needs)
+_SECRET_KINDS = [
+    ("assign", r"((?i:password|passwd|secret|token|api_?key))[\"\']?\x20*[:=]\x20*[\"\']?([A-Za-z0-9+/_.=-]+)", 12, None, "secret", None),
+    ("access", r"(AKIA)([A-Z0-9]+)", 14, None, "identifier", None),
+    ("hex", r"()([0-9a-f]+)", 16, None, "secret", None),
+    ("short_access", r"(AKIA)([A-Z0-9]+)", 8, 13, "identifier", "secret"),
+    ("account", r"((?i:client_id|username|user|login|account))[\"\']?\x20*[:=]\x20*[\"\']?([A-Za-z0-9_.@-]+)", 3, None, "identifier", "secret"),
+    ("mixed_token", r"()([A-Za-z0-9+/]{24,})", 24, None, "secret", "identifier"),
+    ("endpoint", r"(https?://|s3://)([A-Za-z0-9._:/-]+)", 4, None, "endpoint", "secret"),
+]
+
+
 def _secret_scan() -> str:
-    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    quoted = lambda s: "NULL" if s is None else "'" + s.replace("'", "''") + "'"
     scans = []
-    for kind, (pattern, least, most) in secrets.PATTERNS.items():
+    for rank, (kind, pattern, least, most, part, needs) in enumerate(_SECRET_KINDS):
         plain = ""
         if kind == "mixed_token":
             plain = " AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[0-9]')"
         fits = f"length(v) >= {least}" + (f" AND length(v) <= {most}" if most else "") + plain
         scans.append(f"""
-            SELECT doc_id, '{kind}' AS kind, s AS "start", s + length(m) AS "end" FROM (
+            SELECT doc_id, '{kind}' AS kind, {rank} AS rank, s AS low, s + length(m) AS high, {quoted(part)} AS part, {quoted(needs)} AS needs FROM (
               SELECT doc_id, ms[i] AS m, vs[i] AS v,
                      list_sum([length(x) for x in gs[1:i]]) + coalesce(list_sum([length(x) for x in ms[1:i - 1]]), 0) AS s
               FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
                 SELECT doc_id, string_split_regex(t, {quoted(pattern)}) AS gs, regexp_extract_all(t, {quoted(pattern)}, 0) AS ms,
                        regexp_extract_all(t, {quoted(pattern)}, 2) AS vs
                 FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)))) WHERE {fits}""")
-    rank = "CASE kind " + " ".join(f"WHEN '{k}' THEN {i}" for i, k in enumerate(secrets.KINDS)) + " END"
-    part = "CASE kind " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in secrets.PART.items()) + " END"
-    needs = "CASE kind " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in secrets.NEEDS.items()) + " END"
-    base = ", ".join(f"'{k}'" for k in secrets.BASE)
-    line = "kind || ':' || \"start\" || ':' || \"end\""
-    order = f'ORDER BY "start", {rank}, "end"'
+    line = "kind || ':' || low || ':' || high"
+    order = "ORDER BY low, rank, high"
     return f"""
         WITH found AS ({" UNION ALL ".join(scans)}),
-        parts AS (SELECT *, {part} AS part, {needs} AS needs FROM found),
+        parts AS (
+          SELECT * FROM found t WHERE kind <> 'mixed_token' OR NOT EXISTS (
+            SELECT 1 FROM found o WHERE o.doc_id = t.doc_id AND o.kind IN ('endpoint', 'account') AND o.low <= t.low AND t.high <= o.high)),
         kept AS (
-          SELECT DISTINCT doc_id, kind, "start", "end" FROM parts p
-          WHERE kind IN ({base})
-             OR EXISTS (SELECT 1 FROM parts c WHERE c.doc_id = p.doc_id AND c.part = p.needs AND abs(c."start" - p."start") <= {secrets.SCOPE})),
+          SELECT DISTINCT doc_id, kind, rank, low, high FROM parts p
+          WHERE needs IS NULL OR EXISTS (
+            SELECT 1 FROM parts c WHERE c.doc_id = p.doc_id AND c.part = p.needs AND abs(c.low - p.low) <= 200 AND (c.high <= p.low OR c.low >= p.high))),
         joined AS (
           SELECT doc_id,
                  count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
                  count(*) FILTER (kind = 'hex') AS n_hex,
-                 string_agg({line}, ',' {order}) FILTER (kind IN ({base})) AS base, string_agg({line}, ',' {order}) AS spans
+                 string_agg({line}, ',' {order}) FILTER (rank < 3) AS base, string_agg({line}, ',' {order}) AS spans
           FROM kept GROUP BY doc_id)
         SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
                sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans

@@ -2,11 +2,12 @@
 
 Base parts stand alone: assigned secrets, access identifiers and hex runs.  Weak
 parts (short access identifiers, account names, mixed long tokens, endpoints) are
-reported only when the complementary part lies in the same scope, that is at
-most ``scope`` code points away in the same text: an identifier or an endpoint needs a
-secret, a token needs an identifier.  The link is an interval join: parts are
+reported only when the complementary part lies in the same scope, that is begins at
+most ``scope`` code points away in the same text, and shares no code point with it: an identifier or an
+endpoint needs a secret, a token needs an identifier.  A token within an endpoint or an account is
+part of that and no secret.  The link is an interval join: parts are
 dealt by (row, bucket of ``scope`` code points), a weak part looks into its own and
-the two neighbouring buckets.
+the two neighbouring buckets, each of which holds few parts, as those of a kind do not overlap.
 
 DataFrame functions only.  Matches are located by splitting the text at the
 pattern: the lengths of the gaps and of the matches, summed up by a window over a
@@ -124,8 +125,17 @@ def scan_parts(docs: DataFrame, text: str = "text") -> tuple[DataFrame, DataFram
     return scanned.select(*others, "__row"), parts
 
 
+def _free(parts: DataFrame) -> DataFrame:
+    """``parts`` without the tokens that lie within an endpoint or an account: of those that begin before a token, the
+    one that ends last holds it if any does."""
+    so_far = Window.partitionBy("__row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.max(F.when(F.col("kind").isin("endpoint", "account"), F.col("end"))).over(so_far)
+    return parts.withColumn("reach", reach).where((F.col("kind") != "mixed_token") | F.col("reach").isNull() | (F.col("reach") < F.col("end"))).drop("reach")
+
+
 def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """Base parts, and the weak ones whose complement lies within ``scope``."""
+    """Base parts, and the weak ones with a complement within ``scope`` that shares no code point with them."""
+    parts = _free(parts)
     base = F.col("kind").isin(BASE)
     part = F.create_map(*[F.lit(x) for k in KINDS for x in (k, PART[k])])
     needs = F.create_map(*[F.lit(x) for k, v in NEEDS.items() for x in (k, v)])
@@ -133,14 +143,10 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     weak = parts.where(~base).select(
         "*", needs[F.col("kind")].alias("needs"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("bucket")
     )
-    # one row for each part of a bucket; of the parts of a bucket that serve alike, the outer ones suffice
-    complements = (
-        parts.where(F.col("kind") != "endpoint")
-        .select("__row", bucket.alias("bucket"), part[F.col("kind")].alias("needs"), "start")
-        .groupBy("__row", "bucket", "needs")
-        .agg(F.min("start").alias("low"), F.max("start").alias("high"))
+    complements = parts.where(F.col("kind") != "endpoint").select(
+        "__row", bucket.alias("bucket"), part[F.col("kind")].alias("needs"), F.col("start").alias("from"), F.col("end").alias("to")
     )
-    near = (F.abs(F.col("start") - F.col("low")) <= scope) | (F.abs(F.col("start") - F.col("high")) <= scope)
+    near = (F.abs(F.col("start") - F.col("from")) <= scope) & ((F.col("to") <= F.col("start")) | (F.col("from") >= F.col("end")))
     linked = weak.join(complements, ["__row", "bucket", "needs"]).where(near).select("__row", "kind", "start", "end").distinct()
     return parts.where(base).unionByName(linked)
 
@@ -155,16 +161,17 @@ def find_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE) -> Dat
 
 
 def mask_secrets(docs: DataFrame, text: str = "text", scope: int = SCOPE, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span replaced by ``mask`` (overlapping spans by one), and ``__spans``: what was found, else null.
+    """``docs`` with every span but those of endpoints replaced by ``mask`` (overlapping spans by one), and ``__spans``:
+    what was masked, else null.  An endpoint near a secret is reported by ``find_secrets``, but is none itself.
 
-    Rows meet their spans by the hash of the text, so equal texts share them.  Texts travel only where there
-    are spans: those rows are joined, all others pass.
+    Rows meet their spans by 128 bits of hashes of the text, so equal texts share them.  Texts travel only where
+    there are spans: those rows are joined, all others pass.
     """
-    key = F.xxhash64(F.col(text)).alias("__key")
-    found = materialize(
-        find_secrets(docs.select(F.col(text), key), text, scope).where("__spans IS NOT NULL").dropDuplicates(["__key"]), "secret-spans"
-    )
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(text)))
+    key = F.md5(F.col(text).cast("binary")).alias("__key")
+    spans = F.filter("__spans", lambda s: s["kind"] != "endpoint")
+    found = find_secrets(docs.select(F.col(text), key), text, scope).withColumn("__spans", spans).where("size(__spans) > 0")
+    found = materialize(found.dropDuplicates(["__key"]), "secret-spans")
+    keyed = docs.withColumn("__key", key)
     met = keyed.join(found, "__key", "left")
     # spans in ascending order: what stands between them, and one mask for each run that overlaps
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at"))
