@@ -8,12 +8,14 @@ point offsets of the original text.
 
 The patterns are broadcast.  Their bytes are summed first; windows beyond
 ``block_bytes`` are dealt by hash into as many automata as needed, each applied
-in a pass of its own, so no pattern is left out and no broadcast passes the bound.
+in a pass of its own, so no pattern is left out and no broadcast passes the bound.  The hit words of
+all passes are joined, so the result is the same for any number of automata.
 
 Defined results: a null or empty text, or one without words, has no words and no
 hits.  Items without words (or without id) are never found.  Items that repeat
 count once.  Rows are handled one by one: repeated rows and null ids give one
-result row each.  Extra columns of either table are ignored.
+result row each.  Extra columns of the documents pass through, those of the items are ignored; a column of
+the documents with the name of a result is an error.
 """
 
 from __future__ import annotations
@@ -117,6 +119,9 @@ def scan_text(raw: bytes | None, automaton) -> tuple[int, int, list[str], list[d
     return len(words), int(hit.sum()), items, _spans(raw, hit), np.flatnonzero(hit).tolist()
 
 
+_HITS = ("__n_words", "__n_hit", "__items", "__spans", "__hits")
+
+
 def _scan(docs: DataFrame, text: str, patterns: list, keep_text: bool, whole: bool) -> DataFrame:
     digest = hashlib.sha256(repr(patterns).encode()).hexdigest()
     shared = docs.sparkSession.sparkContext.broadcast(patterns)
@@ -142,6 +147,23 @@ def _scan(docs: DataFrame, text: str, patterns: list, keep_text: bool, whole: bo
     return with_text_columns(docs, text, make, fields, drop_text=not keep_text)
 
 
+def _spans_of_hits(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with ``__spans`` made anew from the text and all of its ``__hits``."""
+    names = docs.columns
+
+    def run(batches):
+        for part in slices(batches):
+            texts = raw_texts(part.column(names.index(text)))
+            rows = []
+            for raw, found in zip(texts, part.column(names.index("__hits")).to_pylist(), strict=True):
+                hit = np.zeros(len(normal_words(raw)) if raw else 0, bool)
+                hit[found] = True
+                rows.append(_spans(raw, hit) if found else [])
+            yield part.set_column(names.index("__spans"), "__spans", pa.array(rows, _SPANS))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -153,6 +175,9 @@ def decontaminate(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """``docs`` with ``__n_words``, ``__n_hit``, ``__items`` and ``__spans`` (code points)."""
+    taken = [c for c in docs.columns if c in _HITS or c.startswith("__seen")]
+    if taken:
+        raise ValueError(f"columns {taken} have names of the results")
     windows = item_windows(benchmark, item_id, item_text, window)
     total = windows.agg(F.sum(F.length("pattern") + F.lit(64) * F.size("items"))).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
@@ -163,17 +188,14 @@ def decontaminate(
 
     if blocks == 1:
         return _scan(docs, text, patterns(0), keep_text, whole=False)
-    # several automata: hit words and items of a row are joined over the passes
-    out = _scan(docs, text, patterns(0), True, whole=True)
-    names = [c for c in out.columns if not c.startswith("__")]
-    for block in range(1, blocks):
-        old = {c: f"__o{c}" for c in ("__n_words", "__n_hit", "__items", "__spans", "__hits")}
-        out = _scan(out.withColumnsRenamed(old), text, patterns(block), True, whole=True)
-        out = out.select(
-            *names,
-            "__n_words",
-            F.array_sort(F.array_union("__items", "__o__items")).alias("__items"),
-            F.concat("__spans", "__o__spans").alias("__spans"),
-            F.array_union("__hits", "__o__hits").alias("__hits"),
-        ).withColumn("__n_hit", F.size("__hits").cast("bigint"))
-    return out.select(*[c for c in names if keep_text or c != text], "__n_words", "__n_hit", "__items", "__spans")
+    # several automata: hit words and items of a row are joined over the passes, its spans are made of all hits
+    out = docs
+    for block in range(blocks):
+        held = {c: f"__seen{c}" for c in ("__items", "__hits")} if block else {}
+        out = _scan(out.withColumnsRenamed(held), text, patterns(block), True, whole=True)
+        if block:
+            both = {c: F.array_sort(F.array_union(c, f"__seen{c}")) for c in held}
+            out = out.withColumns(both).drop(*held.values())
+        out = out.select(*docs.columns, *(_HITS if block == blocks - 1 else ("__items", "__hits")))
+    out = _spans_of_hits(out, text).withColumn("__n_hit", F.size("__hits").cast("bigint"))
+    return out.select(*[c for c in docs.columns if keep_text or c != text], *_HITS[:4])
