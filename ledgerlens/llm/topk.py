@@ -16,7 +16,8 @@ leave.  Products are exact whole numbers; bounds carry a slack beyond rounding,
 never cut.  The k best of each block meet in a window over the query.
 
 Defined results: vectors that are null or hold a null take no part, nor do rows without id.
-Rows that repeat (same id and vector) count once; a query never meets its own id.
+Rows that repeat (same id and vector) are searched once and take as many places as they stand
+for; queries that repeat are asked once, and those of one id with several vectors share its places.  A query never meets its own id.
 Shorter vectors count as ended with zeros.  Fewer than k candidates: all of them.
 Products must fit 64 bits.  Empty tables give no rows.
 """
@@ -42,8 +43,10 @@ class Node:
 
 
 class MTree:
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE):
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE, names: np.ndarray | None = None):
+        """``names``: what a query's own rows are known by; the ids themselves by default."""
         self.ids, self.exact = ids, vectors
+        self.names = ids if names is None else names
         self.points = vectors.astype(np.float64)
         norms = np.einsum("ij,ij->i", self.points, self.points)
         self.most = float(norms.max(initial=0.0))
@@ -89,7 +92,7 @@ class MTree:
         return node
 
     def search(self, queries: np.ndarray, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, products), a row for each query: its k best but those with its own id, by product, ties to
+        """(ids, products), a row for each query: its k best but those with its own name, by product, ties to
         smaller ids.  Places beyond the candidates hold the score ``_NONE``."""
         return _Search(self, queries, k, own).run()
 
@@ -189,9 +192,10 @@ class _Search:
         else:
             got = self.exact[who] @ self.tree.exact[rows].T
         ids = self.tree.ids[rows]
-        take = (got >= worst) & (ids != self.own[who][:, None])
-        if len(rows) > self.k + 1:  # the k best of the page, ties and the query's own with them
-            take &= got >= np.partition(got, -self.k - 1, axis=1)[:, -self.k - 1][:, None]
+        take = (got >= worst) & (self.tree.names[rows] != self.own[who][:, None])
+        if len(rows) > self.k:  # the k best of the page and their ties; rows with the query's id are none of them
+            others = np.where(take, got, _NONE)
+            take &= got >= np.partition(others, -self.k, axis=1)[:, -self.k][:, None]
         at, place = np.nonzero(take)
         mine = np.arange(len(who))
         old = self.ids[who]
@@ -226,7 +230,7 @@ def exact_top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) for frames of (vec_id, vector array<bigint>)."""
     usable = F.col("vec_id").isNotNull() & F.col("vector").isNotNull() & ~F.exists("vector", lambda x: x.isNull())
-    data = vectors.where(usable).select("vec_id", "vector").distinct()
+    data = vectors.where(usable).groupBy("vec_id", "vector").agg(F.count(F.lit(1)).alias("copies"))
     asked = queries.where(usable).select("vec_id", "vector").distinct()
     n_data, n_asked = data.count(), asked.count()
     blocks, query_blocks = max(1, -(-n_data // block_rows)), max(1, -(-n_asked // query_rows))
@@ -234,18 +238,25 @@ def exact_top_k(
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = data.select("*", dealt(blocks).alias("b")).select("*", every(query_blocks).alias("qb"))
     right = asked.select("*", dealt(query_blocks).alias("qb")).select("*", every(blocks).alias("b"))
+    names = ["query_id", "vec_id", "score", "copies"]
 
     def answer(d: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         width = max([1, *map(len, d["vector"]), *map(len, q["vector"])])
         if not len(d) or not len(q):
-            return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("query_id", "vec_id", "score")})
-        tree = MTree(d["vec_id"].to_numpy(np.int64), _matrix(d["vector"], width), page)
+            return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
+        d = d.sort_values("vec_id", kind="stable")
+        vec_id, copies = d["vec_id"].to_numpy(np.int64), d["copies"].to_numpy(np.int64)
+        # rows go by their place in the order of the ids, which keeps ties and tells apart rows of one id
+        tree = MTree(np.arange(len(d)), _matrix(d["vector"], width), page, vec_id)
         own = q["vec_id"].to_numpy(np.int64)
-        ids, scores = tree.search(_matrix(q["vector"], width), k, own)
+        rows, scores = tree.search(_matrix(q["vector"], width), k, own)
         found = (scores > _NONE).ravel()
-        return pd.DataFrame({"query_id": np.repeat(own, k), "vec_id": ids.ravel(), "score": scores.ravel()})[found]
+        rows = rows.ravel()[found]
+        return pd.DataFrame(dict(zip(names, (np.repeat(own, k)[found], vec_id[rows], scores.ravel()[found], copies[rows]), strict=True)))
 
-    near = left.groupBy("b", "qb").cogroup(right.groupBy("b", "qb")).applyInPandas(answer, "query_id bigint, vec_id bigint, score bigint")
+    near = left.groupBy("b", "qb").cogroup(right.groupBy("b", "qb")).applyInPandas(answer, ", ".join(f"{c} bigint" for c in names))
+    # a row that stands several times takes as many places
+    near = near.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)).cast("int"))))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return near.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
