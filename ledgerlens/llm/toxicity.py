@@ -9,7 +9,9 @@ weight; a logistic regression on them gives the score.
 
 Lexicon, exceptions and regression are fitted on the labelled rows with the
 ``sample_rows`` smallest hashes of their id (all of them, if fewer), so what is collected
-and broadcast is bounded by parameters whatever the size of the input.
+and broadcast is bounded by parameters whatever the size of the input: the lexicon keeps the ``lexicon_size``
+entries of the highest weight, the exceptions the ``LEXICON_SIZE`` commonest in clean texts.  Within the
+labelled rows every word and beginning counts, whatever its length and frequency.
 
 Defined results: null and empty texts score as texts without hits.  Labels that are
 null, or whose document is missing, are not used; a document labelled twice counts as toxic
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raw_texts, slices, with_text_columns
+from .common import discard, materialize, raw_texts, slices, with_text_columns
 
 SAMPLE_ROWS = 20_000
 LEXICON_SIZE = 4_000
@@ -80,7 +82,7 @@ def folded_words(text: str) -> list[str]:
 def units(words: list[str]) -> set[str]:
     """Lexicon candidates of a text: ``word$`` for a whole word, ``stem`` for a beginning."""
     own = set(words)
-    found = {f"{w}$" for w in own if len(w) <= 32}
+    found = {f"{w}$" for w in own}
     for n in STEMS:
         found.update(w[:n] for w in own if len(w) > n)
     return found
@@ -100,18 +102,20 @@ def sample_labels(labels: DataFrame, rows: int) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
 
 
-def _count_units(sample: DataFrame, wanted: set[str] | None) -> DataFrame:
-    """(unit, n): in how many texts of ``sample`` it stands."""
+def _count_units(sample: DataFrame) -> DataFrame:
+    """(unit, toxic_n, clean_n): in how many toxic and clean texts of ``sample`` it stands."""
 
     def run(batches):
         for part in slices(batches, 1024):
-            counts: Counter = Counter()
-            for raw in raw_texts(part.column(0)):
-                own = units(folded_words(_text(raw)))
-                counts.update(own if wanted is None else own & wanted)
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["unit", "n"])
+            counts: tuple[Counter, Counter] = Counter(), Counter()
+            for raw, toxic in zip(raw_texts(part.column(0)), part.column(1).to_pylist(), strict=True):
+                counts[toxic].update(units(folded_words(_text(raw))))
+            every = sorted(counts[0] | counts[1])
+            columns = [pa.array(every, pa.string()), *[pa.array([counts[t][u] for u in every], pa.int64()) for t in (1, 0)]]
+            yield pa.RecordBatch.from_arrays(columns, names=["unit", "toxic_n", "clean_n"])
 
-    return sample.select("text").mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
+    counted = sample.select("text", "toxic").mapInArrow(run, "unit string, toxic_n bigint, clean_n bigint")
+    return counted.groupBy("unit").agg(F.sum("toxic_n").alias("toxic_n"), F.sum("clean_n").alias("clean_n"))
 
 
 class Lexicon:
@@ -194,49 +198,28 @@ def fit_lexicon(
     """Fit on ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     chosen = F.broadcast(sample_labels(labels, sample_rows))  # bounded by sample_rows
     sample = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(chosen, "doc_id").select("text", "toxic")
+    sample = materialize(sample, "toxicity-sample")
     seen = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(seen) < 2:
         return Lexicon({}, [], [-30.0, 0.0, 0.0, 0.0])
-    n_toxic, n_clean = seen[1], seen[0]
-    # candidates: the most frequent units of toxic texts, then counted in clean ones
-    common = (
-        _count_units(sample.where("toxic = 1"), None).where(F.col("n") >= min_toxic).orderBy(F.desc("n"), "unit").limit(20 * lexicon_size)
-    )
-    in_toxic = {r["unit"]: r["n"] for r in common.collect()}
-    shared = docs.sparkSession.sparkContext.broadcast(set(in_toxic))
-    in_clean = {r["unit"]: r["n"] for r in _count_units_of(sample.where("toxic = 0"), shared).collect()}
-
-    def odds(n: int, of: int) -> float:
-        return math.log((n + 0.5) / (of - n + 0.5))
-
-    weights = {u: odds(n, n_toxic) - odds(in_clean.get(u, 0), n_clean) for u, n in in_toxic.items()}
+    odds = lambda c, of: F.ln((F.col(c) + 0.5) / (F.lit(of) - F.col(c) + 0.5))
+    weight = odds("toxic_n", seen[1]) - odds("clean_n", seen[0])
     # a rare unit in no clean text is weak evidence: its weight must stand out from its standard error
-    sure = {
-        u: w
-        for u, w in weights.items()
-        if w >= MIN_WEIGHT and w - 2.0 * math.sqrt(1 / (in_toxic[u] + 0.5) + 1 / (in_clean.get(u, 0) + 0.5)) > 0
-    }
-    sure = dict(sorted(sure.items(), key=lambda x: (-x[1], x[0]))[:lexicon_size])
+    error = F.sqrt(1 / (F.col("toxic_n") + 0.5) + 1 / (F.col("clean_n") + 0.5))
+    entries = _count_units(sample).where(F.col("toxic_n") >= min_toxic).select("unit", weight.alias("weight"), error.alias("error"))
+    entries = entries.where((F.col("weight") >= MIN_WEIGHT) & (F.col("weight") > 2 * F.col("error")))
+    best = entries.orderBy(F.desc(F.round("weight", 9)), "unit").limit(lexicon_size)
+    sure = {r["unit"]: r["weight"] for r in best.collect()}
     lexicon = Lexicon(sure, sorted(exceptions), [])
     lexicon.exceptions = sorted({*exceptions, *_fit_exceptions(sample, lexicon)})
     lexicon = Lexicon(sure, lexicon.exceptions, [])
     rows = _sample_features(sample, lexicon).collect()
+    discard(sample)
     x = np.array([[r["a"], r["b"], r["c"]] for r in rows])
     lexicon.coefficients = fit_logistic(x, np.array([r["toxic"] for r in rows], float))
     return lexicon
 
 
-def _count_units_of(sample: DataFrame, shared) -> DataFrame:
-    def run(batches):
-        for part in slices(batches, 1024):
-            counts: Counter = Counter()
-            for raw in raw_texts(part.column(0)):
-                counts.update(units(folded_words(_text(raw))) & shared.value)
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["unit", "n"])
-
-    return sample.select("text").mapInArrow(run, "unit string, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
-
-
 def _fit_exceptions(sample: DataFrame, lexicon: Lexicon, least: int = 3) -> list[str]:
     """Pairs of neighbouring words around a hit that stand in clean texts much more often than in toxic ones."""
     shared = sample.sparkSession.sparkContext.broadcast(lexicon)
