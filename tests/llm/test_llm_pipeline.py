@@ -4,6 +4,7 @@ import re
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlens.llm.parameters import PIECE_MODEL
 from test_llm_brute import brute_components
@@ -82,11 +83,43 @@ def test_run_gives_the_last_stage(spark, steps):
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in steps[4][1]}
 
 
+def test_edge_rows_through_the_pipeline(spark, scratch):
+    """Null, empty, blank and long texts, null and repeated ids, repeated rows, an extra column with a clashing name."""
+    docs = spark.read.parquet(f"{DIR}/documents.parquet")
+    secret = "password=abcdefghijkl99 https://h.example/x"
+    item = spark.read.parquet(f"{DIR}/benchmark.parquet").first()["text"]
+    plain = docs.orderBy("doc_id").where("lang = 'en' AND n_chars > 600").first()["text"]
+    edge = [(None, None), (None, None), (None, ""), (90_001, " \n "), (90_001, " \n "), (90_002, plain + " quite new words here"), (90_002, plain + " quite new words here"),
+            (None, f"{plain[:400]} {secret} other words at the end"), (90_003, f"some words {item} and more"), (90_004, "w " * 30_000)]
+    frame = spark.createDataFrame([(i, t, "en", "src1", None if t is None else len(t)) for i, t in edge], docs.schema)
+    both = docs.unionByName(frame).withColumn("start", F.lit("kept"))
+    both.write.parquet(f"{scratch}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DIR}/{name}.parquet").write.parquet(f"{scratch}/{name}.parquet")
+    rows = corpus_pipeline.run(spark, scratch).collect()
+    assert len({str((r["doc_id"], r["piece_ids"])) for r in rows if r["doc_id"] is not None and r["n_pieces"]}) == len([r for r in rows if r["doc_id"] is not None and r["n_pieces"]])
+    assert 90_003 not in {r["doc_id"] for r in rows}
+
+    # behind the classifier every row without words stays, copies go, the secret goes and its endpoint stays
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, spark.read.parquet(f"{scratch}/documents.parquet").where("doc_id > 90000 OR doc_id IS NULL"), scratch)
+    assert sorted(str((r["doc_id"], r["text"] is None, (r["text"] or "").strip()[:4])) for r in kept.collect()) == sorted(
+        map(str, [(None, True, ""), (None, True, ""), (None, False, ""), (90_001, False, ""), (90_001, False, ""), (90_002, False, plain.strip()[:4]),
+                  (None, False, plain.strip()[:4]), (90_003, False, "some"), (90_004, False, "w w ")]))
+    clean = corpus_pipeline.keep_uncontaminated(spark, kept, scratch)
+    assert clean.count() == kept.count() - 1 and clean.columns == both.columns
+    masked = corpus_pipeline.mask_secrets(spark, clean, scratch)
+    hidden = [r for r in masked.collect() if r["text"] and "[SECRET]" in r["text"]]
+    assert [(r["doc_id"], r["n_chars"], r["start"]) for r in hidden] == [(None, len(hidden[0]["text"]), "kept")]
+    assert "[SECRET] https://h.example/x" in hidden[0]["text"]
+    pieces = corpus_pipeline.to_piece_ids(spark, masked, scratch).collect()
+    assert len(pieces) == 8 and sum(r["piece_ids"] is None for r in pieces) == 2
+
+
 def test_queries_equal_their_sql(spark):
     from oracle_check import compare
 
     import __spark_entry__ as entry
 
     names = [n for n in entry.oracle_sql() if re.match(r"op\d+_", n)]
-    assert len(names) == 5
+    assert len(names) == 8
     assert all(r["match"] for r in compare(spark, DIR, names).values())
