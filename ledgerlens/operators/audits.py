@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import floor_days_between, micros_of_day, time_of_day_micros
+from ..session import dealt
 from .ordering import with_position
 
 # Defaults of the original audits (fixed values).
@@ -75,25 +76,23 @@ def expected_grants(expected: DataFrame, actual: DataFrame, inventory: DataFrame
     object is not in the inventory.  Presence comes from the inventory alone.
     ``actual`` is (object, grantee), ``inventory`` has a column object.
 
-    The three inputs are tagged and unioned, so each is read once: one aggregate
-    by (object, grantee), then one flag by object joined back (a huge object
-    spreads over its grantees)."""
-    flag = lambda e, a, p: [F.lit(x).alias(n) for n, x in (("_e", e), ("_a", a), ("_p", p))]
-    none = F.lit(None).cast("string").alias("grantee")
-    tagged = (
-        expected.select("object", "grantee", *flag(1, 0, 0))
-        .unionAll(actual.select("object", "grantee", *flag(0, 1, 0)))
-        .unionAll(inventory.select("object", none, *flag(0, 0, 1)))
+    Expected and actual pairs are tagged and unioned: one aggregate by (object, grantee).  The
+    inventory's objects are joined to its rows, so no other input is read for them.  Repeated grants and
+    inventory rows go in partial aggregates first.  Names repeat so much that a shuffle of them
+    has few bytes; both exchanges of the pairs are dealt to a given number of tasks, which AQE leaves as it is."""
+    flag = lambda e, a: [F.lit(x).alias(n) for n, x in (("_e", e), ("_a", a))]
+    tagged = expected.select("object", "grantee", *flag(1, 0)).unionAll(
+        actual.select("object", "grantee").distinct().select("object", "grantee", *flag(0, 1))
     )
-    pairs = tagged.groupBy("object", "grantee").agg(*[F.max(c).alias(c) for c in ("_e", "_a", "_p")])
+    pairs = dealt(tagged, "object", "grantee").groupBy("object", "grantee").agg(*[F.max(c).alias(c) for c in ("_e", "_a")])
     wanted = pairs.where("_e = 1").select("object", "grantee", (F.col("_a") == 1).alias("_granted"))
-    there = pairs.where("_p = 1").select("object", F.lit(True).alias("_there"))
+    there = inventory.select("object").distinct().withColumn("_there", F.lit(True))
     state = (
         F.when(F.col("_there").isNull(), F.lit("absent"))
         .when(F.col("_granted"), F.lit("granted"))
         .otherwise(F.lit("missing"))
     )
-    return wanted.join(there.distinct(), "object", "left").select("object", "grantee", state.alias("state"))
+    return dealt(wanted, "object").join(there, "object", "left").select("object", "grantee", state.alias("state"))
 
 
 def missing_grants(states: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators import flaglog as FL
 from ..operators import landing as LD
 from ..operators import ordering as OR
 from ..operators import rates as RT
-from ..session import shared_dir
+from ..session import dealt, shared_dir
 from ..sources import fixtures as FX
 from ..sources import io
 
@@ -304,7 +304,8 @@ def _grant_states(events: DataFrame) -> DataFrame:
     name = A.object_name("_day", "_user")
     named = lambda df: df.select("*", name.alias("object"))
     user = F.concat(F.lit("user "), F.col("user_id").cast("string")).alias("_user")
-    spans = events.groupBy("user_id").agg(F.min(day).alias("d0"), F.max(day).alias("d1"))
+    # one short row a user becomes a row a day and group: dealt evenly before that
+    spans = dealt(events.groupBy("user_id").agg(F.min(day).alias("d0"), F.max(day).alias("d1")))
     days = F.transform(F.sequence("d0", "d1", F.expr("INTERVAL 1 DAY")), lambda d: d.cast("string"))
     expected = named(spans.select(user, F.explode(days).alias("_day"))).select("object", F.explode(F.array(*[F.lit(e) for e in EVENT_TYPES])).alias("grantee"))
     groups = events.select(F.upper("event_type").alias("id"), F.col("event_type").alias("name")).distinct()
