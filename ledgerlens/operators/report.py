@@ -121,11 +121,15 @@ def size_of_year(sizes: str = "sizes_by_year", year: str = "year") -> Column:
     return F.coalesce(F.get(own, F.lit(0))["customer_size_py"], F.lit(L.NON_ACTIVE_BAND))
 
 
+def add_size_of_year(dense: DataFrame) -> DataFrame:
+    """``customer_size_py`` of each dense row in place of the bands of all years, which no sort has to carry then."""
+    return dense.select(*[c for c in dense.columns if c != "sizes_by_year"], size_of_year().alias("customer_size_py"))
+
+
 def retention_report(classified: DataFrame) -> DataFrame:
     """C11: the 40-column report, in the original column order.
 
     ``classified`` carries the account and product lookups, attached to the
-    monthly rows before they were made dense."""
+    monthly rows before they were made dense, and ``add_size_of_year``."""
     df = add_size_band(classified)
-    df = df.select("*", size_of_year().alias("customer_size_py")) if "sizes_by_year" in df.columns else df
     return cast_money(df.select(*REPORT_COLUMNS), REPORT_MONEY)

@@ -7,7 +7,8 @@ Physical shape (see README, "Plan"):
    grain -> final aggregate, take rate on the monthly sums
 2. account and product lookups joined to the monthly rows, the smallest frame
    that has their keys
-3. ``repartition(account_id, product)``: the last exchange of the main data
+3. dealt by (account_id, product): the last exchange of the main data; the lookups
+   by that key are joined behind it
 4. densify, then every window (series, product, product-month) inside that
    partitioning: three window layers for the horizons, two for the status
 
@@ -31,6 +32,7 @@ from ..operators import horizons as H
 from ..operators import pricing as P
 from ..operators import report as R
 from ..operators import status as S
+from ..session import dealt
 from ..sources import fixtures as FX
 
 
@@ -117,12 +119,12 @@ def _labelled(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
 
 def _dense(totals: DataFrame, prm: RetentionParams) -> DataFrame:
     """C5 on the (account, product) partitioning."""
-    # Fixed count (the session's shuffle partitions): rows grow ~10x after
-    # this exchange (the spine) and ~25 window columns are added, so sizing
-    # by the pre-expansion bytes (AQE coalescing) would starve the windows.
-    n = int(totals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    totals = totals.repartition(n, "account_id", "product")
-    return D.densify_months(totals, prm.as_of, prm.tail_months, prm.calendar_start)
+    # rows grow ~10x after this exchange (the spine) and ~25 window columns are added
+    return _spread(dealt(totals, "account_id", "product"), prm)
+
+
+def _spread(dealt_totals: DataFrame, prm: RetentionParams) -> DataFrame:
+    return D.densify_months(dealt_totals, prm.as_of, prm.tail_months, prm.calendar_start)
 
 
 def dense_base(inp: RetentionInputs, prm: RetentionParams) -> DataFrame:
@@ -160,9 +162,10 @@ def retention_report(inp: RetentionInputs, prm: RetentionParams, keys: DataFrame
     if keys is not None:
         own = monthly.account_id.eqNullSafe(keys.account_id) & monthly["product"].eqNullSafe(keys["product"])
         monthly = monthly.join(keys, own, "left_semi")
-    monthly = _account_lookups(monthly, inp)
-    monthly = R.attach_product_lookups(monthly, inp.max_ttm, inp.size_py)
-    return R.retention_report(S.classify_status(H.add_horizons(_dense(monthly, prm))))
+    # dealt before the joins by (account, product): behind them Spark would drop the exchange
+    monthly = dealt(_account_lookups(monthly, inp), "account_id", "product")
+    dense = R.add_size_of_year(_spread(R.attach_product_lookups(monthly, inp.max_ttm, inp.size_py), prm))
+    return R.retention_report(S.classify_status(H.add_horizons(dense)))
 
 
 def _spine_keys(inp: RetentionInputs, prm: RetentionParams, *keys: str) -> DataFrame:

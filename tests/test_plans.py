@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_check import compare
@@ -186,3 +188,14 @@ def test_windows_reuse_one_partitioning(spark, qs, conf):
 def test_grants_read_events_few_times(spark, qs):
     plan = formatted(qs["missing_grants"](spark, SF_SMALL)).split("\n\n")[0]
     assert len(re.findall(r"Scan parquet", plan)) <= 10, plan
+
+
+def test_the_report_keeps_the_partitions_of_its_windows(spark, qs):
+    """Behind joins by (account, product) Spark drops an exchange by the same keys and AQE joins the partitions by
+    their bytes before the months are spread: the given number must stand below these joins."""
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        df = qs["retention_report"](spark, SF_SMALL)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(account_id#\w+, product#\w+, 8\), REPARTITION_BY_NUM", plan)
+        parts = df.groupBy(F.spark_partition_id().alias("p")).count().count()
+    assert parts >= 7, parts
