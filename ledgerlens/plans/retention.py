@@ -36,6 +36,10 @@ from ..session import dealt
 from ..sources import fixtures as FX
 
 
+#: Tasks of the report's windows per shuffle partition: its rows are the widest, and each sort holds a task's share.
+REPORT_TIMES = 4
+
+
 @dataclass
 class RetentionInputs:
     transactions: DataFrame
@@ -163,7 +167,7 @@ def retention_report(inp: RetentionInputs, prm: RetentionParams, keys: DataFrame
         own = monthly.account_id.eqNullSafe(keys.account_id) & monthly["product"].eqNullSafe(keys["product"])
         monthly = monthly.join(keys, own, "left_semi")
     # dealt before the joins by (account, product): behind them Spark would drop the exchange
-    monthly = dealt(_account_lookups(monthly, inp), "account_id", "product")
+    monthly = dealt(_account_lookups(monthly, inp), "account_id", "product", times=REPORT_TIMES)
     dense = R.add_size_of_year(_spread(R.attach_product_lookups(monthly, inp.max_ttm, inp.size_py), prm))
     return R.retention_report(S.classify_status(H.add_horizons(dense)))
 

@@ -196,6 +196,6 @@ def test_the_report_keeps_the_partitions_of_its_windows(spark, qs):
     with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
         df = qs["retention_report"](spark, SF_SMALL)
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert re.search(r"hashpartitioning\(account_id#\w+, product#\w+, 8\), REPARTITION_BY_NUM", plan)
+        assert re.search(r"hashpartitioning\(account_id#\w+, product#\w+, 32\), REPARTITION_BY_NUM", plan)
         parts = df.groupBy(F.spark_partition_id().alias("p")).count().count()
-    assert parts >= 7, parts
+    assert parts >= 16, parts  # 60 keys
