@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerlens.plans import incremental as INC
 from ledgerlens.plans import refresh
 from ledgerlens.plans import retention as RP
+from ledgerlens.session import dealt
 from ledgerlens.sources import commits, io
 from ledgerlens.sources import fixtures as FX
 
@@ -155,3 +156,50 @@ def test_keys_with_nulls_are_refreshed(spark, scratch):
     INC.refresh_report(spark, after, prm, target, odd.select("account_id", "form_id"))
     whole = RP.retention_report(after, prm)
     assert report(INC.read_report(spark, target, whole.schema)) == report(whole)
+
+
+def files_by_bucket(target, version):
+    return {p: sum(n.endswith(".parquet") for n in os.listdir(f"{target}/{f}")) for p, f in version.parts.items()}
+
+
+def test_dealt_by_buckets(spark):
+    """A bucket has partitions of its own, or lies whole in one; NULL keys too."""
+    keys = spark.createDataFrame([(a, p) for a in [None, *range(300)] for p in ("x", "y", None)], "account_id long, product string")
+    rows = keys.withColumn("b", INC.key_bucket(12))
+    own = dealt(rows, *INC.KEY, buckets=12).select("b", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len({r.p for r in own}) == len(own) == 12
+    rows = keys.withColumn("b", INC.key_bucket(3))
+    own = dealt(rows, *INC.KEY, buckets=3).select("b", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len({r.p for r in own}) == len(own) == 9  # the least multiple of 3 from 8 on
+
+
+def test_the_report_is_written_by_the_tasks_of_its_windows(spark, scratch, monkeypatch):
+    """Neither the built rows of a bucket nor its copied ones meet in one task; files that pile up are joined again."""
+    prm, target = RP.fixture_params(), f"{scratch}/report"
+    inputs = some(spark, None)
+    early, late = F.col("o_orderkey") % 50 != 7, F.col("o_orderkey") % 50 == 7
+    changed = some(spark, late).transactions.select("account_id", "form_id")
+    whole = RP.retention_report(inputs, prm)
+    INC.refresh_report(spark, some(spark, early), prm, target, buckets=2)
+    built = files_by_bucket(target, commits.current(spark, target))
+    assert len(built) == 2 and all(3 < n <= 16 for n in built.values()), built  # 32 tasks
+    INC.refresh_report(spark, inputs, prm, target, changed, buckets=2)
+    copied = files_by_bucket(target, commits.current(spark, target))
+    assert report(INC.read_report(spark, target, whole.schema)) == report(whole)
+    assert all(n <= 32 + 16 for n in copied.values()), copied
+    monkeypatch.setattr(INC, "FILES", 1)
+    INC.refresh_report(spark, inputs, prm, target, changed, buckets=2)
+    joined = files_by_bucket(target, commits.current(spark, target))
+    assert all(n <= 16 + 16 for n in joined.values()), joined
+    assert report(INC.read_report(spark, target, whole.schema)) == report(whole)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
+
+
+def test_a_report_by_other_buckets_is_built_anew(spark, scratch):
+    prm, target = RP.fixture_params(), f"{scratch}/report"
+    inputs = some(spark, None)
+    whole = RP.retention_report(inputs, prm)
+    commits.replace(whole.withColumn("key_bucket", F.pmod(F.xxhash64("account_id"), F.lit(4))), target, commits.Version(), "key_bucket", [])
+    changed = inputs.transactions.select("account_id", "form_id").limit(5)
+    assert INC.refresh_report(spark, inputs, prm, target, changed, buckets=4)["mode"] == "full"
+    assert report(INC.read_report(spark, target, whole.schema)) == report(whole)
