@@ -340,6 +340,33 @@ def test_nbest_equals_all_segmentations(model):
         assert loss == (want[0][0] - want[1][0] if len(want) > 1 else float("inf"))
 
 
+def test_each_beginning_is_found_at_one_place(model):
+    """The lookup of a state and character reads one place of a table: all beginnings are there, nothing else is."""
+    size = len(model.move_keys)
+    assert size == model.mask + 1 and (model.move_keys >= 0).sum() == len(model.begins)
+    found = [(b, model.begins[b[:-1]] if len(b) > 1 else 0, ord(b[-1])) for b in model.begins]
+    state, chars = (np.array([f[k] for f in found], np.int64) for k in (1, 2))
+    place = (model.move_shift[state] + chars) % size
+    assert (model.move_keys[place] == (state << 21 | chars)).all()
+    assert model.move_to[place].tolist() == list(model.begins.values())
+    # characters that fall on the places of others: a whole table further
+    text = "".join(chr(c + size) for c in (ord("a"), ord("▁"), ord("日")))
+    codes = np.array([ord(c) for c in text], np.int64)
+    starts, ends, ids, _ = model._lattices(codes, np.full(3, 3))
+    assert starts.tolist() == [0, 1, 2] and ends.tolist() == [1, 2, 3] and ids.tolist() == [-1] * 3
+
+
+def test_solved_in_groups_like_one_by_one(model, monkeypatch):
+    """Few segments together, long ones between, and numbers that begin anew give the results of an encoder a text."""
+    texts = ["the cat sat\non the mat " + "y" * 100 + " the end", "the other cat", "日本 語 " + "z" * 70, "", "the cat sat"]
+    want = [pieces.Encoder(model, 3).encode_all([t])[0] for t in texts]
+    monkeypatch.setattr(pieces, "_SOLVED_TOGETHER", 2)
+    monkeypatch.setattr(pieces, "_MEMO", 6)
+    encoder = pieces.Encoder(model, 3)
+    assert encoder.encode_all(texts) == want
+    assert [encoder.encode_all([t])[0] for t in texts] == want and len(encoder.packed) == len(encoder.known)
+
+
 def test_nbest_of_texts(model):
     for text in ("", " ", "▁", "a▁ b\n\n▁▁", "\n", "  x  ", "日本▁語 😀", "x" * 300, "the cat sat\non the mat"):
         for n in (1, 2, 5):
