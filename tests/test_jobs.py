@@ -194,7 +194,7 @@ def test_schedule_window_edges(spark):
 
 def test_object_name(spark):
     df = spark.createDataFrame([("Refunds", "Audit-team")], "name string, project string")
-    assert df.select(A.object_name("name", "project").alias("o")).first().o == "Invoices in Data-team"
+    assert df.select(A.object_name("name", "project").alias("o")).first().o == "Refunds in Audit-team"
 
 
 def test_missing_grants_and_absent(spark):
