@@ -422,6 +422,40 @@ def test_round_trip_of_documents(spark):
     assert all(r["second_score"] is None or r["second_score"] <= r["score"] for r in rows)
 
 
+def test_op2_decodes_the_second_segmentation(spark, model, scratch):
+    """Both segmentations are counted and spelled back to the text, not the best alone."""
+    from ledgerlens.llm.queries import op2_sentencepiece
+
+    texts = ["the cat sat\non the mat", "  two  blanks", "日本▁語 😀 and more", "x" * 300, "", None, "the cat sat\non the mat"]
+    docs = spark.createDataFrame([(k // 2, t) for k, t in enumerate(texts)], "doc_id bigint, text string")
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    rows = op2_sentencepiece(spark, scratch).collect()
+    want = []
+    for k, t in enumerate(texts):
+        found = pieces.Encoder(model, 2).nbest(t) if t else []
+        second = (len(found[1][1]), True) if len(found) > 1 else (None, None)
+        want.append((k // 2, None if t is None else len(found[0][1]) if t else 0, True, *second))
+    got = [(r["doc_id"], r["n_pieces"], r["round_trip"], r["second_n_pieces"], r["second_round_trip"]) for r in rows]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and sum(w[4] is True for w in want) == 5
+    # a segmentation that spells another text does not pass
+    wrong = spark.createDataFrame([([bytearray(b""), None],), (None,), ([],)], "x array<binary>")
+    assert [r["__decoded"] for r in pieces.decode_ids(wrong, model, "x").collect()] == [["", None], None, []]
+
+
+def test_searches_in_step_give_the_first_two_paths(model):
+    """Every segment is searched for its second path, with equal scores too, not only the one that a text opens."""
+    import random
+
+    rng = random.Random(5)
+    equal = pieces.Pieces([(p, float(-rng.randint(1, 3)) if kind == 1 else s, kind) for p, s, kind in pieces.read_model(PIECE_MODEL)])
+    segments = ["▁" + "".join(rng.choices("thereonaisñ日", k=rng.randint(0, 14))) for _ in range(300)]
+    for m in (model, equal):
+        for segment, packed, best, loss in zip(segments, *m.solve(segments), strict=True):
+            paths = m.nbest(segment, 2)
+            assert (best, tuple(np.frombuffer(packed, np.int32))) == paths[0]
+            assert loss == (paths[0][0] - paths[1][0] if len(paths) > 1 else float("inf"))
+
+
 def test_top_k_equals_all_products():
     rng = np.random.default_rng(1)
     for n, width, most in ((1, 3, 5), (4, 3, 5), (700, 3, 3), (2000, 8, 20), (900, 4, 1), (600, 5, 10**8)):
