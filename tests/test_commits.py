@@ -195,6 +195,23 @@ def test_the_report_is_written_by_the_tasks_of_its_windows(spark, scratch, monke
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", "0") == "0"
 
 
+def test_the_kept_report_holds_no_decimals(spark, scratch):
+    """Amounts are written and copied as longs, built rows and refreshed ones; a report kept with its decimals is read as it is."""
+    prm, target = RP.fixture_params(), f"{scratch}/report"
+    inputs = some(spark, None)
+    whole = RP.retention_report(inputs, prm)
+    rows = report(whole)
+    commits.replace(whole.withColumn("key_hash_bucket", INC.key_bucket(4)), target, commits.Version(), "key_hash_bucket", [])
+    assert report(INC.read_report(spark, target, whole.schema)) == rows
+    changed = inputs.transactions.select("account_id", "form_id").limit(5)
+    for mode in ("full", "increment"):
+        assert INC.refresh_report(spark, inputs, prm, target, changed, buckets=4)["mode"] == mode
+        kept = spark.read.parquet(*[f"{target}/{f}" for f in commits.current(spark, target).parts.values()]).schema
+        assert not [f.name for f in kept if isinstance(f.dataType, T.DecimalType)]
+        read = INC.read_report(spark, target, whole.schema)
+        assert report(read) == rows and [(f.name, f.dataType) for f in read.schema] == [(f.name, f.dataType) for f in whole.schema]
+
+
 def test_a_report_by_other_buckets_is_built_anew(spark, scratch):
     prm, target = RP.fixture_params(), f"{scratch}/report"
     inputs = some(spark, None)

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
-from ledgerlens.functions.amounts import Amount
+from ledgerlens.functions import labels as L
+from ledgerlens.functions.amounts import MONEY_PLACE, Amount
 from ledgerlens.operators import horizons as H
+from ledgerlens.operators import report as R
+from ledgerlens.operators import status as S
+from ledgerlens.plans import retention as RP
 from test_plans import NO_AQE, formatted, settings, tree
 
 SCHEMA = "account_id long, product string, gateway_group string, date date, monthly_total decimal(38,13)"
@@ -103,3 +107,22 @@ def test_generated_methods_are_compiled(spark):
                 E.queries()[name](spark, SF_SMALL).explain("codegen")
             sizes = [int(m) for m in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
             assert sizes and max(sizes) < 8000, (name, sizes)
+
+
+def test_the_peak_as_a_double_has_the_band_of_the_decimal(spark):
+    near = [t * 100_000 + d for t, _ in L.SIZE_BANDS for d in (-1, 0, 1)] + [0, -1, 10**24]
+    df = spark.createDataFrame([(v // 10**10, v % 10**10) for v in near], "_hi_a long, _lo_a long")
+    a = Amount.named("a")
+    bands = df.select(
+        L.size_band(a.sign() / F.lit(float(MONEY_PLACE))).alias("by_double"), L.size_band(a.decimal()).alias("by_decimal")
+    ).collect()
+    assert all(r.by_double == r.by_decimal for r in bands) and len({r.by_double for r in bands}) == len(L.SIZE_BANDS) + 1
+
+
+def test_the_report_has_the_band_of_its_largest_total(spark):
+    """``ttm_peak`` of the status window gives the bands of ``add_size_band``."""
+    inp, prm = RP.fixture_inputs(spark, SF_SMALL), RP.fixture_params()
+    df = R.add_size_band(S.classify_status(RP._horizons(RP.monthly_totals(inp, prm), prm), peak=True))
+    own = R._peak_band(F.col("ttm_peak"))
+    assert df.where(~own.eqNullSafe(F.col("processing_max_ttm_size"))).count() == 0
+    assert df.where(own != L.NON_ACTIVE_BAND).count() > 0
